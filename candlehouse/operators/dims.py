@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlehouse.functions import columns as C
-from candlehouse.operators.dedup import first_wins
 from candlehouse.schemas import ASSET_TYPE_ID, ASSET_TYPES, TIME_INTERVALS
 
-SYMBOL_KEY = ["asset_type_id", "symbol_code", "currency"]
-
 
 def _sql_value(value) -> str:
     return f"'{value}'" if isinstance(value, str) else str(value)
@@ -58,8 +57,6 @@ def check_unique(dimension: DataFrame) -> None:
         raise ValueError("two symbols share one symbol_id")
 
 
-def merge_symbols(*parts: DataFrame) -> DataFrame:
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part)
-    return first_wins(merged, ["symbol_id"], "symbol_code")
+def all_symbols(transformed: dict[str, DataFrame]) -> DataFrame:
+    """Symbols of all given sources, by asset type code. Types are disjoint, so no rows coincide."""
+    return reduce(DataFrame.unionByName, [symbols(bars, code) for code, bars in transformed.items()])

@@ -126,6 +126,7 @@ MARTS = {
     "mv_asset_type_summary": asset_type,
     "mv_symbol_analytics": symbol,
 }
+MART_TIME = {"mv_daily_ohlc_summary": "trading_day", "mv_hourly_ohlc_summary": "trading_hour"}
 
 
 def _or_zero(value: str | Column) -> Column:

@@ -62,9 +62,9 @@ def pending_keys(raw: DataFrame, transformed: DataFrame, key: list[str]) -> Data
     return pending(raw.select(*key), transformed, key).select(*pair).distinct().orderBy(*pair)
 
 
-def transform_news(articles: DataFrame) -> DataFrame:
+def transform_news(articles: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Articles with a title, a description and a content that are not blank, in the published form."""
     kept = articles
     for column in ("title", "description", "content"):
         kept = kept.filter(C.not_blank(F.col(column)))
-    return kept.select("title", "published_date", "description", "content")
+    return kept.select(*(keep or []), "title", "published_date", "description", "content")

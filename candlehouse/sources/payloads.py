@@ -36,11 +36,11 @@ _RANKING_SCHEMA = "Data array<struct<CoinInfo:struct<Name:string>>>, _corrupt_re
 MALFORMED = "malformed payload"
 
 
-def read_payload_files(spark: SparkSession, path: str) -> DataFrame:
-    """One payload per file, with its path: columns ``path``, ``payload``."""
-    return spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value").alias("payload")
-    )
+def read_landed(spark: SparkSession, path: str, keys: list[str], one_per_file: bool = False) -> DataFrame:
+    """Landed payloads, one per line or one per file, below ``key=value`` directories."""
+    schema = ", ".join(f"{c} string" for c in ["value", *keys])
+    texts = spark.read.schema(schema).text(path, wholetext=one_per_file)
+    return texts.select(*keys, F.col("_metadata.file_path").alias("page"), F.col("value").alias("payload"))
 
 
 def _decode(payloads: DataFrame, schema: str) -> DataFrame:
@@ -56,6 +56,11 @@ def _explode(decoded: DataFrame, array: str) -> DataFrame:
     return decoded.select(*keep, broken.alias("_broken"), F.posexplode(entries).alias("pos", "entry"))
 
 
+def _arrival(payloads: DataFrame) -> list[str]:
+    """Columns that tell which of two equal bars came first: the page, if known, and the place in it."""
+    return [c for c in ("page",) if c in payloads.columns] + ["pos"]
+
+
 def _first_problem(checks: list[tuple[str, Column, Column]], *more: Column) -> Column:
     """Reason text of the first field that is missing or does not parse."""
     found = [F.when(F.col("_broken"), F.lit(MALFORMED)), *more]
@@ -80,7 +85,7 @@ def _parse_series(payloads: DataFrame, symbol: str, with_volume: bool) -> DataFr
     checks += [(name, F.col(f"entry.{name}"), F.col(name)) for name in parsed if name != "ts"]
     unsupported = F.when(~interval.isin(INTERVAL_CODES), F.lit("unsupported interval"))
     return rows.select(
-        symbol, "interval_code", F.col("entry.datetime").alias("source_time"), *parsed,
+        *_arrival(payloads), symbol, "interval_code", F.col("entry.datetime").alias("source_time"), *parsed,
         C.bar_start(F.col("ts"), interval).alias("start_date_time"),
         C.bar_end(F.col("ts"), interval).alias("end_date_time"),
         _first_problem(checks, _too_long(symbol), unsupported).alias("reason"),
@@ -109,7 +114,7 @@ def parse_crypto(payloads: DataFrame) -> DataFrame:
     fields = {"ts": "time", "volume_from": "volumefrom", "volume_to": "volumeto"}
     checks = [(fields.get(c, c), F.col(f"entry.{fields.get(c, c)}"), F.col(c)) for c in parsed]
     return rows.select(
-        "symbol", "currency", F.col("entry.time").alias("source_time"), *parsed,
+        *_arrival(payloads), "symbol", "currency", F.col("entry.time").alias("source_time"), *parsed,
         _first_problem(checks, _too_long("symbol"), _too_long("currency")).alias("reason"),
     )
 
@@ -126,7 +131,7 @@ def parse_news(payloads: DataFrame) -> DataFrame:
         ("link", link, link),
     ]
     return rows.select(
-        F.coalesce(F.col(f"{row}.title"), F.lit("")).alias("title"), "published_date",
+        *_arrival(payloads), F.coalesce(F.col(f"{row}.title"), F.lit("")).alias("title"), "published_date",
         F.col(f"{row}.description").alias("description"),
         F.coalesce(F.col(f"{row}.content"), F.lit("")).alias("content"), "link",
         F.col(f"{row}.top_image").alias("top_image"), F.col(f"{row}.authors").alias("authors"),
@@ -136,6 +141,7 @@ def parse_news(payloads: DataFrame) -> DataFrame:
 
 
 def valid(parsed: DataFrame) -> DataFrame:
+    """Good rows, with the arrival columns ``page`` and ``pos`` still on them."""
     return parsed.filter("reason IS NULL").drop("reason", "source_time")
 
 

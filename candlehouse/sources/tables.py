@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
@@ -12,16 +11,19 @@ from pyspark.sql.types import DateType, StructField, StructType
 PERIOD = "trade_period"
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path exists, on whatever file system it names."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """A stored table. With a schema, a table that does not exist yet reads as empty."""
     if schema is None:
         return spark.read.parquet(path)
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not table_exists(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def with_period(schema: StructType) -> StructType:
@@ -29,6 +31,12 @@ def with_period(schema: StructType) -> StructType:
     return StructType([*fields, StructField(PERIOD, DateType())])
 
 
+def period_start(moment: datetime, grain: str = "month") -> date:
+    """The ``trade_period`` value of a moment."""
+    day = moment.date()
+    return {"day": day, "month": day.replace(day=1), "year": day.replace(month=1, day=1)}[grain]
+
+
 def since(table: DataFrame, moment: datetime, grain: str = "month") -> DataFrame:
     """Rows strictly after ``moment``.
 
@@ -36,5 +44,5 @@ def since(table: DataFrame, moment: datetime, grain: str = "month") -> DataFrame
     """
     rows = table.filter(F.col("ts") > F.lit(moment))
     if PERIOD in table.columns:
-        rows = rows.filter(F.col(PERIOD) >= F.to_date(F.date_trunc(grain, F.lit(moment))))
+        rows = rows.filter(F.col(PERIOD) >= F.lit(period_start(moment, grain)))
     return rows
