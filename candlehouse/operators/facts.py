@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from candlehouse.functions import columns as C
 from candlehouse.operators import dims
-from candlehouse.schemas import ASSET_TYPE_ID, DAILY, FACT_COLUMNS, FACT_KEY
+from candlehouse.schemas import ASSET_TYPE_ID, DAILY, FACT_COLUMNS, FACT_KEY, INTERVAL_ID
 
 SYMBOL_COLUMN = {"STOCK": "symbol", "FOREX": "currency_pair", "CRYPTO": "symbol"}
 SOURCE_TABLE = {
@@ -27,13 +27,14 @@ _OPTIONAL = {"volume": "bigint", "volume_from": "decimal(28,10)", "volume_to": "
 
 
 def fact_rows(bars: DataFrame, asset_type: str) -> DataFrame:
-    """Fact rows of one asset type. Crypto bars are daily by definition."""
-    spark = bars.sparkSession
-    if asset_type == "CRYPTO":
-        bars = bars.withColumn("interval_code", F.lit(DAILY))
-    intervals = dims.time_intervals(spark).select("interval_code", "interval_id")
+    """Fact rows of one asset type. Crypto bars carry no interval: they are daily by definition."""
     currency = F.col("currency") if "currency" in bars.columns else F.lit(None).cast("string")
-    rows = bars.join(F.broadcast(intervals), "interval_code").withColumns({
+    if asset_type == "CRYPTO":
+        rows = bars.withColumn("interval_id", F.lit(INTERVAL_ID[DAILY]))
+    else:
+        intervals = dims.time_intervals(bars.sparkSession).select("interval_code", "interval_id")
+        rows = bars.join(F.broadcast(intervals), "interval_code")
+    rows = rows.withColumns({
         "symbol_id": C.symbol_id(F.lit(asset_type), F.col(SYMBOL_COLUMN[asset_type]), currency),
         "asset_type_id": F.lit(ASSET_TYPE_ID[asset_type]),
         "source_table": F.lit(SOURCE_TABLE[asset_type]),

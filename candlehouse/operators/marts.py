@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlehouse.functions import columns as C
@@ -80,13 +80,33 @@ def hourly(star: Star) -> DataFrame:
     )
 
 
-def asset_type(star: Star) -> DataFrame:
+def symbol_months(fact: DataFrame) -> DataFrame:
+    """Per symbol and month: what the all-time marts need, in a form that can be merged.
+
+    A load that touches one month changes that month's rows only, so the all-time marts are refreshed
+    from this small table instead of the fact table.
+    """
+    close = F.col("close")
+    return fact.groupBy("symbol_id", "asset_type_id", F.date_trunc("month", "ts").alias("month")).agg(
+        F.count("*").alias("n"),
+        F.min("ts").alias("first_ts"),
+        F.max("ts").alias("last_ts"),
+        F.count(close).alias("n_close"),
+        F.sum(close).alias("sum_close"),
+        (F.var_pop(close.cast("double")) * F.count(close)).alias("squares"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        C.exact_sum(F.col("volume")).alias("volume"),
+    )
+
+
+def asset_type_of(months: DataFrame) -> DataFrame:
     """Per asset type: distinct symbols, rows and time range.
 
     Rolled up per symbol first, so that one dominant asset type is not counted in one task.
     """
-    per_symbol = star.fact.groupBy("asset_type_id", "symbol_id").agg(
-        F.count("*").alias("n"), F.min("ts").alias("lo"), F.max("ts").alias("hi")
+    per_symbol = months.groupBy("asset_type_id", "symbol_id").agg(
+        F.sum("n").alias("n"), F.min("first_ts").alias("lo"), F.max("last_ts").alias("hi")
     )
     rollup = per_symbol.groupBy("asset_type_id").agg(
         F.count("*").alias("unique_symbols"),
@@ -94,39 +114,47 @@ def asset_type(star: Star) -> DataFrame:
         F.min("lo").alias("earliest_data"),
         F.max("hi").alias("latest_data"),
     )
-    types = dims.asset_types(star.spark).select("asset_type_id", "asset_type_code", "asset_type_name")
+    types = dims.asset_types(months.sparkSession).select("asset_type_id", "asset_type_code", "asset_type_name")
     return rollup.join(F.broadcast(types), "asset_type_id").select(
         "asset_type_code", "asset_type_name", "unique_symbols", "total_records",
         "earliest_data", "latest_data",
     )
 
 
-def symbol(star: Star) -> DataFrame:
-    """Per symbol over all time; the volatility of a single row is NULL."""
-    rollup = star.fact.groupBy("symbol_id", "asset_type_id").agg(
-        F.count("*").alias("total_records"),
-        F.min("ts").alias("first_record_date"),
-        F.max("ts").alias("last_record_date"),
-        C.exact_mean(F.col("close")).alias("avg_price"),
-        F.stddev_samp(F.col("close").cast("double")).alias("price_volatility"),
+def symbol_of(months: DataFrame, symbols: DataFrame) -> DataFrame:
+    """Per symbol over all time; the volatility of a single row is NULL.
+
+    The variance is merged from the months: squares within the months plus those between their means.
+    The window holds one row per month of a symbol.
+    """
+    whole = Window.partitionBy("symbol_id")
+    mean = F.sum("sum_close").over(whole).cast("double") / F.sum("n_close").over(whole)
+    gap = F.col("sum_close").cast("double") / F.col("n_close") - mean
+    merged = months.withColumn("squares", F.col("squares") + F.col("n_close") * gap * gap)
+    n = F.sum("n_close")
+    rollup = merged.groupBy("symbol_id", "asset_type_id").agg(
+        F.sum("n").alias("total_records"),
+        F.min("first_ts").alias("first_record_date"),
+        F.max("last_ts").alias("last_record_date"),
+        F.try_divide(F.sum("sum_close").cast("double"), n).alias("avg_price"),
+        F.sqrt(F.try_divide(F.sum("squares"), n - 1)).alias("price_volatility"),
         F.min("low").alias("all_time_low"),
         F.max("high").alias("all_time_high"),
-        C.exact_sum(F.col("volume")).alias("total_volume_traded"),
+        F.sum("volume").alias("total_volume_traded"),
     )
-    return _with_codes(rollup, star).select(
+    return _with_codes(rollup, Star(months, symbols)).select(
         "symbol_id", "symbol_code", "asset_type_code", "currency", "exchange", "total_records",
         "first_record_date", "last_record_date", "avg_price", "price_volatility", "all_time_low",
         "all_time_high", "total_volume_traded",
     )
 
 
-MARTS = {
-    "mv_daily_ohlc_summary": daily,
-    "mv_hourly_ohlc_summary": hourly,
-    "mv_asset_type_summary": asset_type,
-    "mv_symbol_analytics": symbol,
-}
-MART_TIME = {"mv_daily_ohlc_summary": "trading_day", "mv_hourly_ohlc_summary": "trading_hour"}
+def asset_type(star: Star) -> DataFrame:
+    return asset_type_of(symbol_months(star.fact))
+
+
+def symbol(star: Star) -> DataFrame:
+    return symbol_of(symbol_months(star.fact), star.symbols)
 
 
 def _or_zero(value: str | Column) -> Column:

@@ -4,10 +4,10 @@ and a job that dies leaves nothing behind. One writer per table at a time.
 
 from __future__ import annotations
 
-import uuid
 from datetime import date
+from time import time_ns
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from candlehouse.functions import columns as C
@@ -79,20 +79,21 @@ def append_new(rows: DataFrame, path: str, key: list[str]) -> int:
     return observed.get["inserted"]
 
 
-def publish(mart: DataFrame, root: str, name: str, time: str | None = None) -> str:
+def overwrite_periods(rows: DataFrame, path: str, time: str, sort: list[str]) -> None:
+    """Replace the months that the rows fall into and leave all other months of the table alone."""
+    write_partitioned(rows.withColumn(PERIOD, C.trade_period(F.col(time))), path, sort, mode="overwrite")
+
+
+def publish(mart: DataFrame, base: str, view: str, time: str | None = None) -> str:
     """Write a new version of a mart next to the old one, then point the view at it.
 
     Readers keep the old version until the view is replaced. Marts over time are partitioned by month
     of ``time``. Returns the path of the new version.
     """
-    path = f"{root}/{name}/version={uuid.uuid4().hex}"
+    path = f"{base}/version={time_ns():020d}"
     if time is None:
         mart.write.parquet(path)
     else:
-        write_partitioned(mart.withColumn(PERIOD, C.trade_period(F.col(time))), path, ["symbol_id", time])
-    point_view(mart.sparkSession, name, path)
+        overwrite_periods(mart, path, time, ["symbol_id", time])
+    mart.sparkSession.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
     return path
-
-
-def point_view(spark: SparkSession, name: str, path: str) -> None:
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")

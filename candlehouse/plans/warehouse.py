@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlehouse.functions.arguments import clamp_hours_back, select_asset_types
 from candlehouse.operators import dims, facts, marts, readouts
-from candlehouse.plans.storage import append_new, insert_ignore, publish
+from candlehouse.plans.storage import append_new, insert_ignore, overwrite_periods, publish
 from candlehouse.schemas import ASSET_TYPE_ID, FACT_KEY
-from candlehouse.sources.tables import period_start, read_table, since, table_exists
+from candlehouse.sources.tables import PERIOD, latest_version, period_start, read_table, table_exists
+from candlehouse.sources.tables import since as younger_than
 
 
 @dataclass(frozen=True)
@@ -90,9 +93,9 @@ def load_incremental(
     hours = clamp_hours_back(hours_back)
     cutoff = as_of - timedelta(hours=hours)
     selected = select_asset_types(asset_types)
-    recent = {code: since(transformed[code], cutoff) for code in selected if code in transformed}
+    recent = {code: younger_than(transformed[code], cutoff) for code in selected if code in transformed}
     counts = _load(warehouse, recent, cutoff)
-    views = refresh_marts(warehouse)
+    views = refresh_marts(warehouse, since=cutoff)
     return LoadReport("incremental", selected, counts, views, hours_back=hours, data_from=cutoff)
 
 
@@ -130,13 +133,72 @@ def append_facts(
     return {code: written[code] for code in transformed}
 
 
-def refresh_marts(warehouse: Warehouse, builders: dict | None = None) -> RefreshReport:
-    """Rebuild and publish every mart; a failing one is reported and does not stop the others."""
-    report = RefreshReport()
-    for name, build in (builders or marts.MARTS).items():
+@dataclass
+class Refresh:
+    """One refresh run. Without ``since`` everything is rebuilt; with it, only the months from ``since``
+    on are read from the fact table and rewritten: loads only append, so no earlier bucket can have
+    changed."""
+
+    warehouse: Warehouse
+    since: datetime | None = None
+
+    @cached_property
+    def recent(self) -> DataFrame:
+        """Fact rows of the month of ``since`` and later."""
+        month = period_start(self.since, "month")
+        first_period = period_start(self.since.replace(day=1), self.warehouse.grain)
+        rows = self.warehouse.fact.filter(F.col("ts") >= F.lit(month).cast("timestamp"))
+        return rows.filter(F.col(PERIOD) >= F.lit(first_period))
+
+    @cached_property
+    def symbol_months(self) -> DataFrame:
+        """The monthly table behind the all-time marts, brought up to date once per run."""
+        path = f"{self.warehouse.root}/marts/symbol_months"
+        rebuild = self.since is None or not table_exists(self.warehouse.spark, path)
+        months = marts.symbol_months(self.warehouse.fact if rebuild else self.recent)
+        overwrite_periods(months, path, "month", ["symbol_id"])
+        return read_table(self.warehouse.spark, path)
+
+    def over_time(self, name: str, build: Callable[[marts.Star], DataFrame], time: str) -> str:
+        """A mart with one row per symbol and bucket."""
+        base = f"{self.warehouse.root}/marts/{name}"
+        current = latest_version(self.warehouse.spark, base) if self.since else None
+        if current is None:
+            return publish(build(self.warehouse.star), base, name, time)
+        overwrite_periods(
+            build(marts.Star(self.recent, self.warehouse.symbols)), current, time, ["symbol_id", time])
+        return current
+
+    def daily(self, name: str) -> str:
+        return self.over_time(name, marts.daily, "trading_day")
+
+    def hourly(self, name: str) -> str:
+        return self.over_time(name, marts.hourly, "trading_hour")
+
+    def asset_type(self, name: str) -> str:
+        return publish(marts.asset_type_of(self.symbol_months), f"{self.warehouse.root}/marts/{name}", name)
+
+    def symbol(self, name: str) -> str:
+        mart = marts.symbol_of(self.symbol_months, self.warehouse.symbols)
+        return publish(mart, f"{self.warehouse.root}/marts/{name}", name)
+
+
+MART_REFRESH: dict[str, Callable[[Refresh, str], str]] = {
+    "mv_daily_ohlc_summary": Refresh.daily,
+    "mv_hourly_ohlc_summary": Refresh.hourly,
+    "mv_asset_type_summary": Refresh.asset_type,
+    "mv_symbol_analytics": Refresh.symbol,
+}
+
+
+def refresh_marts(
+    warehouse: Warehouse, since: datetime | None = None, steps: dict | None = None
+) -> RefreshReport:
+    """Refresh every mart; a failing one is reported and does not stop the others."""
+    run, report = Refresh(warehouse, since), RefreshReport()
+    for name, step in (steps or MART_REFRESH).items():
         try:
-            mart = build(warehouse.star)
-            report.refreshed[name] = publish(mart, f"{warehouse.root}/marts", name, marts.MART_TIME.get(name))
+            report.refreshed[name] = step(run, name)
         except Exception as error:  # noqa: BLE001 - the report carries the reason
             report.errors[name] = f"Failed to refresh {name}: {error}"
     return report

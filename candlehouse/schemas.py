@@ -26,6 +26,7 @@ TIME_INTERVALS = [
     (5, "4h", "4 Hours", 240, "Four hours interval"),
     (6, "1day", "1 Day", 1440, "Daily interval"),
 ]
+INTERVAL_ID = {code: interval_id for interval_id, code, _, _, _ in TIME_INTERVALS}
 INTERVAL_CODES = [code for _, code, _, _, _ in TIME_INTERVALS]
 INTERVAL_MINUTES = {code: minutes for _, code, _, minutes, _ in TIME_INTERVALS}
 DAILY = "1day"

@@ -7,7 +7,10 @@ size the API bounds, so exploding it inside a task is safe.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,12 +51,20 @@ def _decode(payloads: DataFrame, schema: str) -> DataFrame:
     return payloads.select(*keep, F.from_json("payload", schema).alias("_doc"))
 
 
-def _explode(decoded: DataFrame, array: str) -> DataFrame:
-    """One row per array entry; a malformed payload gives one row without entry, an empty one none."""
+def _explode(decoded: DataFrame, array: str, is_bad: Callable[[Column], Column] | None = None) -> DataFrame:
+    """One row per array entry; a malformed payload gives one row without entry, an empty one none.
+
+    With ``is_bad``, an array that holds any bad entry gives no rows. The test runs on the array, so a
+    page is judged as a whole without grouping its rows again.
+    """
     keep = [c for c in decoded.columns if c != "_doc"]
     broken = F.col("_doc._corrupt_record").isNotNull()
-    entries = F.when(broken, F.array(F.lit(None))).otherwise(F.col(array))
-    return decoded.select(*keep, broken.alias("_broken"), F.posexplode(entries).alias("pos", "entry"))
+    entries = F.when(broken, F.array(F.lit(None)))
+    if is_bad is not None:
+        entries = F.when(broken | F.exists(array, is_bad), None)
+    return decoded.select(
+        *keep, broken.alias("_broken"), F.posexplode(entries.otherwise(F.col(array))).alias("pos", "entry")
+    )
 
 
 def _arrival(payloads: DataFrame) -> list[str]:
@@ -73,13 +84,21 @@ def _too_long(column: str) -> Column:
     return F.when(F.length(column) > MAX_SYMBOL_LENGTH, F.lit(f"{column} too long"))
 
 
-def _parse_series(payloads: DataFrame, symbol: str, with_volume: bool) -> DataFrame:
-    rows = _explode(_decode(payloads, _SERIES_SCHEMA), "_doc.values")
+def _series_fields(entry: Column, interval_code: Column, with_volume: bool) -> dict[str, Column]:
+    fields = {"ts": C.parse_bar_time(entry["datetime"], interval_code)}
+    fields |= {name: C.parse_price(entry[name]) for name in _PRICES}
+    return fields | ({"volume": C.parse_whole(entry["volume"])} if with_volume else {})
+
+
+def _parse_series(payloads: DataFrame, symbol: str, with_volume: bool, whole_pages: bool) -> DataFrame:
     interval = F.col("interval_code")
-    parsed = {"ts": C.parse_bar_time(F.col("entry.datetime"), interval)}
-    parsed |= {name: C.parse_price(F.col(f"entry.{name}")) for name in _PRICES}
-    if with_volume:
-        parsed["volume"] = C.parse_whole(F.col("entry.volume"))
+
+    def is_bad(entry: Column) -> Column:
+        return reduce(or_, [c.isNull() for c in _series_fields(entry, interval, with_volume).values()])
+
+    decoded = _decode(payloads, _SERIES_SCHEMA)
+    rows = _explode(decoded, "_doc.values", is_bad if whole_pages else None)
+    parsed = _series_fields(F.col("entry"), interval, with_volume)
     rows = rows.withColumns(parsed)
     checks = [("datetime", F.col("entry.datetime"), F.col("ts"))]
     checks += [(name, F.col(f"entry.{name}"), F.col(name)) for name in parsed if name != "ts"]
@@ -92,14 +111,17 @@ def _parse_series(payloads: DataFrame, symbol: str, with_volume: bool) -> DataFr
     )
 
 
-def parse_stock(payloads: DataFrame) -> DataFrame:
-    """Stock time series: (symbol, interval_code, payload) to bars with volume."""
-    return _parse_series(payloads, "symbol", with_volume=True)
+def parse_stock(payloads: DataFrame, whole_pages: bool = False) -> DataFrame:
+    """Stock time series: (symbol, interval_code, payload) to bars with volume.
+
+    ``whole_pages`` is the rule of the date-range backfill: a page with any bad bar is left out.
+    """
+    return _parse_series(payloads, "symbol", with_volume=True, whole_pages=whole_pages)
 
 
-def parse_forex(payloads: DataFrame) -> DataFrame:
+def parse_forex(payloads: DataFrame, whole_pages: bool = False) -> DataFrame:
     """Forex time series: (currency_pair, interval_code, payload) to bars."""
-    return _parse_series(payloads, "currency_pair", with_volume=False)
+    return _parse_series(payloads, "currency_pair", with_volume=False, whole_pages=whole_pages)
 
 
 def parse_crypto(payloads: DataFrame) -> DataFrame:
@@ -161,27 +183,6 @@ def in_date_range(bars: DataFrame, start: date | str, end: date | str) -> DataFr
     return bars.filter((F.col("ts") >= F.lit(low)) & (F.col("ts") < F.lit(high)))
 
 
-def strict(payloads: DataFrame, with_volume: bool = True) -> DataFrame:
-    """Payloads whose bars are all complete: the date-range backfill stores a page whole or not at all.
-
-    The test runs on the array before it is exploded, so it needs no grouping and no shuffle.
-    """
-    names = _PRICES + (["volume"] if with_volume else [])
-
-    def is_bad(entry: Column) -> Column:
-        bad = C.parse_bar_time(entry["datetime"], F.col("interval_code")).isNull()
-        for name in names:
-            number = C.parse_whole(entry[name]) if name == "volume" else C.parse_price(entry[name])
-            bad = bad | number.isNull()
-        return bad
-
-    decoded = payloads.withColumn("_doc", F.from_json("payload", _SERIES_SCHEMA))
-    complete = decoded.filter(
-        F.col("_doc._corrupt_record").isNull() & ~F.coalesce(F.exists("_doc.values", is_bad), F.lit(False))
-    )
-    return complete.drop("_doc")
-
-
 def price_points(payloads: DataFrame, include_volume: bool = False) -> DataFrame:
     """Chart points of a payload in source order; incomplete points are skipped.
 

@@ -11,10 +11,30 @@ from pyspark.sql.types import DateType, StructField, StructType
 PERIOD = "trade_period"
 
 
+def _hadoop(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether the path exists, on whatever file system it names."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    fs, hadoop_path = _hadoop(spark, path)
+    return fs.exists(hadoop_path)
+
+
+def latest_version(spark: SparkSession, base: str) -> str | None:
+    """Newest completely written ``version=`` directory below ``base``, if there is one."""
+    fs, hadoop_path = _hadoop(spark, base)
+    if not fs.exists(hadoop_path):
+        return None
+    names = sorted((s.getPath().getName() for s in fs.listStatus(hadoop_path)), reverse=True)
+    return next((f"{base}/{n}" for n in names if table_exists(spark, f"{base}/{n}/_SUCCESS")), None)
+
+
+def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows, in a form the optimizer knows to be empty: joins with it fold away."""
+    nothing = spark.sql("SELECT 1 WHERE false")
+    return nothing.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -22,7 +42,7 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     if schema is None:
         return spark.read.parquet(path)
     if not table_exists(spark, path):
-        return spark.createDataFrame([], schema)
+        return empty_table(spark, schema)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -14,7 +14,7 @@ from candlehouse.functions.arguments import parse_asset_types
 from candlehouse.operators import dedup, dims, facts, marts, readouts, rollup, transform
 from candlehouse.plans import continuous, ingest, news, storage, warehouse
 from candlehouse.schemas import (
-    CRYPTO_KEY, FACT_COLUMNS, FOREX_KEY, INTERVAL_CODES, STOCK_KEY,
+    CRYPTO_KEY, FACT_COLUMNS, FOREX_KEY, INTERVAL_ID, STOCK_KEY,
 )
 from candlehouse.session import scratch_path
 from candlehouse.sources import payloads as P
@@ -63,8 +63,8 @@ def ingest_crypto(m: MarketTables) -> DataFrame:
 @query
 def ingest_range(m: MarketTables) -> DataFrame:
     """Date-range backfill of whole pages."""
-    pages = P.strict(m.stock_payloads)
-    return P.in_date_range(P.valid(P.parse_stock(pages)), "2024-01-10", "2024-01-19").drop("page", "pos")
+    bars = P.valid(P.parse_stock(m.stock_payloads, whole_pages=True))
+    return P.in_date_range(bars, "2024-01-10", "2024-01-19").drop("page", "pos")
 
 
 @query
@@ -299,16 +299,35 @@ def _newest(bars: DataFrame) -> datetime:
     return bars.agg(F.max("ts")).first()[0]
 
 
-@query
-def incremental_load(m: MarketTables) -> DataFrame:
+def _two_step_load(m: MarketTables) -> tuple[warehouse.Warehouse, warehouse.LoadReport]:
     """A full load of everything older than 100 hours, then the last 168 hours on top."""
     w, as_of = _new_warehouse(m), _newest(m.landed_stock)
-    older = {c: bars.filter(F.col("ts") <= F.lit(as_of - timedelta(hours=100))) for c, bars in m.transformed.items()}
-    warehouse.load_full(w, older)
-    warehouse.load_incremental(w, m.transformed, as_of, hours_back=168)
+    split = F.lit(as_of - timedelta(hours=100))
+    warehouse.load_full(w, {code: bars.filter(F.col("ts") <= split) for code, bars in m.transformed.items()})
+    return w, warehouse.load_incremental(w, m.transformed, as_of, hours_back=168)
+
+
+@query
+def incremental_load(m: MarketTables) -> DataFrame:
+    w, _ = _two_step_load(m)
     return w.fact.select(*FACT_COLUMNS)
 
 
+@query
+def incremental_symbol(m: MarketTables) -> DataFrame:
+    """The symbol mart after an incremental load, which reads the touched months only."""
+    _, report = _two_step_load(m)
+    mart = m.spark.read.parquet(report.views.refreshed["mv_symbol_analytics"])
+    return mart.withColumn("price_volatility", F.round("price_volatility", 4))
+
+
+@query
+def incremental_daily(m: MarketTables) -> DataFrame:
+    """The daily mart after an incremental load, which rewrites the touched months only."""
+    _, report = _two_step_load(m)
+    return m.spark.read.parquet(report.views.refreshed["mv_daily_ohlc_summary"]).drop("trade_period")
+
+
 @query
 def lookback(m: MarketTables) -> DataFrame:
     """Rows of the last 24 hours per asset type, loaded into an empty warehouse."""
@@ -336,10 +355,10 @@ def refresh_marts(m: MarketTables) -> DataFrame:
     warehouse.load_symbols(w, m.transformed)
     warehouse.append_facts(w, m.transformed)
 
-    def failing(star: marts.Star) -> DataFrame:
-        return star.fact.select("no_such_column")
+    def failing(run: warehouse.Refresh, name: str) -> str:
+        return storage.publish(run.warehouse.fact.select("no_such_column"), f"{w.root}/marts/{name}", name)
 
-    report = warehouse.refresh_marts(w, {**marts.MARTS, "mv_failing": failing})
+    report = warehouse.refresh_marts(w, steps={**warehouse.MART_REFRESH, "mv_failing": failing})
     rows = [(name, "refreshed", m.spark.read.parquet(path).count()) for name, path in report.refreshed.items()]
     rows += [(name, "error", None) for name in report.errors]
     return m.spark.createDataFrame(
@@ -405,12 +424,11 @@ def cagg_hourly(m: MarketTables) -> DataFrame:
 def _refreshed(m: MarketTables, grain: str) -> tuple[str, DataFrame]:
     """Build a rollup before the minute bars arrive, then refresh the policy range with them."""
     w, path, as_of = _new_warehouse(m), scratch_path(m.spark, f"cagg_{grain}"), _newest(m.landed_stock)
-    minute = INTERVAL_CODES.index("1min") + 1
     early = {c: t if c == "CRYPTO" else t.filter("interval_code <> '1min'") for c, t in m.transformed.items()}
     warehouse.append_facts(w, early)
     continuous.build_rollup(w.fact, path, grain)
     warehouse.append_facts(w, {"STOCK": m.transformed["STOCK"].filter("interval_code = '1min'")})
-    assert w.fact.filter(F.col("interval_id") == minute).limit(1).count() == 1
+    assert w.fact.filter(F.col("interval_id") == INTERVAL_ID["1min"]).limit(1).count() == 1
     continuous.refresh_rollup(w.fact, path, grain, *continuous.refresh_range(grain, as_of))
     return path, w.fact
 

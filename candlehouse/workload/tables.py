@@ -29,7 +29,8 @@ from (select *, cast(open + (event_id % 7 - 3) * 0.10 as decimal(12,2)) as close
 
 LANDED_FOREX = """
 select o_orderkey as src_id, concat(substr(o_orderpriority, 1, 1), '/USD') as currency_pair,
-       '1day' as interval_code, o_orderdate as ts, open, cast(open + 1.25 as decimal(14,2)) as high,
+       case when o_orderdate = date_trunc('day', o_orderdate) then '1day' else '1h' end as interval_code,
+       o_orderdate as ts, open, cast(open + 1.25 as decimal(14,2)) as high,
        cast(open - 0.75 as decimal(14,2)) as low, cast(open + 0.50 as decimal(14,2)) as close
 from (select o_orderkey, o_orderpriority, o_orderdate, cast(o_totalprice as decimal(14,2)) as open
       from {orders}) a
