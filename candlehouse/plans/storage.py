@@ -79,9 +79,13 @@ def append_new(rows: DataFrame, path: str, key: list[str]) -> int:
     return observed.get["inserted"]
 
 
+def by_month(rows: DataFrame, time: str) -> DataFrame:
+    return rows.withColumn(PERIOD, C.trade_period(F.col(time)))
+
+
 def overwrite_periods(rows: DataFrame, path: str, time: str, sort: list[str]) -> None:
     """Replace the months that the rows fall into and leave all other months of the table alone."""
-    write_partitioned(rows.withColumn(PERIOD, C.trade_period(F.col(time))), path, sort, mode="overwrite")
+    write_partitioned(by_month(rows, time), path, sort, mode="overwrite")
 
 
 def publish(mart: DataFrame, base: str, view: str, time: str | None = None) -> str:
@@ -94,6 +98,6 @@ def publish(mart: DataFrame, base: str, view: str, time: str | None = None) -> s
     if time is None:
         mart.write.parquet(path)
     else:
-        overwrite_periods(mart, path, time, ["symbol_id", time])
+        write_partitioned(by_month(mart, time), path, ["symbol_id", time])  # append: leaves a _SUCCESS file
     mart.sparkSession.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
     return path
