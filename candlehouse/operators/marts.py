@@ -39,27 +39,43 @@ def _with_codes(rollup: DataFrame, star: Star) -> DataFrame:
     return coded
 
 
-def daily(star: Star) -> DataFrame:
-    """Per day: the smallest open and the largest close stand for the day's open and close."""
-    rollup = star.fact.groupBy(
-        "symbol_id", "asset_type_id", "interval_id", F.date_trunc("day", "ts").alias("trading_day")
-    ).agg(
+DAY_KEY = ["symbol_id", "asset_type_id", "interval_id"]
+
+
+def day_rollup(fact: DataFrame) -> DataFrame:
+    """Per symbol, interval and day: the measures of the daily mart and, in a form that can be merged,
+    those of the all-time marts. A load changes the days it touches only, so all marts but the hourly
+    one are refreshed from this table instead of the fact table."""
+    close = F.col("close")
+    return fact.groupBy(*DAY_KEY, F.date_trunc("day", "ts").alias("trading_day")).agg(
         F.count("*").alias("record_count"),
         F.min("open").alias("day_open"),
         F.max("high").alias("day_high"),
         F.min("low").alias("day_low"),
         F.max("close").alias("day_close"),
         C.exact_sum(F.col("volume")).alias("total_volume"),
-        C.exact_mean(F.col("close")).alias("avg_close_price"),
+        F.count(close).alias("n_close"),
+        F.sum(close).alias("sum_close"),
+        (F.var_pop(close.cast("double")) * F.count(close)).alias("squares"),
+        F.min("ts").alias("first_ts"),
         F.max("ts").alias("last_updated"),
     )
-    return _with_codes(rollup, star).select(
+
+
+def daily_of(days: DataFrame, symbols: DataFrame) -> DataFrame:
+    mean = F.try_divide(F.col("sum_close").cast("double"), F.col("n_close"))
+    return _with_codes(days, Star(days, symbols)).select(
         "symbol_id", "symbol_code", "asset_type_code", "currency", "interval_code", "trading_day",
         "record_count", "day_open", "day_high", "day_low", "day_close", "total_volume",
-        "avg_close_price", "last_updated",
+        mean.alias("avg_close_price"), "last_updated",
     )
 
 
+def daily(star: Star) -> DataFrame:
+    """Per day: the smallest open and the largest close stand for the day's open and close."""
+    return daily_of(day_rollup(star.fact), star.symbols)
+
+
 def hourly(star: Star) -> DataFrame:
     """Per hour: first open and last close by time."""
     rollup = star.fact.groupBy(
@@ -80,33 +96,13 @@ def hourly(star: Star) -> DataFrame:
     )
 
 
-def symbol_months(fact: DataFrame) -> DataFrame:
-    """Per symbol and month: what the all-time marts need, in a form that can be merged.
-
-    A load that touches one month changes that month's rows only, so the all-time marts are refreshed
-    from this small table instead of the fact table.
-    """
-    close = F.col("close")
-    return fact.groupBy("symbol_id", "asset_type_id", F.date_trunc("month", "ts").alias("month")).agg(
-        F.count("*").alias("n"),
-        F.min("ts").alias("first_ts"),
-        F.max("ts").alias("last_ts"),
-        F.count(close).alias("n_close"),
-        F.sum(close).alias("sum_close"),
-        (F.var_pop(close.cast("double")) * F.count(close)).alias("squares"),
-        F.min("low").alias("low"),
-        F.max("high").alias("high"),
-        C.exact_sum(F.col("volume")).alias("volume"),
-    )
-
-
-def asset_type_of(months: DataFrame) -> DataFrame:
+def asset_type_of(days: DataFrame) -> DataFrame:
     """Per asset type: distinct symbols, rows and time range.
 
     Rolled up per symbol first, so that one dominant asset type is not counted in one task.
     """
-    per_symbol = months.groupBy("asset_type_id", "symbol_id").agg(
-        F.sum("n").alias("n"), F.min("first_ts").alias("lo"), F.max("last_ts").alias("hi")
+    per_symbol = days.groupBy("asset_type_id", "symbol_id").agg(
+        F.sum("record_count").alias("n"), F.min("first_ts").alias("lo"), F.max("last_updated").alias("hi")
     )
     rollup = per_symbol.groupBy("asset_type_id").agg(
         F.count("*").alias("unique_symbols"),
@@ -114,35 +110,35 @@ def asset_type_of(months: DataFrame) -> DataFrame:
         F.min("lo").alias("earliest_data"),
         F.max("hi").alias("latest_data"),
     )
-    types = dims.asset_types(months.sparkSession).select("asset_type_id", "asset_type_code", "asset_type_name")
+    types = dims.asset_types(days.sparkSession).select("asset_type_id", "asset_type_code", "asset_type_name")
     return rollup.join(F.broadcast(types), "asset_type_id").select(
         "asset_type_code", "asset_type_name", "unique_symbols", "total_records",
         "earliest_data", "latest_data",
     )
 
 
-def symbol_of(months: DataFrame, symbols: DataFrame) -> DataFrame:
+def symbol_of(days: DataFrame, symbols: DataFrame) -> DataFrame:
     """Per symbol over all time; the volatility of a single row is NULL.
 
-    The variance is merged from the months: squares within the months plus those between their means.
-    The window holds one row per month of a symbol.
+    The variance is merged from the days: squares within the days plus those between their means. The
+    window holds one row per day and interval of a symbol, so the calendar bounds it.
     """
     whole = Window.partitionBy("symbol_id")
     mean = F.sum("sum_close").over(whole).cast("double") / F.sum("n_close").over(whole)
     gap = F.col("sum_close").cast("double") / F.col("n_close") - mean
-    merged = months.withColumn("squares", F.col("squares") + F.col("n_close") * gap * gap)
+    merged = days.withColumn("squares", F.col("squares") + F.col("n_close") * gap * gap)
     n = F.sum("n_close")
     rollup = merged.groupBy("symbol_id", "asset_type_id").agg(
-        F.sum("n").alias("total_records"),
+        F.sum("record_count").alias("total_records"),
         F.min("first_ts").alias("first_record_date"),
-        F.max("last_ts").alias("last_record_date"),
+        F.max("last_updated").alias("last_record_date"),
         F.try_divide(F.sum("sum_close").cast("double"), n).alias("avg_price"),
         F.sqrt(F.try_divide(F.sum("squares"), n - 1)).alias("price_volatility"),
-        F.min("low").alias("all_time_low"),
-        F.max("high").alias("all_time_high"),
-        F.sum("volume").alias("total_volume_traded"),
+        F.min("day_low").alias("all_time_low"),
+        F.max("day_high").alias("all_time_high"),
+        F.sum("total_volume").alias("total_volume_traded"),
     )
-    return _with_codes(rollup, Star(months, symbols)).select(
+    return _with_codes(rollup, Star(days, symbols)).select(
         "symbol_id", "symbol_code", "asset_type_code", "currency", "exchange", "total_records",
         "first_record_date", "last_record_date", "avg_price", "price_volatility", "all_time_low",
         "all_time_high", "total_volume_traded",
@@ -150,11 +146,11 @@ def symbol_of(months: DataFrame, symbols: DataFrame) -> DataFrame:
 
 
 def asset_type(star: Star) -> DataFrame:
-    return asset_type_of(symbol_months(star.fact))
+    return asset_type_of(day_rollup(star.fact))
 
 
 def symbol(star: Star) -> DataFrame:
-    return symbol_of(symbol_months(star.fact), star.symbols)
+    return symbol_of(day_rollup(star.fact), star.symbols)
 
 
 def _or_zero(value: str | Column) -> Column:

@@ -57,9 +57,13 @@ def pending(raw: DataFrame, transformed: DataFrame, key: list[str]) -> DataFrame
 
 
 def pending_keys(raw: DataFrame, transformed: DataFrame, key: list[str]) -> DataFrame:
-    """Sorted (symbol, interval) pairs that still have bars to transform."""
+    """Sorted (symbol, interval) pairs that still have bars to transform.
+
+    Keys are made distinct first: copies of one key then never meet in the join, which reuses the
+    partitioning of the distinct.
+    """
     pair = key[:2]
-    return pending(raw.select(*key), transformed, key).select(*pair).distinct().orderBy(*pair)
+    return pending(raw.select(*key).distinct(), transformed, key).select(*pair).distinct().orderBy(*pair)
 
 
 def transform_news(articles: DataFrame, keep: list[str] | None = None) -> DataFrame:

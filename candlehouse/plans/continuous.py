@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlehouse.functions import columns as C
 from candlehouse.operators.rollup import ROLLUP_KEY, bucket_rollup
-from candlehouse.plans.storage import write_partitioned
-from candlehouse.sources.tables import PERIOD, period_start, read_table
+from candlehouse.plans.storage import replace_buckets, with_bucket_period, write_partitioned
+from candlehouse.sources.tables import PERIOD, between_periods
 
 # Refresh range behind the current time, per bucket size.
 REFRESH_RANGE = {
@@ -33,7 +32,7 @@ def refresh_range(grain: str, as_of: datetime) -> tuple[datetime, datetime]:
 
 def build_rollup(fact: DataFrame, path: str, grain: str, table_grain: str = "month") -> None:
     """First run: every bucket of the fact table."""
-    buckets = bucket_rollup(fact, grain).withColumn(PERIOD, C.trade_period(F.col("bucket"), table_grain))
+    buckets = with_bucket_period(bucket_rollup(fact, grain), "bucket", table_grain)
     write_partitioned(buckets, path, ["bucket", *ROLLUP_KEY], mode="overwrite")
 
 
@@ -46,25 +45,11 @@ def refresh_rollup(
     table_grain: str = "month",
     fact_grain: str = "month",
 ) -> None:
-    """Recompute the buckets of [start, end) from the fact table, leaving all others as stored.
-
-    Only the partitions the range touches are read and rewritten. Buckets outside the range keep
-    their stored values, even where late rows have arrived for them.
-    """
+    """Recompute the buckets of [start, end) from the fact table, leaving all others as stored, even
+    where late rows have arrived for them."""
     if start >= end:
         return
-    spark = fact.sparkSession
-    low, high = F.lit(start), F.lit(end)
-    rows = fact.filter((F.col("ts") >= low) & (F.col("ts") < high))
+    rows = fact.filter((F.col("ts") >= F.lit(start)) & (F.col("ts") < F.lit(end)))
     if PERIOD in fact.columns:
-        rows = rows.filter(_between(start, end, fact_grain))
-    fresh = bucket_rollup(rows, grain).withColumn(PERIOD, C.trade_period(F.col("bucket"), table_grain))
-    stored = read_table(spark, path, fresh.schema).filter(_between(start, end, table_grain))
-    kept = stored.filter((F.col("bucket") < low) | (F.col("bucket") >= high))
-    write_partitioned(fresh.unionByName(kept), path, ["bucket", *ROLLUP_KEY], mode="overwrite")
-
-
-def _between(start: datetime, end: datetime, grain: str) -> Column:
-    """Partitions that hold any moment of [start, end)."""
-    last = end - timedelta(microseconds=1)
-    return F.col(PERIOD).between(F.lit(period_start(start, grain)), F.lit(period_start(last, grain)))
+        rows = between_periods(rows, start, end, fact_grain)
+    replace_buckets(bucket_rollup(rows, grain), path, "bucket", ["bucket", *ROLLUP_KEY], start, end, table_grain)

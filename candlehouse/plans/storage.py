@@ -4,7 +4,7 @@ and a job that dies leaves nothing behind. One writer per table at a time.
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 from time import time_ns
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from candlehouse.functions import columns as C
 from candlehouse.operators.dedup import not_in
-from candlehouse.sources.tables import PERIOD, read_table, with_period
+from candlehouse.sources.tables import PERIOD, between_periods, read_table, with_period
 
 
 def write_partitioned(
@@ -79,13 +79,30 @@ def append_new(rows: DataFrame, path: str, key: list[str]) -> int:
     return observed.get["inserted"]
 
 
-def by_month(rows: DataFrame, time: str) -> DataFrame:
-    return rows.withColumn(PERIOD, C.trade_period(F.col(time)))
+def with_bucket_period(rows: DataFrame, time: str, grain: str = "month") -> DataFrame:
+    return rows.withColumn(PERIOD, C.trade_period(F.col(time), grain))
 
 
-def overwrite_periods(rows: DataFrame, path: str, time: str, sort: list[str]) -> None:
-    """Replace the months that the rows fall into and leave all other months of the table alone."""
-    write_partitioned(by_month(rows, time), path, sort, mode="overwrite")
+def replace_buckets(
+    fresh: DataFrame,
+    path: str,
+    time: str,
+    sort: list[str],
+    start: datetime,
+    end: datetime | None = None,
+    grain: str = "month",
+) -> None:
+    """Put ``fresh`` in the place of the stored rows with ``time`` in [start, end).
+
+    Only the partitions the range touches are read and rewritten; in them, rows outside the range keep
+    their stored values.
+    """
+    fresh = with_bucket_period(fresh, time, grain)
+    stored = between_periods(read_table(fresh.sparkSession, path, fresh.schema), start, end, grain)
+    outside = F.col(time) < F.lit(start)
+    if end is not None:
+        outside = outside | (F.col(time) >= F.lit(end))
+    write_partitioned(fresh.unionByName(stored.filter(outside)), path, sort, mode="overwrite")
 
 
 def publish(mart: DataFrame, base: str, view: str, time: str | None = None) -> str:
@@ -98,6 +115,6 @@ def publish(mart: DataFrame, base: str, view: str, time: str | None = None) -> s
     if time is None:
         mart.write.parquet(path)
     else:
-        write_partitioned(by_month(mart, time), path, ["symbol_id", time])  # append: leaves a _SUCCESS file
+        write_partitioned(with_bucket_period(mart, time), path, ["symbol_id", time])  # append marks success
     mart.sparkSession.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
     return path

@@ -12,9 +12,13 @@ from pyspark.sql import functions as F
 
 from candlehouse.functions.arguments import clamp_hours_back, select_asset_types
 from candlehouse.operators import dims, facts, marts, readouts
-from candlehouse.plans.storage import append_new, insert_ignore, overwrite_periods, publish
+from candlehouse.plans.storage import (
+    append_new, insert_ignore, publish, replace_buckets, with_bucket_period, write_partitioned,
+)
 from candlehouse.schemas import ASSET_TYPE_ID, FACT_KEY
-from candlehouse.sources.tables import PERIOD, latest_version, period_start, read_table, table_exists
+from candlehouse.sources.tables import (
+    PERIOD, between_periods, latest_version, period_start, read_table, table_exists,
+)
 from candlehouse.sources.tables import since as younger_than
 
 
@@ -133,54 +137,65 @@ def append_facts(
     return {code: written[code] for code in transformed}
 
 
-@dataclass
 class Refresh:
-    """One refresh run. Without ``since`` everything is rebuilt; with it, only the months from ``since``
-    on are read from the fact table and rewritten: loads only append, so no earlier bucket can have
-    changed."""
+    """One refresh run. Without ``since`` everything is rebuilt; with it, only the days from ``since`` on
+    are read from the fact table and replaced: loads only append, so no earlier bucket can have changed."""
 
-    warehouse: Warehouse
-    since: datetime | None = None
+    def __init__(self, warehouse: Warehouse, since: datetime | None = None):
+        self.warehouse = warehouse
+        self.spark = warehouse.spark
+        self.start = since.replace(hour=0, minute=0, second=0, microsecond=0) if since else None
 
-    @cached_property
+    def base(self, name: str) -> str:
+        return f"{self.warehouse.root}/marts/{name}"
+
+    @property
     def recent(self) -> DataFrame:
-        """Fact rows of the month of ``since`` and later."""
-        month = period_start(self.since, "month")
-        first_period = period_start(self.since.replace(day=1), self.warehouse.grain)
-        rows = self.warehouse.fact.filter(F.col("ts") >= F.lit(month).cast("timestamp"))
-        return rows.filter(F.col(PERIOD) >= F.lit(first_period))
+        """Fact rows of the first changed day and later."""
+        rows = between_periods(self.warehouse.fact, self.start, grain=self.warehouse.grain)
+        return rows.filter(F.col("ts") >= F.lit(self.start))
 
     @cached_property
-    def symbol_months(self) -> DataFrame:
-        """The monthly table behind the all-time marts, brought up to date once per run."""
-        path = f"{self.warehouse.root}/marts/symbol_months"
-        rebuild = self.since is None or not table_exists(self.warehouse.spark, path)
-        months = marts.symbol_months(self.warehouse.fact if rebuild else self.recent)
-        overwrite_periods(months, path, "month", ["symbol_id"])
-        return read_table(self.warehouse.spark, path)
-
-    def over_time(self, name: str, build: Callable[[marts.Star], DataFrame], time: str) -> str:
-        """A mart with one row per symbol and bucket."""
-        base = f"{self.warehouse.root}/marts/{name}"
-        current = latest_version(self.warehouse.spark, base) if self.since else None
+    def days(self) -> DataFrame:
+        """The stored day rollup behind three of the marts, brought up to date once per run."""
+        path, sort = self.base("ohlc_days"), ["symbol_id", "trading_day"]
+        if self.start is None or not table_exists(self.spark, path):
+            days = with_bucket_period(marts.day_rollup(self.warehouse.fact), "trading_day")
+            write_partitioned(days, path, sort, mode="overwrite")
+        else:
+            replace_buckets(marts.day_rollup(self.recent), path, "trading_day", sort, self.start)
+        return read_table(self.spark, path)
+
+    def over_time(
+        self, name: str, time: str, whole: Callable[[], DataFrame], recent: Callable[[], DataFrame]
+    ) -> str:
+        """A mart with one row per symbol and bucket: a new version, or its recent buckets replaced."""
+        current = latest_version(self.spark, self.base(name)) if self.start else None
         if current is None:
-            return publish(build(self.warehouse.star), base, name, time)
-        overwrite_periods(
-            build(marts.Star(self.recent, self.warehouse.symbols)), current, time, ["symbol_id", time])
+            return publish(whole(), self.base(name), name, time)
+        replace_buckets(recent(), current, time, ["symbol_id", time], self.start)
         return current
 
     def daily(self, name: str) -> str:
-        return self.over_time(name, marts.daily, "trading_day")
+        symbols, days = self.warehouse.symbols, self.days.drop(PERIOD)
+
+        def recent() -> DataFrame:
+            changed = between_periods(self.days, self.start).filter(F.col("trading_day") >= F.lit(self.start))
+            return marts.daily_of(changed.drop(PERIOD), symbols)
+
+        return self.over_time(name, "trading_day", lambda: marts.daily_of(days, symbols), recent)
 
     def hourly(self, name: str) -> str:
-        return self.over_time(name, marts.hourly, "trading_hour")
+        return self.over_time(
+            name, "trading_hour", lambda: marts.hourly(self.warehouse.star),
+            lambda: marts.hourly(marts.Star(self.recent, self.warehouse.symbols)),
+        )
 
     def asset_type(self, name: str) -> str:
-        return publish(marts.asset_type_of(self.symbol_months), f"{self.warehouse.root}/marts/{name}", name)
+        return publish(marts.asset_type_of(self.days), self.base(name), name)
 
     def symbol(self, name: str) -> str:
-        mart = marts.symbol_of(self.symbol_months, self.warehouse.symbols)
-        return publish(mart, f"{self.warehouse.root}/marts/{name}", name)
+        return publish(marts.symbol_of(self.days, self.warehouse.symbols), self.base(name), name)
 
 
 MART_REFRESH: dict[str, Callable[[Refresh, str], str]] = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +57,16 @@ def period_start(moment: datetime, grain: str = "month") -> date:
     return {"day": day, "month": day.replace(day=1), "year": day.replace(month=1, day=1)}[grain]
 
 
+def between_periods(
+    table: DataFrame, start: datetime, end: datetime | None = None, grain: str = "month"
+) -> DataFrame:
+    """Partitions that hold any moment of [start, end)."""
+    rows = table.filter(F.col(PERIOD) >= F.lit(period_start(start, grain)))
+    if end is None:
+        return rows
+    return rows.filter(F.col(PERIOD) <= F.lit(period_start(end - timedelta(microseconds=1), grain)))
+
+
 def since(table: DataFrame, moment: datetime, grain: str = "month") -> DataFrame:
     """Rows strictly after ``moment``.
 

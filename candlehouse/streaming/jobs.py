@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -29,7 +32,8 @@ def stream_insert_ignore(
     """
 
     def insert(batch: DataFrame, _: int) -> None:
-        insert_ignore(first_wins(batch, key, order).drop(order), path, key, periods=period_range(batch))
+        with _cached(batch):
+            insert_ignore(first_wins(batch, key, order).drop(order), path, key, periods=period_range(batch))
 
     return _available_now(bars.writeStream.foreachBatch(insert), checkpoint)
 
@@ -40,9 +44,10 @@ def stream_load_stock(
     """Transform and load a stream of raw stock bars with the functions of the batch load."""
 
     def load(batch: DataFrame, _: int) -> None:
-        transformed = {"STOCK": transform_stock(first_wins(batch, key, order))}
-        load_symbols(warehouse, transformed)
-        append_facts(warehouse, transformed, batch.agg(F.min("ts")).first()[0])
+        with _cached(batch):
+            transformed = {"STOCK": transform_stock(first_wins(batch, key, order))}
+            load_symbols(warehouse, transformed)
+            append_facts(warehouse, transformed, batch.agg(F.min("ts")).first()[0])
 
     return _available_now(bars.writeStream.foreachBatch(load), checkpoint)
 
@@ -66,6 +71,16 @@ def stream_rollup(fact_stream: DataFrame, grain: str, path: str, checkpoint: str
     return _available_now(closed.writeStream.format("parquet").option("path", path), checkpoint)
 
 
+@contextmanager
+def _cached(batch: DataFrame) -> Iterator[None]:
+    """A micro-batch is read several times; a lost executor only costs the read of its part again."""
+    batch.persist()
+    try:
+        yield
+    finally:
+        batch.unpersist()
+
+
 def _available_now(writer, checkpoint: str) -> StreamingQuery:
     return (
         writer.outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
