@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlehouse.functions import columns as C
@@ -96,61 +96,77 @@ def hourly(star: Star) -> DataFrame:
     )
 
 
-def asset_type_of(days: DataFrame) -> DataFrame:
-    """Per asset type: distinct symbols, rows and time range.
-
-    Rolled up per symbol first, so that one dominant asset type is not counted in one task.
-    """
-    per_symbol = days.groupBy("asset_type_id", "symbol_id").agg(
-        F.sum("record_count").alias("n"), F.min("first_ts").alias("lo"), F.max("last_updated").alias("hi")
-    )
+def _asset_types(per_symbol: DataFrame) -> DataFrame:
     rollup = per_symbol.groupBy("asset_type_id").agg(
         F.count("*").alias("unique_symbols"),
         F.sum("n").alias("total_records"),
         F.min("lo").alias("earliest_data"),
         F.max("hi").alias("latest_data"),
     )
-    types = dims.asset_types(days.sparkSession).select("asset_type_id", "asset_type_code", "asset_type_name")
+    types = dims.asset_types(per_symbol.sparkSession).select("asset_type_id", "asset_type_code", "asset_type_name")
     return rollup.join(F.broadcast(types), "asset_type_id").select(
         "asset_type_code", "asset_type_name", "unique_symbols", "total_records",
         "earliest_data", "latest_data",
     )
 
 
-def symbol_of(days: DataFrame, symbols: DataFrame) -> DataFrame:
-    """Per symbol over all time; the volatility of a single row is NULL.
+def asset_type(star: Star) -> DataFrame:
+    """Per asset type: distinct symbols, rows and time range.
 
-    The variance is merged from the days: squares within the days plus those between their means. The
-    window holds one row per day and interval of a symbol, so the calendar bounds it.
+    Rolled up per symbol first, so that one dominant asset type is not counted in one task.
     """
-    whole = Window.partitionBy("symbol_id")
-    mean = F.sum("sum_close").over(whole).cast("double") / F.sum("n_close").over(whole)
-    gap = F.col("sum_close").cast("double") / F.col("n_close") - mean
-    merged = days.withColumn("squares", F.col("squares") + F.col("n_close") * gap * gap)
+    return _asset_types(star.fact.groupBy("asset_type_id", "symbol_id").agg(
+        F.count("*").alias("n"), F.min("ts").alias("lo"), F.max("ts").alias("hi")))
+
+
+def asset_type_of(days: DataFrame) -> DataFrame:
+    """The same from the day rollup."""
+    return _asset_types(days.groupBy("asset_type_id", "symbol_id").agg(
+        F.sum("record_count").alias("n"), F.min("first_ts").alias("lo"), F.max("last_updated").alias("hi")))
+
+
+def _symbols(rollup: DataFrame, star: Star) -> DataFrame:
+    return _with_codes(rollup, star).select(
+        "symbol_id", "symbol_code", "asset_type_code", "currency", "exchange", "total_records",
+        "first_record_date", "last_record_date", "avg_price", "price_volatility", "all_time_low",
+        "all_time_high", "total_volume_traded",
+    )
+
+
+def symbol(star: Star) -> DataFrame:
+    """Per symbol over all time; the volatility of a single row is NULL."""
+    rollup = star.fact.groupBy("symbol_id", "asset_type_id").agg(
+        F.count("*").alias("total_records"),
+        F.min("ts").alias("first_record_date"),
+        F.max("ts").alias("last_record_date"),
+        C.exact_mean(F.col("close")).alias("avg_price"),
+        F.stddev_samp(F.col("close").cast("double")).alias("price_volatility"),
+        F.min("low").alias("all_time_low"),
+        F.max("high").alias("all_time_high"),
+        C.exact_sum(F.col("volume")).alias("total_volume_traded"),
+    )
+    return _symbols(rollup, star)
+
+
+def symbol_of(days: DataFrame, symbols: DataFrame) -> DataFrame:
+    """The same from the stored day rollup. The variance is merged from the days: squares within the days
+    plus those between their means. The totals have one row per symbol, and adaptive execution
+    broadcasts them if they are small."""
+    totals = days.groupBy("symbol_id").agg(
+        F.try_divide(F.sum("sum_close").cast("double"), F.sum("n_close")).alias("mean"))
+    gap = F.try_divide(F.col("sum_close").cast("double"), F.col("n_close")) - F.col("mean")
     n = F.sum("n_close")
-    rollup = merged.groupBy("symbol_id", "asset_type_id").agg(
+    rollup = days.join(totals, "symbol_id").groupBy("symbol_id", "asset_type_id").agg(
         F.sum("record_count").alias("total_records"),
         F.min("first_ts").alias("first_record_date"),
         F.max("last_updated").alias("last_record_date"),
         F.try_divide(F.sum("sum_close").cast("double"), n).alias("avg_price"),
-        F.sqrt(F.try_divide(F.sum("squares"), n - 1)).alias("price_volatility"),
+        F.sqrt(F.try_divide(F.sum(F.col("squares") + F.col("n_close") * gap * gap), n - 1)).alias("price_volatility"),
         F.min("day_low").alias("all_time_low"),
         F.max("day_high").alias("all_time_high"),
         F.sum("total_volume").alias("total_volume_traded"),
     )
-    return _with_codes(rollup, Star(days, symbols)).select(
-        "symbol_id", "symbol_code", "asset_type_code", "currency", "exchange", "total_records",
-        "first_record_date", "last_record_date", "avg_price", "price_volatility", "all_time_low",
-        "all_time_high", "total_volume_traded",
-    )
-
-
-def asset_type(star: Star) -> DataFrame:
-    return asset_type_of(day_rollup(star.fact))
-
-
-def symbol(star: Star) -> DataFrame:
-    return symbol_of(day_rollup(star.fact), star.symbols)
+    return _symbols(rollup, Star(days, symbols))
 
 
 def _or_zero(value: str | Column) -> Column:

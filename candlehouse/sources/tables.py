@@ -46,6 +46,20 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return spark.read.schema(schema).parquet(path)
 
 
+def spread(rows: DataFrame, least_bytes: int = 4 << 20) -> DataFrame:
+    """Spread a table over the cores if it has fewer splits than cores.
+
+    A file with a single row group is read by one task however many cores there are, and all work up to
+    the first shuffle stays in that task. Tables with enough splits, as all large ones have, and tables
+    too small to matter are returned as they are.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size < least_bytes or rows._jdf.rdd().getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(cores)
+
+
 def with_period(schema: StructType) -> StructType:
     fields = [f for f in schema.fields if f.name != PERIOD]
     return StructType([*fields, StructField(PERIOD, DateType())])

@@ -322,6 +322,8 @@ _QUERIES = {
     "date_range": """select strftime(min(ts), '%Y-%m-%d %H:%M:%S') as earliest,
         strftime(max(ts), '%Y-%m-%d %H:%M:%S') as latest from fact""",
 }
+_QUERIES["transform_store_stock"] = _QUERIES["transform_stock"]
+_QUERIES["transform_store_crypto"] = _QUERIES["transform_crypto"]
 _QUERIES["incremental_symbol"] = _QUERIES["mv_symbol"]
 _QUERIES["incremental_daily"] = _QUERIES["mv_daily"]
 _QUERIES["news_all"] = _QUERIES["transform_news"]

@@ -13,6 +13,7 @@ from candlehouse.functions import columns as C
 from candlehouse.functions.arguments import parse_asset_types
 from candlehouse.operators import dedup, dims, facts, marts, readouts, rollup, transform
 from candlehouse.plans import continuous, ingest, news, storage, warehouse
+from candlehouse.plans import transform as transforms
 from candlehouse.schemas import (
     CRYPTO_KEY, FACT_COLUMNS, FOREX_KEY, INTERVAL_ID, STOCK_KEY,
 )
@@ -165,7 +166,7 @@ def insert_ignore_stock(m: MarketTables) -> DataFrame:
 def insert_ignore_crypto(m: MarketTables) -> DataFrame:
     order = ["l_orderkey", "l_linenumber", "open", "high", "low", "close", "volume_from", "volume_to"]
     path = scratch_path(m.spark, "raw_crypto")
-    storage.insert_ignore(dedup.first_of_ordered(m.landed_crypto, CRYPTO_KEY, order), path, CRYPTO_KEY)
+    storage.insert_ignore(dedup.first_of_ordered(m.raw_crypto, CRYPTO_KEY, order), path, CRYPTO_KEY)
     return m.spark.read.parquet(path).drop("trade_period")
 
 
@@ -194,6 +195,25 @@ def transform_crypto_pending(m: MarketTables) -> DataFrame:
     return transform.transform_crypto(m.landed_crypto, done)
 
 
+@query
+def transform_store_stock(m: MarketTables) -> DataFrame:
+    """The stored table after a run over the bars of three weeks and a run over all bars."""
+    path = scratch_path(m.spark, "transformed_stock_data")
+    for raw in (m.raw_stock.filter("ts < '2024-01-22'"), m.raw_stock):
+        transforms.store_bars(raw, path, STOCK_KEY, transform.transform_stock)
+    return m.spark.read.parquet(path).drop("trade_period")
+
+
+@query
+def transform_store_crypto(m: MarketTables) -> DataFrame:
+    """The stored table after a first run that saw small lots only, from 2000 on, and a run that
+    computes the days since 1999 again."""
+    path = scratch_path(m.spark, "transformed_crypto_data")
+    transforms.store_crypto_days(m.raw_crypto.filter("ts >= '2000-01-01' and volume_from < 10"), path)
+    transforms.store_crypto_days(m.raw_crypto, path, datetime(1999, 1, 1))
+    return m.spark.read.parquet(path).drop("trade_period")
+
+
 @query
 def pending_keys(m: MarketTables) -> DataFrame:
     """Daily stock bars and forex bars before 2000 have been transformed already."""

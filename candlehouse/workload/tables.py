@@ -14,6 +14,7 @@ from candlehouse.operators.dedup import first_wins, first_wins_wide
 from candlehouse.operators.marts import Star
 from candlehouse.schemas import FOREX_KEY, STOCK_KEY
 from candlehouse.session import pin_utc
+from candlehouse.sources.tables import spread
 
 LANDED_STOCK = """
 select event_id as src_id, event_type as symbol,
@@ -89,7 +90,7 @@ class MarketTables:
             F.when(pick == 0, F.lit(None).cast("string")).when(pick == 1, F.lit("\u00a0  "))
             .when(pick == 2, F.lit(" \t")).otherwise(F.col("source"))
         )
-        return self.table("documents").select(
+        return spread(self.table("documents")).select(
             F.col("doc_id").alias("src_id"), F.md5("text").alias("link"),
             F.substring("text", 1, 80).alias("title"),
             F.date_add(F.lit("2017-01-01").cast("date"), (F.col("doc_id") % 2830).cast("int")).alias("published_date"),
@@ -104,6 +105,11 @@ class MarketTables:
     def raw_forex(self) -> DataFrame:
         return first_wins(self.landed_forex, FOREX_KEY, "src_id")
 
+    @cached_property
+    def raw_crypto(self) -> DataFrame:
+        """As landed: several bars per key, which the daily transform aggregates."""
+        return self.from_sql(LANDED_CRYPTO, "lineitem", spread(self.table("lineitem")))
+
     @cached_property
     def raw_news(self) -> DataFrame:
         return first_wins_wide(self.landed_news, ["link"], "src_id")
@@ -113,7 +119,7 @@ class MarketTables:
         return {
             "STOCK": transform.transform_stock(self.raw_stock),
             "FOREX": transform.transform_forex(self.raw_forex),
-            "CRYPTO": transform.transform_crypto(self.landed_crypto),
+            "CRYPTO": transform.transform_crypto(self.raw_crypto),
         }
 
     @cached_property
@@ -169,7 +175,7 @@ class MarketTables:
             F.col("volume_from").alias("volumefrom"), volume_to.alias("volumeto"),
         )
         page = F.to_json(F.struct(F.struct(F.array(point).alias("Data")).alias("Data")))
-        return self.landed_crypto.select("symbol", "currency", page.alias("payload"))
+        return self.raw_crypto.select("symbol", "currency", page.alias("payload"))
 
     @cached_property
     def news_payloads(self) -> DataFrame:

@@ -12,8 +12,10 @@ from candlehouse.workload.tables import MarketTables
 
 
 def test_single_row_has_no_volatility(spark):
-    row = marts.symbol(B.star({"STOCK": B.stock(spark, B.stock_row())})).first()
-    assert row.price_volatility is None and row.avg_price == 11.0
+    star = B.star({"STOCK": B.stock(spark, B.stock_row())})
+    for mart in (marts.symbol(star), marts.symbol_of(marts.day_rollup(star.fact), star.symbols)):
+        row = mart.first()
+        assert row.price_volatility is None and row.avg_price == 11.0
 
 
 def test_merged_deviation_equals_the_plain_one(spark):
@@ -21,9 +23,14 @@ def test_merged_deviation_equals_the_plain_one(spark):
     start = datetime(2020, 1, 1)
     closes = [(start + timedelta(days=i, hours=i % 5), round(1e5 + rng.gauss(0, 3), 2)) for i in range(900)]
     rows = [B.stock_row(ts=str(t), close=c) for t, c in closes]
-    row = marts.symbol(B.star({"STOCK": B.stock(spark, *rows)})).first()
-    assert math.isclose(row.price_volatility, statistics.stdev(c for _, c in closes), rel_tol=1e-9)
-    assert row.total_records == 900
+    star = B.star({"STOCK": B.stock(spark, *rows)})
+    merged = marts.symbol_of(marts.day_rollup(star.fact), star.symbols).first()
+    assert math.isclose(merged.price_volatility, statistics.stdev(c for _, c in closes), rel_tol=1e-9)
+    plain = marts.symbol(star).first()
+    assert [merged[c] for c in merged.asDict() if c != "price_volatility"] == [
+        plain[c] for c in plain.asDict() if c != "price_volatility"]
+    types = [m.first() for m in (marts.asset_type(star), marts.asset_type_of(marts.day_rollup(star.fact)))]
+    assert types[0] == types[1] and types[0].total_records == 900
 
 
 def test_missing_volume(spark):

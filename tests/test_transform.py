@@ -1,8 +1,10 @@
 from datetime import date, datetime
 
+import bars as B
 from bars import CRYPTO_RAW, at, d
 from candlehouse.operators import transform
 from candlehouse.plans import news
+from candlehouse.plans import transform as transforms
 from candlehouse.schemas import STOCK_KEY
 
 
@@ -41,6 +43,24 @@ def test_pending(spark):
     assert [tuple(r) for r in transform.pending_keys(bars, done, STOCK_KEY).collect()] == [("A", "1h"), ("B", "1h")]
 
 
+def test_stored_crypto_days(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    partial = raw(spark, ("BTC", "USD", "2024-01-30 01:00:00", 1, 1, 1, 1), ("BTC", "USD", "2024-01-31 01:00:00", 1, 1, 1, 1))
+    whole = partial.union(raw(spark, ("BTC", "USD", "2024-01-30 05:00:00", 9, 9, 9, 9),
+                              ("BTC", "USD", "2024-01-31 05:00:00", 9, 9, 9, 9), ("BTC", "USD", "2024-02-01", 2, 2, 2, 2)))
+    assert transforms.store_crypto_days(partial, path) == 2
+    assert transforms.store_crypto_days(whole, path) == 1  # finished days stay
+    transforms.store_crypto_days(whole, path, datetime(2024, 1, 31))
+    stored = {r.ts.day: int(r.close) for r in spark.read.parquet(path).collect()}
+    assert stored == {30: 1, 31: 9, 1: 2}
+
+
+def test_stored_bars_are_added_once(spark, tmp_path):
+    bars = B.stock(spark, B.stock_row(), B.stock_row(ts="2024-02-15 09:30:00")).drop("price_change")
+    add = lambda rows: transforms.store_bars(rows, f"{tmp_path}/t", STOCK_KEY, transform.transform_stock)
+    assert [add(bars.limit(1)), add(bars), add(bars)] == [1, 1, 0]
+
+
 NEWS = "link string, title string, published_date date, description string, content string"
 
 
