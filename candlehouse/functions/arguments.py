@@ -37,6 +37,7 @@ def clamp_days(days: int, upper: int = MAX_HISTORY_DAYS) -> int:
 
 
 def clamp_warning(days: int, upper: int) -> str | None:
+    """The two message texts."""
     effective = clamp_days(days, upper)
     if days < 1:
         return f"Parameter 'days' must be at least 1. Adjusted from {days} to {effective}."

@@ -53,11 +53,11 @@ def price_by_date(bars: DataFrame, requests: DataFrame) -> DataFrame:
 
     ``requests`` holds symbol, currency and date. Bars and requests are both reduced to one row per
     symbol, currency and day before the ordered pass, so a group is bounded by the calendar. No bar
-    before the day gives a NULL close; a request without a date is dropped.
+    before the day gives a NULL close; a request whose date is missing or no date is dropped.
     """
     key = ["symbol", "currency"]
     closes = bars.groupBy(*key, F.to_date("ts").alias("date")).agg(F.max_by("close", "ts").alias("close"))
-    wanted = requests.select(*key, "date").dropna().distinct()
+    wanted = requests.select(*key, F.col("date").try_cast("date").alias("date")).dropna().distinct()
     timeline = closes.withColumn("wanted", F.lit(False)).unionByName(
         wanted.withColumn("wanted", F.lit(True)), allowMissingColumns=True
     )

@@ -31,7 +31,7 @@ def ingest_bars(parsed: DataFrame, source: str, key: list[str], raw_path: str, r
     good = P.valid(staged.filter("NOT rejected").drop("rejected"))
     bad = P.rejects(staged.filter("rejected").drop("rejected"), source)
     arrival = [c for c in ("page", "pos") if c in good.columns]
-    first = first_of_ordered(good, key, arrival).drop(*arrival)
+    first = first_of_ordered(good, key, arrival).drop(*arrival).withColumn("sys_timestamp", F.current_timestamp())
     stored = insert_ignore(first, raw_path, key, periods=period_range(good))
     bad.write.mode("append").parquet(reject_path)
     return {"stored": stored["inserted"], "rejected": bad.count()}

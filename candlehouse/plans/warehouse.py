@@ -92,12 +92,16 @@ def load_incremental(
     as_of: datetime,
     hours_back: int = 2,
     asset_types: list[str] | None = None,
+    source_grain: str = "month",
 ) -> LoadReport:
-    """Load the bars strictly younger than ``as_of`` minus the look-back (2 to 168 hours)."""
+    """Load the bars strictly younger than ``as_of`` minus the look-back (1 to 168 hours, 2 by default).
+
+    ``source_grain`` is the partition grain of the transformed tables, where they are stored.
+    """
     hours = clamp_hours_back(hours_back)
     cutoff = as_of - timedelta(hours=hours)
     selected = select_asset_types(asset_types)
-    recent = {code: younger_than(transformed[code], cutoff) for code in selected if code in transformed}
+    recent = {code: younger_than(transformed[code], cutoff, source_grain) for code in selected if code in transformed}
     counts = _load(warehouse, recent, cutoff)
     views = refresh_marts(warehouse, since=cutoff)
     return LoadReport("incremental", selected, counts, views, hours_back=hours, data_from=cutoff)

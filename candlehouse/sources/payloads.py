@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from candlehouse.functions import columns as C
 from candlehouse.functions.arguments import range_bounds
-from candlehouse.schemas import INTERVAL_CODES, MAX_SYMBOL_LENGTH
+from candlehouse.schemas import DAILY, INTERVAL_CODES, MAX_SYMBOL_LENGTH
 
 _PRICES = ["open", "high", "low", "close"]
 
@@ -96,6 +96,7 @@ def _parse_series(payloads: DataFrame, symbol: str, with_volume: bool, whole_pag
     def is_bad(entry: Column) -> Column:
         return reduce(or_, [c.isNull() for c in _series_fields(entry, interval, with_volume).values()])
 
+    payloads = payloads.withColumn("interval_code", F.coalesce("interval_code", F.lit(DAILY)))
     decoded = _decode(payloads, _SERIES_SCHEMA)
     rows = _explode(decoded, "_doc.values", is_bad if whole_pages else None)
     parsed = _series_fields(F.col("entry"), interval, with_volume)

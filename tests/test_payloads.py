@@ -66,6 +66,10 @@ def test_unsupported_interval_and_long_symbol(spark):
     assert [r.reason for r in P.rejects(long, "s").collect()] == ["symbol too long"]
 
 
+def test_interval_defaults_to_daily(spark):
+    assert P.valid(P.parse_stock(stock(spark, {"values": [bar()]}, interval=None))).first().interval_code == "1day"
+
+
 def test_whole_pages_drop_a_page_with_one_bad_bar(spark):
     pages = stock(spark, {"values": [bar(), bar("2024-01-16", close="n/a")]}, {"values": [bar("2024-01-17")]})
     kept = P.valid(P.parse_stock(pages, whole_pages=True))

@@ -1,4 +1,5 @@
-from datetime import date, datetime
+import random
+from datetime import date, datetime, timedelta
 
 import bars as B
 from candlehouse.operators import readouts
@@ -38,6 +39,32 @@ def test_price_by_date_takes_the_newest_bar_up_to_the_day(spark):
     assert got == {("BTC", 9): None, ("BTC", 10): 2, ("BTC", 11): 2, ("BTC", 12): 3, ("BTC", 30): 3, ("ETH", 10): None}
 
 
+def test_request_with_a_malformed_date_is_dropped(spark):
+    prices = B.crypto(spark, ("BTC", "USD", "2024-01-10", 1))
+    requests = spark.createDataFrame([("BTC", "USD", "2024-01-10"), ("BTC", "USD", "10.01.2024")],
+                                     "symbol string, currency string, date string")
+    assert [r.close for r in readouts.price_by_date(prices, requests).collect()] == [1]
+
+
+def test_one_symbol_with_most_of_the_rows(spark):
+    """Brute force over a table in which one symbol holds a third of the bars and a third of the requests."""
+    rng = random.Random(11)
+    first = date(2020, 1, 1)
+    pick = lambda: ("HOT" if rng.random() < 1 / 3 else f"S{rng.randrange(20)}", first + timedelta(days=rng.randrange(700)))
+    closes = {pick(): i for i in range(1500)}
+    asked = {pick() for _ in range(800)}
+    prices = B.crypto(spark, *[(s, "USD", str(day), close) for (s, day), close in closes.items()])
+    requests = spark.createDataFrame([(s, "USD", day) for s, day in asked], "symbol string, currency string, date date")
+    got = {(r.symbol, r.date): r.close for r in readouts.price_by_date(prices, requests).collect()}
+    for s, day in asked:
+        before = [(d, c) for (other, d), c in closes.items() if other == s and d <= day]
+        assert got[s, day] == (max(before)[1] if before else None)
+    newest = readouts.last_n(prices, ["symbol"], 7).collect()
+    for s in {s for s, _ in closes}:
+        days = sorted((d for other, d in closes if other == s), reverse=True)[:7]
+        assert sorted((r.ts.date() for r in newest if r.symbol == s), reverse=True) == days
+
+
 def test_top_by_volume_breaks_ties_by_symbol(spark):
     prices = B.crypto(spark, ("B", "USD", "2024-01-10", 1), ("A", "USD", "2024-01-10", 1), ("C", "USD", "2024-01-10", 1),
                       ("C", "EUR", "2024-01-10", 1))
