@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from candlehouse.schemas import ASSET_TYPE_ID
 
@@ -12,6 +12,11 @@ MAX_HISTORY_DAYS = 365
 MAX_INDEX_DAYS = 5000
 
 
+def naive_utc(moment: datetime) -> datetime:
+    """Moments are UTC throughout: a naive one is taken as it is, one with a zone is converted."""
+    return moment.astimezone(timezone.utc).replace(tzinfo=None) if moment.tzinfo else moment
+
+
 def parse_asset_types(text: str | None) -> list[str] | None:
     """Comma list to codes: trimmed, upper case, empty parts dropped. None stays None (all)."""
     if text is None:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from candlehouse.functions.arguments import naive_utc
 from candlehouse.schemas import INTERVAL_MINUTES, PRICE
 
 # A character that is neither white space nor any Unicode separator.
@@ -13,6 +16,16 @@ NON_BLANK = r"[^\s\x0B\x1C-\x1F\p{Z}]"
 DAY_MICROS = 86_400_000_000
 
 
+def utc(moment: datetime) -> Column:
+    """Timestamp literal. Passing the datetime itself would read it in the zone of the Python process."""
+    return F.lit(naive_utc(moment).isoformat(sep=" ")).cast("timestamp")
+
+
+def moment_of(rows: DataFrame, value: Column) -> datetime | None:
+    """An aggregated timestamp as naive UTC; None without rows."""
+    return rows.agg(value.cast("timestamp_ntz")).first()[0]
+
+
 def percent_change(start: Column, end: Column) -> Column:
     """(end - start) / start * 100 as double; NULL where ``start`` is zero or NULL.
 

@@ -7,6 +7,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candlehouse.functions import columns as C
+from candlehouse.functions.arguments import naive_utc
 from candlehouse.operators.rollup import ROLLUP_KEY, bucket_rollup
 from candlehouse.plans.storage import replace_buckets, with_bucket_period, write_partitioned
 from candlehouse.sources.tables import PERIOD, between_periods
@@ -24,7 +26,7 @@ def refresh_range(grain: str, as_of: datetime) -> tuple[datetime, datetime]:
     """The policy range shrunk to whole buckets: a bucket only partly inside is left alone."""
     start_offset, end_offset = REFRESH_RANGE[grain]
     size = _BUCKET[grain]
-    start, end = as_of - start_offset, as_of - end_offset
+    start, end = naive_utc(as_of) - start_offset, naive_utc(as_of) - end_offset
     first = _EPOCH + -(-(start - _EPOCH) // size) * size
     last = _EPOCH + (end - _EPOCH) // size * size
     return first, last
@@ -49,7 +51,7 @@ def refresh_rollup(
     where late rows have arrived for them."""
     if start >= end:
         return
-    rows = fact.filter((F.col("ts") >= F.lit(start)) & (F.col("ts") < F.lit(end)))
+    rows = fact.filter((F.col("ts") >= C.utc(start)) & (F.col("ts") < C.utc(end)))
     if PERIOD in fact.columns:
         rows = between_periods(rows, start, end, fact_grain)
     replace_buckets(bucket_rollup(rows, grain), path, "bucket", ["bucket", *ROLLUP_KEY], start, end, table_grain)

@@ -99,9 +99,9 @@ def replace_buckets(
     """
     fresh = with_bucket_period(fresh, time, grain)
     stored = between_periods(read_table(fresh.sparkSession, path, fresh.schema), start, end, grain)
-    outside = F.col(time) < F.lit(start)
+    outside = F.col(time) < C.utc(start)
     if end is not None:
-        outside = outside | (F.col(time) >= F.lit(end))
+        outside = outside | (F.col(time) >= C.utc(end))
     write_partitioned(fresh.unionByName(stored.filter(outside)), path, sort, mode="overwrite")
 
 

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candlehouse.functions import columns as C
 from candlehouse.operators.transform import CRYPTO_DAY_KEY, transform_crypto
 from candlehouse.plans.storage import insert_ignore, replace_buckets
 
@@ -26,7 +27,7 @@ def store_crypto_days(raw: DataFrame, path: str, replace_from: datetime | None =
     asks for the days from then on to be computed again.
     """
     if replace_from is not None:
-        recent = transform_crypto(raw.filter(F.col("ts") >= F.lit(replace_from)))
+        recent = transform_crypto(raw.filter(F.col("ts") >= C.utc(replace_from)))
         replace_buckets(recent, path, "ts", CRYPTO_DAY_KEY, replace_from)
-        raw = raw.filter(F.col("ts") < F.lit(replace_from))
+        raw = raw.filter(F.col("ts") < C.utc(replace_from))
     return insert_ignore(transform_crypto(raw), path, CRYPTO_DAY_KEY)["inserted"]

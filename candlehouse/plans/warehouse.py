@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta
+from datetime import datetime, time, timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlehouse.functions.arguments import clamp_hours_back, select_asset_types
+from candlehouse.functions import columns as C
+from candlehouse.functions.arguments import clamp_hours_back, naive_utc, select_asset_types
 from candlehouse.operators import dims, facts, marts, readouts
 from candlehouse.plans.storage import (
     append_new, insert_ignore, publish, replace_buckets, with_bucket_period, write_partitioned,
@@ -99,7 +100,7 @@ def load_incremental(
     ``source_grain`` is the partition grain of the transformed tables, where they are stored.
     """
     hours = clamp_hours_back(hours_back)
-    cutoff = as_of - timedelta(hours=hours)
+    cutoff = naive_utc(as_of) - timedelta(hours=hours)
     selected = select_asset_types(asset_types)
     recent = {code: younger_than(transformed[code], cutoff, source_grain) for code in selected if code in transformed}
     counts = _load(warehouse, recent, cutoff)
@@ -148,7 +149,7 @@ class Refresh:
     def __init__(self, warehouse: Warehouse, since: datetime | None = None):
         self.warehouse = warehouse
         self.spark = warehouse.spark
-        self.start = since.replace(hour=0, minute=0, second=0, microsecond=0) if since else None
+        self.start = datetime.combine(naive_utc(since), time.min) if since else None
 
     def base(self, name: str) -> str:
         return f"{self.warehouse.root}/marts/{name}"
@@ -157,7 +158,7 @@ class Refresh:
     def recent(self) -> DataFrame:
         """Fact rows of the first changed day and later."""
         rows = between_periods(self.warehouse.fact, self.start, grain=self.warehouse.grain)
-        return rows.filter(F.col("ts") >= F.lit(self.start))
+        return rows.filter(F.col("ts") >= C.utc(self.start))
 
     @cached_property
     def days(self) -> DataFrame:
@@ -171,20 +172,20 @@ class Refresh:
         return read_table(self.spark, path)
 
     def over_time(
-        self, name: str, time: str, whole: Callable[[], DataFrame], recent: Callable[[], DataFrame]
+        self, name: str, bucket: str, whole: Callable[[], DataFrame], recent: Callable[[], DataFrame]
     ) -> str:
         """A mart with one row per symbol and bucket: a new version, or its recent buckets replaced."""
         current = latest_version(self.spark, self.base(name)) if self.start else None
         if current is None:
-            return publish(whole(), self.base(name), name, time)
-        replace_buckets(recent(), current, time, ["symbol_id", time], self.start)
+            return publish(whole(), self.base(name), name, bucket)
+        replace_buckets(recent(), current, bucket, ["symbol_id", bucket], self.start)
         return current
 
     def daily(self, name: str) -> str:
         symbols, days = self.warehouse.symbols, self.days.drop(PERIOD)
 
         def recent() -> DataFrame:
-            changed = between_periods(self.days, self.start).filter(F.col("trading_day") >= F.lit(self.start))
+            changed = between_periods(self.days, self.start).filter(F.col("trading_day") >= C.utc(self.start))
             return marts.daily_of(changed.drop(PERIOD), symbols)
 
         return self.over_time(name, "trading_day", lambda: marts.daily_of(days, symbols), recent)

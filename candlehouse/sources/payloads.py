@@ -181,7 +181,7 @@ def rejects(parsed: DataFrame, source: str) -> DataFrame:
 def in_date_range(bars: DataFrame, start: date | str, end: date | str) -> DataFrame:
     """Bars from the first to the last day, both included."""
     low, high = range_bounds(start, end)
-    return bars.filter((F.col("ts") >= F.lit(low)) & (F.col("ts") < F.lit(high)))
+    return bars.filter((F.col("ts") >= C.utc(low)) & (F.col("ts") < C.utc(high)))
 
 
 def price_points(payloads: DataFrame, include_volume: bool = False) -> DataFrame:

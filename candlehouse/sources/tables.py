@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
+from candlehouse.functions import columns as C
+from candlehouse.functions.arguments import naive_utc
+
 PERIOD = "trade_period"
 
 
@@ -67,7 +70,7 @@ def with_period(schema: StructType) -> StructType:
 
 def period_start(moment: datetime, grain: str = "month") -> date:
     """The ``trade_period`` value of a moment."""
-    day = moment.date()
+    day = naive_utc(moment).date()
     return {"day": day, "month": day.replace(day=1), "year": day.replace(month=1, day=1)}[grain]
 
 
@@ -86,7 +89,7 @@ def since(table: DataFrame, moment: datetime, grain: str = "month") -> DataFrame
 
     A predicate on the timestamp alone prunes no directory, so the partition predicate is added.
     """
-    rows = table.filter(F.col("ts") > F.lit(moment))
+    rows = table.filter(F.col("ts") > C.utc(moment))
     if PERIOD in table.columns:
         rows = rows.filter(F.col(PERIOD) >= F.lit(period_start(moment, grain)))
     return rows

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from candlehouse.functions import columns as C
 from candlehouse.operators.dedup import first_wins
 from candlehouse.operators.rollup import ROLLUP_KEY, measures
 from candlehouse.operators.transform import transform_stock
@@ -47,7 +48,7 @@ def stream_load_stock(
         with _cached(batch):
             transformed = {"STOCK": transform_stock(first_wins(batch, key, order))}
             load_symbols(warehouse, transformed)
-            append_facts(warehouse, transformed, batch.agg(F.min("ts")).first()[0])
+            append_facts(warehouse, transformed, C.moment_of(batch, F.min("ts")))
 
     return _available_now(bars.writeStream.foreachBatch(load), checkpoint)
 

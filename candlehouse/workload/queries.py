@@ -145,7 +145,7 @@ def backfill_top(m: MarketTables) -> DataFrame:
 def _two_overlapping_loads(landed: DataFrame, key: list[str], split: datetime, overlap: timedelta) -> DataFrame:
     """Load the rows before ``split``, then those from ``split - overlap`` on."""
     path = scratch_path(landed.sparkSession, "raw")
-    early, late = landed.filter(F.col("ts") < F.lit(split)), landed.filter(F.col("ts") >= F.lit(split - overlap))
+    early, late = landed.filter(F.col("ts") < C.utc(split)), landed.filter(F.col("ts") >= C.utc(split - overlap))
     for batch in (early, late):
         storage.insert_ignore(
             dedup.first_wins(batch, key, "src_id"), path, key, periods=storage.period_range(batch))
@@ -316,13 +316,13 @@ def load_selected(m: MarketTables) -> DataFrame:
 
 
 def _newest(bars: DataFrame) -> datetime:
-    return bars.agg(F.max("ts")).first()[0]
+    return C.moment_of(bars, F.max("ts"))
 
 
 def _two_step_load(m: MarketTables) -> tuple[warehouse.Warehouse, warehouse.LoadReport]:
     """A full load of everything older than 100 hours, then the last 168 hours on top."""
     w, as_of = _new_warehouse(m), _newest(m.landed_stock)
-    split = F.lit(as_of - timedelta(hours=100))
+    split = C.utc(as_of - timedelta(hours=100))
     warehouse.load_full(w, {code: bars.filter(F.col("ts") <= split) for code, bars in m.transformed.items()})
     return w, warehouse.load_incremental(w, m.transformed, as_of, hours_back=168)
 
