@@ -101,3 +101,18 @@ def test_ledger(spark, tmp_path):
     links = spark.createDataFrame([("a",), ("b",)], "link string")
     assert append_new(links, f"{tmp_path}/l", ["link"]) == 2
     assert append_new(links.union(spark.createDataFrame([("c",)], "link string")), f"{tmp_path}/l", ["link"]) == 1
+
+
+def test_a_hot_period_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(0, 200_000, numPartitions=8).select(
+        F.col("id").cast("string").alias("symbol"),
+        F.when(F.col("id") % 3 > 0, F.lit("2024-01-05")).otherwise(F.lit("2024-02-05")).cast("timestamp").alias("ts"),
+        F.xxhash64("id").alias("close"))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB")
+    try:
+        assert insert_ignore(rows, f"{tmp_path}/t", KEY)["inserted"] == 200_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    january = [f for f in spark.read.parquet(f"{tmp_path}/t").inputFiles() if "2024-01-01" in f]
+    assert len(january) > 3
