@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlehouse.llm import packing, sharding, url_filter
-from candlehouse.llm.common import read
+from candlehouse.llm import language, packing, quality, sharding, toxicity, url_filter
+from candlehouse.llm.common import held_out, read
 
 SHARDS = 40
 RULES = [
@@ -32,8 +32,31 @@ def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, apart = read(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 5, 0)
+    net = quality.fit(docs, read(spark, sf_dir, "labels"), ~apart)
+    return quality.score(docs, net, ["doc_id"]).select(
+        "doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, apart = read(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 4, 2)
+    return language.identify(docs, language.fit(docs, ~apart), ["doc_id"]).select(
+        "doc_id", apart.alias("held_out"), "lang_pred", "score")
+
+
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, apart = read(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 5, 0)
+    machine = toxicity.fit(docs, read(spark, sf_dir, "labels"), ~apart)
+    return toxicity.score(docs, machine, ["doc_id"]).select(
+        "doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_feistel_sharding": sharding_query,
+    "op2_pu_quality": quality_query,
+    "op6_language_mixture": language_query,
+    "op8_toxicity_fm": toxicity_query,
     "op9_url_filter": url_filter_query,
     "op10_pattern_packing": packing_query,
 }
