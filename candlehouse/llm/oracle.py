@@ -43,6 +43,17 @@ SHARDING = CRC + f"""
 select doc_id, size::bigint as size, text_crc32::bigint as text_crc32, 'rows' as law, (p % {SHARDS})::int as shard, p // {SHARDS} as slot,
   null::int as grown_shard from ({_feistel()})"""
 
+TOP_K = """
+with vectors as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v from embeddings
+  where vec_id is not null and embedding is not null and len(embedding) > 0
+    and list_bool_and(list_transform(embedding, lambda x: coalesce(abs(64 * x::double) < 2147483648, false))))
+, scored as (
+  select q.vec_id as query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::bigint as score
+  from vectors q join vectors c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id)
+, ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 20"""
+
 _RULES = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in RULES)
 
 URL_FILTER = f"""
@@ -60,5 +71,6 @@ select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from fit
 
 ORACLE = {
     "op1_feistel_sharding": SHARDING,
+    "op3_norm_sorted_topk": TOP_K,
     "op9_url_filter": URL_FILTER,
 }
