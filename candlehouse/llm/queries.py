@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlehouse.llm import language, packing, quality, sharding, topk, toxicity, url_filter
+from candlehouse.llm import html_text, language, packing, quality, sharding, topk, toxicity, url_filter
 from candlehouse.llm.common import held_out, read
 
 SHARDS = 40
@@ -44,6 +44,10 @@ def topk_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("id") % 20 == 0, 20)
 
 
+def html_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, apart = read(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 4, 2)
     return language.identify(docs, language.fit(docs, ~apart), ["doc_id"]).select(
@@ -61,6 +65,7 @@ QUERIES = {
     "op1_feistel_sharding": sharding_query,
     "op2_pu_quality": quality_query,
     "op3_norm_sorted_topk": topk_query,
+    "op4_wrapper_induction": html_query,
     "op6_language_mixture": language_query,
     "op8_toxicity_fm": toxicity_query,
     "op9_url_filter": url_filter_query,
