@@ -54,6 +54,22 @@ with vectors as (
 , ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
 select query_id, rank, vec_id, score from ranked where rank <= 20"""
 
+NEAR_DUPLICATES = r"""
+with recursive word_lists as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w from documents)
+, sets as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')] else
+    list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) end as s from word_lists)
+, posted as (select doc_id, len(s) as n, unnest(s) as x from sets)
+, linked as (
+  select a.doc_id as a, b.doc_id as b from posted a join posted b on a.x = b.x and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*)))
+, reach(doc_id, other) as (
+  select doc_id, doc_id from documents union select r.doc_id, l.b from reach r join linked l on l.a = r.other)
+, least_ as (select doc_id, min(other) as component_id from reach group by doc_id)
+select s.doc_id, len(s.s) as n_shingles, component_id, s.doc_id = component_id as kept from sets s join least_ using (doc_id)"""
+
 _RULES = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in RULES)
 
 URL_FILTER = f"""
@@ -72,5 +88,6 @@ select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from fit
 ORACLE = {
     "op1_feistel_sharding": SHARDING,
     "op3_norm_sorted_topk": TOP_K,
+    "op7_bottom_k_neardup": NEAR_DUPLICATES,
     "op9_url_filter": URL_FILTER,
 }
