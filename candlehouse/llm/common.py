@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often and wherever in ``body`` it stands.
+
+    A column of an earlier select is not enough: the optimizer may put its expression back, into lambdas too.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder of ``spark.checkpoint.dir`` and read it from there.
 

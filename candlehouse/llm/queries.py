@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlehouse.llm import html_text, language, neardup, packing, quality, sharding, topk, toxicity, url_filter
+from candlehouse.llm import decontamination, html_text, language, neardup, packing, quality, sharding, topk, toxicity, url_filter
 from candlehouse.llm.common import held_out, read
 
 SHARDS = 40
@@ -54,6 +54,10 @@ def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", apart.alias("held_out"), "lang_pred", "score")
 
 
+def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def neardup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"), n=3, percent=85)
 
@@ -70,6 +74,7 @@ QUERIES = {
     "op2_pu_quality": quality_query,
     "op3_norm_sorted_topk": topk_query,
     "op4_wrapper_induction": html_query,
+    "op5_simhash_decontamination": decontamination_query,
     "op6_language_mixture": language_query,
     "op7_bottom_k_neardup": neardup_query,
     "op8_toxicity_fm": toxicity_query,

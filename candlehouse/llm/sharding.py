@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlehouse.llm.common import checkpoint
+from candlehouse.llm.common import checkpoint, let
 
 M31 = 2**31 - 1
 ROUNDS = 8
@@ -64,12 +64,8 @@ def permute(number: int, n: int, seed: int) -> int:
             return number
 
 
-def _let(value: Column, body) -> Column:
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _mix(x: Column, key: Column) -> Column:
-    return _let((x + key) % M31 * 48271 % M31, lambda u: ((u * u + key) % M31 * 69621 + u) % M31)
+    return let((x + key) % M31 * 48271 % M31, lambda u: ((u * u + key) % M31 * 69621 + u) % M31)
 
 
 def position(number: Column, n: int, seed: int) -> Column:
@@ -88,7 +84,7 @@ def position(number: Column, n: int, seed: int) -> Column:
         start = F.struct((p % side).alias("l"), F.call_function("div", p, side).alias("r"))
         return F.aggregate(keys, start, turn, lambda s: s.r * a + s.l)
 
-    return _let(once(number), lambda p: F.when(p < n, p).otherwise(
+    return let(once(number), lambda p: F.when(p < n, p).otherwise(
         F.aggregate(F.sequence(F.lit(0), F.lit(max(a * b - n, 0))), p, lambda q, _: F.when(q < n, q).otherwise(once(q)))))
 
 
