@@ -18,6 +18,7 @@ is spread over many tasks.
 
 from __future__ import annotations
 
+import json
 import os
 import unicodedata
 import zlib
@@ -41,14 +42,26 @@ TRIPLES = 6000
 REMEMBERED = 1 << 20
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: printable Latin-1 stands for itself, the rest from U+0100 on."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    letters = {b: chr(b) for b in own}
+    for i, b in enumerate(b for b in range(256) if b not in letters):
+        letters[b] = chr(256 + i)
+    return letters
+
+
 class Encoder:
     """Token ids as little-endian unsigned 32-bit numbers, the same as the tokenizer's own for every text.
 
-    If the tokenizer's vocabulary never joins characters over white space (its splitter drops white space), a text's ids
-    are those of its words in turn, so each word is encoded once per worker and remembered. That holds for the
-    characters in ``plain``; other texts, and texts that hold a special token, are encoded as a whole.
+    A tokenizer that lower-cases, cuts a text by a pattern that takes no white space, and turns each part into ids by itself
+    gives a text the ids of its words in turn. So words and their parts are encoded once per worker and remembered.
+    That holds for the characters in ``plain``; other texts, texts that hold a special token, and
+    tokenizers of another build are encoded as a whole.
     """
 
+    TRIAL = "Hello, world's 42 \u00fcn\u00efc\u00f6de\u2026 d'accord!!! (x_y) \u00bd\u00e9t\u00e9 A\tB\n\nIt'll ## --"
+
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import regex
@@ -56,29 +69,51 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.plain = regex.compile(r"[\t\n\r\x20-\x7e\xa0-ɏ‐-‧‰-⁞]*")
-        self.by_word = self.ids("a b") == self.ids("a") + self.ids("b") and self.ids(" a\n\tb ") == self.ids("a b")
+        self.plain = regex.compile("[\t\n\r\x20-\x7e\xa0-\u024f\u2010-\u2027\u2030-\u205e]*")
+        self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        build = json.loads(self.tokenizer.to_str())
+        cut = (build.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        pattern = (cut[0].get("pattern") or {}).get("Regex")
+        self.by_word = False
+        if pattern and cut[0].get("invert") and cut[0].get("behavior") == "Removed":
+            self.pattern = regex.compile(pattern)
+            self.by_word = b"".join(map(self._word, self.TRIAL.split())) == self.ids(self.TRIAL)
 
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _word(self, word: str) -> bytes:
+        """Ids of a word without white space, remembered."""
+        parts, out = self.parts, []
+        for part in self.pattern.findall(word.lower()):
+            ids = parts.get(part)
+            if ids is None:
+                spelled = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
+                ids = parts[part] = b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(spelled)])
+            out.append(ids)
+        ids = self.known[word] = b"".join(out)
+        return ids
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.split() if self._simple(t) else None for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        missing = list({w for words in split if words is not None for w in words if w not in known})
-        for at in range(0, len(missing), 4096):
-            part = missing[at:at + 4096]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[word] = np.array(e.ids, dtype="<u4").tobytes()
-        get = known.__getitem__
-        return [self.ids(t) if words is None else b"".join(map(get, words)) for t, words in zip(texts, split, strict=True)]
+        for memory in (self.known, self.parts):
+            if len(memory) > REMEMBERED:
+                memory.clear()
+        known, new, out = self.known, self._word, []
+        for text in texts:
+            if not self._simple(text):
+                out.append(self.ids(text))
+                continue
+            words = text.split()
+            for word in set(words).difference(known):
+                new(word)
+            out.append(b"".join([known[w] for w in words]))
+        return out
 
     def _simple(self, text: str) -> bool:
-        return (self.by_word and self.plain.fullmatch(text) is not None and not any(s in text for s in self.special)
-                and (text.isascii() or unicodedata.is_normalized("NFC", text)))
+        return (self.by_word and (text.isascii() or self.plain.fullmatch(text) is not None and unicodedata.is_normalized("NFC", text))
+                and not any(c in text for c in "\x0b\x0c\x1c\x1d\x1e\x1f\x00") and not any(s in text for s in self.special))
 
 
 ENCODERS: dict[str, Encoder] = {}
