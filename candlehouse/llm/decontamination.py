@@ -100,7 +100,7 @@ def _filter(hashes: DataFrame, longs: int) -> Column:
 
 def candidates(docs: DataFrame, hashes: DataFrame, n: int) -> DataFrame:
     """(doc_id, copy, bag) of the documents that may hold one of ``hashes``; equal rows once."""
-    rows = docs.select(F.col("doc_id"), F.xxhash64("text").alias("copy"), words(F.col("text")).alias("w"))
+    rows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("copy"), words(F.col("text")).alias("w"))
     rows = rows.select("doc_id", "copy", shingles(F.col("w"), n).alias("bag"))
     m = hashes.count()
     if 0 < m <= FILTER_SHINGLES:
@@ -114,6 +114,8 @@ def candidates(docs: DataFrame, hashes: DataFrame, n: int) -> DataFrame:
             return out
 
         rows = rows.withColumn("__filter", _filter(hashes, longs)).where(F.exists("bag", held)).drop("__filter")
+    elif not m:
+        rows = rows.where(F.lit(False))
     return checkpoint(rows).dropDuplicates(["doc_id", "copy"])
 
 
@@ -122,7 +124,7 @@ def matches(docs: DataFrame, items: DataFrame, n: int = N, percent: int = PERCEN
 
     A document repeats an item if a window of the item's size has a similarity of at least ``percent`` hundredths with it; start (in words, from 0),
     similarity and SimHash distance are of the most similar window, the first of equals, and ``windows`` counts all. A document shorter
-    than the item is one window. Null and empty texts repeat nothing; equal rows count once; other columns are ignored.
+    than the item is one window. Null and empty texts repeat nothing, rows without an id are not looked at; equal rows count once; other columns are ignored.
     """
     bags = checkpoint(item_bags(items, n))
     placed = bags.select("item_id", "size", F.posexplode("bag").alias("place", "h"))

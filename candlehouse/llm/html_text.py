@@ -25,6 +25,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlehouse.llm.url_filter import host_of
 
@@ -360,23 +361,22 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame
     """``pages`` with text and n_chars instead of ``page``.
 
     Null pages are empty, and empty or text-free pages have an empty text. Null URLs and those without a host form one host. Rows keep
-    their number and other columns; columns named text, n_chars or like the ``__`` ones used here are an error.
+    their number and other columns; columns named text or n_chars are replaced.
     """
-    names = [c for c in pages.columns if c != page]
-    if taken := {"text", "n_chars"} & set(names) or [c for c in names if c.startswith("__")]:
-        raise ValueError(f"rename the columns {sorted(taken)} first")
-    work = pages.select(*names, F.coalesce(F.col(page), F.lit("")).alias("__html"), host_of(F.col(url)).alias("__host"))
+    names = [c for c in pages.columns if c not in (page, "text", "n_chars")]
+    work = pages.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
+                        F.coalesce(F.col(f"`{page}`"), F.lit("")).alias("__html"), host_of(F.col(f"`{url}`")).alias("__host"))
     large = (work.groupBy("__host").count().where(F.col("count") > GROUP_PAGES)
              .select("__host", F.ceil(F.col("count") / GROUP_PAGES).alias("__groups")))
     # equal pages share a group only by chance, so a page that a host repeats is spread too
     dealt = (work.withColumn("__row", F.monotonically_increasing_id()).join(large, "__host", "left")
              .withColumn("__group", F.pmod(F.xxhash64("__row"), F.coalesce("__groups", F.lit(1)))))
-    schema = ", ".join([*(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in names), "text string", "n_chars bigint"])
+    schema = T.StructType([work.schema["row"], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def run(table: pa.Table) -> pa.Table:
         texts = extract_group(table["__html"].to_pylist())
-        out = table.select(names)
+        out = table.select(["row"])
         return out.append_column("text", pa.array(texts, pa.string())).append_column(
             "n_chars", pa.array([len(t) for t in texts], pa.int64()))
 
-    return dealt.drop("__row", "__groups").groupBy("__host", "__group").applyInArrow(run, schema)
+    return dealt.drop("__row", "__groups").groupBy("__host", "__group").applyInArrow(run, schema).select("row.*", "text", "n_chars")

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKETS = 4096
 #: Documents of one language that its distribution is learned from, in expectation; a documented bound.
@@ -147,11 +148,10 @@ def identify(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Da
 
     ``lang_pred`` has the largest share in the chosen set (ties: the first by name), ``score`` is that share and ``mixture`` the
     shares of the whole set. Null texts, texts without any letter, and all texts if no language could be
-    learned, are ``und`` with score 0 and an empty mixture. No row is dropped.
+    learned, are ``und`` with score 0 and an empty mixture. No row is dropped; columns
+    named like the three new ones are replaced.
     """
-    names = keep if keep is not None else docs.columns
-    if taken := {"lang_pred", "score", "mixture"} & set(names):
-        raise ValueError(f"rename the columns {sorted(taken)} first")
+    names = [c for c in (keep if keep is not None else docs.columns) if c not in ("lang_pred", "score", "mixture")]
     buckets = model.p.shape[1]
     rows_at_once = max(1, (1 << 20) // buckets)
 
@@ -175,6 +175,7 @@ def identify(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Da
                     names=[*[f"c{i}" for i in range(len(names))], "lang_pred", "score", "mixture"])
 
     work = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], F.col("text").alias("__text"))
-    types = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(names))
-    out = work.mapInArrow(predict, f"{types}{', ' if types else ''}lang_pred string, score double, mixture map<string,double>")
+    types = T.StructType([*work.drop("__text").schema.fields, T.StructField("lang_pred", T.StringType()),
+                          T.StructField("score", T.DoubleType()), T.StructField("mixture", T.MapType(T.StringType(), T.DoubleType()))])
+    out = work.mapInArrow(predict, types)
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], "lang_pred", "score", "mixture")

@@ -94,15 +94,14 @@ def number_rows(rows: DataFrame, key: str, buckets: int = BUCKETS) -> tuple[Data
     ``key`` is a bigint column that tells most rows apart; null counts as -1. Order: bucket of the key, the key,
     then all other columns. All columns must be orderable.
     """
-    rest = [c for c in rows.columns if c != key]
-    k = F.coalesce(F.col(key).cast("bigint"), F.lit(-1))
-    k = F.pmod(k, F.lit(M31))
-    bucket = ((k * 48271 + 12345) % M31 * 69621 % M31) % buckets
-    counted = checkpoint(rows.withColumn("__bucket", bucket).groupBy("__bucket", key, *rest).agg(F.count("*").alias("__n")))
+    bucket = ((F.pmod(F.coalesce(F.col("k").cast("bigint"), F.lit(-1)), F.lit(M31)) * 48271 + 12345) % M31 * 69621 % M31) % buckets
+    names = rows.columns
+    rows = rows.select(F.col(f"`{key}`").alias("k"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    counted = checkpoint(rows.withColumn("__bucket", bucket).groupBy("__bucket", *rows.columns).agg(F.count("*").alias("__n")))
     first = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (counted.groupBy("__bucket").agg(F.sum("__n").alias("__in"))
               .select("__bucket", F.coalesce(F.sum("__in").over(first), F.lit(0)).alias("__start")))
-    order = Window.partitionBy("__bucket").orderBy(F.col(key).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in rest])
+    order = Window.partitionBy("__bucket").orderBy(*[F.col(c).asc_nulls_first() for c in rows.columns])
     before = F.coalesce(F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     # starts holds at most one row for each bucket
     placed = counted.withColumn("__before", before).join(F.broadcast(starts), "__bucket")
@@ -110,7 +109,7 @@ def number_rows(rows: DataFrame, key: str, buckets: int = BUCKETS) -> tuple[Data
     n = counted.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
     last = F.least(F.lit(RUN), F.col("__n") - F.col("__run") * RUN) - 1
     numbered = (runs.withColumn("__i", F.explode(F.sequence(F.lit(0), last.cast("int"))))
-            .select(key, *rest, (F.col("__start") + F.col("__before") + F.col("__run") * RUN + F.col("__i")).alias("row_number")))
+            .select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], (F.col("__start") + F.col("__before") + F.col("__run") * RUN + F.col("__i")).alias("row_number")))
     return numbered, n
 
 
@@ -118,10 +117,9 @@ def shard(rows: DataFrame, key: str, shards: int, seed: int = 20, buckets: int =
     """``rows`` with row_number, position, shard and slot.
 
     No row is lost: null keys, repeated rows and ties get places of their own. Empty input gives an empty result.
-    Columns named row_number, position, shard or slot in the input are an error, as two columns can't share a name.
+    Columns named row_number, position, shard or slot in the input are replaced by the results.
     """
-    if taken := {"row_number", "position", "shard", "slot"} & set(rows.columns):
-        raise ValueError(f"rename the columns {sorted(taken)} first")
+    rows = rows.drop("row_number", "position", "shard", "slot")
     numbered, n = number_rows(rows, key, buckets)
     return (numbered.withColumn("position", position(F.col("row_number"), max(n, 1), seed))
             .withColumn("shard", (F.col("position") % shards).cast("int"))

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlehouse.llm import words
 from candlehouse.llm.common import sample_ids, texts_of
@@ -81,7 +82,7 @@ def learn(texts: list[str], labels: list[int], seed: int = 11) -> Machine:
     y = np.array(labels, dtype=float)
     rng = np.random.default_rng(seed)
     if not len(y) or y.min() == y.max():  # one class or none: its share is all there is to know
-        share = (y.sum() + 0.5) / (len(y) + 1)
+        share = (y.sum() + 0.5) / (len(y) + 2)
         return Machine(np.zeros(0, np.uint64), float(np.log(share / (1 - share))), np.zeros(0), np.zeros((0, FACTORS)))
     parts, base = [], 0
     for at in range(0, len(texts), 256):
@@ -158,10 +159,8 @@ def score(docs: DataFrame, machine: Machine, keep: list[str] | None = None) -> D
 
 
 def scored(docs: DataFrame, scorer, keep: list[str] | None = None) -> DataFrame:
-    """Rows with ``scorer`` (texts to scores) applied to batches of whole texts."""
-    names = keep if keep is not None else docs.columns
-    if "score" in names:
-        raise ValueError("rename the column score first")
+    """Rows with ``scorer`` (texts to scores) applied to batches of whole texts; a column named score is replaced."""
+    names = [c for c in (keep if keep is not None else docs.columns) if c != "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -171,6 +170,6 @@ def scored(docs: DataFrame, scorer, keep: list[str] | None = None) -> DataFrame:
                                                  names=[*[f"c{i}" for i in range(len(names))], "score"])
 
     work = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], F.col("text").alias("__text"))
-    types = "".join(f"c{i} {docs.schema[c].dataType.simpleString()}, " for i, c in enumerate(names))
-    out = work.mapInArrow(run, f"{types}score double")
+    types = T.StructType([*work.drop("__text").schema.fields, T.StructField("score", T.DoubleType())])
+    out = work.mapInArrow(run, types)
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], "score")

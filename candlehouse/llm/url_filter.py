@@ -148,10 +148,9 @@ def judge(pages: DataFrame, rules: Sequence[Rule], url: str = "url", default: st
 
     The longest rule (host and path) that fits decides, ties going to the longer host and then to ``block``; where none
     fits, rule is null and the verdict is ``default``. Null, empty and hostless URLs have an empty host and path and fit no rule.
-    Rows keep their number and all their columns; columns that would clash with the four new ones are an error.
+    Rows keep their number and all their columns, except that columns named like the four new ones are replaced.
     """
-    if taken := {"host", "path", "rule", "verdict"} & set(pages.columns):
-        raise ValueError(f"rename the columns {sorted(taken)} first")
+    names = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
     ranked = sorted(rules, key=lambda r: (-len(r.host + r.path), -len(r.host), r.verdict != "block", r.host))
     globs = [(g, i) for i, r in enumerate(ranked) for g in r.globs()]
 
@@ -162,15 +161,14 @@ def judge(pages: DataFrame, rules: Sequence[Rule], url: str = "url", default: st
         for urls in parts:
             yield pd.Series(owner[automaton.matches(urls.tolist())])
 
-    names = F.array(*[F.lit(r.host + r.path) for r in ranked]) if ranked else F.array().cast("array<string>")
+    rules_ = F.array(*[F.lit(r.host + r.path) for r in ranked]) if ranked else F.array().cast("array<string>")
     verdicts = F.array(*[F.lit(r.verdict) for r in ranked]) if ranked else F.array().cast("array<string>")
-    fits = F.col("__rule") >= 0
+    fits = F.col("first") >= 0
 
     def of_rule(values: Column) -> Column:  # element_at never sees a null index, which Spark 4.1 reads as the last
-        return F.when(fits, F.element_at(values, F.greatest(F.col("__rule"), F.lit(0)) + 1))
+        return F.when(fits, F.element_at(values, F.greatest(F.col("first"), F.lit(0)) + 1))
 
-    return (pages.withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url)))
-            .withColumn("__rule", first_rule(F.concat("host", "path")))
-            .withColumn("rule", of_rule(names))
-            .withColumn("verdict", F.coalesce(of_rule(verdicts), F.lit(default)))
-            .drop("__rule"))
+    at = F.col(f"`{url}`")
+    return (pages.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), host_of(at).alias("host"), path_of(at).alias("path"))
+            .withColumn("first", first_rule(F.concat("host", "path")))
+            .select("row.*", "host", "path", of_rule(rules_).alias("rule"), F.coalesce(of_rule(verdicts), F.lit(default)).alias("verdict")))
