@@ -38,8 +38,8 @@ CAPACITY = 2048
 BUCKET_ROWS = 4096
 #: Enumerated triples at most; pairs come on top.
 TRIPLES = 6000
-#: Words whose ids a worker remembers.
-REMEMBERED = 1 << 20
+#: Words, and parts of words, whose ids a worker remembers: about 150 MB.
+REMEMBERED, REMEMBERED_PARTS = 1 << 19, 1 << 18
 
 
 def _byte_letters() -> dict[int, str]:
@@ -97,8 +97,8 @@ class Encoder:
         return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        for memory in (self.known, self.parts):
-            if len(memory) > REMEMBERED:
+        for memory, most in ((self.known, REMEMBERED), (self.parts, REMEMBERED_PARTS)):
+            if len(memory) > most:
                 memory.clear()
         known, new, out = self.known, self._word, []
         for text in texts:

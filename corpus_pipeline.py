@@ -46,12 +46,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows that repeat an id are one document, of which one row stays. Rows without an id are kept.
     """
     found = neardup.near_duplicates(docs, n=5, percent=80)
-    gone = found.where(~F.col("kept")).select("doc_id").distinct()
-    rest = docs.join(gone, "doc_id", "left_anti")
-    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    once = rest.join(repeated, "doc_id", "left_anti")
-    first = rest.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(first).select(*docs.columns)
+    by_id = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(
+        F.bool_and("kept").alias("stays"), F.count("*").alias("rows"))
+    other = by_id.where("not stays or rows > 1")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("bigint").alias("key"))
+    marked = rows.join(other, F.col("key") == F.col("id"), "left").where("id is null or stays")
+    repeated = marked.where("rows > 1").dropDuplicates(["key"])
+    return marked.where("rows is null").unionByName(repeated).select("row.*")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
