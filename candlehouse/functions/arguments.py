@@ -31,24 +31,30 @@ def select_asset_types(requested: list[str] | None) -> list[str]:
     return [code for code in ASSET_TYPE_ID if code in requested]
 
 
-def clamp_hours_back(hours: int) -> int:
-    if hours < 1:
-        return DEFAULT_HOURS_BACK
-    return min(hours, MAX_HOURS_BACK)
+def positive(name: str, value: int) -> int:
+    """Operators take any number from 1 on."""
+    if value < 1:
+        raise ValueError(f"{name} must be at least 1")
+    return value
 
 
-def clamp_days(days: int, upper: int = MAX_HISTORY_DAYS) -> int:
-    return max(1, min(days, upper))
+# Request checks: what a caller may ask for, apart from what operators can do. Each returns the value to use and a warning.
 
 
-def clamp_warning(days: int, upper: int) -> str | None:
-    """The two message texts."""
-    effective = clamp_days(days, upper)
+def check_hours_back(hours: int) -> tuple[int, str | None]:
+    """Look-back of an incremental load: less than 1 means 2 hours, more than 168 means 168."""
+    used = DEFAULT_HOURS_BACK if hours < 1 else min(hours, MAX_HOURS_BACK)
+    return used, None if used == hours else f"hoursBack was adjusted from {hours} to {used}."
+
+
+def check_days(days: int, upper: int = MAX_HISTORY_DAYS) -> tuple[int, str | None]:
+    """Days of a history. The two message texts."""
+    used = max(1, min(days, upper))
     if days < 1:
-        return f"Parameter 'days' must be at least 1. Adjusted from {days} to {effective}."
+        return used, f"Parameter 'days' must be at least 1. Adjusted from {days} to {used}."
     if days > upper:
-        return f"Parameter 'days' cannot exceed {upper}. Adjusted from {days} to {effective}."
-    return None
+        return used, f"Parameter 'days' cannot exceed {upper}. Adjusted from {days} to {used}."
+    return used, None
 
 
 def range_bounds(start: date | str, end: date | str) -> tuple[datetime, datetime]:

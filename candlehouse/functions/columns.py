@@ -48,8 +48,8 @@ def exact_mean(value: Column) -> Column:
 
 
 def exact_sum(value: Column) -> Column:
-    """Sum of an integer column that cannot overflow a long."""
-    return F.sum(value.cast("decimal(20,0)"))
+    """Sum of whole or decimal numbers (up to 10 places) that cannot overflow a long."""
+    return F.sum(value.cast("decimal(38,10)"))
 
 
 def symbol_id(asset_type_code: Column, symbol: Column, currency: Column) -> Column:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlehouse.functions import columns as C
-from candlehouse.functions.arguments import MAX_INDEX_DAYS, clamp_days, clamp_warning
+from candlehouse.functions.arguments import positive
 from candlehouse.operators import dims
 from candlehouse.schemas import DAILY, INDEX_ETF
 
@@ -24,26 +24,32 @@ def last_n(bars: DataFrame, key: list[str], n: int) -> DataFrame:
 
 
 def price_history(bars: DataFrame, symbol: str, days: int = 30) -> DataFrame:
-    """Newest daily bars of every symbol; ``days`` is clamped to 1..365. ``symbol`` names the key column."""
-    n = clamp_days(days)
-    daily = bars.filter(F.col("interval_code") == DAILY)
-    picked = last_n(daily, [symbol], n)
-    volume = F.col("volume") if "volume" in bars.columns else F.lit(None).cast("bigint")
+    """The newest ``days`` daily bars of every symbol, crypto symbols by currency. ``symbol`` names the key column.
+
+    Bars without an interval, as crypto days are, are daily. ``arguments.check_days`` has the limit for requests.
+    """
+    n = positive("days", days)
+    daily = bars.filter(F.col("interval_code") == DAILY) if "interval_code" in bars.columns else bars
+    key = [symbol] + [c for c in ("currency",) if c in bars.columns]
+    picked = last_n(daily, key, n)
+
+    def optional(name: str, kind: str) -> Column:
+        return (F.col(name) if name in bars.columns else F.lit(None).cast(kind)).alias(name)
+
     return picked.select(
-        F.col(symbol).alias("symbol"), F.lit(DAILY).alias("interval_code"), F.lit(n).alias("days"),
-        F.count("*").over(Window.partitionBy(symbol)).alias("count"),
-        "rn", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("date"),
-        "open", "high", "low", "close", volume.alias("volume"),
+        F.col(symbol).alias("symbol"), optional("currency", "string"), F.lit(DAILY).alias("interval_code"), F.lit(n).alias("days"),
+        F.count("*").over(Window.partitionBy(*key)).alias("count"),
+        "rn", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("date"), "open", "high", "low", "close",
+        optional("volume", "bigint"), optional("volume_from", "decimal(28,10)"), optional("volume_to", "decimal(28,10)"),
     )
 
 
 def index_daily(bars: DataFrame, days: int = 30, symbol: str = INDEX_ETF) -> DataFrame:
-    """Newest daily bars of the index ETF; ``days`` is clamped to 1..5000, with a warning if it was not."""
-    n = clamp_days(days, MAX_INDEX_DAYS)
+    """The newest ``days`` daily bars of the index ETF (``arguments.check_days`` has the limit for requests)."""
+    n = positive("days", days)
     daily = bars.filter((F.col("interval_code") == DAILY) & (F.col("symbol") == symbol))
     return daily.orderBy(F.desc("ts")).limit(n).select(
-        "symbol", F.lit(DAILY).alias("interval_code"), F.lit(days).alias("requested_days"),
-        F.lit(n).alias("days"), F.lit(clamp_warning(days, MAX_INDEX_DAYS)).cast("string").alias("warning"),
+        "symbol", F.lit(DAILY).alias("interval_code"), F.lit(n).alias("days"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("date"), "open", "high", "low", "close", "volume",
     ).orderBy(F.desc("date"))
 
@@ -85,10 +91,14 @@ def warehouse_statistics(fact: DataFrame, symbols: DataFrame) -> DataFrame:
 
 def date_range(fact: DataFrame) -> DataFrame:
     """First and last time as text; NULL on an empty fact table."""
+    return range_of(fact, "ts", "ts")
+
+
+def range_of(rows: DataFrame, first: str, last: str) -> DataFrame:
     pattern = "yyyy-MM-dd HH:mm:ss"
-    return fact.agg(
-        F.date_format(F.min("ts"), pattern).alias("earliest"),
-        F.date_format(F.max("ts"), pattern).alias("latest"),
+    return rows.agg(
+        F.date_format(F.min(first), pattern).alias("earliest"),
+        F.date_format(F.max(last), pattern).alias("latest"),
     )
 
 

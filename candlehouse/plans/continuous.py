@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlehouse.functions import columns as C
 from candlehouse.functions.arguments import naive_utc
 from candlehouse.operators.rollup import ROLLUP_KEY, bucket_rollup
-from candlehouse.plans.storage import replace_buckets, with_bucket_period, write_partitioned
-from candlehouse.sources.tables import PERIOD, between_periods
+from candlehouse.plans.versions import Versioned
+from candlehouse.sources.tables import PERIOD, between_periods, periods_between
 
 # Refresh range behind the current time, per bucket size.
 REFRESH_RANGE = {
@@ -32,10 +32,13 @@ def refresh_range(grain: str, as_of: datetime) -> tuple[datetime, datetime]:
     return first, last
 
 
+def rollup_table(spark: SparkSession, path: str, table_grain: str = "month") -> Versioned:
+    return Versioned(spark, path, "bucket", table_grain)
+
+
 def build_rollup(fact: DataFrame, path: str, grain: str, table_grain: str = "month") -> None:
     """First run: every bucket of the fact table."""
-    buckets = with_bucket_period(bucket_rollup(fact, grain), "bucket", table_grain)
-    write_partitioned(buckets, path, ["bucket", *ROLLUP_KEY], mode="overwrite")
+    rollup_table(fact.sparkSession, path, table_grain).replace(bucket_rollup(fact, grain), ["bucket", *ROLLUP_KEY])
 
 
 def refresh_rollup(
@@ -48,10 +51,13 @@ def refresh_rollup(
     fact_grain: str = "month",
 ) -> None:
     """Recompute the buckets of [start, end) from the fact table, leaving all others as stored, even
-    where late rows have arrived for them."""
+    where late rows have arrived for them. The touched periods get new versions beside the old ones."""
     if start >= end:
         return
     rows = fact.filter((F.col("ts") >= C.utc(start)) & (F.col("ts") < C.utc(end)))
     if PERIOD in fact.columns:
         rows = between_periods(rows, start, end, fact_grain)
-    replace_buckets(bucket_rollup(rows, grain), path, "bucket", ["bucket", *ROLLUP_KEY], start, end, table_grain)
+    table = rollup_table(fact.sparkSession, path, table_grain)
+    periods = periods_between(start, end, table_grain)
+    outside = table.read(periods).filter((F.col("bucket") < C.utc(start)) | (F.col("bucket") >= C.utc(end)))
+    table.replace(bucket_rollup(rows, grain).unionByName(outside), ["bucket", *ROLLUP_KEY], periods)

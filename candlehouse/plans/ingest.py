@@ -1,37 +1,64 @@
-"""Landed payloads to raw tables, with a reject table beside them."""
+"""Landed payloads to raw tables, with one reject table beside them."""
 
 from __future__ import annotations
 
+import uuid
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlehouse.operators.dedup import first_of_ordered
-from candlehouse.plans.storage import insert_ignore, period_range
-from candlehouse.session import scratch_path
+from candlehouse.operators.dedup import first_of_ordered, first_wins
+from candlehouse.plans.storage import append_new, insert_ignore, periods_of
+from candlehouse.schemas import RAW_KEY, RAW_SCHEMA, REJECT_KEY, REJECT_SCHEMA
 from candlehouse.sources import payloads as P
+from candlehouse.sources.tables import conform, remove
+
+#: Entries of one page at most, for the number that a numbered page and a place in it make together.
+PAGE_ROWS = 1 << 24
 
 
-def stage(parsed: DataFrame) -> DataFrame:
-    """Parse once: good rows and rejects go to one written table, split by directory."""
+@contextmanager
+def staged(parsed: DataFrame, path: str):
+    """Parse once: good rows and rejects go to one written table below ``path``, split by directory, which is removed at the end."""
     spark = parsed.sparkSession
-    path = scratch_path(spark, "parsed")
+    folder = f"{path}_staging/{uuid.uuid4().hex}"
     flagged = parsed.withColumn("rejected", F.col("reason").isNotNull())
-    flagged.write.partitionBy("rejected").parquet(path)
-    return spark.read.schema(flagged.schema).parquet(path).withColumn(
-        "rejected", F.col("rejected").cast("boolean"))
+    flagged.write.partitionBy("rejected").parquet(folder)
+    try:
+        yield spark.read.schema(flagged.schema).parquet(folder).withColumn("rejected", F.col("rejected").cast("boolean"))
+    finally:
+        remove(spark, folder)
+
+
+def arrival(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Of equal keys the row that came first: by page, then by place in the page; ties fall to the other columns.
+
+    Numbered pages make one number with the place, which keeps the rows in a hash aggregate; pages that are named by their file do not.
+    """
+    if "page" not in rows.columns:
+        raise ValueError("payloads need a page, to tell which of two equal bars came first")
+    if rows.schema["page"].dataType.simpleString() in ("bigint", "int"):
+        numbered = rows.withColumn("_arrival", F.col("page") * F.lit(PAGE_ROWS).cast("bigint") + F.col("pos")).drop("page", "pos")
+        return first_wins(numbered, key, "_arrival").drop("_arrival")
+    return first_of_ordered(rows, key, ["page", "pos"]).drop("page", "pos")
+
+
+def store_rejects(bad: DataFrame, source: str, path: str) -> int:
+    """Add the rejects that the table does not hold yet, by source, page (of one symbol and interval) and place."""
+    rows = conform(P.rejects(bad, source), REJECT_SCHEMA)
+    return append_new(first_of_ordered(rows, REJECT_KEY, []), path, REJECT_KEY)
 
 
-def ingest_bars(parsed: DataFrame, source: str, key: list[str], raw_path: str, reject_path: str) -> dict:
-    """Store good rows by keyed insert-ignore and append the rejects. Returns both counts.
+def ingest_bars(parsed: DataFrame, asset_type: str, raw_path: str, reject_path: str) -> dict:
+    """Store good rows by keyed insert-ignore and the rejects likewise. Returns how many of each are new.
 
-    Bad rows never fail the batch: they are split off before the write. Of equal keys in one batch the
-    first by page and place in the page wins.
+    Bad rows never fail the batch: they are split off before the write. Repeating a batch adds nothing to either table.
     """
-    staged = stage(parsed)
-    good = P.valid(staged.filter("NOT rejected").drop("rejected"))
-    bad = P.rejects(staged.filter("rejected").drop("rejected"), source)
-    arrival = [c for c in ("page", "pos") if c in good.columns]
-    first = first_of_ordered(good, key, arrival).drop(*arrival).withColumn("sys_timestamp", F.current_timestamp())
-    stored = insert_ignore(first, raw_path, key, periods=period_range(good))
-    bad.write.mode("append").parquet(reject_path)
-    return {"stored": stored["inserted"], "rejected": bad.count()}
+    key, schema = RAW_KEY[asset_type], RAW_SCHEMA[asset_type]
+    with staged(parsed, raw_path) as rows:
+        good = P.valid(rows.filter("NOT rejected").drop("rejected"))
+        first = arrival(good, key).withColumn("sys_timestamp", F.current_timestamp())
+        stored = insert_ignore(first, raw_path, key, periods=periods_of(good), schema=schema)
+        rejected = store_rejects(rows.filter("rejected").drop("rejected"), asset_type.lower(), reject_path)
+    return {"stored": stored["inserted"], "rejected": rejected}

@@ -4,15 +4,15 @@ and a job that dies leaves nothing behind. One writer per table at a time.
 
 from __future__ import annotations
 
-from datetime import date, datetime
-from time import time_ns
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from candlehouse.functions import columns as C
 from candlehouse.operators.dedup import not_in
-from candlehouse.sources.tables import PERIOD, between_periods, read_table, with_period
+from candlehouse.sources.tables import PERIOD, conform, read_table, with_period
 
 
 def write_partitioned(
@@ -37,10 +37,10 @@ def write_partitioned(
     return observed.get if counts else {}
 
 
-def period_range(rows: DataFrame, time: str = "ts", grain: str = "month") -> tuple[date | None, date | None]:
-    """First and last period of the rows. Ask a source table, not a derived one: this is a pass over it."""
-    period = C.trade_period(F.col(time), grain)
-    return tuple(rows.agg(F.min(period), F.max(period)).first())
+def periods_of(rows: DataFrame, time: str = "ts", grain: str = "month") -> list[date]:
+    """The periods the rows lie in, one value per period. Ask a source table, not a derived one: this is a pass over it."""
+    found = rows.select(C.trade_period(F.col(time), grain).alias(PERIOD)).distinct().collect()  # bounded by the calendar
+    return sorted(r[PERIOD] for r in found if r[PERIOD] is not None)
 
 
 def insert_ignore(
@@ -49,23 +49,25 @@ def insert_ignore(
     key: list[str],
     grain: str = "month",
     time: str = "ts",
-    periods: tuple[date | None, date | None] = (None, None),
+    periods: list[date] | None = None,
     counts: list[Column] | None = None,
+    schema: StructType | None = None,
+    first: date | None = None,
 ) -> dict:
     """Append the rows whose key the table does not hold yet; returns ``inserted`` and other counts.
 
     Rows must be unique by key (``operators.dedup``) and the key must contain ``time``, so equal keys
-    share a period. ``periods`` are the first and last period of the rows, where the caller knows them:
-    only these partitions of the table are then compared, and only their key columns are read.
+    share a period. ``schema`` is the declared schema of the table (default: the rows' own). ``periods`` are the periods of
+    the rows, or ``first`` the first of them, where the caller knows: only these partitions of the table are
+    then compared, and only their key columns are read.
     """
     counts = [F.count("*").alias("inserted"), *(counts or [])]
-    delta = rows.withColumn(PERIOD, C.trade_period(F.col(time), grain))
+    delta = (rows if schema is None else conform(rows, schema)).withColumn(PERIOD, C.trade_period(F.col(time), grain))
     known = read_table(rows.sparkSession, path, with_period(delta.schema))
-    first, last = periods
+    if periods is not None:
+        known = known.filter(F.col(PERIOD).isin(periods)) if periods else known.limit(0)
     if first is not None:
         known = known.filter(F.col(PERIOD) >= F.lit(first))
-    if last is not None:
-        known = known.filter(F.col(PERIOD) <= F.lit(last))
     return write_partitioned(not_in(delta, known, key), path, key, counts=counts)
 
 
@@ -77,44 +79,3 @@ def append_new(rows: DataFrame, path: str, key: list[str]) -> int:
     new = not_in(rows, known, key).select(*rows.columns).observe(observed, F.count("*").alias("inserted"))
     new.write.mode("append").parquet(path)
     return observed.get["inserted"]
-
-
-def with_bucket_period(rows: DataFrame, time: str, grain: str = "month") -> DataFrame:
-    return rows.withColumn(PERIOD, C.trade_period(F.col(time), grain))
-
-
-def replace_buckets(
-    fresh: DataFrame,
-    path: str,
-    time: str,
-    sort: list[str],
-    start: datetime,
-    end: datetime | None = None,
-    grain: str = "month",
-) -> None:
-    """Put ``fresh`` in the place of the stored rows with ``time`` in [start, end).
-
-    Only the partitions the range touches are read and rewritten; in them, rows outside the range keep
-    their stored values.
-    """
-    fresh = with_bucket_period(fresh, time, grain)
-    stored = between_periods(read_table(fresh.sparkSession, path, fresh.schema), start, end, grain)
-    outside = F.col(time) < C.utc(start)
-    if end is not None:
-        outside = outside | (F.col(time) >= C.utc(end))
-    write_partitioned(fresh.unionByName(stored.filter(outside)), path, sort, mode="overwrite")
-
-
-def publish(mart: DataFrame, base: str, view: str, time: str | None = None) -> str:
-    """Write a new version of a mart next to the old one, then point the view at it.
-
-    Readers keep the old version until the view is replaced. Marts over time are partitioned by month
-    of ``time``. Returns the path of the new version.
-    """
-    path = f"{base}/version={time_ns():020d}"
-    if time is None:
-        mart.write.parquet(path)
-    else:
-        write_partitioned(with_bucket_period(mart, time), path, ["symbol_id", time])  # append marks success
-    mart.sparkSession.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
-    return path

@@ -3,31 +3,54 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from candlehouse.functions import columns as C
-from candlehouse.operators.transform import CRYPTO_DAY_KEY, transform_crypto
-from candlehouse.plans.storage import insert_ignore, replace_buckets
+from candlehouse.operators.dedup import not_in
+from candlehouse.operators.transform import CRYPTO_DAY_KEY, transform_crypto, transform_forex, transform_stock
+from candlehouse.plans.storage import insert_ignore, periods_of
+from candlehouse.plans.versions import Versioned
+from candlehouse.schemas import RAW_KEY, TRANSFORMED_SCHEMA
+from candlehouse.sources.tables import conform, period_start
 
+TRANSFORM: dict[str, Callable[[DataFrame], DataFrame]] = {"STOCK": transform_stock, "FOREX": transform_forex}
 
-def store_bars(
-    raw: DataFrame, path: str, key: list[str], transform: Callable[[DataFrame], DataFrame]
-) -> int:
-    """Transform the raw bars that have no transformed bar yet; all symbols in one job."""
-    return insert_ignore(transform(raw), path, key)["inserted"]
+
+def store_bars(raw: DataFrame, path: str, asset_type: str, periods: list[date] | None = None) -> int:
+    """Transform the raw stock or forex bars that have no transformed bar yet; all symbols in one job.
+
+    Only the periods of the raw bars are compared; a caller that knows them saves a pass.
+    """
+    periods = periods_of(raw) if periods is None else periods
+    return insert_ignore(TRANSFORM[asset_type](raw), path, RAW_KEY[asset_type], periods=periods,
+                         schema=TRANSFORMED_SCHEMA[asset_type])["inserted"]
+
+
+def crypto_days(raw: DataFrame, path: str) -> Versioned:
+    return Versioned(raw.sparkSession, path, "ts")
 
 
 def store_crypto_days(raw: DataFrame, path: str, replace_from: datetime | None = None) -> int:
-    """Add the crypto days that are missing.
+    """Add the crypto days that are missing. Returns how many days were computed.
 
     A day that was transformed while still incomplete stays as it is, unless ``replace_from`` (a midnight)
-    asks for the days from then on to be computed again.
+    asks for the days from then on to be computed again. New versions of the touched months are written beside the old ones.
     """
+    table = crypto_days(raw, path)
+    stored, periods = table.manifest(), set(periods_of(raw))
+    if stored and replace_from is not None:
+        periods |= {p for p in stored if p >= period_start(replace_from)}
+    days = conform(transform_crypto(raw), TRANSFORMED_SCHEMA["CRYPTO"])
+    observed = Observation()
+    if not stored:
+        table.replace(days.observe(observed, F.count("*").alias("n")), CRYPTO_DAY_KEY)
+        return observed.get["n"]
+    kept = table.read(sorted(periods))
     if replace_from is not None:
-        recent = transform_crypto(raw.filter(F.col("ts") >= C.utc(replace_from)))
-        replace_buckets(recent, path, "ts", CRYPTO_DAY_KEY, replace_from)
-        raw = raw.filter(F.col("ts") < C.utc(replace_from))
-    return insert_ignore(transform_crypto(raw), path, CRYPTO_DAY_KEY)["inserted"]
+        kept = kept.filter(F.col("ts") < C.utc(replace_from))
+    new = not_in(days, kept, CRYPTO_DAY_KEY).observe(observed, F.count("*").alias("n"))
+    table.replace(new.unionByName(kept), CRYPTO_DAY_KEY, sorted(periods))
+    return observed.get["n"]

@@ -1,0 +1,114 @@
+"""Tables that are replaced beside their readers.
+
+A table is a folder of partitions ``trade_period=P/version=V`` and a manifest that names the current version of each
+period. Replacing periods writes new versions of them and then a new manifest, which is the switch; nothing that a reader
+has open is touched. The versions before the last manifest are removed by the next write.
+"""
+
+from __future__ import annotations
+
+import json
+from dataclasses import dataclass
+from datetime import date
+from time import time_ns
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, LongType, StructType
+
+from candlehouse.functions import columns as C
+from candlehouse.sources.tables import PERIOD, Record, _hadoop
+
+ALWAYS = date(1970, 1, 1)  # the one period of a table without time
+
+
+@dataclass(frozen=True)
+class Versioned:
+    """``time`` is the column that decides the period; without it the whole table is one period."""
+
+    spark: SparkSession
+    path: str
+    time: str | None = None
+    grain: str = "month"
+
+    @property
+    def data(self) -> str:
+        return f"{self.path}/data"
+
+    @property
+    def record(self) -> Record:
+        return Record(self.spark, f"{self.path}/manifest")
+
+    def manifest(self) -> dict[date, int] | None:
+        """Current version per period; None before the first write."""
+        found = self.record.read()
+        return None if found is None else {date.fromisoformat(p): v for p, v in found["versions"].items()}
+
+    def period(self) -> Column:
+        return C.trade_period(F.col(self.time), self.grain) if self.time else F.lit(ALWAYS)
+
+    def _current(self, manifest: dict[date, int], periods: list[date] | None = None) -> Column:
+        """Condition on the partition columns; Spark prunes the directories by it."""
+        wanted = {p: v for p, v in manifest.items() if periods is None or p in set(periods)}
+        by_version: dict[int, list[date]] = {}
+        for p, v in wanted.items():
+            by_version.setdefault(v, []).append(p)
+        found = F.lit(False)
+        for v, ps in by_version.items():
+            found = found | ((F.col("version") == v) & F.col(PERIOD).isin(ps))
+        return found
+
+    def read(self, periods: list[date] | None = None) -> DataFrame:
+        """The current rows, of the given periods or all."""
+        manifest = self.manifest()
+        if manifest is None:
+            raise ValueError(f"nothing has been written to {self.path}")
+        return self._all().filter(self._current(manifest, periods)).drop(PERIOD, "version")
+
+    def _all(self) -> DataFrame:
+        return self.spark.read.schema(self._stored_schema()).parquet(self.data)
+
+    def _stored_schema(self) -> StructType:
+        return StructType.fromJson(self.record.read()["schema"]).add(PERIOD, DateType()).add("version", LongType())
+
+    def replace(self, rows: DataFrame, sort: list[str], periods: list[date] | None = None) -> None:
+        """Make ``rows`` the content of the given periods, or of the whole table; a period without rows is gone."""
+        old = self.manifest() or {}
+        version = time_ns()
+        observed = Observation()
+        keyed = rows.withColumn(PERIOD, self.period()).withColumn("version", F.lit(version))
+        keyed = keyed.hint("rebalance", F.col(PERIOD)).observe(observed, F.collect_set(PERIOD).alias("periods"))
+        keyed.sortWithinPartitions(PERIOD, *sort).write.mode("append").partitionBy(PERIOD, "version").parquet(self.data)
+        kept = {p: v for p, v in old.items() if periods is not None and p not in set(periods)}
+        new = kept | {p: version for p in observed.get["periods"]}
+        self.record.write({"versions": {str(p): v for p, v in new.items()}, "schema": json.loads(rows.schema.json())})
+        self._remove_before(old, new)
+
+    def _remove_before(self, old: dict[date, int], new: dict[date, int]) -> None:
+        """Remove what neither the last manifest nor this one names, so readers of the last one go on."""
+        fs, folder = _hadoop(self.spark, self.data)
+        live = {(p, v) for m in (old, new) for p, v in m.items()}
+        for period in fs.listStatus(folder) if fs.exists(folder) else []:
+            name = period.getPath().getName()
+            if not name.startswith(f"{PERIOD}="):
+                continue
+            p = date.fromisoformat(name.split("=")[1])
+            for one in fs.listStatus(period.getPath()):
+                v = one.getPath().getName()
+                if v.startswith("version=") and (p, int(v.split("=")[1])) not in live:
+                    fs.delete(one.getPath(), True)
+
+    def show(self, view: str) -> None:
+        """(Re)create ``view`` over the current rows, in whatever catalog the session has."""
+        manifest = self.manifest() or {}
+        fields = [f for f in self._stored_schema().fields if f.name not in (PERIOD, "version")]
+        if not manifest:
+            nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields)
+            self.spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {nothing} WHERE false")
+            return
+        by_version: dict[int, list[str]] = {}
+        for p, v in manifest.items():
+            by_version.setdefault(v, []).append(f"DATE '{p}'")
+        current = " OR ".join(f"(version = {v} AND {PERIOD} IN ({', '.join(ps)}))" for v, ps in by_version.items())
+        columns = ", ".join(f"`{f.name}`" for f in fields)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {columns} FROM parquet.`{self.data}` WHERE {current}")

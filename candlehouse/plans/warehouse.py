@@ -4,22 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import datetime, time, timedelta
+from datetime import date, datetime, timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlehouse.functions import columns as C
-from candlehouse.functions.arguments import clamp_hours_back, naive_utc, select_asset_types
+from candlehouse.functions.arguments import naive_utc, positive, select_asset_types
 from candlehouse.operators import dims, facts, marts, readouts
-from candlehouse.plans.storage import (
-    append_new, insert_ignore, publish, replace_buckets, with_bucket_period, write_partitioned,
-)
-from candlehouse.schemas import ASSET_TYPE_ID, FACT_KEY
-from candlehouse.sources.tables import (
-    PERIOD, between_periods, latest_version, period_start, read_table, table_exists,
-)
+from candlehouse.operators.dedup import not_in
+from candlehouse.plans.ledger import Ledger, Touched
+from candlehouse.plans.storage import insert_ignore
+from candlehouse.plans.versions import Versioned
+from candlehouse.schemas import ASSET_TYPE_ID, DIM_SYMBOL_SCHEMA, FACT_KEY, FACT_SCHEMA
+from candlehouse.sources.tables import PERIOD, conform, period_start, read_table, with_period
 from candlehouse.sources.tables import since as younger_than
 
 
@@ -41,11 +40,18 @@ class Warehouse:
 
     @property
     def fact(self) -> DataFrame:
-        return read_table(self.spark, self.fact_path)
+        return read_table(self.spark, self.fact_path, with_period(FACT_SCHEMA))
 
     @property
     def symbols(self) -> DataFrame:
-        return read_table(self.spark, self.symbol_path)
+        return read_table(self.spark, self.symbol_path, DIM_SYMBOL_SCHEMA)
+
+    @property
+    def ledger(self) -> Ledger:
+        return Ledger(self.spark, f"{self.root}/touched_days", (DAYS, *MART_REFRESH))
+
+    def mart(self, name: str) -> Versioned:
+        return Versioned(self.spark, f"{self.root}/marts/{name}", MART_TIME.get(name))
 
     @property
     def star(self) -> marts.Star:
@@ -84,7 +90,7 @@ def load_full(
     selected = select_asset_types(asset_types)
     counts = _load(warehouse, {code: transformed[code] for code in selected if code in transformed})
     views = refresh_marts(warehouse)
-    return LoadReport("full", selected, counts, views, date_range(warehouse))
+    return LoadReport("full", selected, counts, views, loaded_range(warehouse))
 
 
 def load_incremental(
@@ -95,24 +101,38 @@ def load_incremental(
     asset_types: list[str] | None = None,
     source_grain: str = "month",
 ) -> LoadReport:
-    """Load the bars strictly younger than ``as_of`` minus the look-back (1 to 168 hours, 2 by default).
+    """Load the bars strictly younger than ``as_of`` minus the look-back, from 1 hour on (``arguments.check_hours_back`` has
+    the limits for requests).
 
     ``source_grain`` is the partition grain of the transformed tables, where they are stored.
     """
-    hours = clamp_hours_back(hours_back)
+    hours = positive("hours_back", hours_back)
     cutoff = naive_utc(as_of) - timedelta(hours=hours)
     selected = select_asset_types(asset_types)
     recent = {code: younger_than(transformed[code], cutoff, source_grain) for code in selected if code in transformed}
     counts = _load(warehouse, recent, cutoff)
-    views = refresh_marts(warehouse, since=cutoff)
+    views = refresh_marts(warehouse)
     return LoadReport("incremental", selected, counts, views, hours_back=hours, data_from=cutoff)
 
 
 def load_symbols(warehouse: Warehouse, transformed: dict[str, DataFrame]) -> int:
-    """Insert the symbols the dimension lacks and check that ids stay unique."""
-    inserted = append_new(dims.all_symbols(transformed), warehouse.symbol_path, ["symbol_id"])
-    dims.check_unique(warehouse.symbols)
-    return inserted
+    """Insert the symbols the dimension lacks, found by their natural key.
+
+    A new symbol whose id a stored or another new one has is an error, and nothing is written.
+    """
+    found = conform(dims.all_symbols(transformed), DIM_SYMBOL_SCHEMA)
+    stored = warehouse.symbols
+    new = not_in(found, stored, ["symbol_code", "asset_type_id", "currency"]).cache()  # new symbols alone: few
+    try:
+        n = new.count()
+        if n:
+            dims.check_unique(new)
+            if not new.join(stored.select("symbol_id"), "symbol_id", "left_semi").isEmpty():
+                raise ValueError("a new symbol has the symbol_id of a stored one")
+            new.write.mode("append").parquet(warehouse.symbol_path)
+        return n
+    finally:
+        new.unpersist()
 
 
 def _load(
@@ -135,99 +155,156 @@ def append_facts(
         F.count_if(F.col("asset_type_id") == ASSET_TYPE_ID[code]).alias(code) for code in transformed
     ]
     first = period_start(cutoff, warehouse.grain) if cutoff else None
+    load = warehouse.ledger.open(naive_utc(cutoff).date() if cutoff else None)
     rows = facts.finish(facts.fact_union(transformed))
-    written = insert_ignore(
-        rows, warehouse.fact_path, FACT_KEY, warehouse.grain, periods=(first, None), counts=per_type
-    )
+    days = F.collect_set(F.to_date("ts")).alias("days")  # bounded by the calendar
+    written = insert_ignore(rows, warehouse.fact_path, FACT_KEY, warehouse.grain, first=first, counts=[*per_type, days],
+                            schema=FACT_SCHEMA)
+    warehouse.ledger.close(load, written["days"])
     return {code: written[code] for code in transformed}
 
 
+DAYS = "ohlc_days"
+MART_TIME = {DAYS: "trading_day", "mv_daily_ohlc_summary": "trading_day", "mv_hourly_ohlc_summary": "trading_hour"}
+
+
 class Refresh:
-    """One refresh run. Without ``since`` everything is rebuilt; with it, only the days from ``since`` on
-    are read from the fact table and replaced: loads only append, so no earlier bucket can have changed."""
+    """One refresh run. The ledger tells each mart which days have changed since its own last refresh; only these are
+    read from the fact table and computed anew. Every mart but the hourly one comes from the stored day rollup."""
 
-    def __init__(self, warehouse: Warehouse, since: datetime | None = None):
+    def __init__(self, warehouse: Warehouse):
         self.warehouse = warehouse
         self.spark = warehouse.spark
-        self.start = datetime.combine(naive_utc(since), time.min) if since else None
 
-    def base(self, name: str) -> str:
-        return f"{self.warehouse.root}/marts/{name}"
-
-    @property
-    def recent(self) -> DataFrame:
-        """Fact rows of the first changed day and later."""
-        rows = between_periods(self.warehouse.fact, self.start, grain=self.warehouse.grain)
-        return rows.filter(F.col("ts") >= C.utc(self.start))
+    def day_table(self, touched: Touched) -> DataFrame:
+        """The touched days as a table (column ``day``), which the calendar bounds."""
+        days = set(touched.days)
+        if touched.since is not None:
+            found = self.warehouse.fact.filter(F.to_date("ts") >= F.lit(touched.since)).select(F.to_date("ts").alias("day")).distinct()
+            days |= {r["day"] for r in found.collect()}
+        return self.spark.createDataFrame([(d,) for d in sorted(days)], "day date")
+
+    def changed(self, days: list[date]) -> DataFrame:
+        """Fact rows of the touched days, from their partitions."""
+        periods = sorted({period_start(datetime.combine(d, datetime.min.time()), self.warehouse.grain) for d in days})
+        table = self.spark.createDataFrame([(d,) for d in days], "day date")
+        rows = self.warehouse.fact.filter(F.col(PERIOD).isin(periods))
+        return rows.join(F.broadcast(table), F.to_date("ts") == F.col("day"), "left_semi")
+
+    def over_time(self, name: str, build: Callable[[list[date] | None], DataFrame]) -> Versioned:
+        """Bring a table over time up to date. ``build`` makes its rows of the given days, or of all days for None."""
+        table, touched = self.warehouse.mart(name), self.warehouse.ledger.touched(name)
+        sort, stored = ["symbol_id", table.time], table.manifest()
+        if stored is None or touched.since == date.min:
+            table.replace(build(None), sort)
+        elif touched:
+            found = self.day_table(touched)
+            days = [r["day"] for r in found.collect()]
+            months = {d.replace(day=1) for d in days}
+            if touched.since is not None:  # stored months whose facts are gone count too
+                months |= {p for p in stored if p >= touched.since.replace(day=1)}
+            rest = table.read(sorted(months)).join(F.broadcast(found), F.to_date(table.time) == F.col("day"), "left_anti")
+            table.replace(build(days).unionByName(rest), sort, sorted(months))
+        self.warehouse.ledger.clear(name, touched)
+        return table
 
     @cached_property
     def days(self) -> DataFrame:
-        """The stored day rollup behind three of the marts, brought up to date once per run."""
-        path, sort = self.base("ohlc_days"), ["symbol_id", "trading_day"]
-        if self.start is None or not table_exists(self.spark, path):
-            days = with_bucket_period(marts.day_rollup(self.warehouse.fact), "trading_day")
-            write_partitioned(days, path, sort, mode="overwrite")
-        else:
-            replace_buckets(marts.day_rollup(self.recent), path, "trading_day", sort, self.start)
-        return read_table(self.spark, path)
-
-    def over_time(
-        self, name: str, bucket: str, whole: Callable[[], DataFrame], recent: Callable[[], DataFrame]
-    ) -> str:
-        """A mart with one row per symbol and bucket: a new version, or its recent buckets replaced."""
-        current = latest_version(self.spark, self.base(name)) if self.start else None
-        if current is None:
-            return publish(whole(), self.base(name), name, bucket)
-        replace_buckets(recent(), current, bucket, ["symbol_id", bucket], self.start)
-        return current
-
-    def daily(self, name: str) -> str:
-        symbols, days = self.warehouse.symbols, self.days.drop(PERIOD)
-
-        def recent() -> DataFrame:
-            changed = between_periods(self.days, self.start).filter(F.col("trading_day") >= C.utc(self.start))
-            return marts.daily_of(changed.drop(PERIOD), symbols)
-
-        return self.over_time(name, "trading_day", lambda: marts.daily_of(days, symbols), recent)
-
-    def hourly(self, name: str) -> str:
-        return self.over_time(
-            name, "trading_hour", lambda: marts.hourly(self.warehouse.star),
-            lambda: marts.hourly(marts.Star(self.recent, self.warehouse.symbols)),
-        )
-
-    def asset_type(self, name: str) -> str:
-        return publish(marts.asset_type_of(self.days), self.base(name), name)
-
-    def symbol(self, name: str) -> str:
-        return publish(marts.symbol_of(self.days, self.warehouse.symbols), self.base(name), name)
-
-
-MART_REFRESH: dict[str, Callable[[Refresh, str], str]] = {
+        """The stored day rollup, brought up to date once per run."""
+        return self.over_time(DAYS, lambda days: marts.day_rollup(
+            self.warehouse.fact if days is None else self.changed(days))).read()
+
+    def daily(self, name: str) -> Versioned:
+        stored = self.days
+
+        def build(days: list[date] | None) -> DataFrame:
+            rows = stored
+            if days is not None:
+                table = self.spark.createDataFrame([(d,) for d in days], "day date")
+                rows = self.warehouse.mart(DAYS).read(sorted({d.replace(day=1) for d in days})).join(
+                    F.broadcast(table), F.to_date("trading_day") == F.col("day"), "left_semi")
+            return marts.daily_of(rows, self.warehouse.symbols)
+
+        return self.over_time(name, build)
+
+    def hourly(self, name: str) -> Versioned:
+        def build(days: list[date] | None) -> DataFrame:
+            return marts.hourly(marts.Star(self.warehouse.fact if days is None else self.changed(days), self.warehouse.symbols))
+
+        return self.over_time(name, build)
+
+    def whole(self, name: str, build: Callable[[], DataFrame], sort: list[str]) -> Versioned:
+        """A small table that is computed as a whole from the day rollup, if any day has changed."""
+        table, touched = self.warehouse.mart(name), self.warehouse.ledger.touched(name)
+        if table.manifest() is None or touched:
+            table.replace(build(), sort)
+        self.warehouse.ledger.clear(name, touched)
+        return table
+
+    def asset_type(self, name: str) -> Versioned:
+        days = self.days
+        return self.whole(name, lambda: marts.asset_type_of(days), ["asset_type_code"])
+
+    def symbol(self, name: str) -> Versioned:
+        days = self.days
+        return self.whole(name, lambda: marts.symbol_of(days, self.warehouse.symbols), ["symbol_id"])
+
+
+MART_REFRESH: dict[str, Callable[[Refresh, str], Versioned]] = {
     "mv_daily_ohlc_summary": Refresh.daily,
     "mv_hourly_ohlc_summary": Refresh.hourly,
     "mv_asset_type_summary": Refresh.asset_type,
     "mv_symbol_analytics": Refresh.symbol,
 }
 
+# Analytic views over the stored marts: name, mart, and what the view does with it.
+ANALYTIC_VIEWS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
+    "ohlc_1day": ("mv_daily_ohlc_summary", marts.day_view),
+    "ohlc_1hour": ("mv_hourly_ohlc_summary", marts.hour_view),
+    "ohlc_7day": ("mv_daily_ohlc_summary", marts.week_view),
+}
+
+
+def refresh_marts(warehouse: Warehouse, steps: dict | None = None) -> RefreshReport:
+    """Refresh every mart and (re)create its view; a failing one is reported and does not stop the others.
 
-def refresh_marts(
-    warehouse: Warehouse, since: datetime | None = None, steps: dict | None = None
-) -> RefreshReport:
-    """Refresh every mart; a failing one is reported and does not stop the others."""
-    run, report = Refresh(warehouse, since), RefreshReport()
+    What a failed mart has missed stays in the ledger, so its next refresh makes up for it.
+    """
+    run, report = Refresh(warehouse), RefreshReport()
     for name, step in (steps or MART_REFRESH).items():
         try:
-            report.refreshed[name] = step(run, name)
+            table = step(run, name)
+            table.show(name)
+            report.refreshed[name] = table.path
         except Exception as error:  # noqa: BLE001 - the report carries the reason
-            report.errors[name] = f"Failed to refresh {name}: {error}"
+            report.errors[name] = f"{name} was not refreshed: {error}"
     return report
 
 
+def open_views(warehouse: Warehouse) -> list[str]:
+    """Create the views of all marts that have been written, as a new session with an in-memory catalog needs."""
+    found = [name for name in MART_REFRESH if warehouse.mart(name).manifest() is not None]
+    for name in found:
+        warehouse.mart(name).show(name)
+    return found
+
+
+def analytic_view(warehouse: Warehouse, name: str) -> DataFrame:
+    """Daily, hourly or weekly bars (``ohlc_1day``, ``ohlc_1hour``, ``ohlc_7day``) over the stored mart."""
+    mart, view = ANALYTIC_VIEWS[name]
+    return view(warehouse.mart(mart).read())
+
+
+def loaded_range(warehouse: Warehouse) -> tuple[str | None, str | None]:
+    """First and last time from the day rollup, where it is up to date, else from the fact table."""
+    days = warehouse.mart(DAYS)
+    if days.manifest() is None or warehouse.ledger.touched(DAYS):
+        return date_range(warehouse)
+    return tuple(readouts.range_of(days.read(), "first_ts", "last_updated").first())
+
+
 def date_range(warehouse: Warehouse) -> tuple[str | None, str | None]:
     """First and last time in the fact table; None before the first load."""
-    if not table_exists(warehouse.spark, warehouse.fact_path):
-        return None, None
     return tuple(readouts.date_range(warehouse.fact).first())
 
 

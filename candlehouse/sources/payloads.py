@@ -37,13 +37,23 @@ _NEWS_SCHEMA = (
 _RANKING_SCHEMA = "Data array<struct<CoinInfo:struct<Name:string>>>, _corrupt_record string"
 
 MALFORMED = "malformed payload"
+REFUSED = "page with a bad row"
 
 
-def read_landed(spark: SparkSession, path: str, keys: list[str], one_per_file: bool = False) -> DataFrame:
-    """Landed payloads, one per line or one per file, below ``key=value`` directories."""
-    schema = ", ".join(f"{c} string" for c in ["value", *keys])
-    texts = spark.read.schema(schema).text(path, wholetext=one_per_file)
-    return texts.select(*keys, F.col("_metadata.file_path").alias("page"), F.col("value").alias("payload"))
+def read_landed(spark: SparkSession, path: str, keys: list[str], numbered_lines: bool = False) -> DataFrame:
+    """Landed payloads below ``key=value`` directories, one per file, or one per line as ``number<TAB>payload``.
+
+    Which of two equal bars came first is told by ``page``: a key directory of that name, the number of the line, or
+    else the file's name. Lines must carry a number, since Spark reads a file's lines in no certain order.
+    """
+    schema = ", ".join(f"{c} {'bigint' if c == 'page' else 'string'}" for c in ["value", *keys])
+    texts = spark.read.schema(schema).text(path, wholetext=not numbered_lines)
+    value, page = F.col("value"), [] if "page" in keys else [F.col("_metadata.file_path").alias("page")]
+    if numbered_lines:
+        cut = F.instr(value, "\t")
+        page = [F.substring(value, F.lit(1), cut - 1).try_cast("bigint").alias("page")]
+        value = F.substring(value, cut + 1, F.length(value))
+    return texts.select(*[k for k in keys if not (numbered_lines and k == "page")], *page, value.alias("payload"))
 
 
 def _decode(payloads: DataFrame, schema: str) -> DataFrame:
@@ -54,17 +64,15 @@ def _decode(payloads: DataFrame, schema: str) -> DataFrame:
 def _explode(decoded: DataFrame, array: str, is_bad: Callable[[Column], Column] | None = None) -> DataFrame:
     """One row per array entry; a malformed payload gives one row without entry, an empty one none.
 
-    With ``is_bad``, an array that holds any bad entry gives no rows. The test runs on the array, so a
-    page is judged as a whole without grouping its rows again.
+    With ``is_bad``, an array that holds any bad entry gives one row without entry, marked ``_refused``. The test
+    runs on the array, so a page is judged as a whole without grouping its rows again.
     """
     keep = [c for c in decoded.columns if c != "_doc"]
     broken = F.col("_doc._corrupt_record").isNotNull()
-    entries = F.when(broken, F.array(F.lit(None)))
-    if is_bad is not None:
-        entries = F.when(broken | F.exists(array, is_bad), None)
+    refused = F.coalesce(F.exists(array, is_bad), F.lit(False)) if is_bad is not None else F.lit(False)
+    entries = F.when(broken | refused, F.array(F.lit(None))).otherwise(F.col(array))
     return decoded.select(
-        *keep, broken.alias("_broken"), F.posexplode(entries.otherwise(F.col(array))).alias("pos", "entry")
-    )
+        *keep, broken.alias("_broken"), refused.alias("_refused"), F.posexplode(entries).alias("pos", "entry"))
 
 
 def _arrival(payloads: DataFrame) -> list[str]:
@@ -74,14 +82,15 @@ def _arrival(payloads: DataFrame) -> list[str]:
 
 def _first_problem(checks: list[tuple[str, Column, Column]], *more: Column) -> Column:
     """Reason text of the first field that is missing or does not parse."""
-    found = [F.when(F.col("_broken"), F.lit(MALFORMED)), *more]
+    found = [F.when(F.col("_broken"), F.lit(MALFORMED)), F.when(F.col("_refused"), F.lit(REFUSED)), *more]
     for name, raw, parsed in checks:
         found.append(F.when(raw.isNull(), F.lit(f"missing {name}")).when(parsed.isNull(), F.lit(f"bad {name}")))
     return F.coalesce(*found)
 
 
-def _too_long(column: str) -> Column:
-    return F.when(F.length(column) > MAX_SYMBOL_LENGTH, F.lit(f"{column} too long"))
+def _bad_key(column: str, longest: int) -> Column:
+    return (F.when(F.col(column).isNull(), F.lit(f"missing {column}"))
+            .when(F.length(column) > longest, F.lit(f"{column} too long")))
 
 
 def _series_fields(entry: Column, interval_code: Column, with_volume: bool) -> dict[str, Column]:
@@ -90,7 +99,7 @@ def _series_fields(entry: Column, interval_code: Column, with_volume: bool) -> d
     return fields | ({"volume": C.parse_whole(entry["volume"])} if with_volume else {})
 
 
-def _parse_series(payloads: DataFrame, symbol: str, with_volume: bool, whole_pages: bool) -> DataFrame:
+def _parse_series(payloads: DataFrame, symbol: str, with_volume: bool, whole_pages: bool, longest: int) -> DataFrame:
     interval = F.col("interval_code")
 
     def is_bad(entry: Column) -> Column:
@@ -108,25 +117,26 @@ def _parse_series(payloads: DataFrame, symbol: str, with_volume: bool, whole_pag
         *_arrival(payloads), symbol, "interval_code", F.col("entry.datetime").alias("source_time"), *parsed,
         C.bar_start(F.col("ts"), interval).alias("start_date_time"),
         C.bar_end(F.col("ts"), interval).alias("end_date_time"),
-        _first_problem(checks, _too_long(symbol), unsupported).alias("reason"),
+        _first_problem(checks, _bad_key(symbol, longest), unsupported).alias("reason"),
     )
 
 
-def parse_stock(payloads: DataFrame, whole_pages: bool = False) -> DataFrame:
+def parse_stock(payloads: DataFrame, whole_pages: bool = False, longest: int = MAX_SYMBOL_LENGTH) -> DataFrame:
     """Stock time series: (symbol, interval_code, payload) to bars with volume.
 
-    ``whole_pages`` is the rule of the date-range backfill: a page with any bad bar is left out.
+    ``whole_pages`` is the rule of the date-range backfill: a page with any bad bar is refused, with one reject.
+    ``longest`` is the length of a symbol that the raw table allows; longer ones are rejected.
     """
-    return _parse_series(payloads, "symbol", with_volume=True, whole_pages=whole_pages)
+    return _parse_series(payloads, "symbol", with_volume=True, whole_pages=whole_pages, longest=longest)
 
 
-def parse_forex(payloads: DataFrame, whole_pages: bool = False) -> DataFrame:
+def parse_forex(payloads: DataFrame, whole_pages: bool = False, longest: int = MAX_SYMBOL_LENGTH) -> DataFrame:
     """Forex time series: (currency_pair, interval_code, payload) to bars."""
-    return _parse_series(payloads, "currency_pair", with_volume=False, whole_pages=whole_pages)
+    return _parse_series(payloads, "currency_pair", with_volume=False, whole_pages=whole_pages, longest=longest)
 
 
-def parse_crypto(payloads: DataFrame) -> DataFrame:
-    """Crypto history: (symbol, currency, payload) to bars; time is in epoch seconds."""
+def parse_crypto(payloads: DataFrame, longest: int = MAX_SYMBOL_LENGTH) -> DataFrame:
+    """Crypto history: (symbol, currency, payload) to bars; time is in epoch seconds. Good rows of a page are always kept."""
     rows = _explode(_decode(payloads, _CRYPTO_SCHEMA), "_doc.Data.Data")
     seconds = C.parse_whole(F.col("entry.time"))
     parsed = {"ts": F.timestamp_seconds(seconds)}
@@ -138,7 +148,7 @@ def parse_crypto(payloads: DataFrame) -> DataFrame:
     checks = [(fields.get(c, c), F.col(f"entry.{fields.get(c, c)}"), F.col(c)) for c in parsed]
     return rows.select(
         *_arrival(payloads), "symbol", "currency", F.col("entry.time").alias("source_time"), *parsed,
-        _first_problem(checks, _too_long("symbol"), _too_long("currency")).alias("reason"),
+        _first_problem(checks, _bad_key("symbol", longest), _bad_key("currency", longest)).alias("reason"),
     )
 
 
@@ -159,6 +169,7 @@ def parse_news(payloads: DataFrame) -> DataFrame:
         F.coalesce(F.col(f"{row}.content"), F.lit("")).alias("content"), "link",
         F.col(f"{row}.top_image").alias("top_image"), F.col(f"{row}.authors").alias("authors"),
         F.col(f"{row}.section").alias("section"), F.lit(False).alias("transformed"),
+        F.col(f"{row}.published_date").alias("source_time"),
         _first_problem(checks).alias("reason"),
     )
 
@@ -169,12 +180,15 @@ def valid(parsed: DataFrame) -> DataFrame:
 
 
 def rejects(parsed: DataFrame, source: str) -> DataFrame:
-    """Bar rows that could not be stored: source, symbol, interval, source time and reason."""
-    symbol = "currency_pair" if "currency_pair" in parsed.columns else "symbol"
-    interval = F.col("interval_code") if "interval_code" in parsed.columns else F.lit(None).cast("string")
+    """Rows that could not be stored, bars or articles: where they came from (source, page, place in it), what names
+    them, their time as it was sent, and the reason."""
+    def text(*names: str) -> Column:
+        there = [F.col(n).cast("string") for n in names if n in parsed.columns]
+        return F.coalesce(*there, F.lit(None).cast("string"))
+
     return parsed.filter("reason IS NOT NULL").select(
-        F.lit(source).alias("source"), F.col(symbol).alias("symbol"), interval.alias("interval_code"),
-        "source_time", "reason",
+        F.lit(source).alias("source"), text("page").alias("page"), "pos", text("symbol", "currency_pair", "link").alias("symbol"),
+        text("currency").alias("currency"), text("interval_code").alias("interval_code"), "source_time", "reason",
     )
 
 
@@ -190,7 +204,7 @@ def price_points(payloads: DataFrame, include_volume: bool = False) -> DataFrame
     ``volume`` is set only when asked for and present.
     """
     rows = _explode(_decode(payloads, _SERIES_SCHEMA), "_doc.values")
-    keep = [c for c in rows.columns if c not in ("_broken", "entry")]
+    keep = [c for c in rows.columns if c not in ("_broken", "_refused", "entry")]
     points = rows.select(
         *keep, F.col("entry.datetime").alias("date"),
         *[F.col(f"entry.{name}").try_cast("double").alias(name) for name in _PRICES],
@@ -202,7 +216,7 @@ def price_points(payloads: DataFrame, include_volume: bool = False) -> DataFrame
 def crypto_price_points(payloads: DataFrame) -> DataFrame:
     """Chart points of a crypto payload: UTC date, prices and both volumes."""
     rows = _explode(_decode(payloads, _CRYPTO_SCHEMA), "_doc.Data.Data")
-    keep = [c for c in rows.columns if c not in ("_broken", "entry")]
+    keep = [c for c in rows.columns if c not in ("_broken", "_refused", "entry")]
     seconds = C.parse_whole(F.col("entry.time"))
     numbers = {"open": "open", "high": "high", "low": "low", "close": "close",
                "volume_from": "volumefrom", "volume_to": "volumeto"}

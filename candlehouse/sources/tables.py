@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from datetime import date, datetime, timedelta
+from time import time_ns
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,13 +27,47 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
-def latest_version(spark: SparkSession, base: str) -> str | None:
-    """Newest completely written ``version=`` directory below ``base``, if there is one."""
-    fs, hadoop_path = _hadoop(spark, base)
-    if not fs.exists(hadoop_path):
-        return None
-    names = sorted((s.getPath().getName() for s in fs.listStatus(hadoop_path)), reverse=True)
-    return next((f"{base}/{n}" for n in names if table_exists(spark, f"{base}/{n}/_SUCCESS")), None)
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a job has made for itself."""
+    fs, hadoop_path = _hadoop(spark, path)
+    fs.delete(hadoop_path, True)
+
+
+class Record:
+    """A small JSON value of a job, such as a manifest, on whatever file system the path names.
+
+    Every write makes a new numbered file, complete before it has its name; the newest counts and the one before is kept.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def _names(self) -> list[str]:
+        fs, folder = _hadoop(self.spark, self.path)
+        if not fs.exists(folder):
+            return []
+        return sorted(n for n in (s.getPath().getName() for s in fs.listStatus(folder)) if n.endswith(".json"))
+
+    def read(self):
+        names = self._names()
+        if not names:
+            return None
+        fs, file = _hadoop(self.spark, f"{self.path}/{names[-1]}")
+        stream = fs.open(file)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def write(self, value) -> None:
+        old, name = self._names(), f"{time_ns():020d}"
+        fs, unnamed = _hadoop(self.spark, f"{self.path}/_{name}")
+        stream = fs.create(unnamed)
+        stream.write(bytearray(json.dumps(value).encode()))
+        stream.close()
+        fs.rename(unnamed, _hadoop(self.spark, f"{self.path}/{name}.json")[1])
+        for one in old[:-1]:
+            fs.delete(_hadoop(self.spark, f"{self.path}/{one}")[1], False)
 
 
 def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -46,21 +82,17 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
         return spark.read.parquet(path)
     if not table_exists(spark, path):
         return empty_table(spark, schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def spread(rows: DataFrame, least_bytes: int = 4 << 20) -> DataFrame:
-    """Spread a table over the cores if it has fewer splits than cores.
+def conform(rows: DataFrame, schema: StructType) -> DataFrame:
+    """``rows`` with exactly the columns and types of a stored table; a column that is not there is NULL.
 
-    A file with a single row group is read by one task however many cores there are, and all work up to
-    the first shuffle stays in that task. Tables with enough splits, as all large ones have, and tables
-    too small to matter are returned as they are.
+    A value that does not fit its type is an error, not a NULL.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size < least_bytes or rows._jdf.rdd().getNumPartitions() >= cores:
-        return rows
-    return rows.repartition(cores)
+    return rows.select(*[
+        (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
+    ])
 
 
 def with_period(schema: StructType) -> StructType:
@@ -74,6 +106,16 @@ def period_start(moment: datetime, grain: str = "month") -> date:
     return {"day": day, "month": day.replace(day=1), "year": day.replace(month=1, day=1)}[grain]
 
 
+def periods_between(start: datetime, end: datetime, grain: str = "month") -> list[date]:
+    """The periods that hold any moment of [start, end)."""
+    out, at, last = [], period_start(start, grain), period_start(end - timedelta(microseconds=1), grain)
+    while at <= last:
+        out.append(at)
+        at = period_start(datetime.combine(at, datetime.min.time()) + {
+            "day": timedelta(days=1), "month": timedelta(days=32), "year": timedelta(days=367)}[grain], grain)
+    return out
+
+
 def between_periods(
     table: DataFrame, start: datetime, end: datetime | None = None, grain: str = "month"
 ) -> DataFrame:

@@ -18,6 +18,12 @@ def top_by_volume(crypto_bars: DataFrame, n: int = TOP_N) -> DataFrame:
     )
 
 
+def top_by_rows(bars: DataFrame, column: str, n: int = TOP_N) -> DataFrame:
+    """The ``n`` symbols with the most bars; equal numbers are ordered by symbol."""
+    return (bars.groupBy(F.col(column).alias("symbol")).agg(F.count("*").alias("bars"))
+            .orderBy(F.desc("bars"), "symbol").limit(n))
+
+
 def only(bars: DataFrame, column: str, symbols: list[str]) -> DataFrame:
     """Bars of a fixed symbol list; the list becomes a pushed-down IN filter."""
     return bars.filter(F.col(column).isin(symbols))

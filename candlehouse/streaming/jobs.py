@@ -14,7 +14,7 @@ from candlehouse.functions import columns as C
 from candlehouse.operators.dedup import first_wins
 from candlehouse.operators.rollup import ROLLUP_KEY, measures
 from candlehouse.operators.transform import transform_stock
-from candlehouse.plans.storage import insert_ignore, period_range
+from candlehouse.plans.storage import insert_ignore, periods_of
 from candlehouse.plans.warehouse import Warehouse, append_facts, load_symbols
 from candlehouse.sources.tables import PERIOD
 
@@ -34,7 +34,7 @@ def stream_insert_ignore(
 
     def insert(batch: DataFrame, _: int) -> None:
         with _cached(batch):
-            insert_ignore(first_wins(batch, key, order).drop(order), path, key, periods=period_range(batch))
+            insert_ignore(first_wins(batch, key, order).drop(order), path, key, periods=periods_of(batch))
 
     return _available_now(bars.writeStream.foreachBatch(insert), checkpoint)
 
@@ -74,7 +74,10 @@ def stream_rollup(fact_stream: DataFrame, grain: str, path: str, checkpoint: str
 
 @contextmanager
 def _cached(batch: DataFrame) -> Iterator[None]:
-    """A micro-batch is read several times; a lost executor only costs the read of its part again."""
+    """A micro-batch is read several times; a lost executor only costs the read of its part again.
+
+    The source bounds a batch (``maxFilesPerTrigger``); what memory can't hold of it goes to disk.
+    """
     batch.persist()
     try:
         yield

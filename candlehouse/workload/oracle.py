@@ -49,7 +49,8 @@ landed_forex as ({recipes.LANDED_FOREX.format(orders="orders")}),
 landed_crypto as ({recipes.LANDED_CRYPTO.format(lineitem="lineitem")}),
 price_requests as ({recipes.PRICE_REQUESTS.format(orders="orders")}),
 landed_news as (
-  select doc_id as src_id, md5(text) as link, substr(text, 1, 80) as title,
+  select doc_id as src_id, md5(text) as link,
+         case when doc_id % 20 = 13 then chr(8195) else source || ' ' || doc_id end as title,
          date '2017-01-01' + cast(doc_id % 2830 as integer) as published_date,
          case doc_id % 10 when 0 then null when 1 then chr(160) || '  ' when 2 then ' ' || chr(9) else source end
            as description,
@@ -58,6 +59,7 @@ landed_news as (
 raw_stock as ({_first("landed_stock", "symbol, interval_code, ts")}),
 raw_forex as ({_first("landed_forex", "currency_pair, interval_code, ts")}),
 raw_news as ({_first("landed_news", "link")}),
+sent_news as ({_first("(select * from landed_news where src_id % 50 not in (7, 9))", "link")}),
 t_stock as (select symbol, interval_code, ts, open, high, low, close, volume,
                    {_change("open", "close")} as price_change from raw_stock),
 t_forex as (select currency_pair, interval_code, ts, open, high, low, close,
@@ -159,6 +161,33 @@ def _bounds(time: str) -> str:
 _INGEST_STOCK = f"""select symbol, interval_code, {_STOCK_TIME} as ts, {OHLC}, volume, {_bounds(_STOCK_TIME)}
 from landed_stock where not ({_BAD_STOCK}) and interval_code <> '1week'"""
 
+_PAGE = "src_id // 100"
+
+
+def _pos(key: str) -> str:
+    return f"row_number() over (partition by {key}, {_PAGE} order by src_id) - 1"
+
+
+# Place in the page: lots are sorted by order, line and then the numbers themselves.
+_CRYPTO_ORDER = ("l_orderkey, l_linenumber, ts, open, high, low, close, volume_from,"
+                 " case when volume_from <> 13 then volume_to end nulls first")
+_CRYPTO_POS = f"row_number() over (partition by symbol, currency, l_orderkey // 100 order by {_CRYPTO_ORDER}) - 1"
+_NEWS_POS = "row_number() over (partition by src_id // 20 order by src_id) - 1"
+
+# Raw tables as ingested: the first copy of each key that a page sent without fault.
+_SENT_STOCK = f"""select symbol, interval_code, {_STOCK_TIME} as ts, {OHLC}, open as o, close as c, volume, {_bounds(_STOCK_TIME)}, src_id,
+    not bool_or({_BAD_STOCK}) over (partition by symbol, interval_code, {_PAGE}) as page_ok
+    from landed_stock where interval_code <> '1week'
+    qualify not ({_BAD_STOCK}) and row_number() over (
+      partition by symbol, interval_code, {_STOCK_TIME} order by ({_BAD_STOCK}), src_id) = 1"""
+_DAY = "date_trunc('day', ts) as start_date_time, date_trunc('day', ts) + interval 1 day - interval 1 microsecond as end_date_time"
+_SENT_FOREX = f"""select * exclude (n) from (select currency_pair, interval_code, date_trunc('day', ts) as ts, {OHLC}, open as o, close as c, {_DAY}, src_id,
+    row_number() over (partition by currency_pair, interval_code, date_trunc('day', ts) order by src_id) as n
+    from landed_forex where src_id % 50 not in (7, 9)) where n = 1"""
+_SENT_CRYPTO = f"""select * exclude (n) from (select *, row_number() over (
+    partition by symbol, currency, ts order by l_orderkey // 100, {_CRYPTO_ORDER}) as n
+    from landed_crypto where volume_from <> 13) where n = 1"""
+
 _LAST = "row_number() over (partition by {key} order by ts desc)"
 
 _SPLIT_LOADED = {
@@ -175,20 +204,31 @@ _QUERIES = {
     "ingest_crypto": f"""select symbol, currency, ts, {OHLC}, {_d("volume_from", "volume_to")}
         from landed_crypto where volume_from <> 13""",
     "ingest_news": """select link, title, published_date, description, content, false as transformed
-        from landed_news""",
+        from landed_news where src_id % 50 not in (7, 9)""",
     "ingest_rejects": f"""
-        select 'stock' as source, symbol, interval_code, {_STOCK_TEXT} as source_time,
+        select 'stock' as source, cast({_PAGE} as varchar) as page, {_pos("symbol, interval_code")} as pos, symbol,
+               cast(null as varchar) as currency, interval_code, {_STOCK_TEXT} as source_time,
                case when interval_code = '1week' then 'unsupported interval'
-                    when src_id % 100 = 7 then 'missing close' else 'bad close' end as reason
-        from landed_stock where {_BAD_STOCK} or interval_code = '1week'
+                    when src_id % 100 = 7 then 'missing close' else 'bad close' end as reason, src_id as place
+        from landed_stock qualify {_BAD_STOCK} or interval_code = '1week'
+        union all
+        select 'forex', cast({_PAGE} as varchar), {_pos("currency_pair, interval_code")}, currency_pair, null, interval_code,
+               strftime(ts, '%Y-%m-%d'), case when src_id % 50 = 7 then 'missing open' else 'bad open' end, src_id
+        from landed_forex qualify src_id % 50 in (7, 9)
         union all
-        select 'forex', currency_pair, interval_code, strftime(ts, '%Y-%m-%d'),
-               case when src_id % 50 = 7 then 'missing open' else 'bad open' end
-        from landed_forex where src_id % 50 in (7, 9)
+        select 'crypto', cast(l_orderkey // 100 as varchar), {_CRYPTO_POS}, symbol, currency, null,
+               cast(cast(epoch(ts) as bigint) as varchar), 'missing volumeto', l_orderkey
+        from landed_crypto qualify volume_from = 13
         union all
-        select 'crypto', symbol, null, cast(cast(epoch(ts) as bigint) as varchar), 'missing volumeto'
-        from landed_crypto where volume_from = 13""",
-    "ingest_store": f"select distinct symbol, interval_code, ts from ({_INGEST_STOCK})",
+        select 'news', cast(src_id // 20 as varchar), {_NEWS_POS}, case when src_id % 50 = 9 then null else link end, null, null,
+               case when src_id % 50 = 7 then 'soon' else strftime(published_date, '%Y-%m-%d') end,
+               case when src_id % 50 = 7 then 'bad published_date' else 'missing link' end, src_id
+        from landed_news qualify src_id % 50 in (7, 9)""",
+    "ingest_store": f"""select symbol, interval_code, ts, open, high, low, close, volume, start_date_time, end_date_time
+        from ({_SENT_STOCK})""",
+    "ingest_store_forex": f"""select currency_pair, interval_code, ts, open, high, low, close, start_date_time, end_date_time
+        from ({_SENT_FOREX})""",
+    "ingest_store_crypto": f"select symbol, currency, ts, {OHLC}, {_d('volume_from', 'volume_to')} from ({_SENT_CRYPTO})",
     "payload_history": f"""select symbol, interval_code, {_STOCK_TEXT} as date, {OHLC}, volume
         from landed_stock where not ({_BAD_STOCK})""",
     "price_history_crypto": f"""select symbol, currency, strftime(ts, '%Y-%m-%d') as date, {OHLC},
@@ -196,19 +236,29 @@ _QUERIES = {
     "kline_bounds": f"select src_id, interval_code, ts, {_bounds('ts')} from landed_stock",
     "top_symbols": """select symbol, cast(sum(volume_to) as double) as total_volume from landed_crypto
         group by symbol order by sum(volume_to) desc, symbol limit 10""",
+    "ranked_names": """select row_number() over (order by v desc, symbol) - 1 as pos, symbol from (
+        select symbol, sum(volume_to) as v from landed_crypto group by symbol order by v desc, symbol limit 10)""",
     "backfill_top": f"""
-        select 'STOCK' as asset_type_code, symbol, ts, {OHLC} from t_stock
-        where symbol in ('click', 'purchase', 'view') and interval_code = '1day'
-          and ts >= timestamp '2010-01-01' and ts < timestamp '2024-02-01'
+        select 'STOCK' as asset_type_code, symbol, cast(null as varchar) as currency, interval_code, ts, {OHLC} from (
+          select symbol, interval_code, {_STOCK_TIME} as ts, open, high, low, close, row_number() over (
+            partition by symbol, interval_code, {_STOCK_TIME} order by src_id) as n
+          from (select *, bool_or({_BAD_STOCK}) over (partition by symbol, interval_code, {_PAGE}) as refused from landed_stock)
+          where not refused and interval_code <> '1week' and symbol in (
+            select symbol from landed_stock group by symbol order by count(*) desc, symbol limit 3))
+        where n = 1 and ts >= timestamp '2024-01-01' and ts < timestamp '2024-02-01'
         union all
-        select 'FOREX', currency_pair, ts, {OHLC}
-        from (select *, {_LAST.format(key="currency_pair")} as rn from t_forex)
-        where rn <= 30 and currency_pair in ('1/USD', '2/USD', '3/USD')
+        select 'FOREX', currency_pair, null, interval_code, ts, {OHLC} from (
+          select currency_pair, interval_code, date_trunc('day', ts) as ts, open, high, low, close, row_number() over (
+            partition by currency_pair, interval_code, date_trunc('day', ts) order by src_id) as n
+          from (select *, bool_or(src_id % 50 in (7, 9)) over (partition by currency_pair, interval_code, {_PAGE}) as refused
+                from landed_forex)
+          where not refused and currency_pair in (
+            select currency_pair from landed_forex group by currency_pair order by count(*) desc, currency_pair limit 3))
+        where n = 1 and ts >= timestamp '1995-01-01' and ts < timestamp '1997-01-01'
         union all
-        select 'CRYPTO', symbol, ts, {OHLC}
-        from (select *, {_LAST.format(key="symbol")} as rn from t_crypto where currency = 'N')
-        where rn <= 10 and symbol in (select symbol from landed_crypto group by symbol
-                                      order by sum(volume_to) desc, symbol limit 10)""",
+        select 'CRYPTO', symbol, currency, null, ts, {OHLC} from ({_SENT_CRYPTO})
+        where ts >= timestamp '1995-01-01' and ts < timestamp '1997-01-01' and symbol in (
+          select symbol from landed_crypto group by symbol order by sum(volume_to) desc, symbol limit 10)""",
     "insert_ignore_raw": f"select src_id, currency_pair, interval_code, ts, {OHLC} from raw_forex",
     "insert_ignore_stock": f"select src_id, symbol, interval_code, ts, {OHLC}, volume from raw_stock",
     "insert_ignore_crypto": f"""select l_orderkey, cast(l_linenumber as bigint) as l_linenumber, symbol, currency,
@@ -299,17 +349,17 @@ _QUERIES = {
     **{f"stream_cagg_{name}": f"""select * from ({_rollup(grain, "(select * from fact where asset_type_id = 1)")})
         where bucket + interval 1 {grain} <= (select max(ts) from fact where asset_type_id = 1) - interval 3 days"""
        for name, grain in (("daily", "day"), ("hourly", "hour"))},
-    "price_history": f"""select *, count(*) over (partition by symbol) as count from (
-        select symbol, interval_code, cast(30 as bigint) as days, {_LAST.format(key="symbol")} as rn,
-               strftime(ts, '%Y-%m-%d %H:%M:%S') as date, {OHLC}, volume
-        from (select symbol, interval_code, ts, open, high, low, close, volume from t_stock
-              union all select currency_pair, interval_code, ts, open, high, low, close, null from t_forex)
+    "price_history": f"""select * exclude (kind), count(*) over (partition by kind, symbol, currency) as count from (
+        select kind, symbol, currency, interval_code, cast(30 as bigint) as days, {_LAST.format(key="kind, symbol, currency")} as rn,
+               strftime(ts, '%Y-%m-%d %H:%M:%S') as date, {OHLC}, volume, {_d("volume_from", "volume_to")}
+        from (select 1 as kind, symbol, cast(null as varchar) as currency, interval_code, ts, open, high, low, close, volume,
+                     cast(null as double) as volume_from, cast(null as double) as volume_to from t_stock
+              union all select 2, currency_pair, null, interval_code, ts, open, high, low, close, null, null, null from t_forex
+              union all select 3, symbol, currency, '1day', ts, open, high, low, close, null, volume_from, volume_to from t_crypto)
         where interval_code = '1day') where rn <= 30""",
-    "index_daily": f"""select symbol, interval_code, cast(6000 as bigint) as requested_days,
-        cast(5000 as bigint) as days,
-        'Parameter ''days'' cannot exceed 5000. Adjusted from 6000 to 5000.' as warning,
+    "index_daily": f"""select symbol, interval_code, cast(100000 as bigint) as days,
         strftime(ts, '%Y-%m-%d %H:%M:%S') as date, {OHLC}, volume
-        from (select * from t_stock where symbol = 'view' and interval_code = '1day' order by ts desc limit 5000)""",
+        from (select * from t_stock where symbol = 'view' and interval_code = '1day' order by ts desc limit 100000)""",
     "price_by_date": """select r.symbol, r.currency, r.date, cast(c.close as double) as close
         from (select distinct symbol, currency, date, date + interval 1 day - interval 1 second as until
               from price_requests where symbol is not null and date is not null) r
@@ -326,11 +376,58 @@ _QUERIES["transform_store_stock"] = _QUERIES["transform_stock"]
 _QUERIES["transform_store_crypto"] = _QUERIES["transform_crypto"]
 _QUERIES["incremental_symbol"] = _QUERIES["mv_symbol"]
 _QUERIES["incremental_daily"] = _QUERIES["mv_daily"]
-_QUERIES["news_all"] = _QUERIES["transform_news"]
-_QUERIES["ingest_range"] = f"""select * exclude (page_ok) from (
-    select symbol, interval_code, {_STOCK_TIME} as ts, {OHLC}, volume, {_bounds(_STOCK_TIME)},
-           not bool_or({_BAD_STOCK}) over (partition by symbol, interval_code, src_id // 100) as page_ok
-    from landed_stock)
-    where page_ok and interval_code <> '1week' and ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-20'"""
+_QUERIES["news_all"] = _QUERIES["transform_news"].replace("raw_news", "sent_news")
+_QUERIES["transform_store_forex"] = _QUERIES["transform_forex"]
+_QUERIES["refresh_after_gap"] = _QUERIES["mv_daily"]
+_QUERIES["ingest_rejects"] = f"select * exclude (place) from ({_QUERIES['ingest_rejects']})"
+
+
+def _ranged(rows: str, start: str, end: str) -> str:
+    """Good rows of the range, and all rejects; a refused or malformed page has one at place 0 without time and prices."""
+    return (f"select page, pos, symbol, ts, {OHLC}, reason from ({rows}) where reason is not null"
+            f" or (ts >= timestamp '{start}' and ts < timestamp '{end}' + interval 1 day)")
+
+
+def _paged(source: str, key: str, symbol: str, time: str, bad: str, unsupported: str) -> str:
+    return f"""
+      select {_PAGE} as page, {_pos(key)} as pos, {symbol} as symbol, {time} as ts, open, high, low, close,
+             case when {unsupported} then 'unsupported interval' end as reason
+      from (select *, bool_or({bad}) over (partition by {key}, {_PAGE}) as refused from {source}) where not refused
+      union all
+      select distinct {_PAGE}, 0, {symbol}, cast(null as timestamp), null, null, null, null, 'page with a bad row'
+      from (select *, bool_or({bad}) over (partition by {key}, {_PAGE}) as refused from {source}) where refused"""
+
+
+_QUERIES["ingest_range"] = _ranged(
+    _paged("landed_stock", "symbol, interval_code", "symbol", _STOCK_TIME, _BAD_STOCK, "interval_code = '1week'"),
+    "2024-01-10", "2024-01-19")
+# Two keys of one symbol may have refused pages of the same number: distinct must not merge them.
+_QUERIES["ingest_range"] = _QUERIES["ingest_range"].replace(
+    "select distinct src_id // 100, 0, symbol", "select distinct on (symbol, interval_code, src_id // 100) src_id // 100, 0, symbol")
+_QUERIES["ingest_range_forex"] = _ranged(
+    _paged("landed_forex", "currency_pair, interval_code", "currency_pair", "date_trunc('day', ts)", "src_id % 50 in (7, 9)", "false"),
+    "1996-01-01", "1997-12-31")
+_QUERIES["ingest_range_crypto"] = _ranged(f"""
+      select l_orderkey // 100 as page, {_CRYPTO_POS} as pos, symbol, ts, open, high, low, close,
+             case when volume_from = 13 then 'missing volumeto' end as reason from landed_crypto""", "1996-01-01", "1997-12-31")
+_SENT_DAYS = f"""
+    select symbol, currency, date_trunc('day', ts) as ts, min(open) as open, max(high) as high, min(low) as low, max(close) as close,
+             sum(volume_from) as volume_from, sum(volume_to) as volume_to, {_mean("high + low")} / 2 as avg_price
+      from landed_crypto where volume_from <> 13 group by all"""
+_LOADED = f"""
+    select {_symbol_id("'STOCK'", "symbol", "null")} as symbol_id, cast(1 as bigint) as asset_type_id,
+      cast(interval_id as bigint) as interval_id, ts, {OHLC}, volume, cast(null as double) as volume_from,
+      cast(null as double) as volume_to, {_change("o", "c")} as price_change, cast(null as double) as avg_price,
+      'transformed_stock_data' as source_table
+    from ({_SENT_STOCK}) join intervals using (interval_code)
+    union all
+    select {_symbol_id("'FOREX'", "currency_pair", "null")}, 2, interval_id, ts, {OHLC}, null, null, null,
+      {_change("o", "c")}, null, 'transformed_forex_data'
+    from ({_SENT_FOREX}) join intervals using (interval_code)
+    union all
+    select {_symbol_id("'CRYPTO'", "symbol", "currency")}, 3, 6, ts, {OHLC}, null, cast(volume_from as double), cast(volume_to as double),
+      {_percent("open", "close")}, avg_price, 'transformed_crypto_data'
+    from ({_SENT_DAYS})"""
+_QUERIES["load_by_type"] = _LOADED
 
 ORACLE: dict[str, str] = {name: f"{_BASE}{text}" for name, text in _QUERIES.items()}

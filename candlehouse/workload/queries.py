@@ -12,10 +12,11 @@ from pyspark.sql import types as T
 from candlehouse.functions import columns as C
 from candlehouse.functions.arguments import parse_asset_types
 from candlehouse.operators import dedup, dims, facts, marts, readouts, rollup, transform
-from candlehouse.plans import continuous, ingest, news, storage, warehouse
+from candlehouse.plans import backfill, continuous, ingest, news, storage, warehouse
 from candlehouse.plans import transform as transforms
+from candlehouse.plans.versions import Versioned
 from candlehouse.schemas import (
-    CRYPTO_KEY, FACT_COLUMNS, FOREX_KEY, INTERVAL_ID, STOCK_KEY,
+    CRYPTO_KEY, FACT_COLUMNS, FOREX_KEY, INTERVAL_ID, RAW_KEY, RAW_SCHEMA, REJECT_SCHEMA, STOCK_KEY, TRANSFORMED_SCHEMA,
 )
 from candlehouse.session import scratch_path
 from candlehouse.sources import payloads as P
@@ -58,14 +59,32 @@ def ingest_forex(m: MarketTables) -> DataFrame:
 
 @query
 def ingest_crypto(m: MarketTables) -> DataFrame:
-    return P.valid(P.parse_crypto(m.crypto_payloads)).drop("pos")
+    return P.valid(P.parse_crypto(m.crypto_payloads)).drop("page", "pos")
+
+
+def _in_range(m: MarketTables, asset_type: str, payloads: DataFrame, start: str, end: str) -> DataFrame:
+    """Bars of a date-range backfill, and its rejects: refused pages count with their reason."""
+    parsed = backfill.parse_range(payloads, asset_type, start, end)
+    column = facts.SYMBOL_COLUMN[asset_type]
+    shape = ["page", "pos", F.col(column).alias("symbol"), "ts", "open", "high", "low", "close", "reason"]
+    return parsed.select(*shape)
 
 
 @query
 def ingest_range(m: MarketTables) -> DataFrame:
-    """Date-range backfill of whole pages."""
-    bars = P.valid(P.parse_stock(m.stock_payloads, whole_pages=True))
-    return P.in_date_range(bars, "2024-01-10", "2024-01-19").drop("page", "pos")
+    """Whole stock pages: one with a bad bar is refused, and says so."""
+    return _in_range(m, "STOCK", m.stock_payloads, "2024-01-10", "2024-01-19")
+
+
+@query
+def ingest_range_forex(m: MarketTables) -> DataFrame:
+    return _in_range(m, "FOREX", m.forex_payloads, "1996-01-01", "1997-12-31")
+
+
+@query
+def ingest_range_crypto(m: MarketTables) -> DataFrame:
+    """Crypto pages keep their good rows."""
+    return _in_range(m, "CRYPTO", m.crypto_payloads, "1996-01-01", "1997-12-31")
 
 
 @query
@@ -76,22 +95,41 @@ def ingest_news(m: MarketTables) -> DataFrame:
 
 @query
 def ingest_rejects(m: MarketTables) -> DataFrame:
-    return (
-        P.rejects(P.parse_stock(m.stock_payloads), "stock")
-        .unionByName(P.rejects(P.parse_forex(m.forex_payloads), "forex"))
-        .unionByName(P.rejects(P.parse_crypto(m.crypto_payloads), "crypto"))
-    )
+    """The reject table after two ingests of all pages, bars and news."""
+    root = scratch_path(m.spark, "rejects")
+    store = news.NewsStore(m.spark, f"{root}/news")
+    pages = {"STOCK": P.parse_stock(m.stock_payloads), "FOREX": P.parse_forex(m.forex_payloads), "CRYPTO": P.parse_crypto(m.crypto_payloads)}
+    for _ in range(2):
+        for code, parsed in pages.items():
+            ingest.ingest_bars(parsed, code, f"{root}/raw_{code}", store.reject_path)
+        news.ingest_news(store, m.news_payloads)
+    return read_table(m.spark, store.reject_path, REJECT_SCHEMA)
+
+
+def _ingested(m: MarketTables, code: str, parsed: DataFrame) -> DataFrame:
+    path = scratch_path(m.spark, f"raw_{code}")
+    ingest.ingest_bars(parsed, code, path, f"{path}_rejects")
+    return read_table(m.spark, path, RAW_SCHEMA[code]).drop("sys_timestamp")
 
 
 @query
 def ingest_store(m: MarketTables) -> DataFrame:
-    """Land pages as text files, then ingest them into the raw table; the result is that table."""
-    landing, raw, bad = (scratch_path(m.spark, n) for n in ("landing", "raw", "rejects"))
-    m.stock_payloads.select("symbol", "interval_code", "payload").write.partitionBy(
-        "symbol", "interval_code").text(landing)
-    landed = P.read_landed(m.spark, landing, ["symbol", "interval_code"])
-    ingest.ingest_bars(P.parse_stock(landed), "stock", STOCK_KEY, raw, bad)
-    return m.spark.read.parquet(raw).select(*STOCK_KEY)
+    """Land stock pages as numbered lines of text files, then ingest them into the raw table; the result is that table."""
+    landing = scratch_path(m.spark, "landing")
+    line = F.concat(F.col("page").cast("string"), F.lit("\t"), F.col("payload")).alias("value")
+    m.stock_payloads.select("symbol", "interval_code", line).write.partitionBy("symbol", "interval_code").text(landing)
+    landed = P.read_landed(m.spark, landing, ["symbol", "interval_code"], numbered_lines=True)
+    return _ingested(m, "STOCK", P.parse_stock(landed))
+
+
+@query
+def ingest_store_forex(m: MarketTables) -> DataFrame:
+    return _ingested(m, "FOREX", P.parse_forex(m.forex_payloads))
+
+
+@query
+def ingest_store_crypto(m: MarketTables) -> DataFrame:
+    return _ingested(m, "CRYPTO", P.parse_crypto(m.crypto_payloads))
 
 
 @query
@@ -102,7 +140,7 @@ def payload_history(m: MarketTables) -> DataFrame:
 
 @query
 def price_history_crypto(m: MarketTables) -> DataFrame:
-    return P.crypto_price_points(m.crypto_payloads).drop("pos")
+    return P.crypto_price_points(m.crypto_payloads).drop("page", "pos")
 
 
 @query
@@ -119,24 +157,29 @@ def top_symbols(m: MarketTables) -> DataFrame:
     return universe.top_by_volume(m.landed_crypto)
 
 
+@query
+def ranked_names(m: MarketTables) -> DataFrame:
+    """Coins of the ranking payload, in rank order."""
+    return P.ranked_names(m.ranking_payload)
+
+
 @query
 def backfill_top(m: MarketTables) -> DataFrame:
-    """The bars a backfill of the symbol universe brings, all symbols in one job."""
-    t = m.transformed
-    stock = universe.only(t["STOCK"], "symbol", ["click", "purchase", "view"])
-    stock = P.in_date_range(stock, "2010-01-01", "2024-01-31").filter("interval_code = '1day'")
-    forex = universe.only(t["FOREX"], "currency_pair", ["1/USD", "2/USD", "3/USD"])
-    forex = readouts.last_n(forex, ["currency_pair"], 30)
-    top = universe.top_by_volume(m.landed_crypto).select("symbol")
-    crypto = t["CRYPTO"].filter("currency = 'N'").join(F.broadcast(top), "symbol", "left_semi")
-    crypto = readouts.last_n(crypto, ["symbol"], 10)
-    shape = ["ts", "open", "high", "low", "close"]
-    return (
-        stock.select(F.lit("STOCK").alias("asset_type_code"), "symbol", *shape)
-        .unionByName(forex.select(F.lit("FOREX").alias("asset_type_code"),
-                                  F.col("currency_pair").alias("symbol"), *shape))
-        .unionByName(crypto.select(F.lit("CRYPTO").alias("asset_type_code"), "symbol", *shape))
-    )
+    """Backfill the three most quoted stocks and pairs and the ranked coins from landed pages; the rows of the raw tables."""
+    root = scratch_path(m.spark, "backfill")
+    jobs_ = {
+        "STOCK": (m.stock_payloads, universe.top_by_rows(m.landed_stock, "symbol", 3), "2024-01-01", "2024-01-31"),
+        "FOREX": (m.forex_payloads, universe.top_by_rows(m.landed_forex, "currency_pair", 3), "1995-01-01", "1996-12-31"),
+        "CRYPTO": (m.crypto_payloads, P.ranked_names(m.ranking_payload).select("symbol"), "1995-01-01", "1996-12-31"),
+    }
+    out = []
+    for code, (pages, symbols, start, end) in jobs_.items():
+        backfill.backfill(pages, code, f"{root}/{code}", f"{root}/rejects", symbols, start, end)
+        raw = read_table(m.spark, f"{root}/{code}", RAW_SCHEMA[code])
+        out.append(raw.select(F.lit(code).alias("asset_type_code"), F.col(facts.SYMBOL_COLUMN[code]).alias("symbol"),
+                              *[F.col(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in ("currency", "interval_code")],
+                              "ts", "open", "high", "low", "close"))
+    return out[0].unionByName(out[1]).unionByName(out[2])
 
 
 # --- insert-ignore ---------------------------------------------------------------------------------
@@ -148,7 +191,7 @@ def _two_overlapping_loads(landed: DataFrame, key: list[str], split: datetime, o
     early, late = landed.filter(F.col("ts") < C.utc(split)), landed.filter(F.col("ts") >= C.utc(split - overlap))
     for batch in (early, late):
         storage.insert_ignore(
-            dedup.first_wins(batch, key, "src_id"), path, key, periods=storage.period_range(batch))
+            dedup.first_wins(batch, key, "src_id"), path, key, periods=storage.periods_of(batch))
     return landed.sparkSession.read.parquet(path).drop("trade_period")
 
 
@@ -164,9 +207,11 @@ def insert_ignore_stock(m: MarketTables) -> DataFrame:
 
 @query
 def insert_ignore_crypto(m: MarketTables) -> DataFrame:
+    """Two overlapping loads: the second finds a year of keys stored."""
     order = ["l_orderkey", "l_linenumber", "open", "high", "low", "close", "volume_from", "volume_to"]
-    path = scratch_path(m.spark, "raw_crypto")
-    storage.insert_ignore(dedup.first_of_ordered(m.raw_crypto, CRYPTO_KEY, order), path, CRYPTO_KEY)
+    path, split, overlap = scratch_path(m.spark, "raw_crypto"), datetime(1996, 1, 1), timedelta(days=365)
+    for batch in (m.raw_crypto.filter(F.col("ts") < C.utc(split)), m.raw_crypto.filter(F.col("ts") >= C.utc(split - overlap))):
+        storage.insert_ignore(dedup.first_of_ordered(batch, CRYPTO_KEY, order), path, CRYPTO_KEY, periods=storage.periods_of(batch))
     return m.spark.read.parquet(path).drop("trade_period")
 
 
@@ -200,8 +245,17 @@ def transform_store_stock(m: MarketTables) -> DataFrame:
     """The stored table after a run over the bars of three weeks and a run over all bars."""
     path = scratch_path(m.spark, "transformed_stock_data")
     for raw in (m.raw_stock.filter("ts < '2024-01-22'"), m.raw_stock):
-        transforms.store_bars(raw, path, STOCK_KEY, transform.transform_stock)
-    return m.spark.read.parquet(path).drop("trade_period")
+        transforms.store_bars(raw, path, "STOCK")
+    return read_table(m.spark, path, TRANSFORMED_SCHEMA["STOCK"])
+
+
+@query
+def transform_store_forex(m: MarketTables) -> DataFrame:
+    """The stored table after a run over the pairs before 1996 and a run over all."""
+    path = scratch_path(m.spark, "transformed_forex_data")
+    for raw in (m.raw_forex.filter("ts < '1996-01-01'"), m.raw_forex):
+        transforms.store_bars(raw, path, "FOREX")
+    return read_table(m.spark, path, TRANSFORMED_SCHEMA["FOREX"])
 
 
 @query
@@ -211,7 +265,7 @@ def transform_store_crypto(m: MarketTables) -> DataFrame:
     path = scratch_path(m.spark, "transformed_crypto_data")
     transforms.store_crypto_days(m.raw_crypto.filter("ts >= '2000-01-01' and volume_from < 10"), path)
     transforms.store_crypto_days(m.raw_crypto, path, datetime(1999, 1, 1))
-    return m.spark.read.parquet(path).drop("trade_period")
+    return transforms.crypto_days(m.raw_crypto, path).read()
 
 
 @query
@@ -244,12 +298,10 @@ def transform_news(m: MarketTables) -> DataFrame:
 
 @query
 def news_all(m: MarketTables) -> DataFrame:
-    """Two fetch-and-transform rounds, then all published articles."""
+    """Two fetch-and-transform rounds over landed pages, the second with all of them, then all published articles."""
     store = news.NewsStore(m.spark, scratch_path(m.spark, "news"))
-    articles = m.raw_news.select(*_NEWS_COLUMNS)
-    for batch in (articles.filter("published_date < '2020-01-01'"), articles):
-        news.save_articles(store, batch)
-        news.transform_pending(store)
+    for batch in (m.news_payloads.filter("page < 5"), m.news_payloads):
+        news.news_round(store, batch)
     return store.published()
 
 
@@ -303,15 +355,45 @@ def fact_union(m: MarketTables) -> DataFrame:
 def full_load(m: MarketTables) -> DataFrame:
     """Load everything twice: the second load finds nothing new."""
     w = _new_warehouse(m)
-    warehouse.load_full(w, m.transformed)
-    warehouse.load_full(w, m.transformed)
+    warehouse.load_full(w, m.stored)
+    warehouse.load_full(w, m.stored)
+    return w.fact.select(*FACT_COLUMNS)
+
+
+@query
+def load_by_type(m: MarketTables) -> DataFrame:
+    """Three loads of one asset type each, from parsed payloads."""
+    w = _new_warehouse(m)
+    parsed = {"STOCK": P.parse_stock(m.stock_payloads), "CRYPTO": P.parse_crypto(m.crypto_payloads), "FOREX": P.parse_forex(m.forex_payloads)}
+    for code, rows in parsed.items():
+        good = P.valid(rows)
+        if code == "CRYPTO":
+            bars = transform.transform_crypto(good)
+        else:
+            bars = transforms.TRANSFORM[code](ingest.arrival(good, RAW_KEY[code]))
+        warehouse.load_full(w, {code: bars}, [code])
     return w.fact.select(*FACT_COLUMNS)
 
 
+@query
+def refresh_after_gap(m: MarketTables) -> DataFrame:
+    """The daily mart after a full load, an append that no refresh followed, and an incremental load."""
+    w, as_of = _new_warehouse(m), _newest(m.landed_stock)
+    middle, late = C.utc(as_of - timedelta(days=12)), C.utc(as_of - timedelta(days=2))
+    bars = m.stored
+    warehouse.load_full(w, {code: b.filter(F.col("ts") < middle) for code, b in bars.items()})
+    between = {code: b.filter((F.col("ts") >= middle) & (F.col("ts") < late)) for code, b in bars.items()}
+    warehouse.load_symbols(w, between)
+    warehouse.append_facts(w, between)
+    report = warehouse.load_incremental(w, bars, as_of, hours_back=72)
+    assert not report.views.errors, report.views.errors
+    return w.mart("mv_daily_ohlc_summary").read()
+
+
 @query
 def load_selected(m: MarketTables) -> DataFrame:
     w = _new_warehouse(m)
-    warehouse.load_full(w, m.transformed, parse_asset_types(" stock, ,Foo,crypto"))
+    warehouse.load_full(w, m.stored, parse_asset_types(" stock, ,Foo,crypto"))
     return w.fact.select(*FACT_COLUMNS)
 
 
@@ -323,8 +405,8 @@ def _two_step_load(m: MarketTables) -> tuple[warehouse.Warehouse, warehouse.Load
     """A full load of everything older than 100 hours, then the last 168 hours on top."""
     w, as_of = _new_warehouse(m), _newest(m.landed_stock)
     split = C.utc(as_of - timedelta(hours=100))
-    warehouse.load_full(w, {code: bars.filter(F.col("ts") <= split) for code, bars in m.transformed.items()})
-    return w, warehouse.load_incremental(w, m.transformed, as_of, hours_back=168)
+    warehouse.load_full(w, {code: bars.filter(F.col("ts") <= split) for code, bars in m.stored.items()})
+    return w, warehouse.load_incremental(w, m.stored, as_of, hours_back=168)
 
 
 @query
@@ -336,23 +418,23 @@ def incremental_load(m: MarketTables) -> DataFrame:
 @query
 def incremental_symbol(m: MarketTables) -> DataFrame:
     """The symbol mart after an incremental load, which reads the touched months only."""
-    _, report = _two_step_load(m)
-    mart = m.spark.read.parquet(report.views.refreshed["mv_symbol_analytics"])
+    w, _ = _two_step_load(m)
+    mart = w.mart("mv_symbol_analytics").read()
     return mart.withColumn("price_volatility", F.round("price_volatility", 4))
 
 
 @query
 def incremental_daily(m: MarketTables) -> DataFrame:
     """The daily mart after an incremental load, which rewrites the touched months only."""
-    _, report = _two_step_load(m)
-    return m.spark.read.parquet(report.views.refreshed["mv_daily_ohlc_summary"]).drop("trade_period")
+    w, _ = _two_step_load(m)
+    return w.mart("mv_daily_ohlc_summary").read()
 
 
 @query
 def lookback(m: MarketTables) -> DataFrame:
     """Rows of the last 24 hours per asset type, loaded into an empty warehouse."""
     w = _new_warehouse(m)
-    warehouse.load_incremental(w, m.transformed, _newest(m.landed_stock), hours_back=24)
+    warehouse.load_incremental(w, m.stored, _newest(m.landed_stock), hours_back=24)
     return w.fact.select(*FACT_COLUMNS)
 
 
@@ -361,7 +443,7 @@ def load_report(m: MarketTables) -> DataFrame:
     """Report of a full load and of its repetition."""
     w, rows = _new_warehouse(m), []
     for run in (1, 2):
-        report = warehouse.load_full(w, m.transformed)
+        report = warehouse.load_full(w, m.stored)
         rows += [(run, report.load_type, code, n, report.total, *report.date_range) for code, n in report.counts.items()]
     return m.spark.createDataFrame(
         rows, "run int, load_type string, asset_type_code string, records_loaded bigint,"
@@ -372,14 +454,14 @@ def load_report(m: MarketTables) -> DataFrame:
 def refresh_marts(m: MarketTables) -> DataFrame:
     """Load, publish all marts plus one that fails, and report with the rows each view now shows."""
     w = _new_warehouse(m)
-    warehouse.load_symbols(w, m.transformed)
-    warehouse.append_facts(w, m.transformed)
+    warehouse.load_symbols(w, m.stored)
+    warehouse.append_facts(w, m.stored)
 
-    def failing(run: warehouse.Refresh, name: str) -> str:
-        return storage.publish(run.warehouse.fact.select("no_such_column"), f"{w.root}/marts/{name}", name)
+    def failing(run: warehouse.Refresh, name: str) -> Versioned:
+        return run.whole(name, lambda: run.warehouse.fact.select("no_such_column"), [])
 
     report = warehouse.refresh_marts(w, steps={**warehouse.MART_REFRESH, "mv_failing": failing})
-    rows = [(name, "refreshed", m.spark.read.parquet(path).count()) for name, path in report.refreshed.items()]
+    rows = [(name, "refreshed", m.spark.table(name).count()) for name in report.refreshed]
     rows += [(name, "error", None) for name in report.errors]
     return m.spark.createDataFrame(
         [(*row, report.processed, len(report.refreshed), len(report.errors)) for row in rows],
@@ -412,20 +494,28 @@ def mv_symbol(m: MarketTables) -> DataFrame:
     return marts.symbol(m.star).withColumn("price_volatility", F.round("price_volatility", 4))
 
 
+def _analytic(m: MarketTables, name: str) -> DataFrame:
+    """An analytic view over the stored mart, which the first such query brings up to date."""
+    mart = warehouse.ANALYTIC_VIEWS[name][0]
+    run = warehouse.Refresh(m.house)
+    warehouse.MART_REFRESH[mart](run, mart)
+    return warehouse.analytic_view(m.house, name)
+
+
 @query
 def ohlc_1day(m: MarketTables) -> DataFrame:
-    return marts.day_view(marts.daily(m.star))
+    return _analytic(m, "ohlc_1day")
 
 
 @query
 def ohlc_1hour(m: MarketTables) -> DataFrame:
-    return marts.hour_view(marts.hourly(m.star))
+    return _analytic(m, "ohlc_1hour")
 
 
 @query
 def ohlc_7day(m: MarketTables) -> DataFrame:
     """Rounded: a mean of daily means depends in its last bits on the row order."""
-    return marts.week_view(marts.daily(m.star)).withColumn("avg_close", F.round("avg_close", 6))
+    return _analytic(m, "ohlc_7day").withColumn("avg_close", F.round("avg_close", 6))
 
 
 # --- continuous aggregates -------------------------------------------------------------------------
@@ -433,21 +523,21 @@ def ohlc_7day(m: MarketTables) -> DataFrame:
 
 @query
 def cagg_daily(m: MarketTables) -> DataFrame:
-    return rollup.bucket_rollup(m.fact, "day")
+    return rollup.bucket_rollup(m.house.fact, "day")
 
 
 @query
 def cagg_hourly(m: MarketTables) -> DataFrame:
-    return rollup.bucket_rollup(m.fact, "hour")
+    return rollup.bucket_rollup(m.house.fact, "hour")
 
 
 def _refreshed(m: MarketTables, grain: str) -> tuple[str, DataFrame]:
     """Build a rollup before the minute bars arrive, then refresh the policy range with them."""
     w, path, as_of = _new_warehouse(m), scratch_path(m.spark, f"cagg_{grain}"), _newest(m.landed_stock)
-    early = {c: t if c == "CRYPTO" else t.filter("interval_code <> '1min'") for c, t in m.transformed.items()}
+    early = {c: t if c == "CRYPTO" else t.filter("interval_code <> '1min'") for c, t in m.stored.items()}
     warehouse.append_facts(w, early)
     continuous.build_rollup(w.fact, path, grain)
-    warehouse.append_facts(w, {"STOCK": m.transformed["STOCK"].filter("interval_code = '1min'")})
+    warehouse.append_facts(w, {"STOCK": m.stored["STOCK"].filter("interval_code = '1min'")})
     assert w.fact.filter(F.col("interval_id") == INTERVAL_ID["1min"]).limit(1).count() == 1
     continuous.refresh_rollup(w.fact, path, grain, *continuous.refresh_range(grain, as_of))
     return path, w.fact
@@ -456,20 +546,20 @@ def _refreshed(m: MarketTables, grain: str) -> tuple[str, DataFrame]:
 @query
 def cagg_daily_refresh(m: MarketTables) -> DataFrame:
     path, _ = _refreshed(m, "day")
-    return m.spark.read.parquet(path).drop("trade_period")
+    return continuous.rollup_table(m.spark, path).read()
 
 
 @query
 def cagg_hourly_refresh(m: MarketTables) -> DataFrame:
     path, _ = _refreshed(m, "hour")
-    return m.spark.read.parquet(path).drop("trade_period")
+    return continuous.rollup_table(m.spark, path).read()
 
 
 @query
 def late_rows(m: MarketTables) -> DataFrame:
     """Buckets whose late rows no refresh has reached."""
     path, fact = _refreshed(m, "day")
-    return rollup.stale_buckets(read_table(m.spark, path), fact, "day")
+    return rollup.stale_buckets(continuous.rollup_table(m.spark, path).read(), fact, "day")
 
 
 @query
@@ -507,25 +597,25 @@ def stream_cagg_hourly(m: MarketTables) -> DataFrame:
 
 @query
 def price_history(m: MarketTables) -> DataFrame:
-    stock = readouts.price_history(m.transformed["STOCK"], "symbol", 30)
-    return stock.unionByName(readouts.price_history(m.transformed["FOREX"], "currency_pair", 30))
+    found = [readouts.price_history(bars, facts.SYMBOL_COLUMN[code], 30) for code, bars in m.stored.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 @query
 def index_daily(m: MarketTables) -> DataFrame:
-    return readouts.index_daily(m.transformed["STOCK"], 6000, symbol="view")
+    return readouts.index_daily(m.stored["STOCK"], 100_000, symbol="view")
 
 
 @query
 def price_by_date(m: MarketTables) -> DataFrame:
-    return readouts.price_by_date(m.transformed["CRYPTO"], m.price_requests)
+    return readouts.price_by_date(m.stored["CRYPTO"], m.price_requests)
 
 
 @query
 def warehouse_stats(m: MarketTables) -> DataFrame:
-    return readouts.warehouse_statistics(m.fact, m.symbols)
+    return warehouse.statistics(m.house)
 
 
 @query
 def date_range(m: MarketTables) -> DataFrame:
-    return readouts.date_range(m.fact)
+    return readouts.date_range(m.house.fact)

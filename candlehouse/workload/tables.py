@@ -9,12 +9,18 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlehouse.operators import dims, facts, transform
+from candlehouse.operators import facts, transform
 from candlehouse.operators.dedup import first_wins, first_wins_wide
+from candlehouse.operators.facts import SOURCE_TABLE
 from candlehouse.operators.marts import Star
-from candlehouse.schemas import FOREX_KEY, STOCK_KEY
-from candlehouse.session import pin_utc
-from candlehouse.sources.tables import spread
+from candlehouse.plans.storage import periods_of
+from candlehouse.plans.transform import store_bars, store_crypto_days
+from candlehouse.plans.versions import Versioned
+from candlehouse.plans.warehouse import Warehouse, append_facts, load_symbols
+from candlehouse.schemas import FOREX_KEY, STOCK_KEY, TRANSFORMED_SCHEMA
+from candlehouse.session import pin_utc, scratch_path
+from candlehouse.sources import universe
+from candlehouse.sources.tables import read_table, with_period
 
 LANDED_STOCK = """
 select event_id as src_id, event_type as symbol,
@@ -67,6 +73,19 @@ SCHEMAS = {
 }
 
 
+#: Root of the loaded warehouse by session and folder of tables.
+HOUSES: dict[tuple[str, str], str] = {}
+
+
+def stored_path(house: Warehouse, code: str) -> str:
+    return f"{house.root}/{SOURCE_TABLE[code]}"
+
+
+def stored_bars(house: Warehouse) -> dict[str, DataFrame]:
+    bars = {code: read_table(house.spark, stored_path(house, code), with_period(TRANSFORMED_SCHEMA[code])) for code in ("STOCK", "FOREX")}
+    return bars | {"CRYPTO": Versioned(house.spark, stored_path(house, "CRYPTO"), "ts").read()}
+
+
 class MarketTables:
     """Lazy market tables over one folder of test tables. Nothing runs until a query needs it."""
 
@@ -96,15 +115,16 @@ class MarketTables:
 
     @cached_property
     def landed_news(self) -> DataFrame:
-        """Every tenth description is missing, and as many are blank in two ways."""
+        """Every tenth description is missing, and as many are blank in two ways; every twentieth title is blank."""
         pick = F.col("doc_id") % 10
         description = (
             F.when(pick == 0, F.lit(None).cast("string")).when(pick == 1, F.lit("\u00a0  "))
             .when(pick == 2, F.lit(" \t")).otherwise(F.col("source"))
         )
-        return spread(self.table("documents")).select(
+        title = F.when(F.col("doc_id") % 20 == 13, F.lit("\u2003")).otherwise(F.concat("source", F.lit(" "), F.col("doc_id").cast("string")))
+        return self.table("documents").select(
             F.col("doc_id").alias("src_id"), F.md5("text").alias("link"),
-            F.substring("text", 1, 80).alias("title"),
+            title.alias("title"),
             F.date_add(F.lit("2017-01-01").cast("date"), (F.col("doc_id") % 2830).cast("int")).alias("published_date"),
             description.alias("description"), F.col("text").alias("content"),
         )
@@ -120,7 +140,7 @@ class MarketTables:
     @cached_property
     def raw_crypto(self) -> DataFrame:
         """As landed: several bars per key, which the daily transform aggregates."""
-        return self.from_sql(LANDED_CRYPTO, "lineitem", spread(self.table("lineitem")))
+        return self.landed_crypto
 
     @cached_property
     def raw_news(self) -> DataFrame:
@@ -135,19 +155,35 @@ class MarketTables:
         }
 
     @cached_property
-    def fact(self) -> DataFrame:
-        return facts.fact_union(self.transformed)
+    def house(self) -> Warehouse:
+        """A warehouse that holds all bars, and the transformed tables beside it, as the jobs leave them.
+
+        It is loaded once per session and folder of tables, by the first query that asks for it.
+        """
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in HOUSES:
+            house = Warehouse(self.spark, scratch_path(self.spark, "house"))
+            store_bars(self.raw_stock, stored_path(house, "STOCK"), "STOCK", periods_of(self.landed_stock))
+            store_bars(self.raw_forex, stored_path(house, "FOREX"), "FOREX", periods_of(self.landed_forex))
+            store_crypto_days(self.raw_crypto, stored_path(house, "CRYPTO"))
+            bars = stored_bars(house)
+            load_symbols(house, bars)
+            append_facts(house, bars)
+            HOUSES[key] = house.root
+        return Warehouse(self.spark, HOUSES[key])
+
+    @property
+    def stored(self) -> dict[str, DataFrame]:
+        """The stored transformed tables, by month."""
+        return stored_bars(self.house)
 
     @cached_property
-    def symbols(self) -> DataFrame:
-        """Transforms keep every symbol, so the landed bars name the same ones and need no dedup first."""
-        return dims.all_symbols(
-            {"STOCK": self.landed_stock, "FOREX": self.landed_forex, "CRYPTO": self.landed_crypto}
-        )
+    def fact(self) -> DataFrame:
+        return facts.fact_union(self.transformed)
 
     @cached_property
     def star(self) -> Star:
-        return Star(self.fact, self.symbols)
+        return self.house.star
 
     @cached_property
     def price_requests(self) -> DataFrame:
@@ -181,27 +217,40 @@ class MarketTables:
 
     @cached_property
     def crypto_payloads(self) -> DataFrame:
+        """Pages of 100 consecutive orders; every 13th lot lacks a volume."""
         volume_to = F.when(F.col("volume_from") != 13, F.col("volume_to"))
         point = F.struct(
-            F.unix_timestamp("ts").alias("time"), "open", "high", "low", "close",
+            "l_orderkey", "l_linenumber", F.unix_timestamp("ts").alias("time"), "open", "high", "low", "close",
             F.col("volume_from").alias("volumefrom"), volume_to.alias("volumeto"),
         )
-        page = F.to_json(F.struct(F.struct(F.array(point).alias("Data")).alias("Data")))
-        return self.raw_crypto.select("symbol", "currency", page.alias("payload"))
+        page = F.floor(F.col("l_orderkey") / 100).alias("page")
+        grouped = self.raw_crypto.groupBy("symbol", "currency", page).agg(F.sort_array(F.collect_list(point)).alias("Data"))
+        return grouped.select("symbol", "currency", "page", F.to_json(F.struct(F.struct("Data").alias("Data"))).alias("payload"))
 
     @cached_property
     def news_payloads(self) -> DataFrame:
+        """Pages of 20 consecutive articles; one in 50 has no date, one in 50 no link."""
+        n = F.col("src_id") % 50
         row = F.struct(
-            "title", F.date_format("published_date", "yyyy-MM-dd").alias("published_date"),
-            "description", "content", "link",
-        )
-        return self.landed_news.select(
-            F.to_json(F.struct(F.array(F.struct(row.alias("row"))).alias("rows"))).alias("payload")
+            "title", F.when(n == 7, F.lit("soon")).otherwise(F.date_format("published_date", "yyyy-MM-dd")).alias("published_date"),
+            "description", "content", F.when(n != 9, F.col("link")).alias("link"),
         )
+        page = F.floor(F.col("src_id") / 20).alias("page")
+        rows = F.transform(F.sort_array(F.collect_list(F.struct("src_id", row.alias("row")))), lambda x: F.struct(x["row"].alias("row")))
+        return self.landed_news.groupBy(page).agg(rows.alias("rows")).select("page", F.to_json(F.struct("rows")).alias("payload"))
+
+    @cached_property
+    def ranking_payload(self) -> DataFrame:
+        """The ranking of coins by volume, as the API sends it: one small payload."""
+        top = universe.top_by_volume(self.landed_crypto)
+        ranked = F.sort_array(F.collect_list(F.struct((-F.col("total_volume")).alias("v"), "symbol")))
+        coins = F.transform(ranked, lambda x: F.struct(F.struct(x["symbol"].alias("Name")).alias("CoinInfo")))
+        return top.agg(F.to_json(F.struct(coins.alias("Data"))).alias("payload"))
 
     def event_stream(self) -> DataFrame:
         """The stock bars as a stream of files."""
-        events = self.spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(self.sf_dir)
+        events = (self.spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet")
+                  .option("maxFilesPerTrigger", 8).parquet(self.sf_dir))
         return self.from_sql(LANDED_STOCK, "events", events)
 
 

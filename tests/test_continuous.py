@@ -30,7 +30,7 @@ def test_refresh_touches_its_range_only(spark, tmp_path, table_grain):
     K.build_rollup(fact(spark, *old), path, "day", table_grain)
     late = fact(spark, *old, "2024-01-05 11:00:00", "2024-01-13 09:00:00", "2024-01-14 11:00:00", "2024-02-01 11:00:00")
     K.refresh_rollup(late, path, "day", datetime(2024, 1, 13), datetime(2024, 1, 15), table_grain)
-    stored = spark.read.parquet(path)
+    stored = K.rollup_table(spark, path, table_grain).read()
     assert {(r.bucket.month, r.bucket.day): r.record_count for r in stored.collect()} == {
         (1, 5): 1, (1, 13): 1, (1, 14): 2, (2, 1): 1}
     stale = stale_buckets(stored, late, "day").collect()
@@ -42,7 +42,16 @@ def test_refresh_of_an_empty_range(spark, tmp_path):
     rows = fact(spark, "2024-01-05 10:00:00")
     K.build_rollup(rows, path, "hour")
     K.refresh_rollup(rows, path, "hour", datetime(2024, 1, 6), datetime(2024, 1, 6))
-    assert spark.read.parquet(path).count() == 1
+    assert K.rollup_table(spark, path).read().count() == 1
+
+
+def test_a_reader_of_the_old_buckets_goes_on_and_an_emptied_month_is_gone(spark, tmp_path):
+    path = f"{tmp_path}/cagg"
+    K.build_rollup(fact(spark, "2024-01-05 10:00:00", "2024-02-05 10:00:00"), path, "day")
+    old = K.rollup_table(spark, path).read()
+    K.refresh_rollup(fact(spark, "2024-01-05 10:00:00"), path, "day", datetime(2024, 2, 1), datetime(2024, 3, 1))
+    assert old.count() == 2
+    assert [r.bucket.month for r in K.rollup_table(spark, path).read().collect()] == [1]
 
 
 def test_rollup_has_true_open_and_close(spark):

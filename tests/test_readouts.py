@@ -13,20 +13,25 @@ def test_last_n_across_months(spark):
     assert sum(r.symbol == "B" for r in got) == 1
 
 
-def test_price_history_counts_and_clamps(spark):
+def test_price_history_counts_and_takes_any_number_of_days(spark):
     frame = B.stock(spark, *[B.stock_row(interval="1day", ts=f"2024-01-{d:02d} 00:00:00") for d in range(1, 6)], B.stock_row())
     rows = readouts.price_history(frame, "symbol", 3).orderBy("rn").collect()
     assert [(r.days, r["count"], r.date[:10]) for r in rows] == [(3, 3, f"2024-01-0{d}") for d in (5, 4, 3)]
-    assert readouts.price_history(frame, "symbol", 9999).first().days == 365
+    assert readouts.price_history(frame, "symbol", 9999).count() == 5
 
 
-def test_index_is_newest_first_with_warning(spark):
+def test_price_history_of_crypto_by_currency(spark):
+    frame = B.crypto(spark, *[("BTC", c, f"2024-01-{d:02d}", d) for c in ("USD", "EUR") for d in range(1, 5)])
+    rows = readouts.price_history(frame, "symbol", 3).collect()
+    assert sorted((r.currency, r.rn, r["count"], r.date[8:10], r.volume) for r in rows) == [
+        (c, n, 3, f"0{5 - n}", None) for c in ("EUR", "USD") for n in (1, 2, 3)]
+    assert {float(r.volume_to) for r in rows} == {2.0}
+
+
+def test_index_is_newest_first(spark):
     frame = B.stock(spark, *[B.stock_row("SPY", "1day", f"2024-01-{d:02d} 00:00:00") for d in range(1, 4)])
-    rows = readouts.index_daily(frame, 0).collect()
-    assert [(r.requested_days, r.days, r.date[:10]) for r in rows] == [(0, 1, "2024-01-03")]
-    assert "at least 1" in rows[0].warning
     assert [r.date[8:10] for r in readouts.index_daily(frame, 2).collect()] == ["03", "02"]
-    assert readouts.index_daily(frame, 2).first().warning is None
+    assert readouts.index_daily(frame, 100_000).count() == 3
 
 
 def test_price_by_date_takes_the_newest_bar_up_to_the_day(spark):

@@ -1,3 +1,4 @@
+import json
 from datetime import date, datetime
 
 import bars as B
@@ -51,13 +52,13 @@ def test_stored_crypto_days(spark, tmp_path):
     assert transforms.store_crypto_days(partial, path) == 2
     assert transforms.store_crypto_days(whole, path) == 1  # finished days stay
     transforms.store_crypto_days(whole, path, datetime(2024, 1, 31))
-    stored = {r.ts.day: int(r.close) for r in spark.read.parquet(path).collect()}
+    stored = {r.ts.day: int(r.close) for r in transforms.crypto_days(whole, path).read().collect()}
     assert stored == {30: 1, 31: 9, 1: 2}
 
 
 def test_stored_bars_are_added_once(spark, tmp_path):
     bars = B.stock(spark, B.stock_row(), B.stock_row(ts="2024-02-15 09:30:00")).drop("price_change")
-    add = lambda rows: transforms.store_bars(rows, f"{tmp_path}/t", STOCK_KEY, transform.transform_stock)
+    add = lambda rows: transforms.store_bars(rows, f"{tmp_path}/t", "STOCK")
     assert [add(bars.limit(1)), add(bars), add(bars)] == [1, 1, 0]
 
 
@@ -85,6 +86,35 @@ def test_a_news_run_that_died_before_its_ledger_publishes_nothing_twice(spark, t
     store = news.NewsStore(spark, str(tmp_path))
     articles = spark.createDataFrame([("l1", "t", date(2017, 1, 2), "d", "c")], NEWS)
     news.save_articles(store, articles)
-    articles.write.parquet(store.published_path)
+    news._append_by_link(articles, store.published(), store.published_path)
     news.transform_pending(store)
     assert store.published().count() == 1
+
+
+def test_news_from_landed_pages(spark, tmp_path):
+    def page(n, *rows):
+        keys = ("title", "published_date", "description", "content", "link")
+        return (n, json.dumps({"rows": [{"row": dict(zip(keys, r))} for r in rows]}))
+
+    store = news.NewsStore(spark, str(tmp_path))
+    pages = [page(2, ("late copy", "2019-05-01", "d", "c", "l1"), ("t", "soon", "d", "c", "l3")),
+             page(1, ("first", "2019-05-01", "d", "c", "l1"), ("t", "2019-06-01", "d", "c", None), ("t2", "2019-06-01", "d", "c", "l2"))]
+    frame = spark.createDataFrame([*pages, (3, "{broken")], "page bigint, payload string")
+    assert news.news_round(store, frame) == {"stored": 2, "rejected": 3}
+    assert news.news_round(store, frame) == {"stored": 0, "rejected": 0}
+    assert sorted((r.link, r.title) for r in store.published().collect()) == [("l1", "first"), ("l2", "t2")]
+    rejects = spark.read.parquet(store.reject_path)
+    assert sorted((r.page, r.pos, r.reason) for r in rejects.collect()) == [
+        ("1", 1, "missing link"), ("2", 1, "bad published_date"), ("3", 0, "malformed payload")]
+
+
+def test_pending_articles_are_found_without_their_texts(spark, tmp_path):
+    store = news.NewsStore(spark, str(tmp_path))
+    news.save_articles(store, spark.createDataFrame([("l1", "t", date(2017, 1, 2), "d", "c")], NEWS))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = news.pending_links(store)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "content" not in plan and "title" not in plan
