@@ -12,9 +12,10 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) for the nodes of ``edges`` (a, b: bigint): the smallest node that each can reach.
 
     Every round takes the smallest label around each node and then the label of that label, so labels travel twice as far each
-    time. Labels live in the shared folder between rounds; only the number of changes comes to the driver.
+    time. Edges and labels live in the shared folder between rounds; only whether anything changed comes to the driver.
     """
-    both = checkpoint(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    edges = checkpoint(edges.select("a", "b"))
+    both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = checkpoint(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("component")))
     while True:
         near = (both.join(labels.select(F.col("node").alias("b"), "component"), "b")
@@ -25,3 +26,14 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.select("node", "component")
         if new.where(F.col("old") != F.col("component")).isEmpty():
             return labels
+
+
+def merged(first: DataFrame, edges: DataFrame) -> DataFrame:
+    """Components of the graph of which ``first`` has some already, with more ``edges``: only edges between them are followed."""
+    to = lambda s: first.select(F.col("node").alias(s), F.col("component").alias(f"c{s}"))
+    between = (edges.join(to("a"), "a", "left").join(to("b"), "b", "left")
+               .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b").distinct())
+    second = components(between)
+    moved = (first.join(second.select(F.col("node").alias("component"), F.col("component").alias("c")), "component", "left")
+             .select("node", F.coalesce("c", "component").alias("component")))
+    return moved.unionAll(second.join(first, "node", "left_anti").select("node", "component"))

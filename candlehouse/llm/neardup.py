@@ -6,13 +6,14 @@ whose shingle sets have Jaccard similarity J share each value of their union's s
 * overlaps: inverted lists of retained values bring documents together. Pairs at the threshold share at least ``need`` of k values but for
   a chance of 1e-7, so lists are only built of each document's k - need + 1 rarest values: one of the shared is among them.
 * filter: the share of the union's sketch that both have estimates J; pairs below need / k are dropped. Before that a
-  64-bit word (one bit of the smallest hash in each of 64 ranges) drops nearly all chance pairs without moving sketches.
+  256-bit mark (one bit of the smallest hash in each of 256 ranges) drops nearly all other pairs without moving sketches.
 * verification: exact Jaccard similarity of the full sets.
 
-Documents with equal sets are one class first, so copies cost one row. Lists are not turned into all pairs: first each member is
-paired with the list's first member, the verified links give components, and only lists that still hold several components
-pair members of different components, long lists in blocks. So no link between components is lost, and a group of
-thousands of near copies costs about as many pairs as it has members.
+Documents with equal sets are one class first, so copies cost one row. Lists are not turned into all pairs. Each member is
+paired with the list's first member, and what passes the filter gives clusters of similar documents; then lists that
+still hold several clusters pair members of different clusters, long lists in blocks. Now every link lies within a cluster. A
+cluster's full sets meet in one task, a large cluster's in blocks of bounded size, where all similarities come from products of
+incidence matrices. Only labels leave the task, never the pairs.
 """
 
 from __future__ import annotations
@@ -27,14 +28,16 @@ from pyspark.sql import functions as F
 
 from candlehouse.llm import words
 from candlehouse.llm.common import checkpoint
-from candlehouse.llm.graph import components
+from candlehouse.llm.graph import components, merged
 
 K = 32
 MISS = 1e-7
-#: Members of a list that are paired in one block.
-BLOCK = 1024
-#: Equal bits of two 64-bit words that a pair needs; at J = 0.8 fewer come with a chance below 1e-7.
-EQUAL_BITS = 41
+#: Ranges of the hash that a mark has a bit for; a multiple of 64, and a power of two.
+RANGES = 256
+#: Members of a list, or of a cluster, that meet in one block; members of small clusters that share a task.
+BLOCK, TASK_ROWS = 1024, 2048
+#: Shingles of a block that are multiplied at a time.
+COLUMNS = 4096
 
 
 def shingles(texts: list[str], n: int) -> list[np.ndarray]:
@@ -59,24 +62,34 @@ def shingles(texts: list[str], n: int) -> list[np.ndarray]:
     return out
 
 
-def needed(percent: int, k: int = K) -> int:
-    """The most shared values of k that pairs at the threshold reach, but for a chance of MISS."""
-    p, tail = percent / 100, 0.0
-    for x in range(k + 1):
-        tail += math.comb(k, x) * p**x * (1 - p) ** (k - x)
+def least_hits(p: float, n: int) -> int:
+    """The greatest number that n trials of chance p reach, but for a chance of MISS."""
+    tail = 0.0
+    for x in range(n + 1):
+        tail += math.comb(n, x) * p**x * (1 - p) ** (n - x)
         if tail > MISS:
-            return max(1, x)
-    return k
+            return x
+    return n
+
+
+def needed(percent: int, k: int = K) -> int:
+    """Values of the union's sketch that both documents of a link have."""
+    return max(1, least_hits(percent / 100, k))
 
 
-def signature(values: np.ndarray) -> int:
-    """One bit of the smallest hash in each of 64 equal ranges (0 for an empty range), as a signed 64-bit number."""
-    at = np.searchsorted(values, np.arange(64, dtype=np.uint64) << np.uint64(57))
+def equal_bits(percent: int) -> int:
+    """Equal bits of the marks of a link: each is equal if its range has one smallest hash, else by half."""
+    return least_hits((1 + percent / 100) / 2, RANGES)
+
+
+def signature(values: np.ndarray) -> np.ndarray:
+    """One bit of the smallest hash in each of the equal ranges (0 for an empty range), as signed 64-bit numbers."""
+    at = np.searchsorted(values, np.arange(RANGES, dtype=np.uint64) << np.uint64(63 - RANGES.bit_length() + 1))
     ends = np.append(at[1:], len(values))
     there = at < ends
-    bits = np.zeros(64, dtype=np.uint64)
+    bits = np.zeros(RANGES, dtype=np.uint64)
     bits[there] = (values[at[there]] >> np.uint64(3)) & np.uint64(1)
-    return int((bits << np.arange(64, dtype=np.uint64)).sum(dtype=np.uint64).astype(np.int64))
+    return (bits.reshape(-1, 64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64).astype(np.int64)
 
 
 def sketches(docs: DataFrame, n: int, k: int = K) -> DataFrame:
@@ -90,64 +103,53 @@ def sketches(docs: DataFrame, n: int, k: int = K) -> DataFrame:
                     batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([int(s.sum(dtype=np.uint64).astype(np.int64)) for s in sets], pa.int64()),
                     pa.array([int(words.scramble(s).sum(dtype=np.uint64).astype(np.int64)) for s in sets], pa.int64()),
-                    pa.array([signature(s) for s in sets], pa.int64()),
+                    pa.array([signature(s) for s in sets], pa.list_(pa.int64())),
                     pa.array([s[:k].astype(np.int64) for s in sets], pa.list_(pa.int64())),
                 ], names=["doc_id", "size", "s1", "s2", "bits", "sketch"])
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
-        run, "doc_id bigint, size bigint, s1 bigint, s2 bigint, bits bigint, sketch array<bigint>")
+        run, "doc_id bigint, size bigint, s1 bigint, s2 bigint, bits array<bigint>, sketch array<bigint>")
 
 
 def _alike(size_a: Column, size_b: Column, bits_a: Column, bits_b: Column, percent: int) -> Column:
-    """What sizes and 64-bit words allow to be a link."""
+    """What sizes and marks allow to be a link.
+
+    Each unequal bit needs a shingle that only one of the two has, and a link has few of these: for small sets that is the closer bound.
+    """
+    unequal = sum(F.bit_count(bits_a[i].bitwiseXOR(bits_b[i])) for i in range(RANGES // 64))
+    apart = F.floor((size_a + size_b) * (100 - percent) / (100 + percent) + 1e-9)
     return ((F.least(size_a, size_b) * 100 >= F.greatest(size_a, size_b) * percent)
-            & (F.bit_count(bits_a.bitwiseXOR(bits_b)) <= 64 - EQUAL_BITS))
+            & (unequal <= F.least(F.lit(RANGES - equal_bits(percent)), apart)))
 
 
 def inverted_lists(classes: DataFrame, percent: int, k: int = K) -> DataFrame:
-    """(value, rep, size, bits): each class under the rarest values of its sketch that other classes have too."""
-    need = needed(percent, k) / k
+    """(value, rep, size, bits): each class under the rarest values of its sketch that other classes have too.
+
+    A set so small that all its partners' sketches are whole sets needs no allowance for chance: links share ``percent`` of it.
+    """
+    need = F.when(F.size("values") < k * percent / 100, percent / 100).otherwise(needed(percent, k) / k)
     values = classes.select("rep", F.explode("sketch").alias("value"))
     common = values.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
     known = values.join(common, "value", "left").groupBy("rep").agg(
         F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "value"))).alias("values"))  # k at most
     many = F.size("values")
-    prefix = (many - F.ceil(many * need) + 1).cast("int")
+    prefix = (many - F.ceil(many * need - 1e-9) + 1).cast("int")
     rare = F.filter(F.slice("values", F.lit(1), prefix), lambda x: x["n"] > 1)
     return (known.select("rep", F.explode(rare).alias("x")).select("rep", F.col("x.value").alias("value"))
             .join(classes.select("rep", "size", "bits"), "rep"))
 
 
-def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int, k: int) -> DataFrame:
-    """The pairs (a, b) that are links: estimate on sketches first, exact similarity of the full sets of the rest."""
+def _likely(classes: DataFrame, pairs: DataFrame, percent: int, k: int) -> DataFrame:
+    """The pairs (a, b) whose union's sketch has enough values of both."""
     of = lambda side: classes.select(F.col("rep").alias(side), F.col("sketch").alias(f"sketch_{side}"))
     union = F.slice(F.sort_array(F.array_union("sketch_a", "sketch_b")), 1, k)
     shared = F.size(F.array_intersect(union, F.array_intersect("sketch_a", "sketch_b")))
-    likely = checkpoint(pairs.join(of("a"), "a").join(of("b"), "b")
-                        .where(shared >= F.ceil(F.size(union) * (needed(percent, k) / k))).select("a", "b").distinct())
-    ids = likely.select(F.col("a").alias("doc_id")).unionAll(likely.select("b")).distinct()
-    texts = (docs.select(F.col("doc_id").cast("bigint"), "text").join(ids, "doc_id", "left_semi")
-             .groupBy("doc_id", F.xxhash64("text").alias("__h")).agg(F.first("text").alias("text")).select("doc_id", "text"))
-    of = lambda side: texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}"))
-    both = likely.join(of("b"), "b").join(of("a"), "a").select("a", "b", "text_a", "text_b")
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
-                linked = []
-                for i, (s, t) in enumerate(zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True)):
-                    x, y = shingles([s or "", t or ""], n)
-                    same = len(np.intersect1d(x, y, assume_unique=True))
-                    if same and 100 * same >= percent * (len(x) + len(y) - same):
-                        linked.append(i)
-                yield batch.select(["a", "b"]).take(pa.array(linked, pa.int64()))
+    return (pairs.join(of("a"), "a").join(of("b"), "b")
+            .where(shared >= F.ceil(F.size(union) * (needed(percent, k) / k))).select("a", "b"))
 
-    return both.mapInArrow(check, "a bigint, b bigint").distinct()
 
-
-def class_components(docs: DataFrame, classes: DataFrame, n: int, percent: int, k: int = K) -> DataFrame:
-    """(rep, component) of all classes that are linked with another."""
+def clusters(classes: DataFrame, percent: int, k: int = K) -> DataFrame:
+    """(rep, cluster): similar classes, so that every link lies within one cluster. Classes without any similar one are left out."""
     lists = checkpoint(inverted_lists(classes, percent, k))
     # each member of a list with its first
     heads = (lists.groupBy("value").agg(F.min(F.struct("rep", "size", "bits")).alias("head"), F.count("*").alias("n"))
@@ -155,9 +157,8 @@ def class_components(docs: DataFrame, classes: DataFrame, n: int, percent: int,
     stars = (lists.join(heads, "value").where(F.col("rep") != F.col("head.rep"))
              .where(_alike(F.col("size"), F.col("head.size"), F.col("bits"), F.col("head.bits"), percent))
              .select(F.col("head.rep").alias("a"), F.col("rep").alias("b")).distinct())
-    links = checkpoint(_verified(docs, classes, stars, n, percent, k))
-    first = components(links)
-    # lists that hold several components: their members of different components
+    first = components(_likely(classes, stars, percent, k))
+    # lists that hold several clusters: their members of different clusters
     marked = (lists.join(first.select(F.col("node").alias("rep"), "component"), "rep", "left")
               .withColumn("component", F.coalesce("component", "rep")))
     mixed = marked.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
@@ -170,17 +171,99 @@ def class_components(docs: DataFrame, classes: DataFrame, n: int, percent: int,
     rest = (left.join(right, ["value", "i", "j"])
             .where((F.col("rep_a") < F.col("rep_b")) & (F.col("component_a") != F.col("component_b")))
             .where(_alike(F.col("size_a"), F.col("size_b"), F.col("bits_a"), F.col("bits_b"), percent))
-            .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
-            .join(stars, ["a", "b"], "left_anti"))
-    more = _verified(docs, classes, rest, n, percent, k)
-    to = lambda s: first.select(F.col("node").alias(s), F.col("component").alias(f"c{s}"))
-    between = checkpoint(more.join(to("a"), "a", "left").join(to("b"), "b", "left")
-                         .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).distinct())
-    second = components(between)
-    merged = (first.join(second.select(F.col("node").alias("component"), F.col("component").alias("c")), "component", "left")
-              .select("node", F.coalesce("c", "component").alias("component")))
-    alone = second.join(first, "node", "left_anti").select("node", "component")
-    return merged.unionAll(alone).select(F.col("node").alias("rep"), "component")
+            .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct())
+    return merged(first, _likely(classes, rest, percent, k)).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+
+
+def similar(x: list[np.ndarray], y: list[np.ndarray], percent: int) -> np.ndarray:
+    """Whether each set of ``x`` and each of ``y`` have enough in common, from incidence matrices over their shared values."""
+    values, row = np.concatenate([*x, *y]), np.repeat(np.arange(len(x) + len(y)), [len(s) for s in (*x, *y)])
+    kinds, at, times = np.unique(values, return_inverse=True, return_counts=True)
+    column = np.cumsum(times > 1) - 1
+    shared = times[at] > 1
+    at, row = column[at[shared]], row[shared]
+    order = np.argsort(at, kind="stable")
+    at, row = at[order], row[order]
+    same = np.zeros((len(x), len(y)), dtype=np.float32)
+    for low in range(0, int(at[-1]) + 1 if len(at) else 0, COLUMNS):
+        part = slice(*np.searchsorted(at, [low, low + COLUMNS]))
+        matrix = np.zeros((len(x) + len(y), COLUMNS), dtype=np.float32)
+        matrix[row[part], at[part] - low] = 1
+        same += matrix[:len(x)] @ matrix[len(x):].T
+    whole = np.array([len(s) for s in x])[:, None] + np.array([len(s) for s in y])[None, :] - same
+    return (same > 0) & (100.0 * same >= percent * whole)
+
+
+def label(reps: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """The smallest rep that links reach from each set; sets of one rep are linked."""
+    linked = similar(sets, sets, percent) | (reps[:, None] == reps[None, :])
+    labels = reps
+    while True:
+        new = np.where(linked, labels[None, :], np.iinfo(np.int64).max).min(axis=1)
+        if (new == labels).all():
+            return labels
+        labels = new
+
+
+def _sets(column: pa.ChunkedArray) -> list[np.ndarray]:
+    column = column.combine_chunks()
+    column = column if isinstance(column, pa.Array) else pa.concat_arrays(column.chunks)
+    values, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    return [values[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
+
+def linked_classes(docs: DataFrame, members: DataFrame, n: int, percent: int) -> DataFrame:
+    """(rep, component) of all ``members`` (rep, cluster) by exact similarity within their clusters."""
+    blocks = members.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = checkpoint(members.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")))
+    large = dealt.where("blocks > 1")
+    texts = (docs.select(F.col("doc_id").cast("bigint").alias("rep"), "text").join(dealt, "rep")
+             .groupBy("rep", "cluster", "blocks", "block", F.xxhash64("text").alias("copy")).agg(F.first("text").alias("text")))
+
+    def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch, part in words.grouped(whole):
+                sets = pa.array([s.astype(np.int64) for s in shingles(part, n)], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("rep", "cluster", "blocks", "block")), sets],
+                                                 names=["rep", "cluster", "blocks", "block", "shingles"])
+
+    sets = checkpoint(texts.drop("copy").mapInArrow(
+        to_sets, "rep bigint, cluster bigint, blocks int, block int, shingles array<bigint>"))
+    tasks = max(1, -(-dealt.count() // TASK_ROWS))
+    # small clusters share tasks; a block of a large one has its own
+    task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(tasks))).otherwise(F.xxhash64("cluster", "block"))
+
+    def within(table: pa.Table) -> pa.Table:
+        reps, of = table["rep"].to_numpy(), table["cluster"].to_numpy() * 1_000_003 + table["block"].to_numpy()
+        all_sets = _sets(table["shingles"])
+        out = np.empty(len(reps), dtype=np.int64)
+        order = np.argsort(of, kind="stable")
+        for rows in np.split(order, np.flatnonzero(np.diff(of[order])) + 1):
+            out[rows] = label(reps[rows], [all_sets[i] for i in rows], percent)
+        return pa.table({"rep": reps, "component": out})
+
+    first = sets.groupBy((task).alias("task"), (F.col("blocks") > 1).alias("whole")).applyInArrow(within, "rep bigint, component bigint")
+    first = checkpoint(first.groupBy("rep").agg(F.min("component").alias("component")))
+    if large.isEmpty():
+        return first
+    labelled = sets.where("blocks > 1").join(first, "rep")
+    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: j != F.col("block")))
+    cells = labelled.select("*", other.alias("other")).select(
+        "component", "shingles", (F.col("block") < F.col("other")).alias("low"), "cluster",
+        F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+
+    def across(table: pa.Table) -> pa.Table:
+        low, component, all_sets = table["low"].to_numpy(zero_copy_only=False), table["component"].to_numpy(), _sets(table["shingles"])
+        x, y = np.flatnonzero(low), np.flatnonzero(~low)
+        found: set[tuple[int, int]] = set()
+        if len(x) and len(y):
+            a, b = np.nonzero(similar([all_sets[i] for i in x], [all_sets[i] for i in y], percent))
+            found = set(zip(component[x[a]].tolist(), component[y[b]].tolist(), strict=True))
+        return pa.table({"a": pa.array([p[0] for p in found], pa.int64()), "b": pa.array([p[1] for p in found], pa.int64())})
+
+    links = cells.groupBy("cluster", "i", "j").applyInArrow(across, "a bigint, b bigint").where("a <> b").distinct()
+    joined = components(links).select(F.col("node").alias("component"), F.col("component").alias("least"))
+    return first.join(joined, "component", "left").select("rep", F.coalesce("least", "component").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = K) -> DataFrame:
@@ -192,9 +275,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = K)
     Other columns are ignored.
     """
     rows = checkpoint(sketches(docs, n, k))
-    classes = checkpoint(rows.where("size > 0 and doc_id is not null").groupBy("size", "s1", "s2", "bits")
-                         .agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")))
-    linked = class_components(docs, classes, n, percent, k)
+    classes = checkpoint(rows.where("size > 0 and doc_id is not null").groupBy("size", "s1", "s2")
+                         .agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits"), F.first("sketch").alias("sketch")))
+    linked = linked_classes(docs, checkpoint(clusters(classes, percent, k)), n, percent)
     of_class = (classes.select("size", "s1", "s2", "rep").join(linked, "rep", "left")
                 .select("size", "s1", "s2", F.coalesce("component", "rep").alias("component")))
     placed = (rows.select("doc_id", "size", "s1", "s2").join(of_class, ["size", "s1", "s2"], "left")
