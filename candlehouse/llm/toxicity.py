@@ -32,7 +32,7 @@ FACTORS = 8
 PREFIXES = (4, 6)
 #: x of a term is log2(1 + its share of the document's words / FULL_SHARE).
 FULL_SHARE = 0.01
-#: Standard errors by which a term's mean x must differ between the classes.
+#: Standard errors by which a term's mean x must differ between the classes; fewer, where few toxic documents are known.
 APART = 4.5
 EPOCHS = 40
 
@@ -99,7 +99,8 @@ def learn(texts: list[str], labels: list[int], seed: int = 11) -> Machine:
     variance = (q1 / n1 - (s1 / n1) ** 2) / n1 + (q0 / n0 - (s0 / n0) ** 2) / n0
     z = (s1 / n1 - s0 / n0) / np.sqrt(variance + 1e-3 / np.minimum(n1, n0) ** 2 + 1e-6 / n1)
     chosen = np.sort(np.argsort(-np.abs(z), kind="stable")[:TERMS])
-    chosen = chosen[np.abs(z[chosen]) > APART]
+    # a term of a quarter of n1 documents can't stand out by more than about 0.6 * sqrt(n1)
+    chosen = chosen[np.abs(z[chosen]) > min(APART, 0.45 * np.sqrt(n1))]
     new = np.full(k, -1)
     new[chosen] = np.arange(len(chosen))
     keep = new[place] >= 0

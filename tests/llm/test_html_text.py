@@ -1,0 +1,122 @@
+import random
+
+import pytest
+
+from candlehouse.llm import html_text as H
+from llm.frames import with_clashes
+
+
+def page(k, body, menu=True):
+    return (f"<!doctype html><html><head><title>T{k}</title><style>p{{}}</style><script>var a='</p><p>no';</script></head><body>"
+            f"<header><a href='/'>Site</a></header><nav><ul>{''.join(f'<li><a href=/{i}>m{k}{i}</a></li>' for i in range(k % 5 + 1))}</ul></nav>"
+            f"<div class='cookie-notice'>We use cookies {k}</div>{body}<aside>see also {k}</aside>"
+            f"<div id=comments><p>user {k}: nice</p></div><form><input value=x><p>search</p></form><footer>&copy; {k}</footer></body></html>")
+
+
+def one(text):
+    return H.extract_group([text])[0]
+
+
+def test_blocks_references_and_mending():
+    assert one("<article><h1> A&amp;B &lt;x&gt;\n\t caf&eacute;&#33;</h1><p>one <b>two<br>three</b>four<p>five<div>six</div>&nbsp;</article>") == \
+        "A&B <x> café!\n\none two threefour\n\nfive\n\nsix"
+    assert one("<article><p>a<!-- <p>no</p> -->b</p><p></p><ul><li>x<li>y<ul><li>z</ul></ul><table><tr><td>c<td>d<tr><td>e</table>") == \
+        "ab\n\nx\n\ny\n\nz\n\nc\n\nd\n\ne"
+    assert one("<p>plain <i>text") == "plain text"
+    assert one("no tags at all & more") == "no tags at all & more"
+    assert one("<article><p>5 < 6 and 7 > 3</p></article>") == "5 < 6 and 7 > 3"
+    assert one("") == "" and one("<nav>menu</nav>") == "" and one("<script>x") == "" and one("<!-- x") == ""
+    assert one("<main><p>in main</p></main><p>out</p>") == "in main"
+    assert one("<article><p>text</p><div class='share-buttons'>Share</div><section class=comments><p>c</p></section></article>") == "text"
+
+
+def test_declared_template_goes():
+    assert one(page(3, "<article><p>Text.</p></article>")) == "Text."
+    assert one(page(3, "<div class=content><p>Text.</p></div>")) == "Text."
+
+
+def test_constant_nodes_become_template_and_shared_passages_stay():
+    shared = " ".join(f"word{i}" for i in range(60))
+    pages = [page(i, f"<div class=body><p>Read our terms of use.</p><p>Story {i} begins.</p>{'<p>' + shared + '</p>' if i % 3 == 0 else ''}"
+                     f"<p>It ends {i}.</p></div>") for i in range(12)]
+    found = H.extract_group(pages)
+    for i, text in enumerate(found):
+        assert text == "\n\n".join([f"Story {i} begins.", *([shared] if i % 3 == 0 else []), f"It ends {i}."])
+    # a passage on every page is content if it is long
+    every = H.extract_group([page(i, f"<div><p>{shared}</p><p>Own {i}</p></div>") for i in range(12)])
+    assert every[5] == f"{shared}\n\nOwn 5"
+
+
+def test_copies_are_not_template():
+    copies = [page(1, "<article><p>The same story.</p></article>")] * 50
+    assert H.extract_group(copies) == ["The same story."] * 50
+    mixed = copies + [page(2, "<article><p>Another.</p></article>")]
+    assert H.extract_group(mixed)[-1] == "Another."
+
+
+def brute_match(a, b):
+    """Most matched nodes of two sibling lists, by trying all order-keeping pairings."""
+    if not a or not b:
+        return 0
+    best = max(brute_match(a[1:], b), brute_match(a, b[1:]))
+    if a[0].key == b[0].key:
+        inner = 0 if a[0].template else brute_match(a[0].elements, b[0].elements)
+        best = max(best, 1 + inner + brute_match(a[1:], b[1:]))
+    return best
+
+
+def test_tree_matching_is_the_best_pairing():
+    rng = random.Random(5)
+
+    def tree(depth):
+        return "".join(f"<{t}>{tree(depth - 1) if depth else ''}</{t}>" for t in rng.choices(["div", "section", "span"], k=rng.randint(0, 3)))
+
+    for _ in range(60):
+        a, b = H.parse(tree(2)), H.parse(tree(2))
+        pairs = H.match(a.elements, b.elements)
+        assert pairs == sorted(pairs) and len({i for i, _ in pairs}) == len({j for _, j in pairs}) == len(pairs)
+        assert sum(H._shared(a.elements[i], b.elements[j]) for i, j in pairs) == brute_match(a.elements, b.elements)
+
+
+def test_pages_table(spark):
+    deep = "<div>" * 5000 + "deep" + "</div>" * 5000
+    long = "<article>" + "<p>many words here</p>" * 20_000 + "</article>"
+    wide = "<article>" + "<b>x</b> " * 30_000 + "</article>"
+    rows = [(1, "http://a.org/1", None), (2, None, "<p>x</p>"), (3, "", "<p>x</p>"), (4, "http://a.org/2", ""), (5, "http://a.org/3", deep),
+            (6, "http://a.org/4", long), (7, "http://a.org/5", wide), (None, "http://a.org/6", "<p>n</p>"),
+            (8, "http://a.org/7", "<p>r</p>"), (8, "http://a.org/7", "<p>r</p>"), (9, "http://A.org/8", "<p>\U0001f600 é</p>")]
+    pages = with_clashes(spark.createDataFrame(rows, "page_id bigint, url string, html string")).selectExpr("*", "1 as text", "2 as n_chars")
+    found = H.extract(pages)
+    assert found.columns == [c for c in pages.columns if c not in ("html", "text", "n_chars")] + ["text", "n_chars"]
+    by_id = {r.page_id: r for r in found.collect()}
+    assert found.count() == len(rows)
+    assert all(r.n_chars == len(r.text) for r in by_id.values())
+    assert [by_id[i].text for i in (1, 2, 3, 4, 5, None, 8, 9)] == ["", "x", "x", "", "deep", "n", "r", "\U0001f600 é"]
+    assert by_id[6].text.count("many words here") == 20_000 and by_id[7].text == " ".join(["x"] * 30_000)
+    assert by_id[6].row == "mine:row"
+    assert H.extract(pages.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("n", [150])
+def test_large_host_is_split(spark, n):
+    pages = spark.createDataFrame([(i, f"http://h.org/{i}", page(i, f"<article><p>Story {i}</p></article>")) for i in range(n)],
+                                  "page_id int, url string, html string")
+    assert {(r.page_id, r.text) for r in H.extract(pages).collect()} == {(i, f"Story {i}") for i in range(n)}
+
+
+def test_whole_table_against_cutting_the_article_out(spark):
+    import html
+    import re
+
+    from candlehouse.llm.queries import QUERIES
+
+    def plain(p):
+        body = re.search(r"<article>(.*?)</article>", p, re.S)[1]
+        parts = re.split(r"</?(?:p|h1)>", body.replace("<br>", " "))
+        return "\n\n".join(t for t in (" ".join(html.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in parts) if t)
+
+    folder = "/root/testdata/sf0.01"
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
+    found = QUERIES["op4_wrapper_induction"](spark, folder).collect()
+    assert len(found) == len(pages)
+    assert all(r.text == plain(pages[r.page_id]) for r in found)

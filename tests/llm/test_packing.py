@@ -1,0 +1,115 @@
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from candlehouse.llm import packing as P
+from llm.frames import DOCS, awkward, with_clashes
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return P.Encoder(PATH)
+
+
+@settings(max_examples=300, deadline=None)
+@given(text=st.one_of(st.text(max_size=60), st.text(alphabet="aB' sIt!\n\u00e9\u00df\u0130\u03a3\u00a0\u2019<|endoftext|>09\x1c\x85", max_size=60)))
+def test_encoder_agrees_with_the_tokenizer(encoder, text):
+    assert encoder.by_word
+    assert encoder.encode([text]) == [encoder.ids(text)]
+
+
+def sequences(rows):
+    out = defaultdict(list)
+    for r in rows:
+        out[r.sequence_id].append((r.offset, r.length))
+    return out
+
+
+def check_layout(rows, capacity):
+    for members in sequences(rows).values():
+        at = 0
+        for offset, length in sorted(members):
+            assert offset == at
+            at += length
+        assert at <= capacity
+
+
+def best_fit_count(lengths, capacity):
+    free = []
+    for n in sorted(lengths, reverse=True):
+        fits = [i for i, f in enumerate(free) if f >= n]
+        if fits:
+            i = min(fits, key=lambda i: free[i])
+            free[i] -= n
+        else:
+            free.append(capacity - n)
+    return len(free)
+
+
+@pytest.mark.parametrize("kind", ["uniform", "short", "long", "one length", "mixed"])
+def test_plan_places_every_piece_about_as_well_as_best_fit(kind):
+    rng = random.Random(4)
+    draw = {"uniform": lambda: rng.randint(1, 256), "short": lambda: rng.randint(1, 20), "long": lambda: rng.randint(130, 256),
+            "one length": lambda: 100, "mixed": lambda: min(256, int(rng.lognormvariate(4, 1)) + 1)}[kind]
+    lengths = [draw() for _ in range(3000)]
+    counts = np.bincount(lengths, minlength=257)
+    groups = P.plan(counts, 256)
+    placed = np.zeros(257, dtype=int)
+    for members, times in groups:
+        assert sum(n * k for n, k in members) <= 256 and times > 0
+        for n, k in members:
+            placed[n] += k * times
+    assert (placed == counts).all()
+    used = sum(times for _, times in groups)
+    assert used <= best_fit_count(lengths, 256) * 1.01 + 1
+
+
+def test_nnls_fits_an_exact_histogram():
+    rows = np.array([[0, 3, 7], [0, 4, 6], [2, 3, 5]])
+    h = np.zeros(11)
+    for r, times in zip(rows, (5, 8, 3), strict=True):
+        np.add.at(h, r[r > 0], times)
+    x = P.nnls(rows, np.sqrt(np.arange(11) / 10), h, 3000)
+    assert np.allclose(x, (5, 8, 3), atol=0.05)
+
+
+def test_documents_make_a_round_trip(spark, encoder):
+    rows = awkward()
+    docs = with_clashes(spark.createDataFrame(rows, DOCS))
+    cut = P.pieces(docs, PATH, 64, keep_ids=True)
+    found = P.pack(cut, 64).collect()
+    check_layout(found, 64)
+    texts = sorted(((i is None, i or 0, t or "") for i, t, *_ in rows))
+    got = defaultdict(list)
+    for r in found:
+        assert r.length == len(r.ids) and r.start == 64 * r.piece
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, dtype="<u4").tobytes())
+        got[r.doc_id].append((r.piece, tuple(r.ids)))
+    for doc_id in {i for i, *_ in rows}:
+        own = [encoder.ids(t) + b"\0\0\0\0" for none, i, t in texts if (None if none else i) == doc_id]
+        expected = sorted((k, tuple(np.frombuffer(x, dtype="<u4")[64 * k:64 * k + 64].tolist())) for x in own for k in range(-(-len(x) // 256)))
+        assert sorted(got[doc_id]) == expected
+
+
+def test_query_shape_and_no_documents(spark):
+    docs = spark.createDataFrame(awkward(), DOCS)
+    found = P.pack_documents(docs, PATH)
+    assert found.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert P.pack_documents(docs.limit(0), PATH).collect() == []
+
+
+def test_a_length_that_most_pieces_have(spark):
+    docs = spark.range(9000).selectExpr("id as doc_id", "if(id % 3 > 0, 'same', concat('w ', id)) as text")
+    rows = P.pack_documents(docs, PATH, 16).collect()
+    assert len(rows) == 9000
+    check_layout(rows, 16)
+    assert len({(r.sequence_id, r.offset) for r in rows}) == 9000
+    assert len(sequences(rows)) <= -(-sum(r.length for r in rows) // 16) * 1.02 + 1
