@@ -7,12 +7,12 @@ further tree is aligned with it, and what finds no partner is added. A wrapper n
 different texts it has had there:
 
 * constant nodes (one text on nearly all of enough different pages) are template, as are the nodes that a page's own mark-up declares
-  as such (navigation, header, footer, aside, forms, adverts, notices, comments ...),
+  as such (navigation, header, footer, aside, forms, adverts, notices, comments ...) by tag, role or a whole class or id,
 * varying nodes are slots. The slots below the wrapper's article node (or main node) are the content; without such a node, all slots
   outside the template are, but for lists that are mostly links.
 
-Pages that are equal count once for a wrapper, so copies don't turn an article into a template. A host with few pages
-has no constant nodes, and only the declared template goes.
+Pages that are equal count once for a wrapper, so copies don't turn an article into a template. A host with few pages has no constant nodes, and only the declared template goes. Declared classes never hide a page's only
+articles, and a template word within a longer class or id counts only where the alignment finds that container constant.
 """
 
 from __future__ import annotations
@@ -57,12 +57,19 @@ CLOSED_BY = {
 }
 SCOPE = frozenset("html body table td th ul ol dl div article section main aside nav header footer form blockquote fieldset".split())
 
-# Words in class or id that declare template; whole words or the start of a hyphenated one.
+# Words in class or id that declare template: alone, together, or with the words of _PARTS. A name that holds one beside other
+# words ("share-price") declares nothing; such a container goes only where the alignment finds its text constant.
 _WORDS = """ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar side menu nav navbar
 navigation breadcrumb breadcrumbs header masthead footer foot comment comments disqus replies cookie cookies consent gdpr notice notices
 notification alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended
 recommendations pagination pager widget toolbar search copyright""".split()
 TEMPLATE = frozenset(_WORDS)
+_PARTS = frozenset("""area articles bar box button buttons container form icon icons items link links list posts site stories
+wrapper""".split())
+#: Elements whose id is an anchor of their text rather than a name of their part of the page.
+ANCHORS = frozenset("h1 h2 h3 h4 h5 h6 p section li dt dd span a b i em strong td th tr".split())
+#: Elements that a word within a longer name may mark for the alignment.
+CONTAINERS = BLOCK - {"h1", "h2", "h3", "h4", "h5", "h6", "p", "body", "html", "article", "main"}
 
 _TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)
 |<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*?)(/?)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S | re.X)
@@ -75,14 +82,21 @@ class Node:
     tag: str
     key: str  # what two nodes must share to match
     template: bool = False
+    soft: bool = False  # template by class, id or as a form: what doesn't hide an article
+    hinted: bool = False  # holds a template word in a longer name
     parent: Node | None = None
     depth: int = 0
     children: list = field(default_factory=list)  # nodes and texts
     elements: list = field(default_factory=list)  # nodes alone
-    wrapper: Node | None = None  # of a page's node: where it was aligned
+    # of a page's node: where it was aligned, its own text, and of a hinted one the text of all it holds
+    wrapper: Node | None = None
+    mark: int = 0
+    words: int = 0
+    whole: int = 0
     # of wrapper nodes
     pages: int = 0
     texts: dict = field(default_factory=dict)
+    wholes: dict = field(default_factory=dict)
 
 
 def parse(page: str) -> Node:
@@ -126,8 +140,8 @@ def parse(page: str) -> Node:
                     here = here.parent
                 if here.tag in CLOSED_BY and tag in CLOSED_BY[here.tag]:
                     here = here.parent
-        declared, label = _declared(tag, attributes)
-        node = Node(tag, f"{tag} {label}" if label else tag, declared, here, here.depth + 1)
+        declared, soft, hinted, label = _declared(tag, attributes)
+        node = Node(tag, f"{tag} {label}" if label else tag, declared, soft, hinted, here, here.depth + 1)
         here.children.append(node)
         here.elements.append(node)
         if tag in RAW:
@@ -140,12 +154,42 @@ def parse(page: str) -> Node:
             here = node
     if at < len(page):
         here.children.append(html.unescape(page[at:]))
+    _reveal(root)
     return root
 
 
-def _declared(tag: str, attributes: str) -> tuple[bool, str]:
-    """Whether tag and attributes declare template, and the class that nodes are matched by."""
-    declared, label = tag in DROPPED, ""
+def _reveal(root: Node) -> None:
+    """Where all articles (without any, all main nodes) lie in template by class, id or form, these ancestors are none."""
+    for tag in ("article", "main"):
+        seen, hidden = False, []
+        stack = [(root, ())]
+        while stack:
+            node, above = stack.pop()
+            for c in node.elements:
+                if c.tag == tag:
+                    if not above:
+                        seen = True
+                    hidden.append(above)
+                elif not c.template:
+                    stack.append((c, above))
+                elif c.soft:
+                    stack.append((c, (*above, c)))
+        for above in [] if seen else hidden:
+            for node in above:
+                if node.template:
+                    node.template, node.key = False, node.key + " shown"
+        if hidden:
+            return
+
+
+def _known(token: str) -> bool:
+    parts = [w for w in _SPLIT.split(token) if w and not w[0].isdigit()]
+    return any(w in TEMPLATE for w in parts) and all(w in TEMPLATE or w in _PARTS for w in parts)
+
+
+def _declared(tag: str, attributes: str) -> tuple[bool, bool, bool, str]:
+    """Whether tag and attributes declare template, whether only softly, whether a name hints at it, and the class nodes are matched by."""
+    firm, soft, hinted, label = tag in DROPPED and tag != "form", tag == "form", False, ""
     if attributes and "=" in attributes or "hidden" in attributes:
         for name, value in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), html.unescape(value.strip("\"'")).lower()
@@ -153,12 +197,15 @@ def _declared(tag: str, attributes: str) -> tuple[bool, str]:
                 if name == "class" or not label:
                     label = value
                 if tag not in ("body", "article", "main", "html"):
-                    declared = declared or any(w in TEMPLATE for w in _SPLIT.split(value))
+                    if (name == "class" or tag not in ANCHORS) and any(_known(t) for t in value.split()):
+                        soft = True
+                    elif tag in CONTAINERS:
+                        hinted = hinted or any(w in TEMPLATE for w in _SPLIT.split(value))
             elif name == "role":
-                declared = declared or value in ROLES
+                firm = firm or value in ROLES
             elif name == "hidden" or name == "aria-hidden" and value == "true":
-                declared = True
-    return declared, label
+                firm = True
+    return firm or soft, soft and not firm, hinted and not firm and not soft, label
 
 
 def own_text(node: Node) -> str:
@@ -224,6 +271,39 @@ def _mark(text: str) -> int:
     return zlib.crc32(text.encode("utf-8", "surrogatepass")) if text else 0
 
 
+def whole_text(node: Node) -> str:
+    parts: list[str] = []
+
+    def walk(n: Node) -> None:
+        for c in n.children:
+            if type(c) is str:
+                parts.append(c)
+            elif not c.template:
+                parts.append(" ")
+                walk(c)
+
+    walk(node)
+    return " ".join("".join(parts).split())
+
+
+def regions(tree: Node) -> list[Node]:
+    """The article nodes of a page, else its main nodes, else none."""
+    found: list[Node] = []
+
+    def walk(node: Node, tag: str) -> None:
+        for c in node.elements:
+            if c.tag == tag:
+                found.append(c)
+            elif not c.template:
+                walk(c, tag)
+
+    for tag in ("article", "main"):
+        walk(tree, tag)
+        if found:
+            break
+    return found
+
+
 class Wrapper:
     """The aligned template of a group of pages."""
 
@@ -233,14 +313,14 @@ class Wrapper:
 
     def align(self, tree: Node) -> None:
         """Add a page: its nodes join the wrapper nodes they match, others become new ones."""
-        self.pages += 1
         self._join(self.root, tree)
 
     def _join(self, to: Node, node: Node) -> None:
-        to.pages += 1
         node.wrapper = to
-        mark = _mark(own_text(node))
-        to.texts[mark] = to.texts.get(mark, 0) + 1
+        text = own_text(node)
+        node.mark, node.words = _mark(text), len(text.split())
+        if node.hinted:
+            node.whole = _mark(whole_text(node))
         if to.template or node.template:
             return
         theirs = node.elements
@@ -254,45 +334,62 @@ class Wrapper:
                 merged += to.elements[done:pairs[j] + 1]
                 done = pairs[j] + 1
             else:
-                own = Node(child.tag, child.key, child.template, to)
+                own = Node(child.tag, child.key, child.template, parent=to)
                 merged.append(own)
             self._join(own, child)
         to.elements = merged + to.elements[done:]
 
-    def constant(self, node: Node, text: str) -> bool:
-        """Whether a page's text at this wrapper node belongs to the template."""
-        if self.pages < SUPPORT or node.pages < SAME * self.pages or not text or len(text.split()) > TEMPLATE_WORDS:
+    def count(self, trees: list[Node]) -> None:
+        """Count nodes and their texts over the aligned pages."""
+        kinds = [[tree] for tree in trees]
+        self.pages = len(kinds)
+        for members in kinds:
+            seen: dict[int, Node] = {}
+            texts, wholes = set(), set()
+            for tree in members:
+                for c in _nodes(tree):
+                    seen[id(c.wrapper)] = c.wrapper
+                    texts.add((id(c.wrapper), c.mark))
+                    if c.hinted:
+                        wholes.add((id(c.wrapper), c.whole))
+            for n in seen.values():
+                n.pages += 1
+            for at, mark in texts:
+                seen[at].texts[mark] = seen[at].texts.get(mark, 0) + 1
+            for at, mark in wholes:
+                seen[at].wholes[mark] = seen[at].wholes.get(mark, 0) + 1
+
+    def constant(self, node: Node) -> bool:
+        """Whether a page's own text at this node belongs to the template."""
+        if self.pages < SUPPORT or not node.words or node.words > TEMPLATE_WORDS:
             return False
-        return node.texts.get(_mark(text), 0) >= SAME * self.pages
+        return node.wrapper.texts.get(node.mark, 0) >= SAME * self.pages
+
+    def agreed(self, node: Node) -> bool:
+        """Whether a hinted node holds the same on nearly all pages that have it, and no article."""
+        pages = node.wrapper.pages
+        return (node.hinted and pages >= SUPPORT and node.wrapper.wholes.get(node.whole, 0) >= SAME * pages
+                and not any(c.tag in ("article", "main") for c in _nodes(node)))
 
     def content(self, tree: Node) -> str:
         """The text in the content slots of a page of this group."""
         constant: set[int] = set()
-
-        def compare(node: Node) -> None:
-            if node.template:
-                return
-            if node.wrapper.pages >= SAME * self.pages and self.constant(node.wrapper, own_text(node)):
-                constant.add(id(node))
-            for c in node.elements:
-                compare(c)
-
         if self.pages >= SUPPORT:
-            compare(tree)
-        found: list[Node] = []
+            for node in _nodes(tree):
+                if self.constant(node):
+                    constant.add(id(node))
+                if node.hinted and self.agreed(node):
+                    node.template = True
+        found = regions(tree)
+        return "\n\n".join(b for n in found or [tree] for b in blocks(n, constant, bool(found)))
 
-        def regions(node: Node, tag: str) -> None:
-            for c in node.elements:
-                if c.tag == tag:
-                    found.append(c)
-                elif not c.template:
-                    regions(c, tag)
 
-        for tag in ("article", "main"):
-            regions(tree, tag)
-            if found:
-                break
-        return "\n\n".join(b for n in found or [tree] for b in blocks(n, constant, bool(found)))
+def _nodes(tree: Node) -> list[Node]:
+    """The aligned nodes of a tree outside of template, from the top."""
+    out = [tree]
+    for node in out:
+        out += [c for c in node.elements if not c.template and c.wrapper is not None]
+    return out
 
 
 def blocks(region: Node, constant: set[int], inside: bool) -> list[str]:
@@ -353,6 +450,7 @@ def extract_group(pages: list[str]) -> list[str]:
     for page in different:
         trees[page] = tree = parse(page)
         wrapper.align(tree)
+    wrapper.count(list(trees.values()))
     texts = {page: wrapper.content(trees[page]) for page in different}
     return [texts[p] for p in pages]
 

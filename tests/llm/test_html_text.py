@@ -54,6 +54,20 @@ def test_copies_are_not_template():
     assert H.extract_group(mixed)[-1] == "Another."
 
 
+def test_declared_classes_do_not_hide_articles_nor_cut_text_by_a_part_of_a_name():
+    for name in ("layout sidebar-right", "sidebar", "search social"):
+        assert one(f"<div class='{name}'><article><p>Text.</p></article></div>") == "Text."
+        assert one(f"<div class='{name}'><main><p>Text.</p></main></div><p>out</p>") == "Text."
+    assert one("<form id=f><article><p>Text.</p></article></form>") == "Text."
+    assert one("<article><p>Text.</p></article><div class=related><article><p>Other.</p></article></div>") == "Text."
+    inner = "<h2 id='related-work'>Related work</h2><section id='social-history'><p>Old.</p></section><p class='share-price'>12.30</p><h2 id=search>How</h2>"
+    assert one(f"<article>{inner}</article>") == one(f"<div>{inner}</div>") == "Related work\n\nOld.\n\n12.30\n\nHow"
+    # on a host, a container so named goes where it holds the same on all pages that have it, and stays where it varies
+    pages = [f"<article><p>Story {i} begins here.</p><section class='social-history'><p>Old {i}.</p></section>"
+             f"{'<section class=share-corner><p>Tell your friends.</p></section>' if i % 2 else ''}</article>" for i in range(14)]
+    assert H.extract_group(pages) == [f"Story {i} begins here.\n\nOld {i}." for i in range(14)]
+
+
 def brute_match(a, b):
     """Most matched nodes of two sibling lists, by trying all order-keeping pairings."""
     if not a or not b:
