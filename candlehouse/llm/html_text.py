@@ -11,7 +11,8 @@ different texts it has had there:
 * varying nodes are slots. The slots below the wrapper's article node (or main node) are the content; without such a node, all slots
   outside the template are, but for lists that are mostly links.
 
-Pages that are equal count once for a wrapper, so copies don't turn an article into a template. A host with few pages has no constant nodes, and only the declared template goes. Declared classes never hide a page's only
+Pages that are equal or hold the same article count once for a wrapper, so copies don't turn an article into a template. A
+host with few pages has no constant nodes, and only the declared template goes. Declared classes never hide a page's only
 articles, and a template word within a longer class or id counts only where the alignment finds that container constant.
 """
 
@@ -27,12 +28,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from candlehouse.llm.common import checkpoint
 from candlehouse.llm.url_filter import host_of
 
-#: Pages of a group on average; larger hosts are split.
+#: Different pages of a group on average; larger hosts are split.
 GROUP_PAGES = 64
+#: Buckets of page hashes that tell pages that may be repeated.
+BUCKETS = 1 << 20
 #: Different pages that a constant node needs, and the share of them on which its text must be the same.
 SUPPORT, SAME = 6, 0.9
+#: Share of the words of two pages' regions that make them the same article for a wrapper.
+ALIKE = 0.75
 #: A longer constant text is content that pages share, not template.
 TEMPLATE_WORDS = 40
 #: Children that tree matching aligns by dynamic programming; longer lists are aligned in order by their tags.
@@ -340,10 +346,27 @@ class Wrapper:
         to.elements = merged + to.elements[done:]
 
     def count(self, trees: list[Node]) -> None:
-        """Count nodes and their texts over the aligned pages."""
-        kinds = [[tree] for tree in trees]
+        """Count nodes and their texts over the aligned pages, once for all pages that hold the same article.
+
+        Two pages do if slots with the same text have at least ALIKE of the words of either one's region.
+        """
+        kinds: list[tuple[dict, int, list[Node]]] = []
+        for tree in trees:
+            slots: dict[tuple[int, int], int] = {}
+            for n in regions(tree) or [tree]:
+                for c in _nodes(n):
+                    if c.words:
+                        slots[id(c.wrapper), c.mark] = c.words
+            size = sum(slots.values())
+            for other, other_size, members in kinds:
+                low, high = sorted((size, other_size))
+                if low >= ALIKE * high and sum(k for s, k in slots.items() if s in other) >= ALIKE * high:
+                    members.append(tree)
+                    break
+            else:
+                kinds.append((slots, size, [tree]))
         self.pages = len(kinds)
-        for members in kinds:
+        for _, _, members in kinds:
             seen: dict[int, Node] = {}
             texts, wholes = set(), set()
             for tree in members:
@@ -460,21 +483,46 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame
 
     Null pages are empty, and empty or text-free pages have an empty text. Null URLs and those without a host form one host. Rows keep
     their number and other columns; columns named text or n_chars are replaced.
+
+    Groups are dealt over a host's different pages. A page that occurs once carries its row through its group; of a page that
+    a host repeats one copy does the work, and its text is joined back to all rows.
     """
     names = [c for c in pages.columns if c not in (page, "text", "n_chars")]
     work = pages.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
-                        F.coalesce(F.col(f"`{page}`"), F.lit("")).alias("__html"), host_of(F.col(f"`{url}`")).alias("__host"))
-    large = (work.groupBy("__host").count().where(F.col("count") > GROUP_PAGES)
+                        F.coalesce(F.col(f"`{page}`"), F.lit("")).alias("__html"),
+                        F.coalesce(host_of(F.col(f"`{url}`")), F.lit("")).alias("__host"))
+    work = work.withColumns({"__h1": F.xxhash64("__host", "__html"), "__h2": F.xxhash64(F.lit(7), "__host", "__html")})
+    different = checkpoint(work.groupBy("__host", "__h1", "__h2").agg((F.count("*") > 1).alias("again")))
+    large = (different.groupBy("__host").count().where(F.col("count") > GROUP_PAGES)
              .select("__host", F.ceil(F.col("count") / GROUP_PAGES).alias("__groups")))
-    # equal pages share a group only by chance, so a page that a host repeats is spread too
-    dealt = (work.withColumn("__row", F.monotonically_increasing_id()).join(large, "__host", "left")
-             .withColumn("__group", F.pmod(F.xxhash64("__row"), F.coalesce("__groups", F.lit(1)))))
-    schema = T.StructType([work.schema["row"], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
+    # repeated pages by buckets of their hash: a page in such a bucket by chance only takes the longer way
+    bucket = F.pmod("__h1", F.lit(BUCKETS)).alias("__bucket")
+    repeated = checkpoint(different.where("again").select(bucket).distinct())
+    out_row = T.StructField("row", work.schema["row"].dataType, True)
+    if repeated.isEmpty():
+        apart, once = None, work.select("row", "__html", "__host", "__h1", "__h2")
+    else:
+        marked = work.withColumn("__bucket", bucket)
+        once = marked.join(F.broadcast(repeated), "__bucket", "left_anti")
+        apart = marked.join(F.broadcast(repeated), "__bucket", "left_semi")
+        one = apart.groupBy("__host", "__h1", "__h2").agg(F.first("__html").alias("__html"))
+        once = (once.select("row", "__html", "__host", "__h1", "__h2")
+                .unionByName(one.withColumn("row", F.lit(None).cast(out_row.dataType))))
+    dealt = once.join(large, "__host", "left").withColumn("__group", F.pmod("__h2", F.coalesce("__groups", F.lit(1))))
+    schema = T.StructType([out_row, T.StructField("__h1", T.LongType()), T.StructField("__h2", T.LongType()),
+                           T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def run(table: pa.Table) -> pa.Table:
         texts = extract_group(table["__html"].to_pylist())
-        out = table.select(["row"])
+        out = table.select(["row", "__h1", "__h2"])
         return out.append_column("text", pa.array(texts, pa.string())).append_column(
             "n_chars", pa.array([len(t) for t in texts], pa.int64()))
 
-    return dealt.drop("__row", "__groups").groupBy("__host", "__group").applyInArrow(run, schema).select("row.*", "text", "n_chars")
+    found = dealt.drop("__groups").groupBy("__host", "__group").applyInArrow(run, schema)
+    if apart is None:
+        return found.select("row.*", "text", "n_chars")
+    found = checkpoint(found)
+    copies = (apart.select("row", "__h1", "__h2")
+              .join(found.where("row is null").select("__h1", "__h2", "text", "n_chars"), ["__h1", "__h2"]))
+    return (found.where("row is not null").select("row", "text", "n_chars")
+            .unionByName(copies.select("row", "text", "n_chars")).select("row.*", "text", "n_chars"))

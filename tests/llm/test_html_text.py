@@ -68,6 +68,32 @@ def test_declared_classes_do_not_hide_articles_nor_cut_text_by_a_part_of_a_name(
     assert H.extract_group(pages) == [f"Story {i} begins here.\n\nOld {i}." for i in range(14)]
 
 
+def test_near_copies_are_one_page_of_a_wrapper():
+    story = "".join(f"<p>Paragraph {j} of the story that all copy.</p>" for j in range(5))
+
+    def host(wrap):
+        return [wrap(k, story if k % 10 else f"<p>Quite another tale {k} about {k * 7}.</p><p>More {k}.</p>") for k in range(40)]
+
+    whole = "\n\n".join(f"Paragraph {j} of the story that all copy." for j in range(5))
+    for wrap in (lambda k, b: page(k, f"<article>{b}</article>"), lambda k, b: page(k, f"<article><p>12:{k:02}</p>{b}</article>"),
+                 lambda k, b: page(k, f"<div>{b}</div>")):
+        assert all(text.endswith(whole) for k, text in enumerate(H.extract_group(host(wrap))) if k % 10)
+    # the template that different pages share still goes
+    many = [page(k, f"<div><p>Read our terms of use.</p>{story if k < 30 else f'<p>Quite another tale {k}.</p>'}</div>") for k in range(40)]
+    assert H.extract_group(many) == [whole] * 30 + [f"Quite another tale {k}." for k in range(30, 40)]
+
+
+def test_copies_on_a_host_do_not_thin_out_its_groups(spark):
+    def body(k):
+        return page(k, f"<div class=body><p>Read our terms of use.</p><p>Story {k} begins.</p><p>It ends {k}.</p></div>")
+
+    ids = [max(0, i - 2850) for i in range(3000)]  # 150 different pages, one of them in 2851 rows
+    pages = spark.createDataFrame([(i, f"http://h.org/{i}", body(k)) for i, k in enumerate(ids)], "page_id int, url string, html string")
+    found = {r.page_id: r.text for r in H.extract(pages).collect()}
+    assert found == {i: f"Story {k} begins.\n\nIt ends {k}." for i, k in enumerate(ids)}
+    assert H.extract(pages).count() == 3000
+
+
 def brute_match(a, b):
     """Most matched nodes of two sibling lists, by trying all order-keeping pairings."""
     if not a or not b:
