@@ -6,7 +6,7 @@ The pairwise part learns that two terms matter together (an insult and the menti
 are 64-bit hashes of lower-cased words and of word beginnings, so inflected and compound forms count too. x_i grows with
 the logarithm of the share of the document's words that are term i, so long documents are not toxic for their length.
 
-Terms are chosen on the labelled sample: those whose rate among toxic documents differs from the rest beyond chance. The
+All terms that two documents of the labelled sample share are learned; the penalties hold back those that tell little, and documents held back tell how far the scores shrank by them. The
 weights are learned on the driver from the sample, which is bounded by ``PER_CLASS`` documents of each class; scoring
 covers every text whole.
 """
@@ -27,14 +27,15 @@ from candlehouse.llm.common import sample_ids, texts_of
 
 #: Labelled documents of each class in the sample; a documented bound.
 PER_CLASS = 3000
-TERMS = 2048
 FACTORS = 8
 PREFIXES = (4, 6)
 #: x of a term is log2(1 + its share of the document's words / FULL_SHARE).
 FULL_SHARE = 0.01
-#: Standard errors by which a term's mean x must differ between the classes; fewer, where few toxic documents are known.
-APART = 4.5
-EPOCHS = 40
+EPOCHS, BATCH, RATE = 40, 32, 0.1
+#: Penalties, which alone decide how much a term weighs.
+L2W, L2V = 1e-3, 3e-2
+#: Of each class, one document in so many is held back once, to learn by how much the penalties shrink the scores.
+HELD = 5
 
 
 def term_rows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -78,67 +79,101 @@ class Machine:
 
 
 def learn(texts: list[str], labels: list[int], seed: int = 11) -> Machine:
-    """Fit on the sample by mini-batch AdaGrad on the log loss, classes weighted by their share."""
+    """Fit on the sample by mini-batch AdaGrad on the log loss with l2 penalties. All terms of two or more documents take part."""
     y = np.array(labels, dtype=float)
     rng = np.random.default_rng(seed)
     if not len(y) or y.min() == y.max():  # one class or none: its share is all there is to know
         share = (y.sum() + 0.5) / (len(y) + 2)
         return Machine(np.zeros(0, np.uint64), float(np.log(share / (1 - share))), np.zeros(0), np.zeros((0, FACTORS)))
-    parts, base = [], 0
+    parts = []
     for at in range(0, len(texts), 256):
         text, term, x = term_rows(texts[at:at + 256])
         parts.append((text + at, term, x))
     doc, term, x = (np.concatenate(p) for p in zip(*parts, strict=True))
-    terms, place = np.unique(term, return_inverse=True)
-    # mean strength by class against its standard error
-    n1, n0 = y.sum(), len(y) - y.sum()
-    own = y[doc] == 1
-    k = len(terms)
-    s1, s0 = np.bincount(place[own], x[own], k), np.bincount(place[~own], x[~own], k)
-    q1, q0 = np.bincount(place[own], x[own] ** 2, k), np.bincount(place[~own], x[~own] ** 2, k)
-    variance = (q1 / n1 - (s1 / n1) ** 2) / n1 + (q0 / n0 - (s0 / n0) ** 2) / n0
-    z = (s1 / n1 - s0 / n0) / np.sqrt(variance + 1e-3 / np.minimum(n1, n0) ** 2 + 1e-6 / n1)
-    chosen = np.sort(np.argsort(-np.abs(z), kind="stable")[:TERMS])
-    # a term of a quarter of n1 documents can't stand out by more than about 0.6 * sqrt(n1)
-    chosen = chosen[np.abs(z[chosen]) > min(APART, 0.45 * np.sqrt(n1))]
-    new = np.full(k, -1)
+    terms, place, documents = np.unique(term, return_inverse=True, return_counts=True)
+    chosen = np.flatnonzero(documents >= 2)
+    new = np.full(len(terms), -1)
     new[chosen] = np.arange(len(chosen))
     keep = new[place] >= 0
-    doc, at, x = doc[keep], new[place[keep]], x[keep]
-    order = np.argsort(doc, kind="stable")
-    doc, at, x = doc[order], at[order], x[order]
+    doc, at, x = doc[keep], new[place[keep]], x[keep].astype(np.float32)
     first = np.searchsorted(doc, np.arange(len(y) + 1))
-    m = Machine(terms[chosen], float(np.log(n1 / n0)), np.zeros(len(chosen)), rng.normal(0, 0.05, (len(chosen), FACTORS)))
-    g0, gw, gv = 1e-2, np.full(len(chosen), 1e-2), np.full((len(chosen), FACTORS), 1e-2)
-    rate, l2w, l2v, size = 0.4, 1e-5, 3e-3, 32
+    rows = rng.permutation(len(y))
+    back = np.concatenate([rows[y[rows] == value][::HELD] for value in (0, 1) if (y == value).sum() >= 2 * HELD] or [rows[:0]])
+    m = _descend(rows, first, at, x, y, terms[chosen], rng)
+    if len(np.unique(y[back])) == 2:
+        part = _descend(rows[~np.isin(rows, back)], first, at, x, y, terms[chosen], rng)
+        b = _Batch(back, first, at, x, y)
+        stretch, shift = _calibration(part.logits(b.row, b.used[b.local], b.x, len(back)), b.y)
+        m = Machine(m.terms, float(shift + stretch * m.w0), stretch * m.w, np.sqrt(stretch) * m.v)
+    return m
+
+
+def _descend(rows: np.ndarray, first: np.ndarray, at: np.ndarray, x: np.ndarray, y: np.ndarray, terms: np.ndarray,
+             rng: np.random.Generator) -> Machine:
+    """A machine for the documents ``rows``, whose terms ``at`` and strengths ``x`` lie between their places in ``first``."""
+    batches = [_Batch(part, first, at, x, y) for part in np.array_split(rows, -(-len(rows) // BATCH))]
+    k, share = len(terms), y[rows].mean()
+    seen = np.bincount(np.concatenate([b.used for b in batches]), minlength=k)
+    rare = (len(batches) / np.maximum(seen, 1)).astype(np.float32)  # a penalty is due at every step, but paid when the term occurs
+    m = Machine(terms, float(np.log(share / (1 - share))), np.zeros(k, np.float32), rng.normal(0, 0.05, (k, FACTORS)).astype(np.float32))
+    g0, gw, gv = 1e-2, np.full(k, 1e-2, np.float32), np.full((k, FACTORS), 1e-2, np.float32)
     for _ in range(EPOCHS):
-        turn = rng.permutation(len(y))
-        for base in range(0, len(turn), size):
-            rows = turn[base:base + size]
-            span = np.concatenate([np.arange(first[r], first[r + 1]) for r in rows])
-            d = np.repeat(np.arange(len(rows)), first[rows + 1] - first[rows])
-            t, xx = at[span], x[span]
-            vx = m.v[t] * xx[:, None]
-            sums = np.zeros((len(rows), FACTORS))
-            np.add.at(sums, d, vx)
-            pair = 0.5 * (sums**2).sum(axis=1) - 0.5 * np.bincount(d, (vx**2).sum(axis=1), len(rows))
-            logit = m.w0 + np.bincount(d, m.w[t] * xx, len(rows)) + pair
-            e = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y[rows]) / len(rows)
-            used, local = np.unique(t, return_inverse=True)
-            dw = np.bincount(local, e[d] * xx, len(used)) + l2w * m.w[used]
-            dv = np.zeros((len(used), FACTORS))
-            np.add.at(dv, local, (e[d] * xx)[:, None] * (sums[d] - vx))
-            dv += l2v * m.v[used]
-            d0 = e.sum()
+        for i in rng.permutation(len(batches)):
+            b = batches[i]
+            w, v = m.w[b.used], m.v[b.used]
+            vx = v[b.local] * b.x[:, None]
+            sums = b.by_row(vx)
+            pair = ((sums**2).sum(axis=1) - b.by_row((vx**2).sum(axis=1))) / 2
+            logit = m.w0 + b.by_row(w[b.local] * b.x) + pair
+            e = ((1 / (1 + np.exp(-np.clip(logit, -30, 30))) - b.y) / len(b.y)).astype(np.float32)
+            ex = e[b.row] * b.x
+            dw = b.by_term(ex) + L2W * rare[b.used] * w
+            dv = b.by_term(ex[:, None] * (sums[b.row] - vx)) + L2V * rare[b.used, None] * v
+            d0 = float(e.sum())
             g0 += d0 * d0
-            gw[used] += dw**2
-            gv[used] += dv**2
-            m.w0 -= rate * d0 / np.sqrt(g0)
-            m.w[used] -= rate * dw / np.sqrt(gw[used])
-            m.v[used] -= rate * dv / np.sqrt(gv[used])
+            gw[b.used] += dw**2
+            gv[b.used] += dv**2
+            m.w0 -= RATE * d0 / np.sqrt(g0)
+            m.w[b.used] = w - RATE * dw / np.sqrt(gw[b.used])
+            m.v[b.used] = v - RATE * dv / np.sqrt(gv[b.used])
+    m.w0 = float(m.w0)
     return m
 
 
+def _calibration(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """(stretch, shift) of logits that fit labels not learned from best; near (1, 0) where these say little."""
+    design = np.stack([z, np.ones(len(z))], axis=1)
+    prior, hold = np.array([1.0, 0.0]), np.diag([1 / 9, 1 / 9])
+    c = prior.copy()
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(design @ c, -30, 30)))
+        slope = design.T @ (p - y) + hold @ (c - prior)
+        c = c - np.linalg.solve((design * (p * (1 - p))[:, None]).T @ design + hold, slope).clip(-1, 1)
+    return max(float(c[0]), 0.1), float(c[1])
+
+
+class _Batch:
+    """Documents that are learned from together: their terms by document, and the order that gathers them by term."""
+
+    def __init__(self, rows: np.ndarray, first: np.ndarray, at: np.ndarray, x: np.ndarray, y: np.ndarray):
+        n = first[rows + 1] - first[rows]
+        span = np.repeat(first[rows] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
+        self.y, self.x, self.row = y[rows], x[span], np.repeat(np.arange(len(rows)), n)
+        self.filled, self.starts = np.flatnonzero(n), (np.cumsum(n) - n)[n > 0]
+        self.used, self.local = np.unique(at[span], return_inverse=True)
+        self.order = np.argsort(self.local, kind="stable")
+        self.heads = np.searchsorted(self.local[self.order], np.arange(len(self.used)))
+
+    def by_row(self, values: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(self.y), *values.shape[1:]), values.dtype)
+        if len(self.filled):
+            out[self.filled] = np.add.reduceat(values, self.starts, axis=0)
+        return out
+
+    def by_term(self, values: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(values[self.order], self.heads, axis=0) if len(self.heads) else np.zeros((0, *values.shape[1:]))
+
+
 def fit(docs: DataFrame, labels: DataFrame, learnable: Column, per_class: int = PER_CLASS) -> Machine:
     """Learn ``labels.toxic`` (0 or 1; other rows are left out) of the documents for which ``learnable`` (on doc_id) holds.
 

@@ -102,6 +102,24 @@ def test_machine_learns_what_matters_only_together():
     assert got[0] > 0.5 > max(got[1], got[2])
 
 
+def test_machine_learns_pairs_of_equal_marginals_and_rare_terms():
+    rng = np.random.default_rng(5)
+    filler = lambda: [f"f{k}" for k in rng.integers(0, 30, 18)]
+    texts, labels = [], []
+    for i in range(1600):  # both words are in half of each class; toxic is who has both or none
+        toxic, a = i % 2, (i // 2) % 2
+        texts.append(" ".join(filler() + ["left"] * a + ["right"] * (a if toxic else 1 - a)))
+        labels.append(toxic)
+    both, left, right = toxicity.learn(texts, labels).score([" ".join([*filler(), *extra]) for extra in (["left", "right"], ["left"], ["right"])])
+    assert both > 0.5 > max(left, right)
+    texts, labels = [" ".join(filler()) for _ in range(2000)], [0] * 2000
+    for i in range(300):  # most toxic documents have a common insult, 12 a rare one
+        texts.append(" ".join([*filler(), "insult" if i >= 12 else "slur"]))
+        labels.append(1)
+    rare, none = toxicity.learn(texts, labels).score([" ".join([*filler(), "slur"]), " ".join(filler())])
+    assert rare > 0.5 > none
+
+
 def test_class_prior():
     rng = np.random.default_rng(4)
     p = rng.normal(2, 1, (3000, 3))
