@@ -78,13 +78,18 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def learn(texts: list[str], labels: list[int], seed: int = 11) -> Machine:
-    """Fit on the sample by mini-batch AdaGrad on the log loss with l2 penalties. All terms of two or more documents take part."""
+def learn(texts: list[str], labels: list[int], stands_for: tuple[float, float] = (1, 1), seed: int = 11) -> Machine:
+    """Fit on the sample by mini-batch AdaGrad on the log loss with l2 penalties. All terms of two or more documents take part.
+
+    A document of class 0 or 1 ``stands_for`` so many labelled ones, so the classes weigh by their true share.
+    """
     y = np.array(labels, dtype=float)
+    weight = np.where(y == 1, *stands_for[::-1]).astype(float)
     rng = np.random.default_rng(seed)
     if not len(y) or y.min() == y.max():  # one class or none: its share is all there is to know
-        share = (y.sum() + 0.5) / (len(y) + 2)
+        share = ((weight * y).sum() + 0.5) / (weight.sum() + 2)
         return Machine(np.zeros(0, np.uint64), float(np.log(share / (1 - share))), np.zeros(0), np.zeros((0, FACTORS)))
+    weight /= weight.mean()
     parts = []
     for at in range(0, len(texts), 256):
         text, term, x = term_rows(texts[at:at + 256])
@@ -99,20 +104,20 @@ def learn(texts: list[str], labels: list[int], seed: int = 11) -> Machine:
     first = np.searchsorted(doc, np.arange(len(y) + 1))
     rows = rng.permutation(len(y))
     back = np.concatenate([rows[y[rows] == value][::HELD] for value in (0, 1) if (y == value).sum() >= 2 * HELD] or [rows[:0]])
-    m = _descend(rows, first, at, x, y, terms[chosen], rng)
+    m = _descend(rows, first, at, x, y, weight, terms[chosen], rng)
     if len(np.unique(y[back])) == 2:
-        part = _descend(rows[~np.isin(rows, back)], first, at, x, y, terms[chosen], rng)
-        b = _Batch(back, first, at, x, y)
-        stretch, shift = _calibration(part.logits(b.row, b.used[b.local], b.x, len(back)), b.y)
+        part = _descend(rows[~np.isin(rows, back)], first, at, x, y, weight, terms[chosen], rng)
+        b = _Batch(back, first, at, x, y, weight)
+        stretch, shift = _calibration(part.logits(b.row, b.used[b.local], b.x, len(back)), b.y, b.weight)
         m = Machine(m.terms, float(shift + stretch * m.w0), stretch * m.w, np.sqrt(stretch) * m.v)
     return m
 
 
-def _descend(rows: np.ndarray, first: np.ndarray, at: np.ndarray, x: np.ndarray, y: np.ndarray, terms: np.ndarray,
-             rng: np.random.Generator) -> Machine:
+def _descend(rows: np.ndarray, first: np.ndarray, at: np.ndarray, x: np.ndarray, y: np.ndarray, weight: np.ndarray,
+             terms: np.ndarray, rng: np.random.Generator) -> Machine:
     """A machine for the documents ``rows``, whose terms ``at`` and strengths ``x`` lie between their places in ``first``."""
-    batches = [_Batch(part, first, at, x, y) for part in np.array_split(rows, -(-len(rows) // BATCH))]
-    k, share = len(terms), y[rows].mean()
+    batches = [_Batch(part, first, at, x, y, weight) for part in np.array_split(rows, -(-len(rows) // BATCH))]
+    k, share = len(terms), np.average(y[rows], weights=weight[rows])
     seen = np.bincount(np.concatenate([b.used for b in batches]), minlength=k)
     rare = (len(batches) / np.maximum(seen, 1)).astype(np.float32)  # a penalty is due at every step, but paid when the term occurs
     m = Machine(terms, float(np.log(share / (1 - share))), np.zeros(k, np.float32), rng.normal(0, 0.05, (k, FACTORS)).astype(np.float32))
@@ -125,7 +130,7 @@ def _descend(rows: np.ndarray, first: np.ndarray, at: np.ndarray, x: np.ndarray,
             sums = b.by_row(vx)
             pair = ((sums**2).sum(axis=1) - b.by_row((vx**2).sum(axis=1))) / 2
             logit = m.w0 + b.by_row(w[b.local] * b.x) + pair
-            e = ((1 / (1 + np.exp(-np.clip(logit, -30, 30))) - b.y) / len(b.y)).astype(np.float32)
+            e = ((1 / (1 + np.exp(-np.clip(logit, -30, 30))) - b.y) * b.weight / len(b.y)).astype(np.float32)
             ex = e[b.row] * b.x
             dw = b.by_term(ex) + L2W * rare[b.used] * w
             dv = b.by_term(ex[:, None] * (sums[b.row] - vx)) + L2V * rare[b.used, None] * v
@@ -140,25 +145,25 @@ def _descend(rows: np.ndarray, first: np.ndarray, at: np.ndarray, x: np.ndarray,
     return m
 
 
-def _calibration(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def _calibration(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """(stretch, shift) of logits that fit labels not learned from best; near (1, 0) where these say little."""
     design = np.stack([z, np.ones(len(z))], axis=1)
     prior, hold = np.array([1.0, 0.0]), np.diag([1 / 9, 1 / 9])
     c = prior.copy()
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ c, -30, 30)))
-        slope = design.T @ (p - y) + hold @ (c - prior)
-        c = c - np.linalg.solve((design * (p * (1 - p))[:, None]).T @ design + hold, slope).clip(-1, 1)
+        slope = design.T @ (weight * (p - y)) + hold @ (c - prior)
+        c = c - np.linalg.solve((design * (weight * p * (1 - p))[:, None]).T @ design + hold, slope).clip(-1, 1)
     return max(float(c[0]), 0.1), float(c[1])
 
 
 class _Batch:
     """Documents that are learned from together: their terms by document, and the order that gathers them by term."""
 
-    def __init__(self, rows: np.ndarray, first: np.ndarray, at: np.ndarray, x: np.ndarray, y: np.ndarray):
+    def __init__(self, rows: np.ndarray, first: np.ndarray, at: np.ndarray, x: np.ndarray, y: np.ndarray, weight: np.ndarray):
         n = first[rows + 1] - first[rows]
         span = np.repeat(first[rows] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
-        self.y, self.x, self.row = y[rows], x[span], np.repeat(np.arange(len(rows)), n)
+        self.y, self.weight, self.x, self.row = y[rows], weight[rows], x[span], np.repeat(np.arange(len(rows)), n)
         self.filled, self.starts = np.flatnonzero(n), (np.cumsum(n) - n)[n > 0]
         self.used, self.local = np.unique(at[span], return_inverse=True)
         self.order = np.argsort(self.local, kind="stable")
@@ -177,16 +182,19 @@ class _Batch:
 def fit(docs: DataFrame, labels: DataFrame, learnable: Column, per_class: int = PER_CLASS) -> Machine:
     """Learn ``labels.toxic`` (0 or 1; other rows are left out) of the documents for which ``learnable`` (on doc_id) holds.
 
-    A document with both labels counts as toxic. Null texts are learned as empty.
+    A document with both labels counts as toxic. Null texts are learned as empty. A class of more than ``per_class`` documents is
+    sampled, and weighs as much as all of its documents.
     """
     known = (labels.select("doc_id", "toxic").where(learnable & F.col("toxic").isin(0, 1))
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    sizes = {r["toxic"]: r["count"] for r in known.where("doc_id is not null").groupBy("toxic").count().collect()}
+    stands_for = tuple(max(1.0, sizes.get(value, 0) / per_class) for value in (0, 1))
     chosen = None
     for value in (0, 1):
         part = sample_ids(known.where(F.col("toxic") == value), "doc_id", per_class).withColumn("toxic", F.lit(value))
         chosen = part if chosen is None else chosen.unionAll(part)
     rows = texts_of(docs, chosen).orderBy("doc_id").collect()  # 2 * per_class texts at most
-    return learn([r["text"] or "" for r in rows], [r["toxic"] for r in rows])
+    return learn([r["text"] or "" for r in rows], [r["toxic"] for r in rows], stands_for)
 
 
 def score(docs: DataFrame, machine: Machine, keep: list[str] | None = None) -> DataFrame:

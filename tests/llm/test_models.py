@@ -120,6 +120,20 @@ def test_machine_learns_pairs_of_equal_marginals_and_rare_terms():
     assert rare > 0.5 > none
 
 
+def test_a_cap_does_not_move_the_decision(spark):
+    rng = np.random.default_rng(6)
+    docs, labels = [], []
+    for i in range(3000):  # of documents with the mild word every fourth is toxic, of the rest every twentieth
+        mild = i % 3 == 0
+        docs.append((i, " ".join([f"f{k}" for k in rng.integers(0, 30, 18)] + ["mild"] * mild)))
+        labels.append((i, int(rng.random() < (0.25 if mild else 0.05))))
+    docs, labels = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    texts = [" ".join([f"f{k}" for k in rng.integers(0, 30, 18)] + ["mild"] * (i % 2)) for i in range(400)]
+    whole, capped = (toxicity.fit(docs, labels, F.lit(True), per_class).score(texts) for per_class in (3000, 250))
+    assert (whole >= 0.5).mean() < 0.05 and (capped >= 0.5).mean() < 0.05
+    assert abs(whole.mean() - capped.mean()) < 0.05
+
+
 def test_class_prior():
     rng = np.random.default_rng(4)
     p = rng.normal(2, 1, (3000, 3))
