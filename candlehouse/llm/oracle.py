@@ -85,9 +85,59 @@ with parts as (
   from split s left join rules r on (s.host = rule_host or s.host like '%.' || rule_host) and starts_with(s.path, rule_path))
 select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from fits where best = 1"""
 
+
+def _terms(text: str) -> str:
+    lower = f"translate({text}, '{UPPER}', '{UPPER.lower()}')"
+    return rf"regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+LEXICAL = f"""
+with words as (select row_number() over () as place, doc_id, {_terms("coalesce(text, '')")} as w from documents)
+, totals as (select count(*) filter (where len(w) > 0) as docs, sum(len(w))::bigint as length from words)
+, counted as (
+  select place, doc_id, n, term, count(*) as tf from (select place, doc_id, len(w) as n, unnest(w) as term from words) group by all)
+, frequency as (select term, count(*) as df from counted group by term)
+, asked as (select distinct item_id, unnest({_terms("text")}) as term from benchmark where item_id is not null)
+, weighed as (
+  select item_id, term, floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)))::bigint as weight from asked join frequency using (term), totals)
+, scored as (
+  select item_id, place, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // length))))::bigint as score
+  from weighed join counted using (term), totals group by item_id, place, doc_id)
+, ranked as (
+  select item_id, doc_id, score, row_number() over (partition by item_id order by score desc, doc_id nulls last)::int as rank from scored where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 50"""
+
+TRIE = CRC + """
+, own as (
+  select conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as t
+  from conversations where conv_id is not null group by conv_id)
+, heads as (
+  select conv_id, t, xor(4294967295, list_reduce(
+    list_transform(regexp_extract_all(hex(encode(conv_id::varchar)), '..'), lambda h: ('0x' || h)::bigint),
+    lambda c, b: xor(c >> 8, crc[xor(c, b) % 256 + 1]), 4294967295::bigint)) % 6 as h
+  from own, (select t as crc from table_))
+, rebuilt as (
+  select c.conv_id, list_concat(coalesce(b.t[1:c.h], []), c.t[c.h + 1:]) as t from heads c left join own b on b.conv_id = c.conv_id - c.conv_id % 100)
+, prefixes as (select conv_id, len(t) as n, d as depth, t[1:d] as p from (select *, unnest(range(len(t) + 1)) as d from rebuilt))
+, nodes as (
+  select min(conv_id) as conv_id, depth, p, count(*) as n_convs, case when depth > 0 then (count(*) - 1) * length(p[depth].text) else 0 end as saved,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where n = depth), '')) as ends_sha256
+  from prefixes group by depth, p)
+, named as (select x.conv_id as member, x.depth, n.conv_id from prefixes x join nodes n on n.depth = x.depth and n.p = x.p)
+, parents as (
+  select n.*, u.conv_id as parent_conv_id from nodes n left join named u on u.member = n.conv_id and u.depth = n.depth - 1)
+, children as (select parent_conv_id as conv_id, depth - 1 as depth, count(*) as n_children from parents where depth > 0 group by all)
+, sums as (
+  select a.conv_id, a.depth, count(*) filter (where c.n_children is null) as n_leaves, sum(n.saved) as saved_tokens
+  from parents n left join children c using (conv_id, depth) join named a on a.member = n.conv_id and a.depth <= n.depth group by all)
+select conv_id, depth, parent_conv_id, n_convs, coalesce(n_children, 0)::bigint as n_children, n_leaves, saved_tokens::bigint as saved_tokens, ends_sha256
+from parents left join children using (conv_id, depth) join sums using (conv_id, depth)"""
+
 ORACLE = {
     "op1_feistel_sharding": SHARDING,
     "op3_norm_sorted_topk": TOP_K,
     "op7_bottom_k_neardup": NEAR_DUPLICATES,
     "op9_url_filter": URL_FILTER,
+    "op11_accumulator_search": LEXICAL,
+    "op13_conversation_trie": TRIE,
 }

@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlehouse.llm import decontamination, html_text, language, neardup, packing, quality, sharding, topk, toxicity, url_filter
+from candlehouse.llm import (
+    conversation_trie, decontamination, html_text, language, lexical, neardup, packing, quality, sentencepiece_bpe, sharding, topk, toxicity,
+    url_filter,
+)
 from candlehouse.llm.common import held_out, read
 
 SHARDS = 40
@@ -69,6 +72,24 @@ def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def lexical_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), 50)
+
+
+def sentencepiece_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = sentencepiece_bpe.encode(read(spark, sf_dir, "documents"), model, ["doc_id"])
+    encoded = encoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
+                             F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"))
+    decoded = sentencepiece_bpe.decode(encoded, model, ["doc_id", "n_tokens", "ids_sha256"])
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def trie_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(read(spark, sf_dir, "conversations")).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 QUERIES = {
     "op1_feistel_sharding": sharding_query,
     "op2_pu_quality": quality_query,
@@ -80,4 +101,7 @@ QUERIES = {
     "op8_toxicity_fm": toxicity_query,
     "op9_url_filter": url_filter_query,
     "op10_pattern_packing": packing_query,
+    "op11_accumulator_search": lexical_query,
+    "op12_sentencepiece": sentencepiece_query,
+    "op13_conversation_trie": trie_query,
 }

@@ -14,7 +14,7 @@ FOLDER = "/root/testdata/sf0.01"
 
 
 def test_one_query_for_each_operator_and_the_pipeline():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
