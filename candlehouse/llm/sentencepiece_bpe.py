@@ -8,8 +8,8 @@ automaton finds it), keep it if it goes with the piece before (found by merging
 shorter one, and step back where none is left. Each prefix has one encoding only, so a position that has failed once is marked in a bitfield
 and never entered again: the work is linear in the text, also where it has no white space.
 
-Where no piece of the model spans two characters, a text can be cut between them. Such parts (words, mostly) are encoded once
-per worker and remembered in a bounded table.
+Where no piece of the model holds two characters side by side, a text can be cut between them: before a space, mostly, and inside a word before
+or behind signs. Words and their parts are encoded once per worker and remembered in bounded tables.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 #: Mark of a space in pieces; a fixed value of the model format.
 SPACE = "▁"
-#: Remembered parts and pairs of a worker at most (about 150 MB); longer parts are not remembered.
-REMEMBERED, PAIRS, PART = 1 << 19, 1 << 19, 64
+#: Entries of each of a worker's tables (words, parts, pairs of pieces) and of its predecessor at most; longer words are not remembered.
+REMEMBERED, WORD = 3 << 17, 64
 #: Texts that are converted together.
 ROWS = 256
 
@@ -38,6 +38,25 @@ def _replace_byte(error: UnicodeDecodeError) -> tuple[str, int]:
 codecs.register_error("candlehouse-replace-byte", _replace_byte)
 
 
+class Memory(dict):
+    """A bounded table: when it is full it becomes the old one, of which what is asked for again moves on."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key):
+        if len(self) >= REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= WORD:
+            self[key] = value
+        return value
+
+
 class Encoder:
     """Encoder and decoder of one model file. Only models of plain pieces with byte fallback are taken."""
 
@@ -58,8 +77,8 @@ class Encoder:
         plain = [i for i in every if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
         self.ids = {model.id_to_piece(i): i for i in plain}
         self.scores = {piece: model.get_score(i) for piece, i in self.ids.items()}
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.parts: dict[str, bytes] = {}
+        self.fits = Memory(lambda pair: self.merge("".join(pair)) == list(pair))
+        self.words, self.parts, self.numbers = Memory(self.word), Memory(self.part), Memory(self._numbers)
         joined = [p for p in self.ids if len(p) > 1]
         reachable = [p for p in joined if self.merge(p) == [p]]
         self.automaton = ahocorasick.Automaton()
@@ -69,12 +88,10 @@ class Encoder:
         #: shorter[p]: the longest piece that begins p, itself apart
         known = set(reachable) | {p for p in self.ids if len(p) == 1}
         self.shorter = {p: next((p[:n] for n in range(len(p) - 1, 0, -1) if p[:n] in known), None) for p in known}
-        inside = "".join(sorted(set("".join(joined))))
-        spans = regex.escape(inside.replace(SPACE, ""), literal_spaces=True)
-        if any(SPACE in p.lstrip(SPACE) for p in joined):
-            self.cut = regex.compile(f"[{regex.escape(inside)}]+|.", regex.DOTALL)
-        else:
-            self.cut = regex.compile(f"{SPACE}*[{spans}]+|{SPACE}+|.", regex.DOTALL)
+        #: characters that stand side by side in some piece
+        self.together = {p[i:i + 2] for p in joined for i in range(len(p) - 1)}
+        self.by_word = not any(pair[1] == SPACE != pair[0] for pair in self.together)
+        self.spaced = regex.compile(f"{SPACE}+[^{SPACE}]*")
         self.letters = [self._letter(i) for i in every]
         self.strips = model.normalize("a").startswith(SPACE)
         for text in self.TRIAL:
@@ -90,6 +107,11 @@ class Encoder:
             return ""
         return self.model.decode([i]) if self.model.is_unknown(i) else self.model.id_to_piece(i).replace(SPACE, " ")
 
+    def _numbers(self, piece: str) -> bytes:
+        """A piece's id as a 32-bit number of this machine; of a character without a piece, those of its bytes."""
+        found = self.ids.get(piece)
+        return array("i", [self.bytes[b] for b in piece.encode()] if found is None else [found]).tobytes()
+
     def merge(self, text: str) -> list[str]:
         """The definition: pieces of a short text by merging."""
         pieces, scores = list(text), self.scores
@@ -103,31 +125,37 @@ class Encoder:
                 return pieces
             pieces[at:at + 2] = [pieces[at] + pieces[at + 1]]
 
-    def fits(self, left: str, right: str) -> bool:
-        """Whether merging ``left + right`` anew gives these two pieces."""
-        found = self.pairs.get((left, right))
-        if found is None:
-            found = self.pairs[left, right] = self.merge(left + right) == [left, right]
-        return found
+    def word(self, key: str) -> bytes:
+        """Ids of a space and ``key``."""
+        return self.part(SPACE + key) if key.isalpha() else self.run(SPACE + key)
+
+    def run(self, text: str) -> bytes:
+        """Ids of a text, cut where no piece can span."""
+        together = self.together
+        ends = [i for i in range(1, len(text)) if text[i - 1:i + 1] not in together]
+        if not ends:
+            return self.part(text)
+        cut = [text[a:b] for a, b in zip([0, *ends], [*ends, len(text)], strict=True)]
+        return b"".join([self.words[one[1:]] if one[0] == SPACE and one[1:].isalpha() else self.parts[one] for one in cut])
 
     def part(self, text: str) -> bytes:
         """Ids of a part by backtracking. Characters without a piece of their own stand alone and become bytes."""
         n, longest = len(text), {}
         for end, piece in self.automaton.iter(text):  # of one end the longest comes first, so of one start the longest comes last
             longest[end - len(piece) + 1] = piece
-        failed = bytearray(n // 8 + 1)
+        failed, marked = bytearray(n // 8 + 1), False
         pieces: list[str] = []
         before, at, piece = None, 0, longest.get(0, text[0])
-        pairs, shorter = self.pairs, self.shorter
+        fits, shorter = self.fits, self.shorter
         while True:
             while piece is not None:
                 end = at + len(piece)
-                if not failed[end >> 3] >> (end & 7) & 1:
-                    if before is None or (pairs[before, piece] if (before, piece) in pairs else self.fits(before, piece)):
-                        break
+                if not (marked and failed[end >> 3] >> (end & 7) & 1) and (before is None or fits[before, piece]):
+                    break
                 piece = shorter.get(piece)
             if piece is None:  # nothing goes on from here: step back
                 failed[at >> 3] |= 1 << (at & 7)
+                marked = True
                 piece = pieces.pop()
                 before = pieces[-1] if pieces else None
                 at -= len(piece)
@@ -136,36 +164,19 @@ class Encoder:
             pieces.append(piece)
             before, at = piece, end
             if at == n:
-                break
-            piece = longest.get(at, text[at])
-        out = array("i")
-        for piece in pieces:
-            i = self.ids.get(piece)
-            if i is not None:
-                out.append(i)
-            else:
-                out.extend([self.bytes[b] for b in piece.encode()])
-        return out.tobytes()
+                return b"".join([self.numbers[piece] for piece in pieces])
+            piece = longest.get(at) or text[at]
 
     def packed(self, text: str) -> bytes:
         """Ids of a text as 32-bit numbers of this machine."""
-        known = self.parts
-        if len(known) > REMEMBERED:
-            known.clear()
-        if len(self.pairs) > PAIRS:
-            self.pairs.clear()
-        parts = self.cut.findall(self.model.normalize(text))
-        ids = list(map(known.get, parts))
-        if None in ids:
-            for i, part in enumerate(parts):
-                if ids[i] is None:
-                    found = known.get(part)
-                    if found is None:
-                        found = self.part(part)
-                        if len(part) <= PART:
-                            known[part] = found
-                    ids[i] = found
-        return b"".join(ids)
+        text = self.model.normalize(text)
+        if not self.by_word or not text.startswith(SPACE):
+            return self.run(text) if text else b""
+        keys = text.split(SPACE)[1:]
+        if "" in keys:  # a run of spaces goes with the word behind it
+            keys = [run[1:] for run in self.spaced.findall(text)]
+        words = self.words
+        return b"".join([words[key] for key in keys])
 
     def encode(self, text: str) -> list[int]:
         return array("i", self.packed(text)).tolist()
@@ -238,6 +249,7 @@ def decode(encoded: DataFrame, model: str, keep: list[str]) -> DataFrame:
     """The columns ``keep`` and ``decoded``, the text of the ids in ``ids``; null ids give an empty text."""
     def convert(ids: pa.Array) -> pa.Array:
         code = encoder(model)
-        return pa.array([code.decode(i or ()) for i in ids.to_pylist()], pa.string())
+        numbers, ends = ids.values.to_numpy(), ids.offsets.to_numpy()  # a null list has equal ends
+        return pa.array([code.decode(numbers[a:b].tolist()) for a, b in zip(ends, ends[1:], strict=False)], pa.string())
 
     return _mapped(encoded, keep, "ids", "decoded", convert)

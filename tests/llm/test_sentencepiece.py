@@ -58,12 +58,12 @@ def test_part_is_the_only_sequence_whose_neighbours_fit(code):
 def test_tables_are_bounded(monkeypatch):
     code = S.Encoder(MODEL)
     monkeypatch.setattr(S, "REMEMBERED", 50)
-    monkeypatch.setattr(S, "PAIRS", 20)
     rng = random.Random(2)
     for _ in range(50):
-        text = " ".join("".join(rng.choice("abcdexyz") for _ in range(7)) for _ in range(20))
+        text = " ".join("".join(rng.choice("abcdexyz.") for _ in range(7)) for _ in range(20)) + "q" * 100
         assert code.encode(text) == code.model.encode(text)
-    assert len(code.parts) <= 50 + 41
+    for table in (code.words, code.parts):
+        assert len(table) <= 50 and len(table.old) <= 50 and all(len(key) <= S.WORD for key in table)
 
 
 def test_other_kinds_of_models_are_refused(monkeypatch):
