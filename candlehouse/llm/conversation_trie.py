@@ -43,17 +43,19 @@ def turns(conversations: DataFrame) -> DataFrame:
     rows = conversations.where("conv_id is not null").select(F.col("conv_id").cast("bigint").alias("conv_id"), "turn",
                                                               role.alias("role"), text.alias("text"), F.rand(7).alias("tie"))
     order = [F.asc_nulls_first("turn"), F.asc("role"), F.asc("text"), F.asc("tie")]
-    ranged = rows.repartitionByRange("conv_id", *order).withColumn("part", F.spark_partition_id())
     digest = F.sha2(F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text"), 256)
     number = lambda d, at: F.conv(F.substring(d, at, 15), 16, 10).cast("bigint")
     both = let(digest, lambda d: F.struct(number(d, 1).alias("a"), number(d, 16).alias("b")))
-    local = Window.partitionBy(F.struct("part", "conv_id")).orderBy(*order)
-    numbered = checkpoint(ranged.select("conv_id", "part", F.row_number().over(local).cast("bigint").alias("pos"),
-                                        F.length("text").cast("bigint").alias("size"), both.alias("h"))
-                          .select("conv_id", "part", "pos", "size", "h.a", "h.b"))
-    counts = numbered.groupBy("conv_id", "part").agg(F.max("pos").alias("n"))
+    ranged = rows.repartitionByRange("conv_id", *order).sortWithinPartitions("conv_id", *order)
+    # the place in the sorted partition; texts are shuffled this once
+    placed = checkpoint(ranged.select("conv_id", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"),
+                                      F.length("text").cast("bigint").alias("size"), both.alias("h"))
+                        .select("conv_id", "part", "at", "size", "h.a", "h.b"))
+    runs = placed.groupBy("conv_id", "part").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("offset", F.sum("n").over(earlier)).where("offset is not null").drop("n")
+    offsets = runs.withColumn("offset", F.sum("n").over(earlier)).where("offset is not null").select("conv_id", "part", "offset")
+    local = Window.partitionBy(F.struct("part", "conv_id")).orderBy("at")
+    numbered = placed.withColumn("pos", F.row_number().over(local).cast("bigint"))
     return (numbered.join(F.broadcast(offsets), ["conv_id", "part"], "left")
             .select("conv_id", (F.col("pos") + F.coalesce("offset", F.lit(0))).alias("pos"), "a", "b", "size"))
 
@@ -205,7 +207,7 @@ def trie(conversations: DataFrame, walked: int = WALKED, block: int = BLOCK) ->
     parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256, and enter and exit, the places of its arcs in the tour. Without
     conversations there is no node, not even the root. ``walked`` and ``block`` are the bounds of :mod:`candlehouse.llm.listrank`.
     """
-    sequence, convs = rebuilt(turns(conversations))
+    sequence, convs = rebuilt(checkpoint(turns(conversations)))
     every = checkpoint(prefixes(sequence, convs, block))
     nodes = checkpoint(nodes_of(every))
     chain, held = siblings(checkpoint(chains(nodes)))
