@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from candlehouse.functions import columns as C
 from candlehouse.functions.arguments import naive_utc
 from candlehouse.operators.rollup import ROLLUP_KEY, bucket_rollup
-from candlehouse.plans.versions import Versioned
-from candlehouse.sources.tables import PERIOD, between_periods, periods_between
+from candlehouse.plans.periods import PeriodTable
+from candlehouse.schemas import FACT_SCHEMA
+from candlehouse.sources.tables import PERIOD, between_periods, empty_table, periods_between
 
 # Refresh range behind the current time, per bucket size.
 REFRESH_RANGE = {
@@ -32,8 +33,9 @@ def refresh_range(grain: str, as_of: datetime) -> tuple[datetime, datetime]:
     return first, last
 
 
-def rollup_table(spark: SparkSession, path: str, table_grain: str = "month") -> Versioned:
-    return Versioned(spark, path, "bucket", table_grain)
+def rollup_table(spark: SparkSession, path: str, table_grain: str = "month") -> PeriodTable:
+    schema = bucket_rollup(empty_table(spark, FACT_SCHEMA), "day").schema
+    return PeriodTable(spark, path, schema, "bucket", table_grain)
 
 
 def build_rollup(fact: DataFrame, path: str, grain: str, table_grain: str = "month") -> None:
@@ -51,7 +53,7 @@ def refresh_rollup(
     fact_grain: str = "month",
 ) -> None:
     """Recompute the buckets of [start, end) from the fact table, leaving all others as stored, even
-    where late rows have arrived for them. The touched periods get new versions beside the old ones."""
+    where late rows have arrived for them. Only the touched periods are read and replaced."""
     if start >= end:
         return
     rows = fact.filter((F.col("ts") >= C.utc(start)) & (F.col("ts") < C.utc(end)))
@@ -59,5 +61,6 @@ def refresh_rollup(
         rows = between_periods(rows, start, end, fact_grain)
     table = rollup_table(fact.sparkSession, path, table_grain)
     periods = periods_between(start, end, table_grain)
-    outside = table.read(periods).filter((F.col("bucket") < C.utc(start)) | (F.col("bucket") >= C.utc(end)))
-    table.replace(bucket_rollup(rows, grain).unionByName(outside), ["bucket", *ROLLUP_KEY], periods)
+    stored = table.stored().filter(F.col(PERIOD).isin(periods)).drop(PERIOD)
+    outside = stored.filter((F.col("bucket") < C.utc(start)) | (F.col("bucket") >= C.utc(end)))
+    table.merge(bucket_rollup(rows, grain).unionByName(outside), ["bucket", *ROLLUP_KEY], periods)

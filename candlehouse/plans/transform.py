@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from candlehouse.functions import columns as C
 from candlehouse.operators.dedup import not_in
 from candlehouse.operators.transform import CRYPTO_DAY_KEY, transform_crypto, transform_forex, transform_stock
+from candlehouse.plans.periods import PeriodTable
 from candlehouse.plans.storage import insert_ignore, periods_of
-from candlehouse.plans.versions import Versioned
 from candlehouse.schemas import RAW_KEY, TRANSFORMED_SCHEMA
-from candlehouse.sources.tables import conform, period_start
+from candlehouse.sources.tables import PERIOD, conform, period_start
 
 TRANSFORM: dict[str, Callable[[DataFrame], DataFrame]] = {"STOCK": transform_stock, "FOREX": transform_forex}
 
@@ -29,28 +29,26 @@ def store_bars(raw: DataFrame, path: str, asset_type: str, periods: list[date] |
                          schema=TRANSFORMED_SCHEMA[asset_type])["inserted"]
 
 
-def crypto_days(raw: DataFrame, path: str) -> Versioned:
-    return Versioned(raw.sparkSession, path, "ts")
+def crypto_days(raw: DataFrame, path: str) -> PeriodTable:
+    return PeriodTable(raw.sparkSession, path, TRANSFORMED_SCHEMA["CRYPTO"], "ts")
 
 
 def store_crypto_days(raw: DataFrame, path: str, replace_from: datetime | None = None) -> int:
     """Add the crypto days that are missing. Returns how many days were computed.
 
     A day that was transformed while still incomplete stays as it is, unless ``replace_from`` (a midnight)
-    asks for the days from then on to be computed again. New versions of the touched months are written beside the old ones.
+    asks for the days from then on to be computed again; a stored day without raw bars stays too.
     """
-    table = crypto_days(raw, path)
-    stored, periods = table.manifest(), set(periods_of(raw))
-    if stored and replace_from is not None:
-        periods |= {p for p in stored if p >= period_start(replace_from)}
-    days = conform(transform_crypto(raw), TRANSFORMED_SCHEMA["CRYPTO"])
-    observed = Observation()
-    if not stored:
-        table.replace(days.observe(observed, F.count("*").alias("n")), CRYPTO_DAY_KEY)
-        return observed.get["n"]
-    kept = table.read(sorted(periods))
+    table, days = crypto_days(raw, path), transform_crypto(raw)
+    table.finish(CRYPTO_DAY_KEY)
+    replaced = 0
     if replace_from is not None:
-        kept = kept.filter(F.col("ts") < C.utc(replace_from))
-    new = not_in(days, kept, CRYPTO_DAY_KEY).observe(observed, F.count("*").alias("n"))
-    table.replace(new.unionByName(kept), CRYPTO_DAY_KEY, sorted(periods))
-    return observed.get["n"]
+        observed = Observation()
+        again = days.filter(F.col("ts") >= C.utc(replace_from)).observe(observed, F.count("*").alias("n"))
+        days = days.filter(F.col("ts") < C.utc(replace_from))
+        stored = table.stored().filter(F.col(PERIOD) >= F.lit(period_start(replace_from))).drop(PERIOD)
+        again = conform(again, TRANSFORMED_SCHEMA["CRYPTO"])
+        table.merge(again.unionByName(not_in(stored, again, CRYPTO_DAY_KEY)), CRYPTO_DAY_KEY)
+        replaced = observed.get["n"]
+    added = insert_ignore(days, path, CRYPTO_DAY_KEY, periods=periods_of(raw), schema=TRANSFORMED_SCHEMA["CRYPTO"])
+    return replaced + added["inserted"]

@@ -4,21 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import date, datetime, timedelta
-from functools import cached_property
+from datetime import datetime, timedelta
+from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from candlehouse.functions import columns as C
 from candlehouse.functions.arguments import naive_utc, positive, select_asset_types
 from candlehouse.operators import dims, facts, marts, readouts
 from candlehouse.operators.dedup import not_in
-from candlehouse.plans.ledger import Ledger, Touched
+from candlehouse.plans.ledger import Ledger
+from candlehouse.plans.periods import PeriodTable
 from candlehouse.plans.storage import insert_ignore
-from candlehouse.plans.versions import Versioned
 from candlehouse.schemas import ASSET_TYPE_ID, DIM_SYMBOL_SCHEMA, FACT_KEY, FACT_SCHEMA
-from candlehouse.sources.tables import PERIOD, conform, period_start, read_table, with_period
+from candlehouse.sources.tables import PERIOD, conform, empty_table, period_start, read_table, with_period
 from candlehouse.sources.tables import since as younger_than
 
 
@@ -48,10 +49,10 @@ class Warehouse:
 
     @property
     def ledger(self) -> Ledger:
-        return Ledger(self.spark, f"{self.root}/touched_days", (DAYS, *MART_REFRESH))
+        return Ledger(self.spark, f"{self.root}/ledger")
 
-    def mart(self, name: str) -> Versioned:
-        return Versioned(self.spark, f"{self.root}/marts/{name}", MART_TIME.get(name))
+    def mart(self, name: str) -> PeriodTable:
+        return PeriodTable(self.spark, f"{self.root}/marts/{name}", mart_schema(name), MART_TIME.get(name), self.grain)
 
     @property
     def star(self) -> marts.Star:
@@ -155,12 +156,12 @@ def append_facts(
         F.count_if(F.col("asset_type_id") == ASSET_TYPE_ID[code]).alias(code) for code in transformed
     ]
     first = period_start(cutoff, warehouse.grain) if cutoff else None
-    load = warehouse.ledger.open(naive_utc(cutoff).date() if cutoff else None)
+    load = warehouse.ledger.open(first)
     rows = facts.finish(facts.fact_union(transformed))
-    days = F.collect_set(F.to_date("ts")).alias("days")  # bounded by the calendar
-    written = insert_ignore(rows, warehouse.fact_path, FACT_KEY, warehouse.grain, first=first, counts=[*per_type, days],
+    periods = F.collect_set(PERIOD).alias("periods")  # bounded by the calendar
+    written = insert_ignore(rows, warehouse.fact_path, FACT_KEY, warehouse.grain, first=first, counts=[*per_type, periods],
                             schema=FACT_SCHEMA)
-    warehouse.ledger.close(load, written["days"])
+    warehouse.ledger.close(load, written["periods"])
     return {code: written[code] for code in transformed}
 
 
@@ -169,94 +170,98 @@ MART_TIME = {DAYS: "trading_day", "mv_daily_ohlc_summary": "trading_day", "mv_ho
 
 
 class Refresh:
-    """One refresh run. The ledger tells each mart which days have changed since its own last refresh; only these are
-    read from the fact table and computed anew. Every mart but the hourly one comes from the stored day rollup."""
+    """One refresh run. The ledger tells each mart which periods have changed since its own last refresh; these are computed anew
+    and replace the stored ones. The facts to read are found by a join with the ledger, which prunes their partitions at
+    run time. Every mart but the hourly one comes from the stored day rollup."""
 
     def __init__(self, warehouse: Warehouse):
         self.warehouse = warehouse
         self.spark = warehouse.spark
-
-    def day_table(self, touched: Touched) -> DataFrame:
-        """The touched days as a table (column ``day``), which the calendar bounds."""
-        days = set(touched.days)
-        if touched.since is not None:
-            found = self.warehouse.fact.filter(F.to_date("ts") >= F.lit(touched.since)).select(F.to_date("ts").alias("day")).distinct()
-            days |= {r["day"] for r in found.collect()}
-        return self.spark.createDataFrame([(d,) for d in sorted(days)], "day date")
-
-    def changed(self, days: list[date]) -> DataFrame:
-        """Fact rows of the touched days, from their partitions."""
-        periods = sorted({period_start(datetime.combine(d, datetime.min.time()), self.warehouse.grain) for d in days})
-        table = self.spark.createDataFrame([(d,) for d in days], "day date")
-        rows = self.warehouse.fact.filter(F.col(PERIOD).isin(periods))
-        return rows.join(F.broadcast(table), F.to_date("ts") == F.col("day"), "left_semi")
-
-    def over_time(self, name: str, build: Callable[[list[date] | None], DataFrame]) -> Versioned:
-        """Bring a table over time up to date. ``build`` makes its rows of the given days, or of all days for None."""
-        table, touched = self.warehouse.mart(name), self.warehouse.ledger.touched(name)
-        sort, stored = ["symbol_id", table.time], table.manifest()
-        if stored is None or touched.since == date.min:
-            table.replace(build(None), sort)
-        elif touched:
-            found = self.day_table(touched)
-            days = [r["day"] for r in found.collect()]
-            months = {d.replace(day=1) for d in days}
-            if touched.since is not None:  # stored months whose facts are gone count too
-                months |= {p for p in stored if p >= touched.since.replace(day=1)}
-            rest = table.read(sorted(months)).join(F.broadcast(found), F.to_date(table.time) == F.col("day"), "left_anti")
-            table.replace(build(days).unionByName(rest), sort, sorted(months))
-        self.warehouse.ledger.clear(name, touched)
+        warehouse.ledger.recover(warehouse.fact)
+        self.upto, self.marks = warehouse.ledger.last(), warehouse.ledger.marks()
+        self.followed: list[str] = []
+
+    def touched(self, name: str) -> DataFrame | None:
+        """The periods that the mart has to catch up with; None for all, where it has not been written yet."""
+        if not self.warehouse.mart(name).exists:
+            return None
+        return self.warehouse.ledger.periods(self.marks.get(name, 0), self.upto)
+
+    def is_behind(self, name: str) -> bool:
+        return self.upto > self.marks.get(name, 0) or not self.warehouse.mart(name).exists
+
+    def over_time(self, name: str, build: Callable[[DataFrame | None], DataFrame]) -> PeriodTable:
+        """Bring a table over time up to date. ``build`` makes its rows of the given periods, or of all for None."""
+        table = self.warehouse.mart(name)
+        if self.is_behind(name):
+            table.replace(build(self.touched(name)), ["symbol_id", table.time])
+        self.followed.append(name)
         return table
 
     @cached_property
-    def days(self) -> DataFrame:
+    def days(self) -> PeriodTable:
         """The stored day rollup, brought up to date once per run."""
-        return self.over_time(DAYS, lambda days: marts.day_rollup(
-            self.warehouse.fact if days is None else self.changed(days))).read()
-
-    def daily(self, name: str) -> Versioned:
-        stored = self.days
-
-        def build(days: list[date] | None) -> DataFrame:
-            rows = stored
-            if days is not None:
-                table = self.spark.createDataFrame([(d,) for d in days], "day date")
-                rows = self.warehouse.mart(DAYS).read(sorted({d.replace(day=1) for d in days})).join(
-                    F.broadcast(table), F.to_date("trading_day") == F.col("day"), "left_semi")
-            return marts.daily_of(rows, self.warehouse.symbols)
-
-        return self.over_time(name, build)
+        return self.over_time(DAYS, lambda periods: marts.day_rollup(of_periods(self.warehouse.fact, periods)))
 
-    def hourly(self, name: str) -> Versioned:
-        def build(days: list[date] | None) -> DataFrame:
-            return marts.hourly(marts.Star(self.warehouse.fact if days is None else self.changed(days), self.warehouse.symbols))
+    def daily(self, name: str) -> PeriodTable:
+        days = self.days
+        return self.over_time(name, lambda periods: marts.daily_of(of_periods(days.stored(), periods), self.warehouse.symbols))
 
-        return self.over_time(name, build)
+    def hourly(self, name: str) -> PeriodTable:
+        return self.over_time(name, lambda periods: marts.hourly(
+            marts.Star(of_periods(self.warehouse.fact, periods), self.warehouse.symbols)))
 
-    def whole(self, name: str, build: Callable[[], DataFrame], sort: list[str]) -> Versioned:
-        """A small table that is computed as a whole from the day rollup, if any day has changed."""
-        table, touched = self.warehouse.mart(name), self.warehouse.ledger.touched(name)
-        if table.manifest() is None or touched:
+    def whole(self, name: str, build: Callable[[], DataFrame], sort: list[str]) -> PeriodTable:
+        """A small table that is computed as a whole from the day rollup, if any period has changed."""
+        table = self.warehouse.mart(name)
+        if self.is_behind(name):
             table.replace(build(), sort)
-        self.warehouse.ledger.clear(name, touched)
+        self.followed.append(name)
         return table
 
-    def asset_type(self, name: str) -> Versioned:
-        days = self.days
+    def asset_type(self, name: str) -> PeriodTable:
+        days = self.days.read()
         return self.whole(name, lambda: marts.asset_type_of(days), ["asset_type_code"])
 
-    def symbol(self, name: str) -> Versioned:
-        days = self.days
+    def symbol(self, name: str) -> PeriodTable:
+        days = self.days.read()
         return self.whole(name, lambda: marts.symbol_of(days, self.warehouse.symbols), ["symbol_id"])
 
+    def close(self) -> None:
+        """Note what the marts have followed. A run that dies before that is repeated by the next one."""
+        behind = [name for name in self.followed if self.upto > self.marks.get(name, 0)]
+        self.warehouse.ledger.clear(behind, self.upto)
 
-MART_REFRESH: dict[str, Callable[[Refresh, str], Versioned]] = {
+
+def of_periods(rows: DataFrame, periods: DataFrame | None) -> DataFrame:
+    """The rows of some periods, which the calendar bounds."""
+    return rows if periods is None else rows.join(F.broadcast(periods), PERIOD, "left_semi")
+
+
+MART_REFRESH: dict[str, Callable[[Refresh, str], PeriodTable]] = {
     "mv_daily_ohlc_summary": Refresh.daily,
     "mv_hourly_ohlc_summary": Refresh.hourly,
     "mv_asset_type_summary": Refresh.asset_type,
     "mv_symbol_analytics": Refresh.symbol,
 }
 
+
+@cache
+def mart_schema(name: str) -> StructType:
+    """Columns of a mart, as its operator makes them of the declared fact and symbol tables."""
+    spark = SparkSession.active()
+    fact, symbols = empty_table(spark, FACT_SCHEMA), empty_table(spark, DIM_SYMBOL_SCHEMA)
+    days = marts.day_rollup(fact)
+    made = {
+        DAYS: lambda: days,
+        "mv_daily_ohlc_summary": lambda: marts.daily_of(days, symbols),
+        "mv_hourly_ohlc_summary": lambda: marts.hourly(marts.Star(fact, symbols)),
+        "mv_asset_type_summary": lambda: marts.asset_type_of(days),
+        "mv_symbol_analytics": lambda: marts.symbol_of(days, symbols),
+    }
+    return made[name]().schema if name in made else StructType([])
+
+
 # Analytic views over the stored marts: name, mart, and what the view does with it.
 ANALYTIC_VIEWS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "ohlc_1day": ("mv_daily_ohlc_summary", marts.day_view),
@@ -278,12 +283,13 @@ def refresh_marts(warehouse: Warehouse, steps: dict | None = None) -> RefreshRep
             report.refreshed[name] = table.path
         except Exception as error:  # noqa: BLE001 - the report carries the reason
             report.errors[name] = f"{name} was not refreshed: {error}"
+    run.close()
     return report
 
 
 def open_views(warehouse: Warehouse) -> list[str]:
     """Create the views of all marts that have been written, as a new session with an in-memory catalog needs."""
-    found = [name for name in MART_REFRESH if warehouse.mart(name).manifest() is not None]
+    found = [name for name in MART_REFRESH if warehouse.mart(name).exists]
     for name in found:
         warehouse.mart(name).show(name)
     return found
@@ -298,7 +304,7 @@ def analytic_view(warehouse: Warehouse, name: str) -> DataFrame:
 def loaded_range(warehouse: Warehouse) -> tuple[str | None, str | None]:
     """First and last time from the day rollup, where it is up to date, else from the fact table."""
     days = warehouse.mart(DAYS)
-    if days.manifest() is None or warehouse.ledger.touched(DAYS):
+    if not days.exists or warehouse.ledger.behind(DAYS):
         return date_range(warehouse)
     return tuple(readouts.range_of(days.read(), "first_ts", "last_updated").first())
 

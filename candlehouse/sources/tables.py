@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import json
 from datetime import date, datetime, timedelta
-from time import time_ns
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,43 +31,6 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
-class Record:
-    """A small JSON value of a job, such as a manifest, on whatever file system the path names.
-
-    Every write makes a new numbered file, complete before it has its name; the newest counts and the one before is kept.
-    """
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-
-    def _names(self) -> list[str]:
-        fs, folder = _hadoop(self.spark, self.path)
-        if not fs.exists(folder):
-            return []
-        return sorted(n for n in (s.getPath().getName() for s in fs.listStatus(folder)) if n.endswith(".json"))
-
-    def read(self):
-        names = self._names()
-        if not names:
-            return None
-        fs, file = _hadoop(self.spark, f"{self.path}/{names[-1]}")
-        stream = fs.open(file)
-        try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-
-    def write(self, value) -> None:
-        old, name = self._names(), f"{time_ns():020d}"
-        fs, unnamed = _hadoop(self.spark, f"{self.path}/_{name}")
-        stream = fs.create(unnamed)
-        stream.write(bytearray(json.dumps(value).encode()))
-        stream.close()
-        fs.rename(unnamed, _hadoop(self.spark, f"{self.path}/{name}.json")[1])
-        for one in old[:-1]:
-            fs.delete(_hadoop(self.spark, f"{self.path}/{one}")[1], False)
-
-
 def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
     """No rows, in a form the optimizer knows to be empty: joins with it fold away."""
     nothing = spark.sql("SELECT 1 WHERE false")

@@ -14,7 +14,7 @@ from candlehouse.functions.arguments import parse_asset_types
 from candlehouse.operators import dedup, dims, facts, marts, readouts, rollup, transform
 from candlehouse.plans import backfill, continuous, ingest, news, storage, warehouse
 from candlehouse.plans import transform as transforms
-from candlehouse.plans.versions import Versioned
+from candlehouse.plans.periods import PeriodTable
 from candlehouse.schemas import (
     CRYPTO_KEY, FACT_COLUMNS, FOREX_KEY, INTERVAL_ID, RAW_KEY, RAW_SCHEMA, REJECT_SCHEMA, STOCK_KEY, TRANSFORMED_SCHEMA,
 )
@@ -457,7 +457,7 @@ def refresh_marts(m: MarketTables) -> DataFrame:
     warehouse.load_symbols(w, m.stored)
     warehouse.append_facts(w, m.stored)
 
-    def failing(run: warehouse.Refresh, name: str) -> Versioned:
+    def failing(run: warehouse.Refresh, name: str) -> PeriodTable:
         return run.whole(name, lambda: run.warehouse.fact.select("no_such_column"), [])
 
     report = warehouse.refresh_marts(w, steps={**warehouse.MART_REFRESH, "mv_failing": failing})
@@ -499,6 +499,7 @@ def _analytic(m: MarketTables, name: str) -> DataFrame:
     mart = warehouse.ANALYTIC_VIEWS[name][0]
     run = warehouse.Refresh(m.house)
     warehouse.MART_REFRESH[mart](run, mart)
+    run.close()
     return warehouse.analytic_view(m.house, name)
 
 

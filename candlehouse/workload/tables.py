@@ -15,7 +15,6 @@ from candlehouse.operators.facts import SOURCE_TABLE
 from candlehouse.operators.marts import Star
 from candlehouse.plans.storage import periods_of
 from candlehouse.plans.transform import store_bars, store_crypto_days
-from candlehouse.plans.versions import Versioned
 from candlehouse.plans.warehouse import Warehouse, append_facts, load_symbols
 from candlehouse.schemas import FOREX_KEY, STOCK_KEY, TRANSFORMED_SCHEMA
 from candlehouse.session import pin_utc, scratch_path
@@ -82,8 +81,7 @@ def stored_path(house: Warehouse, code: str) -> str:
 
 
 def stored_bars(house: Warehouse) -> dict[str, DataFrame]:
-    bars = {code: read_table(house.spark, stored_path(house, code), with_period(TRANSFORMED_SCHEMA[code])) for code in ("STOCK", "FOREX")}
-    return bars | {"CRYPTO": Versioned(house.spark, stored_path(house, "CRYPTO"), "ts").read()}
+    return {code: read_table(house.spark, stored_path(house, code), with_period(schema)) for code, schema in TRANSFORMED_SCHEMA.items()}
 
 
 class MarketTables:
