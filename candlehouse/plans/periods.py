@@ -58,7 +58,7 @@ class PeriodTable:
         """
         self.finish(sort)
         keyed = conform(rows, self.schema).withColumn(PERIOD, self.period())
-        write_partitioned(keyed, self._pending, sort, mode="overwrite")
+        write_partitioned(keyed, self._pending, sort)  # an append, since only that leaves the mark of a completed write
         if periods:
             left = {r[PERIOD] for r in self._staged().select(PERIOD).distinct().collect()}  # bounded by the calendar
             for gone in set(periods) - left:
