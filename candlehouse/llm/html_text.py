@@ -518,7 +518,9 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame
         return out.append_column("text", pa.array(texts, pa.string())).append_column(
             "n_chars", pa.array([len(t) for t in texts], pa.int64()))
 
-    found = dealt.drop("__groups").groupBy("__host", "__group").applyInArrow(run, schema)
+    # one column: rows that are dealt by host already, as after a join, would count as dealt by host and group too
+    dealt = dealt.withColumn("__task", F.struct("__host", "__group"))
+    found = dealt.drop("__groups").groupBy("__task").applyInArrow(run, schema)
     if apart is None:
         return found.select("row.*", "text", "n_chars")
     found = checkpoint(found)

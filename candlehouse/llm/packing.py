@@ -41,6 +41,9 @@ TRIPLES = 6000
 #: Words, and parts of words, whose ids a worker remembers: about 150 MB.
 REMEMBERED, REMEMBERED_PARTS = 1 << 19, 1 << 18
 
+#: ASCII characters that a tokenizer may drop or take as white space other than Python does.
+CONTROLS = [chr(c) for c in (*range(32), 127) if chr(c) not in "\t\n\r"]
+
 
 def _byte_letters() -> dict[int, str]:
     """The letter that byte-level vocabularies write for each byte: printable Latin-1 stands for itself, the rest from U+0100 on."""
@@ -113,7 +116,7 @@ class Encoder:
 
     def _simple(self, text: str) -> bool:
         return (self.by_word and (text.isascii() or self.plain.fullmatch(text) is not None and unicodedata.is_normalized("NFC", text))
-                and not any(c in text for c in "\x0b\x0c\x1c\x1d\x1e\x1f\x00") and not any(s in text for s in self.special))
+                and not any(c in text for c in CONTROLS) and not any(s in text for s in self.special))
 
 
 ENCODERS: dict[str, Encoder] = {}

@@ -5,7 +5,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 
 from candlehouse.llm import packing as P
@@ -19,8 +19,18 @@ def encoder():
     return P.Encoder(PATH)
 
 
-@settings(max_examples=300, deadline=None)
-@given(text=st.one_of(st.text(max_size=60), st.text(alphabet="aB' sIt!\n\u00e9\u00df\u0130\u03a3\u00a0\u2019<|endoftext|>09\x1c\x85", max_size=60)))
+CONTROLS = "".join(map(chr, [*range(32), *range(127, 160)]))
+
+
+def each_control(test):
+    for c in CONTROLS:
+        test = example(text=c)(example(text=f"a{c}b it{c}'s")(test))
+    return test
+
+
+@each_control
+@settings(max_examples=2000, deadline=None)
+@given(text=st.one_of(st.text(max_size=60), st.text(alphabet=CONTROLS + "aB' s9", max_size=30), st.text(alphabet="aB' sIt!\n\u00e9\u00df\u0130\u03a3\u00a0\u2019<|endoftext|>09\x1c\x85", max_size=60)))
 def test_encoder_agrees_with_the_tokenizer(encoder, text):
     assert encoder.by_word
     assert encoder.encode([text]) == [encoder.ids(text)]
