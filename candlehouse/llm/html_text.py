@@ -72,6 +72,9 @@ recommendations pagination pager widget toolbar search copyright""".split()
 TEMPLATE = frozenset(_WORDS)
 _PARTS = frozenset("""area articles bar box button buttons container form icon icons items link links list posts site stories
 wrapper""".split())
+#: Words that parts of an article are named by as well: inside one the alignment decides on them.
+OPEN_WORDS = frozenset("foot footer header masthead menu notice notices notification search side".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements whose id is an anchor of their text rather than a name of their part of the page.
 ANCHORS = frozenset("h1 h2 h3 h4 h5 h6 p section li dt dd span a b i em strong td th tr".split())
 #: Elements that a word within a longer name may mark for the alignment.
@@ -147,6 +150,8 @@ def parse(page: str) -> Node:
                 if here.tag in CLOSED_BY and tag in CLOSED_BY[here.tag]:
                     here = here.parent
         declared, soft, hinted, label = _declared(tag, attributes)
+        if soft and _open(tag, label, here):
+            declared, soft, hinted = False, False, tag in CONTAINERS
         node = Node(tag, f"{tag} {label}" if label else tag, declared, soft, hinted, here, here.depth + 1)
         here.children.append(node)
         here.elements.append(node)
@@ -188,6 +193,18 @@ def _reveal(root: Node) -> None:
             return
 
 
+def _open(tag: str, label: str, above: Node) -> bool:
+    """Whether a class or id says too little to go by: that of a heading, and in an article one of ``OPEN_WORDS`` alone."""
+    if tag in HEADINGS:
+        return True
+    words_ = {w for w in _SPLIT.split(label) if w in TEMPLATE}
+    if not words_ or not words_ <= OPEN_WORDS:
+        return False
+    while above is not None and above.tag not in ("article", "main"):
+        above = above.parent
+    return above is not None
+
+
 def _known(token: str) -> bool:
     parts = [w for w in _SPLIT.split(token) if w and not w[0].isdigit()]
     return any(w in TEMPLATE for w in parts) and all(w in TEMPLATE or w in _PARTS for w in parts)

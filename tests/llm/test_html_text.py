@@ -160,3 +160,29 @@ def test_whole_table_against_cutting_the_article_out(spark):
     found = QUERIES["op4_wrapper_induction"](spark, folder).collect()
     assert len(found) == len(pages)
     assert all(r.text == plain(pages[r.page_id]) for r in found)
+
+
+def test_class_words_inside_an_article_go_by_the_alignment(spark):
+    """Varying headings and blocks stay whatever their class; what is the same on all pages goes, and so do declared parts."""
+    page = ("<body><nav>Home About</nav><article><h2 class='header'>Intro to thing {i}</h2><p>Text {i} of its own, with words {j}.</p>"
+            "<div class='search'>How the search of {i} went {j}</div><div class='notice'>All rights are reserved by us</div>"
+            "<div class='sidebar'>See also {j}</div></article><footer>Bye {i}</footer></body>")
+    pages = [(i, f"https://one.example/{i}", page.format(i=f"n{i}", j=f"m{i * 7}")) for i in range(20)]
+    got = H.extract(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()
+    for r in got:
+        i = r.page_id
+        assert r.text == f"Intro to thing n{i}\n\nText n{i} of its own, with words m{i * 7}.\n\nHow the search of n{i} went m{i * 7}"
+
+
+def test_a_hot_host_is_dealt_by_its_groups(spark, monkeypatch):
+    """Without a broadcast the join deals by host; the groups must be dealt anew."""
+    monkeypatch.setattr(H, "GROUP_PAGES", 8)
+    rows = [(i, "https://hot.example/a", f"<p>one {i}</p>") for i in range(60)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = H.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(__task" in plan
+        assert found.count() == 60
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
