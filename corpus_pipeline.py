@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlehouse.llm import decontamination, language, neardup, packing, toxicity
-from candlehouse.llm.common import held_out, read
+from candlehouse.llm.common import checkpoint, held_out, read
 from candlehouse.session import scratch_path
 
 #: Documents scoring this or more are toxic.
@@ -43,22 +43,38 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, similarity 0.8): the one with the smallest id.
 
-    Rows that repeat an id are one document, of which one row stays. Rows without an id are kept.
+    Rows that repeat id and text are one document, of which one row stays. Rows that share an id but not the text are documents of
+    their own, behind the others of a group: a row goes only if its own text, or a near copy, stays. Rows without an id are kept.
     """
-    found = neardup.near_duplicates(docs, n=5, percent=80)
-    by_id = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text", F.col("doc_id").cast("bigint").alias("key"))
+    content = F.xxhash64("text", F.isnull("text"))
+    several = checkpoint(whole.where("key is not null").groupBy("key").agg(F.min(content).alias("least"), F.max(content).alias("most"))
+                         .where("least <> most").select("key"))
+    if not several.isEmpty():
+        own = F.lit(1 << 62) + F.pmod(F.xxhash64("key", content), F.lit(1 << 61))
+        whole = whole.join(several.withColumn("shared", F.lit(True)), "key", "left")
+        whole = whole.withColumn("key", F.when(F.col("shared"), own).otherwise(F.col("key"))).drop("shared")
+    found = neardup.near_duplicates(whole.select(F.col("key").alias("doc_id"), "text"), n=5, percent=80)
+    by_key = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(
         F.bool_and("kept").alias("stays"), F.count("*").alias("rows"))
-    other = by_id.where("not stays or rows > 1")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("bigint").alias("key"))
-    marked = rows.join(other, F.col("key") == F.col("id"), "left").where("id is null or stays")
+    other = by_key.where("not stays or rows > 1")
+    marked = whole.drop("text").join(other, F.col("key") == F.col("id"), "left").where("id is null or stays")
     repeated = marked.where("rows > 1").dropDuplicates(["key"])
     return marked.where("rows is null").unionByName(repeated).select("row.*")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
-    leaks = decontamination.matches(docs, read(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    """Documents without a passage of the benchmark. Rows without an id are judged by their text."""
+    keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    without = keyed.where("doc_id is null and text is not null").select(F.xxhash64("text").alias("doc_id"), "text")
+    items = read(spark, sf_dir, "benchmark")
+    leaks = decontamination.matches(keyed, items).select("doc_id").distinct()
+    clean = docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    if without.isEmpty():
+        return clean
+    bad = decontamination.matches(without, items).select(F.col("doc_id").alias("content")).distinct()
+    rows = clean.withColumn("__content", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
+    return rows.join(bad, rows["__content"] == bad["content"], "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
