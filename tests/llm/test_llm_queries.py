@@ -85,3 +85,30 @@ def test_whole_pipeline(spark):
     found = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert found.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert found.count() > 0
+
+
+def test_no_text_is_lost_where_an_id_repeats(spark):
+    import random
+
+    rng = random.Random(4)
+    a, b, c, d = (sentence(rng, 60) for _ in range(4))
+    stage = dict(corpus_pipeline.STAGES)["minhash_near_dedup"]
+
+    def kept(rows):
+        return sorted((r.doc_id, r.text) for r in stage(spark, spark.createDataFrame([(*r, "en", "s", 1) for r in rows], DOCS), "").collect())
+
+    assert kept([(3, a), (5, a), (5, b), (7, c)]) == sorted([(3, a), (5, b), (7, c)])
+    assert kept([(3, a), (3, b), (3, b), (4, d)]) == sorted([(3, a), (3, b), (4, d)])
+    assert [i for i, _ in kept([(3, a), (3, a + " and more"), (9, b), (9, "")])] == [3, 9, 9]
+
+
+def test_a_leak_in_a_row_without_an_id_goes(spark, tmp_path):
+    import random
+
+    rng = random.Random(6)
+    item = sentence(rng, 40, 3000)
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, f"see {item} there"), (None, sentence(rng, 50)), (None, None), (1, sentence(rng, 50)), (2, item)]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], DOCS)
+    clean = dict(corpus_pipeline.STAGES)["benchmark_decontamination"](spark, docs, str(tmp_path))
+    assert clean.columns == docs.columns and sorted(str(r.text) for r in clean.collect()) == sorted(str(rows[i][1]) for i in (1, 2, 3))
