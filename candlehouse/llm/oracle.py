@@ -45,9 +45,9 @@ select doc_id, size::bigint as size, text_crc32::bigint as text_crc32, 'rows' as
 
 TOP_K = """
 with vectors as (
-  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v from embeddings
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::hugeint) as v from embeddings
   where vec_id is not null and embedding is not null and len(embedding) > 0
-    and list_bool_and(list_transform(embedding, lambda x: coalesce(abs(64 * x::double) < 2147483648, false))))
+    and list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false))))
 , scored as (
   select q.vec_id as query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::bigint as score
   from vectors q join vectors c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id)

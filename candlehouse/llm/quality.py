@@ -18,9 +18,11 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,6 +95,25 @@ class Net:
         return 1 / (1 + np.exp(-np.clip(self.logits(matrix(texts)), -30, 30)))
 
 
+def _sigmoid(v: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(v, -30, 30)))
+
+
+def negative_risk(fp: np.ndarray, fu: np.ndarray, prior: float) -> float:
+    """The estimated risk on negatives, from the logits of positive and unlabelled rows."""
+    return float(np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean())
+
+
+def slopes(fp: np.ndarray, fu: np.ndarray, prior: float | None) -> np.ndarray:
+    """Derivative by each logit of what a step goes down: the unbiased risk, or where the risk on negatives is below 0, that risk's
+    negative. With ``prior`` None, of the plain loss that tells the two kinds apart."""
+    if prior is None:
+        return np.concatenate([-_sigmoid(-fp) / len(fp), _sigmoid(fu) / len(fu)])
+    if negative_risk(fp, fu, prior) >= 0:
+        return np.concatenate([-prior * (_sigmoid(-fp) + _sigmoid(fp)) / len(fp), _sigmoid(fu) / len(fu)])
+    return np.concatenate([prior * _sigmoid(fp) / len(fp), -_sigmoid(fu) / len(fu)])
+
+
 def train(p: np.ndarray, u: np.ndarray, prior: float | None, epochs: int = EPOCHS, seed: int = 5) -> Net:
     """Minimise the risk above by Adam; with ``prior`` None, tell positives from unlabelled rows instead."""
     rng = np.random.default_rng(seed)
@@ -102,7 +123,6 @@ def train(p: np.ndarray, u: np.ndarray, prior: float | None, epochs: int = EPOCH
     zp, zu = (np.clip((m - net.mean) / net.scale, -6, 6) for m in (p, u))
     params = [net.w1, net.b1, net.w2, np.zeros(1)]
     first, second = [np.zeros_like(x) for x in params], [np.zeros_like(x) for x in params]
-    sigmoid = lambda v: 1 / (1 + np.exp(-np.clip(v, -30, 30)))
     step, size = 0, 256
     rounds = max(1, max(len(p), len(u)) // size)
     for epoch in range(epochs):
@@ -112,14 +132,7 @@ def train(p: np.ndarray, u: np.ndarray, prior: float | None, epochs: int = EPOCH
             hidden = np.tanh(x @ params[0] + params[1])
             f = hidden @ params[2] + params[3][0]
             fp, fu = f[:size], f[size:]
-            if prior is None:
-                d = np.concatenate([-sigmoid(-fp), sigmoid(fu)]) / size
-            else:
-                negative = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
-                if negative >= 0:
-                    d = np.concatenate([-prior * sigmoid(-fp) - prior * sigmoid(fp), sigmoid(fu)]) / size
-                else:
-                    d = np.concatenate([prior * sigmoid(fp), -sigmoid(fu)]) / size
+            d = slopes(fp, fu, prior)
             dh = d[:, None] * params[2] * (1 - hidden**2)
             grads = [x.T @ dh + 1e-3 * params[0], dh.sum(axis=0), hidden.T @ d + 1e-3 * params[2], np.array([d.sum()])]
             step += 1
@@ -148,23 +161,39 @@ def class_prior(p: np.ndarray, u: np.ndarray) -> float:
 
 
 def learn(positive: list[str], unlabelled: list[str]) -> Net:
-    """Fit from texts. With too few of either, nothing can be told and every text scores 0.5."""
-    width = len(features(""))
-    if len(positive) < 4 or len(unlabelled) < 4:
+    """Fit from texts: see :func:`learn_features`."""
+    return learn_features(matrix(positive), matrix(unlabelled))
+
+
+def learn_features(p: np.ndarray, u: np.ndarray) -> Net:
+    """Fit from the numbers of positive and unlabelled texts. With too few of either, nothing can be told and every text scores 0.5."""
+    if len(p) < 4 or len(u) < 4:
+        width = len(features(""))
         return Net(np.zeros(width), np.ones(width), np.zeros((width, HIDDEN)), np.zeros(HIDDEN), np.zeros(HIDDEN), 0.0)
-    p, u = matrix(positive), matrix(unlabelled)
     return train(p, u, class_prior(p, u))
 
 
 def fit(docs: DataFrame, labels: DataFrame, learnable: Column, per_kind: int = PER_KIND) -> Net:
-    """Trusted positives are the documents labelled 1 (and never 0), unlabelled ones any; both where ``learnable`` (on doc_id) holds."""
+    """Trusted positives are the documents labelled 1 (and never 0), unlabelled ones any; both where ``learnable`` (on doc_id) holds.
+
+    The numbers of each text are taken on the executors; ``per_kind`` short rows of each kind come to the driver at most.
+    """
     trusted = (labels.select("doc_id", "quality").where(learnable & F.col("quality").isin(0, 1))
                .groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1"))
-    kinds = []
+
+    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch, texts in words.grouped(whole):
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([features(t) for t in texts], pa.list_(pa.float64()))],
+                                                 names=["doc_id", "features"])
+
+    kinds, width = [], len(features(""))
     for ids in (sample_ids(trusted, "doc_id", per_kind, seed=3), sample_ids(docs.where(learnable), "doc_id", per_kind, seed=4)):
-        rows = texts_of(docs, ids).orderBy("doc_id").collect()  # per_kind texts at most
-        kinds.append([r["text"] or "" for r in rows])
-    return learn(*kinds)
+        texts = texts_of(docs, ids)
+        found = texts.mapInArrow(described, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, features array<double>")
+        rows = found.orderBy("doc_id").toArrow().column("features").to_pylist()
+        kinds.append(np.array(rows, dtype=float).reshape(len(rows), width))
+    return learn_features(*kinds)
 
 
 def score(docs: DataFrame, net: Net, keep: list[str] | None = None) -> DataFrame:

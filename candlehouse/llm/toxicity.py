@@ -6,9 +6,9 @@ The pairwise part learns that two terms matter together (an insult and the menti
 are 64-bit hashes of lower-cased words and of word beginnings, so inflected and compound forms count too. x_i grows with
 the logarithm of the share of the document's words that are term i, so long documents are not toxic for their length.
 
-All terms that two documents of the labelled sample share are learned; the penalties hold back those that tell little, and documents held back tell how far the scores shrank by them. The
-weights are learned on the driver from the sample, which is bounded by ``PER_CLASS`` documents of each class; scoring
-covers every text whole.
+All terms that two documents of the labelled sample share are learned; the penalties hold back those that tell little, and documents held back
+tell how far the scores shrank by them. Texts are hashed on the executors. The weights are learned on the driver from the terms of the sample, which
+is bounded by ``PER_CLASS`` documents and ``CLASS_TERMS`` terms of each class; scoring covers every text whole.
 """
 
 from __future__ import annotations
@@ -18,15 +18,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlehouse.llm import words
-from candlehouse.llm.common import sample_ids, texts_of
+from candlehouse.llm.common import checkpoint, sample_ids, texts_of
 
-#: Labelled documents of each class in the sample; a documented bound.
-PER_CLASS = 3000
+#: Labelled documents of each class in the sample, and different terms of all of them together (12 bytes each); documented bounds.
+PER_CLASS, CLASS_TERMS = 3000, 8 << 20
 FACTORS = 8
 PREFIXES = (4, 6)
 #: x of a term is log2(1 + its share of the document's words / FULL_SHARE).
@@ -78,10 +78,26 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def packed(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each text its different terms and their strengths."""
+    out = []
+    for at in range(0, len(texts), 64):
+        part = texts[at:at + 64]
+        text, term, x = term_rows(part)
+        ends = np.searchsorted(text, np.arange(len(part) + 1))
+        out += [(term[a:b], x[a:b].astype(np.float32)) for a, b in zip(ends, ends[1:], strict=False)]
+    return out
+
+
 def learn(texts: list[str], labels: list[int], stands_for: tuple[float, float] = (1, 1), seed: int = 11) -> Machine:
-    """Fit on the sample by mini-batch AdaGrad on the log loss with l2 penalties. All terms of two or more documents take part.
+    """Fit on whole texts: see :func:`learn_terms`."""
+    return learn_terms(packed(texts), labels, stands_for, seed)
+
 
-    A document of class 0 or 1 ``stands_for`` so many labelled ones, so the classes weigh by their true share.
+def learn_terms(sample: list[tuple[np.ndarray, np.ndarray]], labels: list[int], stands_for: tuple[float, float] = (1, 1),
+                seed: int = 11) -> Machine:
+    """Fit on the sample (terms and strengths of each document; the list is used up) by mini-batch AdaGrad on the log loss with l2 penalties. All
+    terms of two or more documents take part. A document of class 0 or 1 ``stands_for`` so many labelled ones, so the classes weigh by their true share.
     """
     y = np.array(labels, dtype=float)
     weight = np.where(y == 1, *stands_for[::-1]).astype(float)
@@ -90,23 +106,27 @@ def learn(texts: list[str], labels: list[int], stands_for: tuple[float, float] =
         share = ((weight * y).sum() + 0.5) / (weight.sum() + 2)
         return Machine(np.zeros(0, np.uint64), float(np.log(share / (1 - share))), np.zeros(0), np.zeros((0, FACTORS)))
     weight /= weight.mean()
-    parts = []
-    for at in range(0, len(texts), 256):
-        text, term, x = term_rows(texts[at:at + 256])
-        parts.append((text + at, term, x))
-    doc, term, x = (np.concatenate(p) for p in zip(*parts, strict=True))
-    terms, place, documents = np.unique(term, return_inverse=True, return_counts=True)
-    chosen = np.flatnonzero(documents >= 2)
-    new = np.full(len(terms), -1)
-    new[chosen] = np.arange(len(chosen))
-    keep = new[place] >= 0
-    doc, at, x = doc[keep], new[place[keep]], x[keep].astype(np.float32)
-    first = np.searchsorted(doc, np.arange(len(y) + 1))
+    every = np.concatenate([t for t, _ in sample])
+    every.sort()
+    terms = every[1:][every[1:] == every[:-1]]  # those of two documents or more
+    del every
+    terms = terms[np.append(True, terms[1:] != terms[:-1])] if len(terms) else terms
+    kept = []
+    while sample:  # each document's own arrays go as they are taken over
+        term, strength = sample.pop()
+        place = np.searchsorted(terms, term).astype(np.int32)
+        known = place < len(terms)
+        known[known] = terms[place[known]] == term[known]
+        kept.append((place[known], strength[known]))
+    kept.reverse()
+    first = np.append(0, np.cumsum([len(p) for p, _ in kept]))
+    at, x = (np.concatenate(p) for p in zip(*kept, strict=True))
+    del kept
     rows = rng.permutation(len(y))
     back = np.concatenate([rows[y[rows] == value][::HELD] for value in (0, 1) if (y == value).sum() >= 2 * HELD] or [rows[:0]])
-    m = _descend(rows, first, at, x, y, weight, terms[chosen], rng)
+    m = _descend(rows, first, at, x, y, weight, terms, rng)
     if len(np.unique(y[back])) == 2:
-        part = _descend(rows[~np.isin(rows, back)], first, at, x, y, weight, terms[chosen], rng)
+        part = _descend(rows[~np.isin(rows, back)], first, at, x, y, weight, terms, rng)
         b = _Batch(back, first, at, x, y, weight)
         stretch, shift = _calibration(part.logits(b.row, b.used[b.local], b.x, len(back)), b.y, b.weight)
         m = Machine(m.terms, float(shift + stretch * m.w0), stretch * m.w, np.sqrt(stretch) * m.v)
@@ -163,10 +183,11 @@ class _Batch:
     def __init__(self, rows: np.ndarray, first: np.ndarray, at: np.ndarray, x: np.ndarray, y: np.ndarray, weight: np.ndarray):
         n = first[rows + 1] - first[rows]
         span = np.repeat(first[rows] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
-        self.y, self.weight, self.x, self.row = y[rows], weight[rows], x[span], np.repeat(np.arange(len(rows)), n)
+        self.y, self.weight, self.x, self.row = y[rows], weight[rows], x[span], np.repeat(np.arange(len(rows), dtype=np.int32), n)
         self.filled, self.starts = np.flatnonzero(n), (np.cumsum(n) - n)[n > 0]
-        self.used, self.local = np.unique(at[span], return_inverse=True)
-        self.order = np.argsort(self.local, kind="stable")
+        self.used, local = np.unique(at[span], return_inverse=True)
+        self.local = local.astype(np.int32)
+        self.order = np.argsort(self.local, kind="stable").astype(np.int32)
         self.heads = np.searchsorted(self.local[self.order], np.arange(len(self.used)))
 
     def by_row(self, values: np.ndarray) -> np.ndarray:
@@ -179,22 +200,41 @@ class _Batch:
         return np.add.reduceat(values[self.order], self.heads, axis=0) if len(self.heads) else np.zeros((0, *values.shape[1:]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, learnable: Column, per_class: int = PER_CLASS) -> Machine:
+def fit(docs: DataFrame, labels: DataFrame, learnable: Column, per_class: int = PER_CLASS, class_terms: int = CLASS_TERMS) -> Machine:
     """Learn ``labels.toxic`` (0 or 1; other rows are left out) of the documents for which ``learnable`` (on doc_id) holds.
 
-    A document with both labels counts as toxic. Null texts are learned as empty. A class of more than ``per_class`` documents is
-    sampled, and weighs as much as all of its documents.
+    A document with both labels counts as toxic. Null texts are learned as empty. Of a class of more than ``per_class`` documents, or more than
+    ``class_terms`` terms in these, those whose hash of the id is smallest are learned, one at least; they weigh as much as all of the class.
     """
-    known = (labels.select("doc_id", "toxic").where(learnable & F.col("toxic").isin(0, 1))
-             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    sizes = {r["toxic"]: r["count"] for r in known.where("doc_id is not null").groupBy("toxic").count().collect()}
-    stands_for = tuple(max(1.0, sizes.get(value, 0) / per_class) for value in (0, 1))
+    known = (labels.select("doc_id", "toxic").where(learnable & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
+             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).join(docs.select("doc_id"), "doc_id", "left_semi"))
+    known = checkpoint(known)
+    sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     chosen = None
     for value in (0, 1):
         part = sample_ids(known.where(F.col("toxic") == value), "doc_id", per_class).withColumn("toxic", F.lit(value))
         chosen = part if chosen is None else chosen.unionAll(part)
-    rows = texts_of(docs, chosen).orderBy("doc_id").collect()  # 2 * per_class texts at most
-    return learn([r["text"] or "" for r in rows], [r["toxic"] for r in rows], stands_for)
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch, texts in words.grouped(whole):
+                found = packed(texts)
+                columns = [pa.array([len(t) for t, _ in found], pa.int64()), pa.array([t.astype("<u8").tobytes() for t, _ in found], pa.binary()),
+                           pa.array([x.astype("<f4").tobytes() for _, x in found], pa.binary())]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), *columns],
+                                                 names=["doc_id", "toxic", "n", "terms", "strengths"])
+
+    texts = texts_of(docs, chosen)
+    id_type = texts.schema["doc_id"].dataType.simpleString()
+    rows = checkpoint(texts.mapInArrow(hashed, f"doc_id {id_type}, toxic int, n bigint, terms binary, strengths binary"))
+    so_far = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("before", F.coalesce(F.sum("n").over(so_far), F.lit(0)))  # per_class rows in a window at most
+    rows = rows.where((F.col("before") == 0) | (F.col("before") + F.col("n") <= class_terms)).drop("before", "n").orderBy("doc_id").toArrow()
+    labels_ = rows.column("toxic").to_pylist()
+    stands_for = tuple(sizes.get(value, 0) / max(1, labels_.count(value)) for value in (0, 1))
+    sample = [(np.frombuffer(t, "<u8").astype(np.uint64, copy=False), np.frombuffer(x, "<f4"))
+              for t, x in zip(rows.column("terms").to_pylist(), rows.column("strengths").to_pylist(), strict=True)]
+    return learn_terms(sample, labels_, tuple(max(1.0, s) for s in stands_for))
 
 
 def score(docs: DataFrame, machine: Machine, keep: list[str] | None = None) -> DataFrame:

@@ -173,3 +173,44 @@ def test_no_documents_and_no_labels(spark):
         model = module.fit(docs, labels, F.lit(True))
         assert len({r.score for r in module.score(docs, model, ["doc_id"]).collect()}) == 1
         assert module.score(docs.limit(0), model).collect() == []
+
+
+@pytest.mark.parametrize("prior,shift", [(0.3, 0.0), (0.9, -3.0), (None, 0.0)])
+def test_slopes_are_those_of_the_non_negative_risk(prior, shift):
+    """Against the risk written out, differentiated by small steps; the second case has a negative estimate."""
+    rng = np.random.default_rng(2)
+    fp, fu = rng.normal(1, 2, 7), rng.normal(shift, 0.5, 9)
+
+    def loss(z):
+        return np.log1p(np.exp(-z))
+
+    def goal(fp, fu):
+        if prior is None:
+            return loss(fp).mean() + loss(-fu).mean()
+        negative = loss(-fu).mean() - prior * loss(-fp).mean()
+        return prior * loss(fp).mean() + negative if negative >= 0 else -negative
+
+    if prior:
+        assert quality.negative_risk(fp, fu, prior) == pytest.approx(loss(-fu).mean() - prior * loss(-fp).mean())
+        assert (quality.negative_risk(fp, fu, prior) < 0) == (prior == 0.9)
+    z, h = np.concatenate([fp, fu]), 1e-6
+    plain = [(goal(*np.split(z + h * e, [7])) - goal(*np.split(z - h * e, [7]))) / (2 * h) for e in np.eye(16)]
+    assert quality.slopes(fp, fu, prior) == pytest.approx(plain, abs=1e-6)
+
+
+def test_sample_of_the_toxicity_machine_is_bounded_in_terms(spark):
+    """Long texts count by their terms: fewer documents are learned from, and they stand for the rest of their class."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 3000, 400)) + (" slur" if i % 4 == 0 else "") for i in range(80)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(90)], "doc_id bigint, toxic int")
+    seen = []
+    keep = toxicity.learn_terms
+    try:
+        toxicity.learn_terms = lambda sample, y, stands: seen.append((sum(len(t) for t, _ in sample), list(y), stands)) or keep(sample, y, stands)
+        toxicity.fit(docs, labels, F.lit(True), class_terms=9000)
+    finally:
+        toxicity.learn_terms = keep
+    (terms, y, stands), = seen
+    assert terms <= 2 * 9000 and 2 <= len(y) < 80
+    assert stands == (60 / y.count(0), 20 / y.count(1))  # labels without a document count for nothing

@@ -10,14 +10,15 @@ from candlehouse.llm import topk
 def brute(vectors, k, scale=64, every=3):
     whole = {}
     for i, v in vectors:
-        if i is None or not v or any(x is None or not math.isfinite(x) or abs(x * scale) >= 2**31 for x in v):
+        if i is None or not v or any(x is None or not math.isfinite(x) for x in v):
             continue
         w = [math.floor(scale * x) for x in v]
         whole[i] = min(whole.get(i, w), w)
     out = set()
     for q in whole:
         if q % every == 0:
-            ranked = sorted((-sum(a * b for a, b in zip(whole[q], whole[c], strict=False)), c) for c in whole if c != q)
+            ranked = sorted((-max(1 - 2**63, min(2**63 - 1, sum(a * b for a, b in zip(whole[q], whole[c], strict=False)))), c)
+                            for c in whole if c != q)
             out |= {(q, r + 1, c, -s) for r, (s, c) in enumerate(ranked[:k])}
     return out
 
@@ -70,3 +71,23 @@ def test_skipping_keeps_every_result(spark):
         for low in (np.full(40, -np.inf), floor):
             part = topk.search_cell(q, np.arange(40), low, x, np.arange(500), basis[:, ::-1], lead, 7)
             assert (part.score == full.score).all() and (part.id == full.id).all()
+
+
+def test_long_vectors_take_part(spark):
+    """Scores beyond doubles, beyond 64 bits, of both signs, and against short vectors."""
+    rng = random.Random(8)
+    vectors = [(i, [f32(rng.gauss(0, 1)) for _ in range(4)]) for i in range(60)]
+    vectors += [(60 + i, [f32(rng.gauss(0, 10.0**e)) for _ in range(4)]) for i, e in enumerate([5, 6, 7, 8, 9, 12, 15, 20, 30, 37] * 3)]
+    vectors += [(90, [2e6] * 4), (93, [1e30] * 4), (96, [-1e30] * 4), (97, [1e30, -1e30, 0.0, 0.5])]
+    assert set(run(spark, vectors, 7)) == brute(vectors, 7)
+
+
+def test_thousands_of_bands_are_planned(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BAND_ROWS", 2)
+    rng = random.Random(9)
+    vectors = [(i, [f32(rng.gauss(0, 1) * (1 + i % 1000)), 1.0]) for i in range(0, 10_000)]
+    rows = spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>")
+    found = topk.top_k(topk.whole_vectors(rows, "vec_id", "embedding"), F.col("id") == 3, 3)
+    own = [math.floor(64 * x) for x in vectors[3][1]]
+    ranked = sorted((-sum(a * math.floor(64 * b) for a, b in zip(own, v)), i) for i, v in vectors if i != 3)[:3]
+    assert sorted((r["rank"], r.vec_id, r.score) for r in found.collect()) == [(n + 1, i, -s) for n, (s, i) in enumerate(ranked)]
