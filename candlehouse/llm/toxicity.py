@@ -219,21 +219,34 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column, per_class: int =
         for whole in batches:
             for batch, texts in words.grouped(whole):
                 found = packed(texts)
-                columns = [pa.array([len(t) for t, _ in found], pa.int64()), pa.array([t.astype("<u8").tobytes() for t, _ in found], pa.binary()),
-                           pa.array([x.astype("<f4").tobytes() for _, x in found], pa.binary())]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), *columns],
+                n = pa.array([len(t) for t, _ in found], pa.int64())
+                lists = [pa.array([v.view(np.int64) if v.dtype == np.uint64 else v for v in column], pa.list_(kind))
+                         for column, kind in zip(zip(*found, strict=True), (pa.int64(), pa.float32()), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), n, *lists],
                                                  names=["doc_id", "toxic", "n", "terms", "strengths"])
 
     texts = texts_of(docs, chosen)
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    rows = checkpoint(texts.mapInArrow(hashed, f"doc_id {id_type}, toxic int, n bigint, terms binary, strengths binary"))
+    rows = checkpoint(texts.mapInArrow(hashed, f"doc_id {id_type}, toxic int, n bigint, terms array<bigint>, strengths array<float>"))
     so_far = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("before", F.coalesce(F.sum("n").over(so_far), F.lit(0)))  # per_class rows in a window at most
-    rows = rows.where((F.col("before") == 0) | (F.col("before") + F.col("n") <= class_terms)).drop("before", "n").orderBy("doc_id").toArrow()
-    labels_ = rows.column("toxic").to_pylist()
+    before = F.coalesce(F.sum("n").over(so_far), F.lit(0))
+    bounded = rows.select("doc_id", "toxic", "n", before.alias("before"))  # per_class short rows in a window at most
+    bounded = bounded.where((F.col("before") == 0) | (F.col("before") + F.col("n") <= class_terms)).select("doc_id", "toxic")
+    rows = rows.join(F.broadcast(bounded.select("doc_id")), "doc_id", "left_semi")
+    # terms of one document say nothing, and stay where they are
+    pairs = rows.select("doc_id", F.explode(F.arrays_zip("terms", "strengths")).alias("t")).select("doc_id", "t.terms", "t.strengths")
+    shared = pairs.groupBy("terms").agg(F.count("*").alias("n")).where("n > 1").select("terms")
+    by_doc = pairs.join(shared, "terms").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("terms", "strengths"))).alias("t"))
+    found = (bounded.join(by_doc, "doc_id", "left").orderBy("doc_id")
+             .select("toxic", F.col("t.terms").alias("terms"), F.col("t.strengths").alias("strengths")).toArrow().combine_chunks())
+    labels_ = found.column("toxic").to_pylist()
     stands_for = tuple(sizes.get(value, 0) / max(1, labels_.count(value)) for value in (0, 1))
-    sample = [(np.frombuffer(t, "<u8").astype(np.uint64, copy=False), np.frombuffer(x, "<f4"))
-              for t, x in zip(rows.column("terms").to_pylist(), rows.column("strengths").to_pylist(), strict=True)]
+    sample = []
+    for t, x in zip(*(found.column(c).combine_chunks() for c in ("terms", "strengths")), strict=True):
+        term = t.values.to_numpy().view(np.uint64) if t.is_valid else np.zeros(0, np.uint64)
+        order = np.argsort(term)
+        sample.append((term[order], x.values.to_numpy()[order] if t.is_valid else np.zeros(0, np.float32)))
+    del found
     return learn_terms(sample, labels_, tuple(max(1.0, s) for s in stands_for))
 
 
