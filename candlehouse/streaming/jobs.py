@@ -1,4 +1,4 @@
-"""Streams: bars into the fact table, and the fact table into closed rollup windows."""
+"""Streams: bars into raw and fact tables, and the fact table into rollups, of closed windows or with the open ones."""
 
 from __future__ import annotations
 
@@ -11,10 +11,11 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from candlehouse.functions import columns as C
-from candlehouse.operators.dedup import first_wins
+from candlehouse.operators.dedup import first_wins, not_in
 from candlehouse.operators.rollup import ROLLUP_KEY, measures
-from candlehouse.operators.transform import transform_stock
+from candlehouse.plans.continuous import rollup_table
 from candlehouse.plans.storage import insert_ignore, periods_of
+from candlehouse.plans.transform import TRANSFORM
 from candlehouse.plans.warehouse import Warehouse, append_facts, load_symbols
 from candlehouse.sources.tables import PERIOD
 
@@ -39,14 +40,38 @@ def stream_insert_ignore(
     return _available_now(bars.writeStream.foreachBatch(insert), checkpoint)
 
 
+def stream_insert_new(bars: DataFrame, path: str, checkpoint: str, key: list[str], lateness: str = LATENESS) -> StreamingQuery:
+    """Insert-ignore a stream of raw bars whose copies mostly come soon after each other.
+
+    The state store keeps the keys of the last ``lateness`` of event time and drops their copies, so these reach neither a
+    shuffle of whole rows nor the table. Of what passes, the table's keys are left out as in :func:`stream_insert_ignore`, which
+    catches copies that come after their key has left the state. Of copies within one batch any one stays, so bars must be equal by
+    key; a bar older than the watermark is dropped, and belongs into a batch load.
+    """
+    fresh = bars.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(key)
+
+    def insert(batch: DataFrame, _: int) -> None:
+        with _cached(batch):
+            insert_ignore(batch, path, key, periods=periods_of(batch))
+
+    return _available_now(fresh.writeStream.foreachBatch(insert), checkpoint)
+
+
 def stream_load_stock(
     bars: DataFrame, warehouse: Warehouse, checkpoint: str, key: list[str], order: str
 ) -> StreamingQuery:
     """Transform and load a stream of raw stock bars with the functions of the batch load."""
+    return stream_load("STOCK", bars, warehouse, checkpoint, key, order)
+
+
+def stream_load(
+    asset_type: str, bars: DataFrame, warehouse: Warehouse, checkpoint: str, key: list[str], order: str
+) -> StreamingQuery:
+    """Transform and load a stream of raw stock or forex bars with the functions of the batch load."""
 
     def load(batch: DataFrame, _: int) -> None:
         with _cached(batch):
-            transformed = {"STOCK": transform_stock(first_wins(batch, key, order))}
+            transformed = {asset_type: TRANSFORM[asset_type](first_wins(batch, key, order))}
             load_symbols(warehouse, transformed)
             append_facts(warehouse, transformed, C.moment_of(batch, F.min("ts")))
 
@@ -66,6 +91,26 @@ def rollup_windows(fact_stream: DataFrame, grain: str, lateness: str = LATENESS)
     return grouped.select(*ROLLUP_KEY, F.col("window.start").alias("bucket"), *values)
 
 
+def stream_open_rollup(fact_stream: DataFrame, grain: str, path: str, checkpoint: str, table_grain: str = "month") -> StreamingQuery:
+    """Keep a rollup table with the buckets that are still open: after each batch it equals the batch rollup of the rows so far.
+
+    Each batch gives the whole buckets that its rows changed, from the state; they replace the stored ones, so a batch that is
+    repeated changes nothing. The watermark bounds the state: rows behind it are left to the batch refresh.
+    """
+    changed = rollup_windows(fact_stream.drop(PERIOD), grain)
+    table = rollup_table(fact_stream.sparkSession, path, table_grain)
+    key = ["bucket", *ROLLUP_KEY]
+
+    def merge(batch: DataFrame, _: int) -> None:
+        with _cached(batch):
+            periods = periods_of(batch, "bucket", table_grain)
+            if periods:
+                stored = table.stored().filter(F.col(PERIOD).isin(periods)).drop(PERIOD)
+                table.merge(batch.unionByName(not_in(stored, batch, key)), key)
+
+    return _available_now(changed.writeStream.foreachBatch(merge), checkpoint, "update")
+
+
 def stream_rollup(fact_stream: DataFrame, grain: str, path: str, checkpoint: str) -> StreamingQuery:
     """Append closed windows to a table."""
     closed = rollup_windows(fact_stream.drop(PERIOD), grain)
@@ -85,7 +130,7 @@ def _cached(batch: DataFrame) -> Iterator[None]:
         batch.unpersist()
 
 
-def _available_now(writer, checkpoint: str) -> StreamingQuery:
+def _available_now(writer, checkpoint: str, mode: str = "append") -> StreamingQuery:
     return (
-        writer.outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        writer.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )

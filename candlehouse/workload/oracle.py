@@ -244,8 +244,8 @@ _QUERIES = {
             partition by symbol, interval_code, {_STOCK_TIME} order by src_id) as n
           from (select *, bool_or({_BAD_STOCK}) over (partition by symbol, interval_code, {_PAGE}) as refused from landed_stock)
           where not refused and interval_code <> '1week' and symbol in (
-            select symbol from landed_stock group by symbol order by count(*) desc, symbol limit 3))
-        where n = 1 and ts >= timestamp '2024-01-01' and ts < timestamp '2024-02-01'
+            select symbol from landed_stock group by symbol order by count(*) desc, symbol limit 10))
+        where n = 1
         union all
         select 'FOREX', currency_pair, null, interval_code, ts, {OHLC} from (
           select currency_pair, interval_code, date_trunc('day', ts) as ts, open, high, low, close, row_number() over (
@@ -253,11 +253,11 @@ _QUERIES = {
           from (select *, bool_or(src_id % 50 in (7, 9)) over (partition by currency_pair, interval_code, {_PAGE}) as refused
                 from landed_forex)
           where not refused and currency_pair in (
-            select currency_pair from landed_forex group by currency_pair order by count(*) desc, currency_pair limit 3))
-        where n = 1 and ts >= timestamp '1995-01-01' and ts < timestamp '1997-01-01'
+            select currency_pair from landed_forex group by currency_pair order by count(*) desc, currency_pair limit 10))
+        where n = 1
         union all
         select 'CRYPTO', symbol, currency, null, ts, {OHLC} from ({_SENT_CRYPTO})
-        where ts >= timestamp '1995-01-01' and ts < timestamp '1997-01-01' and symbol in (
+        where symbol in (
           select symbol from landed_crypto group by symbol order by sum(volume_to) desc, symbol limit 10)""",
     "insert_ignore_raw": f"select src_id, currency_pair, interval_code, ts, {OHLC} from raw_forex",
     "insert_ignore_stock": f"select src_id, symbol, interval_code, ts, {OHLC}, volume from raw_stock",
@@ -272,13 +272,14 @@ _QUERIES = {
     "transform_crypto_pending": f"""select symbol, currency, ts, {OHLC}, {_d("volume_from", "volume_to")}, avg_price,
         price_change from t_crypto where not exists (select 1 from ({_SPLIT_LOADED["crypto_done"]}) d
         where d.symbol = t_crypto.symbol and d.currency = t_crypto.currency and d.ts = t_crypto.ts)""",
-    "pending_keys": """select distinct symbol, interval_code from landed_stock r where not exists (
+    "pending_keys": """select row_number() over (order by symbol, interval_code) as position, symbol, interval_code from (
+        select distinct symbol, interval_code from landed_stock r where not exists (
           select 1 from landed_stock t where t.interval_code = '1day' and t.symbol = r.symbol
           and t.interval_code = r.interval_code and t.ts = r.ts)
         union all
         select distinct currency_pair, interval_code from landed_forex r where not exists (
           select 1 from landed_forex t where t.ts < timestamp '2000-01-01' and t.currency_pair = r.currency_pair
-          and t.interval_code = r.interval_code and t.ts = r.ts)""",
+          and t.interval_code = r.interval_code and t.ts = r.ts))""",
     "dedup_news": "select src_id, link, title, published_date, description, content from raw_news",
     "news_link_counts": "select link, count(*) as articles from landed_news group by link",
     "transform_news": r"""select link, title, published_date, description, content from raw_news
@@ -288,6 +289,9 @@ _QUERIES = {
     "dim_seed": """select cast(interval_id as bigint) as interval_id, interval_code, interval_name,
         cast(interval_minutes as bigint) as interval_minutes, count(src_id) as bars
         from intervals left join landed_stock using (interval_code) group by all""",
+    "defaults_stored": "select * from symbols where asset_type_id <> (select asset_type_id from asset_types where asset_type_code = 'CRYPTO')",
+    "stream_dedup_state": f"select src_id, symbol, interval_code, ts, {OHLC}, volume from raw_stock",
+    "stream_cagg_open": _rollup("day", "(select * from fact where asset_type_code <> 'CRYPTO')"),
     "dim_symbol_load": "select * from symbols",
     "fact_load_stock": f"select {FACT} from fact where asset_type_code = 'STOCK'",
     "fact_load_forex": f"select {FACT} from fact where asset_type_code = 'FOREX'",

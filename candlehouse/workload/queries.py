@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,11 +13,11 @@ from pyspark.sql import types as T
 from candlehouse.functions import columns as C
 from candlehouse.functions.arguments import parse_asset_types
 from candlehouse.operators import dedup, dims, facts, marts, readouts, rollup, transform
-from candlehouse.plans import backfill, continuous, ingest, news, storage, warehouse
+from candlehouse.plans import backfill, continuous, defaults, ingest, news, storage, warehouse
 from candlehouse.plans import transform as transforms
 from candlehouse.plans.periods import PeriodTable
 from candlehouse.schemas import (
-    CRYPTO_KEY, FACT_COLUMNS, FOREX_KEY, INTERVAL_ID, RAW_KEY, RAW_SCHEMA, REJECT_SCHEMA, STOCK_KEY, TRANSFORMED_SCHEMA,
+    CRYPTO_KEY, DIM_SYMBOL_SCHEMA, FACT_COLUMNS, FOREX_KEY, INTERVAL_ID, RAW_KEY, RAW_SCHEMA, REJECT_SCHEMA, STOCK_KEY, TRANSFORMED_SCHEMA,
 )
 from candlehouse.session import scratch_path
 from candlehouse.sources import payloads as P
@@ -165,16 +166,16 @@ def ranked_names(m: MarketTables) -> DataFrame:
 
 @query
 def backfill_top(m: MarketTables) -> DataFrame:
-    """Backfill the three most quoted stocks and pairs and the ranked coins from landed pages; the rows of the raw tables."""
+    """Backfill the most quoted stocks and pairs and the ranked coins, all their pages; the rows of the raw tables."""
     root = scratch_path(m.spark, "backfill")
     jobs_ = {
-        "STOCK": (m.stock_payloads, universe.top_by_rows(m.landed_stock, "symbol", 3), "2024-01-01", "2024-01-31"),
-        "FOREX": (m.forex_payloads, universe.top_by_rows(m.landed_forex, "currency_pair", 3), "1995-01-01", "1996-12-31"),
-        "CRYPTO": (m.crypto_payloads, P.ranked_names(m.ranking_payload).select("symbol"), "1995-01-01", "1996-12-31"),
+        "STOCK": (m.stock_payloads, universe.top_by_rows(m.landed_stock, "symbol")),
+        "FOREX": (m.forex_payloads, universe.top_by_rows(m.landed_forex, "currency_pair")),
+        "CRYPTO": (m.crypto_payloads, P.ranked_names(m.ranking_payload).select("symbol")),
     }
     out = []
-    for code, (pages, symbols, start, end) in jobs_.items():
-        backfill.backfill(pages, code, f"{root}/{code}", f"{root}/rejects", symbols, start, end)
+    for code, (pages, symbols) in jobs_.items():
+        backfill.backfill(pages, code, f"{root}/{code}", f"{root}/rejects", symbols)
         raw = read_table(m.spark, f"{root}/{code}", RAW_SCHEMA[code])
         out.append(raw.select(F.lit(code).alias("asset_type_code"), F.col(facts.SYMBOL_COLUMN[code]).alias("symbol"),
                               *[F.col(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in ("currency", "interval_code")],
@@ -273,7 +274,9 @@ def pending_keys(m: MarketTables) -> DataFrame:
     """Daily stock bars and forex bars before 2000 have been transformed already."""
     stock = transform.pending_keys(m.landed_stock, m.landed_stock.filter("interval_code = '1day'"), STOCK_KEY)
     forex = transform.pending_keys(m.landed_forex, m.landed_forex.filter("ts < '2000-01-01'"), FOREX_KEY)
-    return stock.unionByName(forex.withColumnRenamed("currency_pair", "symbol")).orderBy("symbol", "interval_code")
+    found = stock.unionByName(forex.withColumnRenamed("currency_pair", "symbol")).orderBy("symbol", "interval_code")
+    rows = [(i, r.symbol, r.interval_code) for i, r in enumerate(found.collect(), 1)]  # symbols times intervals
+    return m.spark.createDataFrame(rows, "position bigint, symbol string, interval_code string")
 
 
 # --- news ------------------------------------------------------------------------------------------
@@ -573,6 +576,42 @@ def stream_dedup(m: MarketTables) -> DataFrame:
     return m.spark.read.parquet(raw).drop("trade_period")
 
 
+@query
+def stream_dedup_state(m: MarketTables) -> DataFrame:
+    """Bars by thirds of January in files, each third sent again with the next one and the first once more at the end:
+    copies in another batch within the watermark, and far behind it."""
+    raw, landing = scratch_path(m.spark, "raw_stream"), scratch_path(m.spark, "landing")
+    day, bars = F.dayofmonth("ts"), m.raw_stock
+    thirds = [bars.filter(day <= 10), bars.filter((day > 10) & (day <= 20)), bars.filter(day > 20)]
+    for sent in (thirds[:1], thirds[:2], thirds[1:], thirds[:1] + thirds[2:]):
+        reduce(DataFrame.unionByName, sent).coalesce(1).write.mode("append").parquet(landing)
+    stream = m.spark.readStream.schema(bars.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    jobs.stream_insert_new(stream, raw, scratch_path(m.spark, "checkpoint"), STOCK_KEY).awaitTermination()
+    return m.spark.read.parquet(raw).drop("trade_period")
+
+
+@query
+def stream_cagg_open(m: MarketTables) -> DataFrame:
+    """The day rollup of streamed stock and forex bars with the buckets that are still open."""
+    w, path = _new_warehouse(m), scratch_path(m.spark, "open_rollup")
+    for code, stream, key in (("STOCK", m.event_stream(), STOCK_KEY), ("FOREX", m.order_stream(), FOREX_KEY)):
+        jobs.stream_load(code, stream, w, scratch_path(m.spark, "checkpoint"), key, "src_id").awaitTermination()
+    stream = jobs.read_fact_stream(m.spark, w.fact_path, w.fact.schema)
+    jobs.stream_open_rollup(stream, "day", path, scratch_path(m.spark, "checkpoint")).awaitTermination()
+    return continuous.rollup_table(m.spark, path).read()
+
+
+@query
+def defaults_stored(m: MarketTables) -> DataFrame:
+    """Symbols inserted without the columns that have defaults, into a table that declares these."""
+    w = _new_warehouse(m)
+    warehouse.load_symbols(w, {"STOCK": m.landed_stock, "FOREX": m.landed_forex})
+    table = scratch_path(m.spark, "dim_symbol").rsplit("/", 1)[1].replace("-", "_")
+    defaults.create(m.spark, table, DIM_SYMBOL_SCHEMA, {"is_active": "true"}, f"{w.root}/{table}")
+    defaults.insert(m.spark, table, w.symbols.drop("is_active"))
+    return m.spark.table(table)
+
+
 def _streamed(m: MarketTables, grain: str) -> DataFrame:
     """Stream bars into the fact table and the fact table into closed windows."""
     w, path = _new_warehouse(m), scratch_path(m.spark, "windows")

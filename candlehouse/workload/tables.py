@@ -251,6 +251,12 @@ class MarketTables:
                   .option("maxFilesPerTrigger", 8).parquet(self.sf_dir))
         return self.from_sql(LANDED_STOCK, "events", events)
 
+    def order_stream(self) -> DataFrame:
+        """The forex bars as a stream of files."""
+        orders = (self.spark.readStream.schema(SCHEMAS["orders"]).option("pathGlobFilter", "orders.parquet")
+                  .option("maxFilesPerTrigger", 8).parquet(self.sf_dir))
+        return self.from_sql(LANDED_FOREX, "orders", orders)
+
 
 def _texts(*names: str) -> list:
     return [F.col(c).cast("string").alias(c) for c in names]
