@@ -72,6 +72,8 @@ recommendations pagination pager widget toolbar search copyright""".split()
 TEMPLATE = frozenset(_WORDS)
 _PARTS = frozenset("""area articles bar box button buttons container form icon icons items link links list posts site stories
 wrapper""".split())
+#: Hosts of several groups that are broadcast at most, by name and a number.
+LARGE_HOSTS = 100_000
 #: Words that parts of an article are named by as well: inside one the alignment decides on them.
 OPEN_WORDS = frozenset("foot footer header masthead menu notice notices notification search side".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -510,8 +512,10 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame
                         F.coalesce(host_of(F.col(f"`{url}`")), F.lit("")).alias("__host"))
     work = work.withColumns({"__h1": F.xxhash64("__host", "__html"), "__h2": F.xxhash64(F.lit(7), "__host", "__html")})
     different = checkpoint(work.groupBy("__host", "__h1", "__h2").agg((F.count("*") > 1).alias("again")))
-    large = (different.groupBy("__host").count().where(F.col("count") > GROUP_PAGES)
-             .select("__host", F.ceil(F.col("count") / GROUP_PAGES).alias("__groups")))
+    large = checkpoint(different.groupBy("__host").count().where(F.col("count") > GROUP_PAGES)
+                       .select("__host", F.ceil(F.col("count") / GROUP_PAGES).alias("__groups")))
+    if large.count() <= LARGE_HOSTS:  # so the pages are shuffled once; more hosts are joined by a shuffle of the pages
+        large = F.broadcast(large)
     # repeated pages by buckets of their hash: a page in such a bucket by chance only takes the longer way
     bucket = F.pmod("__h1", F.lit(BUCKETS)).alias("__bucket")
     repeated = checkpoint(different.where("again").select(bucket).distinct())
