@@ -4,6 +4,7 @@ from datetime import datetime
 import bars as B
 from candlehouse.operators import facts
 from candlehouse.operators.rollup import bucket_rollup
+from candlehouse.plans.continuous import rollup_table
 from candlehouse.plans.warehouse import Warehouse
 from candlehouse.schemas import STOCK_KEY
 from candlehouse.streaming import jobs
@@ -66,3 +67,31 @@ def test_rows_behind_the_watermark_stay_out_of_the_stream(spark, tmp_path):
     jobs.stream_rollup(late, "day", f"{tmp_path}/windows", f"{tmp_path}/c").awaitTermination()
     got = {r.bucket: r.record_count for r in spark.read.parquet(f"{tmp_path}/windows").collect()}
     assert got == {datetime(2024, 1, 10): 1, datetime(2024, 1, 20): 2}
+
+
+def test_state_drops_copies_of_other_batches_and_the_table_those_behind_it(spark, tmp_path):
+    src, raw = f"{tmp_path}/src", f"{tmp_path}/raw"
+    first, later, far = ("2024-01-15 10:00:00", 1, 1), ("2024-01-16 10:00:00", 2, 2), ("2024-03-01 10:00:00", 3, 3)
+    for batch, rows in enumerate([(first, later), (first, later), (far,), (far, later)]):
+        land(spark, src, batch, *rows)
+    query = jobs.stream_insert_new(stream(spark, src), raw, f"{tmp_path}/c", STOCK_KEY)
+    query.awaitTermination()
+    assert sorted(int(r.close) for r in spark.read.parquet(raw).collect()) == [1, 2, 3]
+    kept = [o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"]]
+    assert kept[-1] == 1  # the keys behind the watermark have left the state
+    jobs.stream_insert_new(stream(spark, src), raw, f"{tmp_path}/c2", STOCK_KEY).awaitTermination()
+    assert spark.read.parquet(raw).count() == 3
+
+
+def test_open_buckets_equal_the_batch_rollup_after_each_batch(spark, tmp_path):
+    src, path = f"{tmp_path}/src", f"{tmp_path}/open"
+    times = [["2024-01-30 09:00:00", "2024-01-31 09:00:00"], ["2024-01-31 15:00:00", "2024-02-01 09:00:00"], ["2024-02-01 08:00:00"]]
+    so_far = []
+    for batch, some in enumerate(times):
+        rows = facts.fact_union({"STOCK": B.stock(spark, *[B.stock_row(ts=t, close=i + batch + 10) for i, t in enumerate(some)])})
+        rows.coalesce(1).write.parquet(f"{src}/b{batch}")
+        so_far.append(f"{src}/b{batch}")
+        incoming = jobs.read_fact_stream(spark, f"{src}/*", rows.schema)
+        jobs.stream_open_rollup(incoming, "day", path, f"{tmp_path}/c").awaitTermination()
+        stored, batch_rollup = rollup_table(spark, path).read(), bucket_rollup(spark.read.parquet(*so_far), "day")
+        assert stored.exceptAll(batch_rollup.select(stored.columns)).count() == 0 and stored.count() == batch_rollup.count()
