@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlehouse.functions import columns as C
@@ -27,6 +27,19 @@ def transform_forex(raw: DataFrame) -> DataFrame:
     )
 
 
+def crypto_day_rows(raw: DataFrame, *day: Column) -> DataFrame:
+    """Crypto bars by symbol, currency and whatever tells the day: a column of the time, or its window in a stream."""
+    return raw.groupBy("symbol", "currency", *day).agg(
+        F.min("open").alias("open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.max("close").alias("close"),
+        F.sum("volume_from").alias("volume_from"),
+        F.sum("volume_to").alias("volume_to"),
+        (C.exact_mean(F.col("high") + F.col("low")) / 2).alias("avg_price"),
+    ).withColumn("price_change", C.percent_change(F.col("open"), F.col("close")))
+
+
 def transform_crypto(
     raw: DataFrame, done: DataFrame | None = None, replace_from: date | None = None
 ) -> DataFrame:
@@ -39,15 +52,7 @@ def transform_crypto(
     day = F.date_trunc("day", "ts")
     if replace_from is not None and done is not None:
         done = done.filter(F.col("ts") < F.lit(replace_from))
-    days = raw.groupBy("symbol", "currency", day.alias("ts")).agg(
-        F.min("open").alias("open"),
-        F.max("high").alias("high"),
-        F.min("low").alias("low"),
-        F.max("close").alias("close"),
-        F.sum("volume_from").alias("volume_from"),
-        F.sum("volume_to").alias("volume_to"),
-        (C.exact_mean(F.col("high") + F.col("low")) / 2).alias("avg_price"),
-    ).withColumn("price_change", C.percent_change(F.col("open"), F.col("close")))
+    days = crypto_day_rows(raw, day.alias("ts"))
     return days if done is None else not_in(days, done, CRYPTO_DAY_KEY)
 
 

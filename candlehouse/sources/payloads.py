@@ -46,8 +46,24 @@ def read_landed(spark: SparkSession, path: str, keys: list[str], numbered_lines:
     Which of two equal bars came first is told by ``page``: a key directory of that name, the number of the line, or
     else the file's name. Lines must carry a number, since Spark reads a file's lines in no certain order.
     """
-    schema = ", ".join(f"{c} {'bigint' if c == 'page' else 'string'}" for c in ["value", *keys])
-    texts = spark.read.schema(schema).text(path, wholetext=not numbered_lines)
+    return _landed(spark.read.schema(_landed_schema(keys)).text(path, wholetext=not numbered_lines), keys, numbered_lines)
+
+
+def stream_landed(
+    spark: SparkSession, path: str, keys: list[str], numbered_lines: bool = False, files_per_batch: int | None = 1000
+) -> DataFrame:
+    """The same as a stream of the files that land below ``path``; without ``files_per_batch`` a batch takes all that are there."""
+    reader = spark.readStream.schema(_landed_schema(keys))
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return _landed(reader.text(path, wholetext=not numbered_lines), keys, numbered_lines)
+
+
+def _landed_schema(keys: list[str]) -> str:
+    return ", ".join(f"{c} {'bigint' if c == 'page' else 'string'}" for c in ["value", *keys])
+
+
+def _landed(texts: DataFrame, keys: list[str], numbered_lines: bool) -> DataFrame:
     value, page = F.col("value"), [] if "page" in keys else [F.col("_metadata.file_path").alias("page")]
     if numbered_lines:
         cut = F.instr(value, "\t")

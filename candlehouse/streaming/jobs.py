@@ -1,8 +1,8 @@
-"""Streams: bars into raw and fact tables, and the fact table into rollups, of closed windows or with the open ones."""
+"""Streams: landed pages and bars into raw, transformed and fact tables, and the fact table into rollups, of closed windows or with the open ones."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,15 +13,40 @@ from pyspark.sql.types import StructType
 from candlehouse.functions import columns as C
 from candlehouse.operators.dedup import first_wins, not_in
 from candlehouse.operators.rollup import ROLLUP_KEY, measures
+from candlehouse.operators.transform import CRYPTO_DAY_KEY, crypto_day_rows
+from candlehouse.plans import ingest, news
 from candlehouse.plans.continuous import rollup_table
+from candlehouse.plans.periods import PeriodTable
 from candlehouse.plans.storage import insert_ignore, periods_of
-from candlehouse.plans.transform import TRANSFORM
+from candlehouse.plans.transform import TRANSFORM, crypto_days
 from candlehouse.plans.warehouse import Warehouse, append_facts, load_symbols
-from candlehouse.sources.tables import PERIOD
+from candlehouse.sources import payloads as P
+from candlehouse.sources.tables import PERIOD, conform
 
 # Late rows are awaited this long, as in the batch refresh of the daily rollup.
 LATENESS = "3 days"
 
+PARSE: dict[str, Callable[[DataFrame], DataFrame]] = {"STOCK": P.parse_stock, "FOREX": P.parse_forex, "CRYPTO": P.parse_crypto}
+
+
+def stream_ingest(pages: DataFrame, asset_type: str, raw_path: str, reject_path: str, checkpoint: str) -> StreamingQuery:
+    """Ingest a stream of landed pages of bars (:func:`payloads.stream_landed`) with the batch job: good rows by keyed insert-ignore,
+    rejects beside them.
+
+    A batch adds to each table what it lacks. One that died between the two writes is repeated by its number from the checkpoint,
+    and then adds the rest. Of equal bars the one of the earlier batch stays, and within a batch the one of the earlier page.
+    """
+
+    def store(batch: DataFrame, _: int) -> None:
+        ingest.ingest_bars(PARSE[asset_type](batch), asset_type, raw_path, reject_path)
+
+    return _available_now(pages.writeStream.foreachBatch(store), checkpoint)
+
+
+def stream_ingest_news(pages: DataFrame, store: news.NewsStore, checkpoint: str) -> StreamingQuery:
+    """The same for landed pages of news."""
+    return _available_now(pages.writeStream.foreachBatch(lambda batch, _: news.ingest_news(store, batch)), checkpoint)
+
 
 def stream_insert_ignore(
     bars: DataFrame, path: str, checkpoint: str, key: list[str], order: str
@@ -78,6 +103,20 @@ def stream_load(
     return _available_now(bars.writeStream.foreachBatch(load), checkpoint)
 
 
+def stream_crypto_days(bars: DataFrame, path: str, checkpoint: str, lateness: str = LATENESS) -> StreamingQuery:
+    """Keep the table of crypto days from a stream of raw crypto bars, with the days that are still open.
+
+    The state store holds each open day's measures; a batch gives the whole days that its bars changed, which replace the stored
+    ones, so after each batch the table equals the batch transform of the bars so far, and a repeated batch changes nothing. A day
+    stays open for ``lateness`` behind the youngest bar; older bars are left to :func:`plans.transform.store_crypto_days` with its
+    ``replace_from``. Files of a history in no order of time want the length of that history.
+    """
+    found = crypto_day_rows(bars.withWatermark("ts", lateness), F.window("ts", "1 day"))
+    values = [c for c in found.columns if c not in ("symbol", "currency", "window")]
+    days = found.select("symbol", "currency", F.col("window.start").alias("ts"), *values)
+    return _keep_current(days, crypto_days(bars, path), CRYPTO_DAY_KEY, checkpoint)
+
+
 def read_fact_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 1000) -> DataFrame:
     """The files appended to a fact table, as a stream with bounded micro-batches."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
@@ -99,12 +138,17 @@ def stream_open_rollup(fact_stream: DataFrame, grain: str, path: str, checkpoint
     """
     changed = rollup_windows(fact_stream.drop(PERIOD), grain)
     table = rollup_table(fact_stream.sparkSession, path, table_grain)
-    key = ["bucket", *ROLLUP_KEY]
+    return _keep_current(changed, table, ["bucket", *ROLLUP_KEY], checkpoint)
+
+
+def _keep_current(changed: DataFrame, table: PeriodTable, key: list[str], checkpoint: str) -> StreamingQuery:
+    """Replace the stored rows of a table by the changed ones of each batch; only the touched periods are read and written."""
 
     def merge(batch: DataFrame, _: int) -> None:
         with _cached(batch):
-            periods = periods_of(batch, "bucket", table_grain)
+            periods = periods_of(batch, table.time, table.grain)
             if periods:
+                batch = conform(batch, table.schema)
                 stored = table.stored().filter(F.col(PERIOD).isin(periods)).drop(PERIOD)
                 table.merge(batch.unionByName(not_in(stored, batch, key)), key)
 

@@ -383,6 +383,10 @@ _QUERIES["incremental_daily"] = _QUERIES["mv_daily"]
 _QUERIES["news_all"] = _QUERIES["transform_news"].replace("raw_news", "sent_news")
 _QUERIES["transform_store_forex"] = _QUERIES["transform_forex"]
 _QUERIES["refresh_after_gap"] = _QUERIES["mv_daily"]
+_QUERIES["stream_transform_crypto"] = _QUERIES["transform_crypto"]
+_QUERIES["stream_full_load"] = _QUERIES["full_load"]
+_QUERIES["stream_ingest"] = _QUERIES["ingest_store"]
+_QUERIES["stream_ingest_rejects"] = f"select * exclude (place) from ({_QUERIES['ingest_rejects']}) where source = 'stock'"
 _QUERIES["ingest_rejects"] = f"select * exclude (place) from ({_QUERIES['ingest_rejects']})"
 
 

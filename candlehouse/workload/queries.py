@@ -601,6 +601,56 @@ def stream_cagg_open(m: MarketTables) -> DataFrame:
     return continuous.rollup_table(m.spark, path).read()
 
 
+#: The files of the lots are in no order of time: no day is closed before all of them are read.
+WHOLE_HISTORY = "10000 days"
+
+
+@query
+def stream_transform_crypto(m: MarketTables) -> DataFrame:
+    """Crypto days of streamed bars, the open ones included."""
+    path = scratch_path(m.spark, "crypto_days")
+    jobs.stream_crypto_days(m.lineitem_stream(), path, scratch_path(m.spark, "checkpoint"), WHOLE_HISTORY).awaitTermination()
+    return transforms.crypto_days(m.raw_crypto, path).read()
+
+
+@query
+def stream_full_load(m: MarketTables) -> DataFrame:
+    """All three asset types through streams into one fact table."""
+    w, path = _new_warehouse(m), scratch_path(m.spark, "crypto_days")
+    for code, stream, key in (("STOCK", m.event_stream(), STOCK_KEY), ("FOREX", m.order_stream(), FOREX_KEY)):
+        jobs.stream_load(code, stream, w, scratch_path(m.spark, "checkpoint"), key, "src_id").awaitTermination()
+    jobs.stream_crypto_days(m.lineitem_stream(), path, scratch_path(m.spark, "checkpoint"), WHOLE_HISTORY).awaitTermination()
+    days = {"CRYPTO": transforms.crypto_days(m.raw_crypto, path).read()}
+    warehouse.load_symbols(w, days)
+    warehouse.append_facts(w, days)
+    return w.fact.select(*FACT_COLUMNS)
+
+
+def _streamed_pages(m: MarketTables) -> str:
+    """Land all stock pages as files in two goes, the later pages second, each followed by a run of the stream."""
+    root = scratch_path(m.spark, "stream_ingest")
+    line = F.concat(F.col("page").cast("string"), F.lit("\t"), F.col("payload")).alias("value")
+    middle = m.stock_payloads.agg(F.avg("page")).first()[0]
+    for part in (F.col("page") < middle, F.col("page") >= middle):
+        (m.stock_payloads.filter(part).select("symbol", "interval_code", line)
+         .write.mode("append").partitionBy("symbol", "interval_code").text(f"{root}/landing"))
+        pages = P.stream_landed(m.spark, f"{root}/landing", ["symbol", "interval_code"], numbered_lines=True, files_per_batch=None)
+        jobs.stream_ingest(pages, "STOCK", f"{root}/raw", f"{root}/rejects", f"{root}/checkpoint").awaitTermination()
+    return root
+
+
+@query
+def stream_ingest(m: MarketTables) -> DataFrame:
+    """The raw table after landed stock pages came as a stream."""
+    return read_table(m.spark, f"{_streamed_pages(m)}/raw", RAW_SCHEMA["STOCK"]).drop("sys_timestamp")
+
+
+@query
+def stream_ingest_rejects(m: MarketTables) -> DataFrame:
+    """The rejects of the same stream."""
+    return read_table(m.spark, f"{_streamed_pages(m)}/rejects", REJECT_SCHEMA)
+
+
 @query
 def defaults_stored(m: MarketTables) -> DataFrame:
     """Symbols inserted without the columns that have defaults, into a table that declares these."""

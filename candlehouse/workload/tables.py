@@ -257,6 +257,12 @@ class MarketTables:
                   .option("maxFilesPerTrigger", 8).parquet(self.sf_dir))
         return self.from_sql(LANDED_FOREX, "orders", orders)
 
+    def lineitem_stream(self) -> DataFrame:
+        """The crypto bars as a stream of files."""
+        lots = (self.spark.readStream.schema(SCHEMAS["lineitem"]).option("pathGlobFilter", "lineitem.parquet")
+                .option("maxFilesPerTrigger", 8).parquet(self.sf_dir))
+        return self.from_sql(LANDED_CRYPTO, "lineitem", lots)
+
 
 def _texts(*names: str) -> list:
     return [F.col(c).cast("string").alias(c) for c in names]

@@ -1,12 +1,19 @@
+import json
 import os
 from datetime import datetime
 
 import bars as B
+import pytest
 from candlehouse.operators import facts
 from candlehouse.operators.rollup import bucket_rollup
+from candlehouse.operators.transform import transform_crypto
+from candlehouse.plans import ingest, news
 from candlehouse.plans.continuous import rollup_table
+from candlehouse.plans.transform import crypto_days, store_crypto_days
 from candlehouse.plans.warehouse import Warehouse
-from candlehouse.schemas import STOCK_KEY
+from candlehouse.schemas import RAW_SCHEMA, REJECT_SCHEMA, STOCK_KEY
+from candlehouse.sources import payloads as P
+from candlehouse.sources.tables import conform, read_table
 from candlehouse.streaming import jobs
 
 LANDED = B.STOCK.replace(", price_change double", "") + ", src_id bigint"
@@ -95,3 +102,102 @@ def test_open_buckets_equal_the_batch_rollup_after_each_batch(spark, tmp_path):
         jobs.stream_open_rollup(incoming, "day", path, f"{tmp_path}/c").awaitTermination()
         stored, batch_rollup = rollup_table(spark, path).read(), bucket_rollup(spark.read.parquet(*so_far), "day")
         assert stored.exceptAll(batch_rollup.select(stored.columns)).count() == 0 and stored.count() == batch_rollup.count()
+
+
+CRYPTO = ("symbol string, currency string, ts string, open double, high double, low double, close double,"
+          "volume_from double, volume_to double")
+
+
+def land_crypto(spark, src, batch, *rows):
+    """Raw bars of (symbol, currency, time, price) as one more folder below ``src``."""
+    frame = spark.createDataFrame([(s, c, t, p, p + 2, p - 1, p + 1, 1.0, 2.0) for s, c, t, p in rows], CRYPTO)
+    frame = conform(frame, RAW_SCHEMA["CRYPTO"])
+    frame.coalesce(1).write.parquet(f"{src}/b{batch}")
+    return frame.schema
+
+
+def crypto_stream(spark, src, schema):
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
+
+
+def same(got, wanted):
+    wanted = wanted.select(got.columns)
+    return got.exceptAll(wanted).isEmpty() and wanted.exceptAll(got).isEmpty()
+
+
+def test_open_crypto_days_equal_the_batch_transform_after_each_batch(spark, tmp_path):
+    src, path = f"{tmp_path}/src", f"{tmp_path}/days"
+    batches = [
+        [("BTC", "USD", "2024-01-30 01:00:00", 10.0), ("BTC", "USD", "2024-01-31 01:00:00", 11.0), ("BTC", "EUR", "2024-01-31 01:00:00", 9.0)],
+        [("BTC", "USD", "2024-01-31 23:00:00", 12.0), ("BTC", "USD", "2024-01-31 01:00:00", 11.0), (None, "USD", "2024-02-01 00:00:00", 3.0)],
+        [(None, "USD", "2024-02-01 09:00:00", 0.0), ("ETH", "USD", "2024-02-01 00:00:00", 5.0)],
+        [],
+    ]
+    for batch, rows in enumerate(batches):
+        schema = land_crypto(spark, src, batch, *rows)
+        jobs.stream_crypto_days(crypto_stream(spark, src, schema), path, f"{tmp_path}/c").awaitTermination()
+        raw = spark.read.schema(schema).parquet(*[f"{src}/b{i}" for i in range(batch + 1)])
+        days = crypto_days(raw, path)
+        assert same(days.read(), conform(transform_crypto(raw), days.schema))
+    assert days.read().count() == 5
+
+
+def test_a_crypto_bar_behind_the_watermark_waits_for_the_batch(spark, tmp_path):
+    src, path = f"{tmp_path}/src", f"{tmp_path}/days"
+    times = ["2024-01-10 10:00:00", "2024-01-20 10:00:00", "2024-01-20 11:00:00", "2024-01-10 11:00:00"]
+    for batch, time in enumerate(times):
+        schema = land_crypto(spark, src, batch, ("BTC", "USD", time, 10.0 + batch))
+        jobs.stream_crypto_days(crypto_stream(spark, src, schema), path, f"{tmp_path}/c", "1 day").awaitTermination()
+    raw = spark.read.schema(schema).parquet(f"{src}/*")
+    assert {r.ts.day: float(r.volume_from) for r in crypto_days(raw, path).read().collect()} == {10: 1.0, 20: 2.0}
+    store_crypto_days(raw, path, datetime(2024, 1, 10))
+    assert same(crypto_days(raw, path).read(), conform(transform_crypto(raw), crypto_days(raw, path).schema))
+
+
+def page(day, close):
+    value = {"datetime": f"2024-01-{day:02d}", "open": "1", "high": "3", "low": "1", "close": close, "volume": "5"}
+    return json.dumps({"values": [value, value | {"datetime": "2024-02-01"}]})
+
+
+def land_pages(spark, folder, *pages):
+    lines = spark.createDataFrame([("AAPL", "1day", f"{n}\t{text}") for n, text in pages], "symbol string, interval_code string, value string")
+    lines.coalesce(1).write.mode("append").partitionBy("symbol", "interval_code").text(folder)
+
+
+def test_a_batch_that_died_between_its_two_writes_is_repeated_to_the_same_tables(spark, tmp_path, monkeypatch):
+    landing, raw, rejects = f"{tmp_path}/landing", f"{tmp_path}/raw", f"{tmp_path}/rejects"
+    sent = [[(1, page(1, "2")), (2, page(2, "x")), (3, "{broken")], [(4, page(1, "9")), (5, page(4, "7")), (6, "")]]
+
+    def run():
+        pages = P.stream_landed(spark, landing, ["symbol", "interval_code"], numbered_lines=True)
+        jobs.stream_ingest(pages, "STOCK", raw, rejects, f"{tmp_path}/c").awaitTermination()
+
+    def dies(*_):
+        raise RuntimeError("between the writes")
+
+    for pages in sent:
+        land_pages(spark, landing, *pages)
+        with monkeypatch.context() as patch, pytest.raises(Exception, match="between the writes"):
+            patch.setattr(ingest, "store_rejects", dies)
+            run()
+        run()
+        run()  # nothing new
+    landed = P.read_landed(spark, landing, ["symbol", "interval_code"], numbered_lines=True)
+    ingest.ingest_bars(P.parse_stock(landed), "STOCK", f"{raw}_batch", f"{rejects}_batch")
+    bars, bad = ([read_table(spark, f"{path}{end}", schema) for end in ("", "_batch")]
+                 for path, schema in ((raw, RAW_SCHEMA["STOCK"]), (rejects, REJECT_SCHEMA)))
+    assert same(bars[0].drop("sys_timestamp"), bars[1].drop("sys_timestamp")) and bars[0].count() == 3
+    assert same(*bad) and bad[0].count() >= 3
+    assert {float(r.close) for r in bars[0].collect()} == {2.0, 7.0}
+
+
+def test_news_pages_as_a_stream(spark, tmp_path):
+    store = news.NewsStore(spark, f"{tmp_path}/news")
+    row = {"title": "t", "published_date": "2024-01-05", "description": "d", "content": "c", "link": "l1"}
+    for n, rows in enumerate([[row, row | {"link": None}], [row | {"title": "later"}, row | {"link": "l2"}]]):
+        text = json.dumps({"rows": [{"row": r} for r in rows]})
+        spark.createDataFrame([(f"{n}\t{text}",)], "value string").coalesce(1).write.mode("append").text(f"{tmp_path}/landing")
+        pages = P.stream_landed(spark, f"{tmp_path}/landing", [], numbered_lines=True)
+        jobs.stream_ingest_news(pages, store, f"{tmp_path}/c").awaitTermination()
+    assert sorted((r.link, r.title) for r in store.raw().collect()) == [("l1", "t"), ("l2", "t")]
+    assert read_table(spark, store.reject_path, REJECT_SCHEMA).count() == 1
