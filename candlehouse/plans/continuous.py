@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from candlehouse.functions import columns as C
 from candlehouse.functions.arguments import naive_utc
-from candlehouse.operators.rollup import ROLLUP_KEY, bucket_rollup
+from candlehouse.operators.dedup import not_in
+from candlehouse.operators.rollup import ROLLUP_KEY, bucket_rollup, stale_buckets
 from candlehouse.plans.periods import PeriodTable
+from candlehouse.plans.storage import periods_of
 from candlehouse.schemas import FACT_SCHEMA
 from candlehouse.sources.tables import PERIOD, between_periods, empty_table, periods_between
 
@@ -64,3 +66,28 @@ def refresh_rollup(
     stored = table.stored().filter(F.col(PERIOD).isin(periods)).drop(PERIOD)
     outside = stored.filter((F.col("bucket") < C.utc(start)) | (F.col("bucket") >= C.utc(end)))
     table.merge(bucket_rollup(rows, grain).unionByName(outside), ["bucket", *ROLLUP_KEY], periods)
+
+
+def refresh_late(fact: DataFrame, path: str, grain: str, table_grain: str = "month", fact_grain: str = "month") -> int:
+    """Recompute the buckets that late rows have left behind: rows behind a stream's watermark, or out of reach of the refreshes.
+
+    They are found by their counts, which reads four columns of the facts; only the periods they lie in are read whole and replaced.
+    Returns how many buckets were recomputed. Pass facts from some period on to look at these only.
+    """
+    key = ["bucket", *ROLLUP_KEY]
+    table = rollup_table(fact.sparkSession, path, table_grain)
+    table.finish(key)
+    late = stale_buckets(table.read(), fact, grain).select(*key, "late_rows").persist()  # what memory can't hold goes to disk
+    try:
+        n = late.count()
+        if not n:
+            return 0
+        rows = fact
+        if PERIOD in fact.columns:
+            rows = rows.filter(F.col(PERIOD).isin(periods_of(late, "bucket", fact_grain))).drop(PERIOD)
+        rows = rows.withColumn("bucket", F.date_trunc(grain, "ts")).join(late.select(*key), key, "left_semi").drop("bucket")
+        stored = table.stored().filter(F.col(PERIOD).isin(periods_of(late, "bucket", table_grain))).drop(PERIOD)
+        table.merge(bucket_rollup(rows, grain).unionByName(not_in(stored, late, key)), key)
+        return n
+    finally:
+        late.unpersist()

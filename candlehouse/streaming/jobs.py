@@ -134,7 +134,8 @@ def stream_open_rollup(fact_stream: DataFrame, grain: str, path: str, checkpoint
     """Keep a rollup table with the buckets that are still open: after each batch it equals the batch rollup of the rows so far.
 
     Each batch gives the whole buckets that its rows changed, from the state; they replace the stored ones, so a batch that is
-    repeated changes nothing. The watermark bounds the state: rows behind it are left to the batch refresh.
+    repeated changes nothing. The watermark bounds the state: rows behind it are counted (:func:`dropped_rows`) and left to
+    :func:`plans.continuous.refresh_late`.
     """
     changed = rollup_windows(fact_stream.drop(PERIOD), grain)
     table = rollup_table(fact_stream.sparkSession, path, table_grain)
@@ -155,6 +156,14 @@ def _keep_current(changed: DataFrame, table: PeriodTable, key: list[str], checkp
     return _available_now(changed.writeStream.foreachBatch(merge), checkpoint, "update")
 
 
+def dropped_rows(query: StreamingQuery) -> int:
+    """How many (pre-aggregated) rows the recent batches of a stream found behind its watermark and left out.
+
+    :func:`plans.continuous.refresh_late` brings their buckets up to date.
+    """
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+
+
 def stream_rollup(fact_stream: DataFrame, grain: str, path: str, checkpoint: str) -> StreamingQuery:
     """Append closed windows to a table."""
     closed = rollup_windows(fact_stream.drop(PERIOD), grain)

@@ -291,6 +291,7 @@ _QUERIES = {
         from intervals left join landed_stock using (interval_code) group by all""",
     "defaults_stored": "select * from symbols where asset_type_id <> (select asset_type_id from asset_types where asset_type_code = 'CRYPTO')",
     "stream_dedup_state": f"select src_id, symbol, interval_code, ts, {OHLC}, volume from raw_stock",
+    "stream_cagg_late": _rollup("day", "(select * from fact where asset_type_code = 'STOCK')"),
     "stream_cagg_open": _rollup("day", "(select * from fact where asset_type_code <> 'CRYPTO')"),
     "dim_symbol_load": "select * from symbols",
     "fact_load_stock": f"select {FACT} from fact where asset_type_code = 'STOCK'",

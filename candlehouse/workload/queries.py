@@ -601,6 +601,19 @@ def stream_cagg_open(m: MarketTables) -> DataFrame:
     return continuous.rollup_table(m.spark, path).read()
 
 
+@query
+def stream_cagg_late(m: MarketTables) -> DataFrame:
+    """The day rollup of streamed stock bars whose first half comes last, far behind the watermark, after the late buckets were recomputed."""
+    w, path, checkpoint = _new_warehouse(m), scratch_path(m.spark, "late_rollup"), scratch_path(m.spark, "checkpoint")
+    middle = datetime(2024, 1, 15)
+    for half in (F.col("ts") >= C.utc(middle), F.col("ts") < C.utc(middle)):
+        warehouse.append_facts(w, {"STOCK": m.stored["STOCK"].filter(half)})
+        stream = jobs.read_fact_stream(m.spark, w.fact_path, w.fact.schema)
+        jobs.stream_open_rollup(stream, "day", path, checkpoint).awaitTermination()
+    continuous.refresh_late(w.fact, path, "day")
+    return continuous.rollup_table(m.spark, path).read()
+
+
 #: The files of the lots are in no order of time: no day is closed before all of them are read.
 WHOLE_HISTORY = "10000 days"
 

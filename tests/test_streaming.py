@@ -5,10 +5,10 @@ from datetime import datetime
 import bars as B
 import pytest
 from candlehouse.operators import facts
-from candlehouse.operators.rollup import bucket_rollup
+from candlehouse.operators.rollup import bucket_rollup, stale_buckets
 from candlehouse.operators.transform import transform_crypto
 from candlehouse.plans import ingest, news
-from candlehouse.plans.continuous import rollup_table
+from candlehouse.plans.continuous import refresh_late, rollup_table
 from candlehouse.plans.transform import crypto_days, store_crypto_days
 from candlehouse.plans.warehouse import Warehouse
 from candlehouse.schemas import RAW_SCHEMA, REJECT_SCHEMA, STOCK_KEY
@@ -201,3 +201,20 @@ def test_news_pages_as_a_stream(spark, tmp_path):
         jobs.stream_ingest_news(pages, store, f"{tmp_path}/c").awaitTermination()
     assert sorted((r.link, r.title) for r in store.raw().collect()) == [("l1", "t"), ("l2", "t")]
     assert read_table(spark, store.reject_path, REJECT_SCHEMA).count() == 1
+
+
+def test_late_buckets_of_a_stream_are_found_and_recomputed(spark, tmp_path):
+    src, path = f"{tmp_path}/src", f"{tmp_path}/open"
+    late = ["2024-01-10 11:00:00", "2024-01-10 12:00:00", "2023-12-31 12:00:00"]
+    for batch, times in enumerate([["2024-01-10 10:00:00", "2024-01-11 10:00:00"], ["2024-01-20 10:00:00"], ["2024-01-20 11:00:00"], late]):
+        rows = facts.fact_union({"STOCK": B.stock(spark, *[B.stock_row(ts=t, close=i + batch + 10) for i, t in enumerate(times)])})
+        rows.coalesce(1).write.parquet(f"{src}/b{batch}")
+        query = jobs.stream_open_rollup(jobs.read_fact_stream(spark, f"{src}/*", rows.schema), "day", path, f"{tmp_path}/c")
+        query.awaitTermination()
+    assert jobs.dropped_rows(query) >= 2  # one by bucket and task at least
+    fact, table = spark.read.parquet(f"{src}/*"), rollup_table(spark, path)
+    found = {str(r.bucket.date()): r.late_rows for r in stale_buckets(table.read(), fact, "day").collect()}
+    assert found == {"2024-01-10": 2, "2023-12-31": 1}
+    assert refresh_late(fact, path, "day") == 2
+    assert same(table.read(), bucket_rollup(fact, "day")) and table.read().count() == 4
+    assert refresh_late(fact, path, "day") == 0
