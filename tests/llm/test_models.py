@@ -1,5 +1,7 @@
 """Language, quality and toxicity: held-out accuracy on the tables, and awkward rows."""
 
+from itertools import combinations
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -80,6 +82,26 @@ def test_proportions_against_plain_em():
         assert np.allclose(row, brute_em(c, model.p, language.STEPS), atol=1e-4)
 
 
+def test_language_set_against_all_sets():
+    """The chosen set against the best of all subsets by likelihood less penalty, for one, two and three planted languages."""
+    rng = np.random.default_rng(7)
+    table = {n: rng.gamma(0.3, 40, 96) for n in "abcde"}
+    model = language.Model.from_counts(table, 96)
+    planted = [s for size in (1, 2, 3) for s in combinations(range(5), size)]
+    counts = np.array([rng.multinomial(900, np.mean(model.p[list(s)], axis=0)) for s in planted], dtype=np.float32)
+    chosen = model.infer(counts)
+    for s, c, pi in zip(planted, counts, chosen, strict=True):
+        cost = language.PENALTY * np.log2(2 + c.sum())
+
+        def net(some, c=c, cost=cost):
+            own = brute_em(c, model.p[list(some)], language.STEPS)
+            return (c * np.log(own @ model.p[list(some)])).sum() - (len(some) - 1) * cost
+
+        best = max((some for size in range(1, language.MOST + 1) for some in combinations(range(5), size)), key=net)
+        assert tuple(np.flatnonzero(pi > 0)) == best == s
+        assert np.allclose(pi[list(best)], brute_em(c, model.p[list(best)], language.STEPS), atol=1e-3)
+
+
 def test_machine_equals_the_written_out_sum():
     rng = np.random.default_rng(2)
     m = toxicity.Machine(np.arange(6, dtype=np.uint64), 0.3, rng.normal(size=6), rng.normal(size=(6, 4)))
