@@ -261,6 +261,7 @@ _QUERIES = {
           select symbol from landed_crypto group by symbol order by sum(volume_to) desc, symbol limit 10)""",
     "insert_ignore_raw": f"select src_id, currency_pair, interval_code, ts, {OHLC} from raw_forex",
     "insert_ignore_stock": f"select src_id, symbol, interval_code, ts, {OHLC}, volume from raw_stock",
+    "insert_ignore_bucketed": f"select src_id, symbol, interval_code, ts, {OHLC}, volume from raw_stock",
     "insert_ignore_crypto": f"""select l_orderkey, cast(l_linenumber as bigint) as l_linenumber, symbol, currency,
         ts, {OHLC}, {_d("volume_from", "volume_to")}
         from (select *, row_number() over (partition by symbol, currency, ts order by l_orderkey, l_linenumber, open,

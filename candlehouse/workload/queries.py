@@ -15,6 +15,7 @@ from candlehouse.functions.arguments import parse_asset_types
 from candlehouse.operators import dedup, dims, facts, marts, readouts, rollup, transform
 from candlehouse.plans import backfill, continuous, defaults, ingest, news, storage, warehouse
 from candlehouse.plans import transform as transforms
+from candlehouse.plans.buckets import BucketTable
 from candlehouse.plans.periods import PeriodTable
 from candlehouse.schemas import (
     CRYPTO_KEY, DIM_SYMBOL_SCHEMA, FACT_COLUMNS, FOREX_KEY, INTERVAL_ID, RAW_KEY, RAW_SCHEMA, REJECT_SCHEMA, STOCK_KEY, TRANSFORMED_SCHEMA,
@@ -206,6 +207,16 @@ def insert_ignore_stock(m: MarketTables) -> DataFrame:
     return _two_overlapping_loads(m.landed_stock, STOCK_KEY, datetime(2024, 1, 20), timedelta(days=5))
 
 
+@query
+def insert_ignore_bucketed(m: MarketTables) -> DataFrame:
+    """Two overlapping loads into a table bucketed by its key, whose stored rows are not shuffled."""
+    name = scratch_path(m.spark, "bucketed").rsplit("/", 1)[1].replace("-", "_")
+    table = BucketTable(m.spark, name, scratch_path(m.spark, "bucketed_rows"), m.landed_stock.schema, STOCK_KEY)
+    for part in (F.col("ts") < C.utc(datetime(2024, 1, 20)), F.col("ts") >= C.utc(datetime(2024, 1, 15))):
+        table.insert_ignore(dedup.first_wins(m.landed_stock.filter(part), STOCK_KEY, "src_id"))
+    return table.read()
+
+
 @query
 def insert_ignore_crypto(m: MarketTables) -> DataFrame:
     """Two overlapping loads: the second finds a year of keys stored."""
