@@ -11,9 +11,10 @@ whose shingle sets have Jaccard similarity J share each value of their union's s
 
 Documents with equal sets are one class first, so copies cost one row. Lists are not turned into all pairs. Each member is
 paired with the list's first member, and what passes the filter gives clusters of similar documents; then lists that
-still hold several clusters pair members of different clusters, long lists in blocks. Now every link lies within a cluster. A
-cluster's full sets meet in one task, a large cluster's in blocks of bounded size, where all similarities come from products of
-incidence matrices. Only labels leave the task, never the pairs.
+still hold several clusters pair the members outside the list's main cluster with all others, in blocks. Now every link lies
+within a cluster. A cluster's full sets meet in one task, a large cluster's in blocks of bounded size, where all similarities come
+from products of incidence matrices. The blocks of a large cluster are joined in two steps: all sets are compared with a few hubs,
+then those outside the main component with all others. Only labels leave the task, never the pairs.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlehouse.llm import words
@@ -36,6 +37,8 @@ MISS = 1e-7
 RANGES = 256
 #: Members of a list, or of a cluster, that meet in one block; members of small clusters that share a task.
 BLOCK, TASK_ROWS = 1024, 2048
+#: Sets of a large cluster that all its other sets are compared with first.
+HUBS = 32
 #: Shingles of a block that are multiplied at a time.
 COLUMNS = 4096
 
@@ -148,6 +151,22 @@ def _likely(classes: DataFrame, pairs: DataFrame, percent: int, k: int) -> DataF
             .where(shared >= F.ceil(F.size(union) * (needed(percent, k) / k))).select("a", "b"))
 
 
+def _dealt(members: DataFrame, group: str) -> DataFrame:
+    """``members`` (rep, component, ``group``, ...) of the groups with several components, dealt into blocks, with main, own, others and blocks.
+
+    ``main`` members have the group's most frequent component. The others lie in the blocks below ``others``, the main ones in those
+    from there to ``blocks``; ``own`` is a member's block. Pairs of different components lie in (i, j) with i below ``others`` and i <= j.
+    """
+    parts = members.groupBy(group, "component").agg(F.count("*").alias("n"))
+    whole = parts.groupBy(group).agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("n")).where(F.col("n") > F.col("most.n"))
+    blocks = whole.select(group, F.col("most.component").alias("__main"), F.ceil((F.col("n") - F.col("most.n")) / BLOCK).cast("int").alias("others"),
+                          F.ceil(F.col("most.n") / BLOCK).cast("int").alias("__blocks"))
+    main = F.col("component") == F.col("__main")
+    own = F.when(main, F.col("others") + F.pmod(F.xxhash64("rep"), F.col("__blocks"))).otherwise(F.pmod(F.xxhash64("rep"), F.col("others")))
+    return (members.join(blocks, group).withColumn("main", main).withColumn("own", own.cast("int"))
+            .withColumn("blocks", F.col("others") + F.col("__blocks")).drop("__main", "__blocks"))
+
+
 def clusters(classes: DataFrame, percent: int, k: int = K) -> DataFrame:
     """(rep, cluster): similar classes, so that every link lies within one cluster. Classes without any similar one are left out."""
     lists = checkpoint(inverted_lists(classes, percent, k))
@@ -158,20 +177,17 @@ def clusters(classes: DataFrame, percent: int, k: int = K) -> DataFrame:
              .where(_alike(F.col("size"), F.col("head.size"), F.col("bits"), F.col("head.bits"), percent))
              .select(F.col("head.rep").alias("a"), F.col("rep").alias("b")).distinct())
     first = components(_likely(classes, stars, percent, k))
-    # lists that hold several clusters: their members of different clusters
-    marked = (lists.join(first.select(F.col("node").alias("rep"), "component"), "rep", "left")
-              .withColumn("component", F.coalesce("component", "rep")))
-    mixed = marked.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-    blocks = mixed.where(F.col("low") != F.col("high")).select("value", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    dealt = checkpoint(marked.join(blocks, "value").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")))
-    cell = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    # lists that hold several clusters: members outside the main one, with members of other clusters
+    marked = checkpoint(lists.join(first.select(F.col("node").alias("rep"), "component"), "rep", "left")
+                        .withColumn("component", F.coalesce("component", "rep")))
+    dealt = checkpoint(_dealt(marked, "value"))
     side = lambda s: [F.col(c).alias(f"{c}_{s}") for c in ("rep", "size", "bits", "component")]
-    left = dealt.select("value", F.col("block").alias("i"), cell.alias("j"), *side("a"))
-    right = dealt.select("value", cell.alias("i"), F.col("block").alias("j"), *side("b"))
+    left = dealt.where("not main").select("value", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"), *side("a"))
+    right = dealt.select("value", F.explode(F.sequence(F.lit(0), F.least(F.col("own"), F.col("others") - 1))).alias("i"), F.col("own").alias("j"), *side("b"))
     rest = (left.join(right, ["value", "i", "j"])
-            .where((F.col("rep_a") < F.col("rep_b")) & (F.col("component_a") != F.col("component_b")))
+            .where(((F.col("i") < F.col("j")) | (F.col("rep_a") < F.col("rep_b"))) & (F.col("component_a") != F.col("component_b")))
             .where(_alike(F.col("size_a"), F.col("size_b"), F.col("bits_a"), F.col("bits_b"), percent))
-            .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct())
+            .select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct())
     return merged(first, _likely(classes, rest, percent, k)).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
 
 
@@ -246,24 +262,59 @@ def linked_classes(docs: DataFrame, members: DataFrame, n: int, percent: int) ->
     first = checkpoint(first.groupBy("rep").agg(F.min("component").alias("component")))
     if large.isEmpty():
         return first
-    labelled = sets.where("blocks > 1").join(first, "rep")
-    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: j != F.col("block")))
-    cells = labelled.select("*", other.alias("other")).select(
-        "component", "shingles", (F.col("block") < F.col("other")).alias("low"), "cluster",
-        F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    whole = sets.where("blocks > 1").select("rep", "cluster", "shingles")
+    placed = checkpoint(large.join(first, "rep"))
+    labels = _relabelled(first, _hub_links(whole, placed, percent))
+    apart = checkpoint(_dealt(placed.drop("component", "block", "blocks").join(labels, "rep"), "cluster"))
+    if apart.isEmpty():
+        return labels
+    return _relabelled(labels, _other_links(whole, apart, percent))
+
+
+def _relabelled(first: DataFrame, links: DataFrame) -> DataFrame:
+    """(rep, component) once ``links`` (a, b) between components are followed."""
+    joined = components(links).select(F.col("node").alias("component"), F.col("component").alias("least"))
+    return checkpoint(first.join(joined, "component", "left").select("rep", F.coalesce("least", "component").alias("component")))
+
+
+def _hub_links(sets: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of components between the blocks of each cluster, from each block's sets and the cluster's hubs.
+
+    Hubs are the first sets of the components with the most members. A block's sets move once, and the hubs to every block, so
+    most blocks of a cluster of near copies become one component without any two of them meeting.
+    """
+    parts = placed.groupBy("cluster", "component").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("cluster").orderBy(F.desc("n"), "component")
+    hubs = parts.withColumn("at", F.row_number().over(order)).where(F.col("at") <= HUBS).select(F.col("component").alias("rep"), F.lit(True).alias("hub"))
+    every = F.when(F.col("hub"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
+    cells = sets.join(placed.drop("cluster").join(hubs, "rep", "left"), "rep").select("*", F.explode(every).alias("i"))
+    return _links(cells.select("cluster", "i", F.lit(-1).alias("j"), (F.col("i") != F.col("block")).alias("low"), "component", "shingles"), percent)
+
+
+def _other_links(sets: DataFrame, apart: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the components of each cluster in ``apart``, exact: all sets but those of the main component meet all."""
+    last = F.when(F.col("main"), F.col("others")).otherwise(F.col("blocks")) - 1
+    cells = sets.drop("cluster").join(apart, "rep").select("*", F.explode(F.sequence(F.lit(0), last)).alias("other"))
+    return _links(cells.select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                               (F.col("own") < F.col("other")).alias("low"), "component", "shingles"), percent)
+
+
+def _links(cells: DataFrame, percent: int) -> DataFrame:
+    """Linked components (a, b), from the ``low`` and the other sets of each cell (cluster, i, j), or from all of a cell with i = j."""
 
     def across(table: pa.Table) -> pa.Table:
-        low, component, all_sets = table["low"].to_numpy(zero_copy_only=False), table["component"].to_numpy(), _sets(table["shingles"])
+        low, component, sets = table["low"].to_numpy(zero_copy_only=False), table["component"].to_numpy(), _sets(table["shingles"])
         x, y = np.flatnonzero(low), np.flatnonzero(~low)
-        found: set[tuple[int, int]] = set()
+        if table["i"][0] == table["j"][0]:
+            x = y = np.arange(len(component))
+        found = np.zeros((0, 2), dtype=np.int64)
         if len(x) and len(y):
-            a, b = np.nonzero(similar([all_sets[i] for i in x], [all_sets[i] for i in y], percent))
-            found = set(zip(component[x[a]].tolist(), component[y[b]].tolist(), strict=True))
-        return pa.table({"a": pa.array([p[0] for p in found], pa.int64()), "b": pa.array([p[1] for p in found], pa.int64())})
+            a, b = np.nonzero(similar([sets[i] for i in x], [sets[i] for i in y], percent))
+            ends = np.stack([component[x[a]], component[y[b]]], axis=1)
+            found = np.unique(np.sort(ends[ends[:, 0] != ends[:, 1]], axis=1), axis=0)
+        return pa.table({"a": pa.array(found[:, 0], pa.int64()), "b": pa.array(found[:, 1], pa.int64())})
 
-    links = cells.groupBy("cluster", "i", "j").applyInArrow(across, "a bigint, b bigint").where("a <> b").distinct()
-    joined = components(links).select(F.col("node").alias("component"), F.col("component").alias("least"))
-    return first.join(joined, "component", "left").select("rep", F.coalesce("least", "component").alias("component"))
+    return cells.groupBy("cluster", "i", "j").applyInArrow(across, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = K) -> DataFrame:

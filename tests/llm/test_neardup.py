@@ -131,3 +131,31 @@ def test_components(spark):
             label[a] = label[b] = min(label[a], label[b])
     df = spark.createDataFrame(edges, "a bigint, b bigint")
     assert {(r.node, r.component) for r in components(df).collect()} == set(label.items())
+
+
+def test_a_large_cluster_of_near_copies_is_joined_by_hubs(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 8)
+    rng = random.Random(11)
+    base = sentence(rng, 150, 5000)
+    rows = [(i, edited(rng, base, 2), "en", "s", 0) for i in range(300)]
+    met = []
+    other = N._other_links
+    monkeypatch.setattr(N, "_other_links", lambda sets, apart, percent: met.append(apart.count()) or other(sets, apart, percent))
+    assert {r[3] for r in run(spark, rows, 3, 85)} == {0}
+    assert not met  # no two blocks exchanged their sets
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_dealt_members_meet_unless_both_are_main(spark, monkeypatch, seed):
+    monkeypatch.setattr(N, "BLOCK", 4)
+    rng = random.Random(seed)
+    rows = [(g, r, rng.choice([0, 0, 0, 0, 1, 2, r]) if g else 5) for g in range(3) for r in range(g * 100, g * 100 + 60)]
+    members = spark.createDataFrame(rows, "g int, rep bigint, component bigint")
+    dealt = {(r.g, r.rep): r for r in N._dealt(members, "g").collect()}
+    assert {g for g, _ in dealt} == {1, 2} and len(dealt) == 120
+    for (g, a), x in dealt.items():
+        assert 0 <= x.own < x.blocks and (x.own >= x.others) == x.main
+        for (h, b), y in dealt.items():
+            if g == h and a < b and x.component != y.component:
+                low = min(x, y, key=lambda r: r.own)
+                assert not low.main and low.own < low.others
