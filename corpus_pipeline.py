@@ -47,20 +47,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     their own, behind the others of a group: a row goes only if its own text, or a near copy, stays. Rows without an id are kept.
     """
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text", F.col("doc_id").cast("bigint").alias("key"))
+    without, whole = whole.where("key is null"), whole.where("key is not null")
     content = F.xxhash64("text", F.isnull("text"))
-    several = checkpoint(whole.where("key is not null").groupBy("key").agg(F.min(content).alias("least"), F.max(content).alias("most"))
+    several = checkpoint(whole.groupBy("key").agg(F.min(content).alias("least"), F.max(content).alias("most"))
                          .where("least <> most").select("key"))
     if not several.isEmpty():
         own = F.lit(1 << 62) + F.pmod(F.xxhash64("key", content), F.lit(1 << 61))
         whole = whole.join(several.withColumn("shared", F.lit(True)), "key", "left")
         whole = whole.withColumn("key", F.when(F.col("shared"), own).otherwise(F.col("key"))).drop("shared")
     found = neardup.near_duplicates(whole.select(F.col("key").alias("doc_id"), "text"), n=5, percent=80)
-    by_key = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(
-        F.bool_and("kept").alias("stays"), F.count("*").alias("rows"))
-    other = by_key.where("not stays or rows > 1")
-    marked = whole.drop("text").join(other, F.col("key") == F.col("id"), "left").where("id is null or stays")
-    repeated = marked.where("rows > 1").dropDuplicates(["key"])
-    return marked.where("rows is null").unionByName(repeated).select("row.*")
+    stay = checkpoint(found.groupBy(F.col("doc_id").alias("key")).agg(F.bool_and("kept").alias("stays")).where("stays").select("key"))
+    # rows move once: dropDuplicates finds them dealt and sorted by the join
+    once = whole.select("row", "key").join(stay, "key", "left_semi").dropDuplicates(["key"])
+    return once.select("row.*").unionByName(without.select("row.*"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
