@@ -40,7 +40,7 @@ BLOCK, TASK_ROWS = 1024, 2048
 #: Sets of a large cluster that all its other sets are compared with first.
 HUBS = 32
 #: Shingles of a block that are multiplied at a time.
-COLUMNS = 4096
+COLUMNS = 1024
 
 
 def shingles(texts: list[str], n: int) -> list[np.ndarray]:
@@ -309,9 +309,13 @@ def _links(cells: DataFrame, percent: int) -> DataFrame:
             x = y = np.arange(len(component))
         found = np.zeros((0, 2), dtype=np.int64)
         if len(x) and len(y):
-            a, b = np.nonzero(similar([sets[i] for i in x], [sets[i] for i in y], percent))
-            ends = np.stack([component[x[a]], component[y[b]]], axis=1)
-            found = np.unique(np.sort(ends[ends[:, 0] != ends[:, 1]], axis=1), axis=0)
+            linked = similar([sets[i] for i in x], [sets[i] for i in y], percent)
+            (parts_x, of_x), (parts_y, of_y) = (np.unique(component[z], return_inverse=True) for z in (x, y))
+            met = np.zeros((len(parts_x), len(parts_y)), dtype=bool)
+            for i, row in zip(of_x, linked, strict=True):
+                met[i, of_y[row]] = True
+            a, b = np.nonzero(met & (parts_x[:, None] != parts_y[None, :]))
+            found = np.stack([parts_x[a], parts_y[b]], axis=1)
         return pa.table({"a": pa.array(found[:, 0], pa.int64()), "b": pa.array(found[:, 1], pa.int64())})
 
     return cells.groupBy("cluster", "i", "j").applyInArrow(across, "a bigint, b bigint").distinct()

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text that are hashed at a time. A single longer word is hashed as a whole.
 SLICE = 1 << 19
@@ -108,16 +109,15 @@ def hash_words(texts: Sequence[bytes], between: np.ndarray, prefixes: Sequence[i
 
 def grouped(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of ``batch`` with their texts (null: empty) of about GROUP bytes at most."""
-    texts = batch.column(column).to_pylist()
+    texts = batch.column(column)
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
     at, size = 0, 0
-    for i, t in enumerate(texts):
-        n = len(t) * 2 if t else 0
-        if i > at and size + n > GROUP:
-            yield batch.slice(at, i - at), [x or "" for x in texts[at:i]]
+    for i, n in enumerate([2 * x for x in sizes] + [None]):  # None: the end
+        if i > at and (n is None or size + n > GROUP):
+            yield batch.slice(at, i - at), [x or "" for x in texts.slice(at, i - at).to_pylist()]
             at, size = i, 0
-        size += n
-    if len(texts) > at:
-        yield batch.slice(at), [x or "" for x in texts[at:]]
+        size += n or 0
+    pa.default_memory_pool().release_unused()
 
 
 def encoded(texts: Sequence[str]) -> list[bytes]:
