@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 #: Bytes of text that are hashed at a time. A single longer word is hashed as a whole.
 SLICE = 1 << 19
 #: Texts of a batch that are handled together, by bytes; a longer text goes alone.
-GROUP = 4 << 20
+GROUP = 2 << 20
 
 U = np.uint64
 MASK = (1 << 64) - 1
