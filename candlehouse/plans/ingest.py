@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlehouse.operators.dedup import first_of_ordered, first_wins
-from candlehouse.plans.storage import append_new, insert_ignore, periods_of
+from candlehouse.plans.storage import append_new, compared_periods, insert_ignore
 from candlehouse.schemas import RAW_KEY, RAW_SCHEMA, REJECT_KEY, REJECT_SCHEMA
 from candlehouse.sources import payloads as P
 from candlehouse.sources.tables import conform, remove
@@ -17,6 +17,9 @@ from candlehouse.sources.tables import conform, remove
 #: Entries of one page at most, for the number that a numbered page and a place in it make together.
 PAGE_ROWS = 1 << 24
 
+#: What names a reject beside its key.
+_NAMED = ["page", "pos", "source_time"]
+
 
 @contextmanager
 def staged(parsed: DataFrame, path: str):
@@ -44,6 +47,17 @@ def arrival(rows: DataFrame, key: list[str]) -> DataFrame:
     return first_of_ordered(rows, key, ["page", "pos"]).drop("page", "pos")
 
 
+def first_or_reject(parsed: DataFrame, key: list[str]) -> DataFrame:
+    """Parsed rows with of the good ones only the first by ``key``, in one aggregation that every reject passes as a group of its own.
+
+    What names a reject is null for good rows and so takes no part in their key, nor in the hash that tells ties apart.
+    """
+    bad = F.col("reason").isNotNull()
+    named = [F.when(bad, F.col(c)).alias(f"_bad_{c}") for c in _NAMED]
+    marked = parsed.select(*[c for c in parsed.columns if c != "source_time"], *named)
+    return arrival(marked, [*key, "reason", *[f"_bad_{c}" for c in _NAMED]])
+
+
 def store_rejects(bad: DataFrame, source: str, path: str) -> int:
     """Add the rejects that the table does not hold yet, by source, page (of one symbol and interval) and place."""
     rows = conform(P.rejects(bad, source), REJECT_SCHEMA)
@@ -54,11 +68,12 @@ def ingest_bars(parsed: DataFrame, asset_type: str, raw_path: str, reject_path:
     """Store good rows by keyed insert-ignore and the rejects likewise. Returns how many of each are new.
 
     Bad rows never fail the batch: they are split off before the write. Repeating a batch adds nothing to either table.
+    Rows are reduced by key before they are staged, so that copies are neither written nor read again.
     """
     key, schema = RAW_KEY[asset_type], RAW_SCHEMA[asset_type]
-    with staged(parsed, raw_path) as rows:
-        good = P.valid(rows.filter("NOT rejected").drop("rejected"))
-        first = arrival(good, key).withColumn("sys_timestamp", F.current_timestamp())
-        stored = insert_ignore(first, raw_path, key, periods=periods_of(good), schema=schema)
-        rejected = store_rejects(rows.filter("rejected").drop("rejected"), asset_type.lower(), reject_path)
+    with staged(first_or_reject(parsed, key), raw_path) as rows:
+        first = P.valid(rows.filter("NOT rejected")).withColumn("sys_timestamp", F.current_timestamp())
+        stored = insert_ignore(first, raw_path, key, periods=compared_periods(first, raw_path), schema=schema)
+        bad = rows.filter("rejected").withColumnsRenamed({f"_bad_{c}": c for c in _NAMED})
+        rejected = store_rejects(bad, asset_type.lower(), reject_path)
     return {"stored": stored["inserted"], "rejected": rejected}

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from candlehouse.functions import columns as C
 from candlehouse.operators.dedup import not_in
-from candlehouse.sources.tables import PERIOD, conform, read_table, with_period
+from candlehouse.sources.tables import PERIOD, conform, read_table, table_exists, with_period
 
 
 def write_partitioned(
@@ -43,6 +43,11 @@ def periods_of(rows: DataFrame, time: str = "ts", grain: str = "month") -> list[
     return sorted(r[PERIOD] for r in found if r[PERIOD] is not None)
 
 
+def compared_periods(rows: DataFrame, path: str) -> list[date] | None:
+    """The periods of ``rows`` for :func:`insert_ignore`; None, without a pass over them, where there is no table yet to compare with."""
+    return periods_of(rows) if table_exists(rows.sparkSession, path) else None
+
+
 def insert_ignore(
     rows: DataFrame,
     path: str,

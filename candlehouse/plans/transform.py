@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -12,19 +12,19 @@ from candlehouse.functions import columns as C
 from candlehouse.operators.dedup import not_in
 from candlehouse.operators.transform import CRYPTO_DAY_KEY, transform_crypto, transform_forex, transform_stock
 from candlehouse.plans.periods import PeriodTable
-from candlehouse.plans.storage import insert_ignore, periods_of
+from candlehouse.plans.storage import compared_periods, insert_ignore
 from candlehouse.schemas import RAW_KEY, TRANSFORMED_SCHEMA
 from candlehouse.sources.tables import PERIOD, conform, period_start
 
 TRANSFORM: dict[str, Callable[[DataFrame], DataFrame]] = {"STOCK": transform_stock, "FOREX": transform_forex}
 
 
-def store_bars(raw: DataFrame, path: str, asset_type: str, periods: list[date] | None = None) -> int:
+def store_bars(raw: DataFrame, path: str, asset_type: str, source: DataFrame | None = None) -> int:
     """Transform the raw stock or forex bars that have no transformed bar yet; all symbols in one job.
 
-    Only the periods of the raw bars are compared; a caller that knows them saves a pass.
+    Only the periods of the raw bars are compared. They are asked of ``source``, if given: a table in the same periods that is cheaper to read.
     """
-    periods = periods_of(raw) if periods is None else periods
+    periods = compared_periods(raw if source is None else source, path)
     return insert_ignore(TRANSFORM[asset_type](raw), path, RAW_KEY[asset_type], periods=periods,
                          schema=TRANSFORMED_SCHEMA[asset_type])["inserted"]
 
@@ -50,5 +50,5 @@ def store_crypto_days(raw: DataFrame, path: str, replace_from: datetime | None =
         again = conform(again, TRANSFORMED_SCHEMA["CRYPTO"])
         table.merge(again.unionByName(not_in(stored, again, CRYPTO_DAY_KEY)), CRYPTO_DAY_KEY)
         replaced = observed.get["n"]
-    added = insert_ignore(days, path, CRYPTO_DAY_KEY, periods=periods_of(raw), schema=TRANSFORMED_SCHEMA["CRYPTO"])
+    added = insert_ignore(days, path, CRYPTO_DAY_KEY, periods=compared_periods(raw, path), schema=TRANSFORMED_SCHEMA["CRYPTO"])
     return replaced + added["inserted"]

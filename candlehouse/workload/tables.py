@@ -13,7 +13,6 @@ from candlehouse.operators import facts, transform
 from candlehouse.operators.dedup import first_wins, first_wins_wide
 from candlehouse.operators.facts import SOURCE_TABLE
 from candlehouse.operators.marts import Star
-from candlehouse.plans.storage import periods_of
 from candlehouse.plans.transform import store_bars, store_crypto_days
 from candlehouse.plans.warehouse import Warehouse, append_facts, load_symbols
 from candlehouse.schemas import FOREX_KEY, STOCK_KEY, TRANSFORMED_SCHEMA
@@ -72,7 +71,8 @@ SCHEMAS = {
 }
 
 
-#: Root of the loaded warehouse by session and folder of tables.
+#: Root of the warehouse by session and folder of tables: where the transformed tables are stored, and of these where all is loaded too.
+STORES: dict[tuple[str, str], str] = {}
 HOUSES: dict[tuple[str, str], str] = {}
 
 
@@ -152,28 +152,36 @@ class MarketTables:
             "CRYPTO": transform.transform_crypto(self.raw_crypto),
         }
 
-    @cached_property
-    def house(self) -> Warehouse:
-        """A warehouse that holds all bars, and the transformed tables beside it, as the jobs leave them.
+    @property
+    def _key(self) -> tuple[str, str]:
+        return self.spark.sparkContext.applicationId, self.sf_dir
 
-        It is loaded once per session and folder of tables, by the first query that asks for it.
-        """
-        key = (self.spark.sparkContext.applicationId, self.sf_dir)
-        if key not in HOUSES:
+    @cached_property
+    def _store(self) -> Warehouse:
+        """A warehouse beside the transformed tables, as the transform jobs leave them; they run once per session and folder of tables,
+        by the first query that asks for it."""
+        if self._key not in STORES:
             house = Warehouse(self.spark, scratch_path(self.spark, "house"))
-            store_bars(self.raw_stock, stored_path(house, "STOCK"), "STOCK", periods_of(self.landed_stock))
-            store_bars(self.raw_forex, stored_path(house, "FOREX"), "FOREX", periods_of(self.landed_forex))
+            store_bars(self.raw_stock, stored_path(house, "STOCK"), "STOCK", self.landed_stock)
+            store_bars(self.raw_forex, stored_path(house, "FOREX"), "FOREX", self.landed_forex)
             store_crypto_days(self.raw_crypto, stored_path(house, "CRYPTO"))
-            bars = stored_bars(house)
-            load_symbols(house, bars)
-            append_facts(house, bars)
-            HOUSES[key] = house.root
-        return Warehouse(self.spark, HOUSES[key])
+            STORES[self._key] = house.root
+        return Warehouse(self.spark, STORES[self._key])
+
+    @cached_property
+    def house(self) -> Warehouse:
+        """The same warehouse with all bars loaded, as the load job leaves it; once, too."""
+        house = self._store
+        if self._key not in HOUSES:
+            load_symbols(house, self.stored)
+            append_facts(house, self.stored)
+            HOUSES[self._key] = house.root
+        return house
 
     @property
     def stored(self) -> dict[str, DataFrame]:
         """The stored transformed tables, by month."""
-        return stored_bars(self.house)
+        return stored_bars(self._store)
 
     @cached_property
     def fact(self) -> DataFrame:
