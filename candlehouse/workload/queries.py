@@ -95,16 +95,25 @@ def ingest_news(m: MarketTables) -> DataFrame:
     return articles.select("link", "title", "published_date", "description", "content", "transformed")
 
 
+def _stored_once(m: MarketTables, rows: DataFrame) -> DataFrame:
+    """Rows as they lie in the landing zone or in a table, for jobs that read them more than once."""
+    path = scratch_path(m.spark, "landing")
+    rows.write.option("compression", "zstd").parquet(path)
+    return read_table(m.spark, path, rows.schema)
+
+
 @query
 def ingest_rejects(m: MarketTables) -> DataFrame:
     """The reject table after two ingests of all pages, bars and news."""
     root = scratch_path(m.spark, "rejects")
     store = news.NewsStore(m.spark, f"{root}/news")
-    pages = {"STOCK": P.parse_stock(m.stock_payloads), "FOREX": P.parse_forex(m.forex_payloads), "CRYPTO": P.parse_crypto(m.crypto_payloads)}
+    landed = {"STOCK": m.stock_payloads, "FOREX": m.forex_payloads, "CRYPTO": m.crypto_payloads, "NEWS": m.news_payloads}
+    landed = {code: _stored_once(m, pages) for code, pages in landed.items()}
+    pages = {"STOCK": P.parse_stock(landed["STOCK"]), "FOREX": P.parse_forex(landed["FOREX"]), "CRYPTO": P.parse_crypto(landed["CRYPTO"])}
     for _ in range(2):
         for code, parsed in pages.items():
             ingest.ingest_bars(parsed, code, f"{root}/raw_{code}", store.reject_path)
-        news.ingest_news(store, m.news_payloads)
+        news.ingest_news(store, landed["NEWS"])
     return read_table(m.spark, store.reject_path, REJECT_SCHEMA)
 
 

@@ -12,6 +12,10 @@ from candlehouse.workload import queries
 from candlehouse.workload.tables import MarketTables
 
 
+class Stop(Exception):
+    """Ends a query once a test has seen what it wants."""
+
+
 def page(number, *bars):
     values = ",".join(f'{{"datetime":"{d}","open":"{o}","high":"9","low":"1","close":"2","volume":"5"}}' for d, o in bars)
     return ("A", "1day", number, f'{{"values":[{values}]}}')
@@ -50,6 +54,26 @@ def test_good_rows_stay_in_a_hash_aggregate(pages):
     assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
 
 
+def builds_pages(rows) -> bool:
+    return "collect_list" in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rejects_read_landed_pages(spark, sf_dir, monkeypatch):
+    seen = []
+
+    def look(parsed, *_):
+        seen.append(builds_pages(parsed))
+
+    def stop(*_):
+        raise Stop
+
+    monkeypatch.setattr(ingest, "ingest_bars", look)
+    monkeypatch.setattr(queries.news, "ingest_news", stop)
+    with pytest.raises(Stop):
+        queries.QUERIES["ingest_rejects"](spark, sf_dir)
+    assert seen == [False] * 3
+
+
 def test_stored_tables_come_without_facts(spark, sf_dir):
     m = MarketTables(spark, f"{sf_dir}/.")  # a folder that no other test has asked for
     assert m.stored["STOCK"].count() > 0
