@@ -599,14 +599,14 @@ def stream_dedup(m: MarketTables) -> DataFrame:
 @query
 def stream_dedup_state(m: MarketTables) -> DataFrame:
     """Bars by thirds of January in files, each third sent again with the next one and the first once more at the end:
-    copies in another batch within the watermark, and far behind it."""
-    raw, landing = scratch_path(m.spark, "raw_stream"), scratch_path(m.spark, "landing")
-    day, bars = F.dayofmonth("ts"), m.raw_stock
+    copies in another batch within the watermark, and far behind it. What is sent at a time makes one batch, in however many files."""
+    raw, landing, checkpoint = (scratch_path(m.spark, name) for name in ("raw_stream", "landing", "checkpoint"))
+    day, bars = F.dayofmonth("ts"), _stored_once(m, m.raw_stock)
     thirds = [bars.filter(day <= 10), bars.filter((day > 10) & (day <= 20)), bars.filter(day > 20)]
     for sent in (thirds[:1], thirds[:2], thirds[1:], thirds[:1] + thirds[2:]):
-        reduce(DataFrame.unionByName, sent).coalesce(1).write.mode("append").parquet(landing)
-    stream = m.spark.readStream.schema(bars.schema).option("maxFilesPerTrigger", 1).parquet(landing)
-    jobs.stream_insert_new(stream, raw, scratch_path(m.spark, "checkpoint"), STOCK_KEY).awaitTermination()
+        reduce(DataFrame.unionByName, sent).write.mode("append").parquet(landing)
+        stream = m.spark.readStream.schema(bars.schema).parquet(landing)
+        jobs.stream_insert_new(stream, raw, checkpoint, STOCK_KEY).awaitTermination()
     return m.spark.read.parquet(raw).drop("trade_period")
 
 

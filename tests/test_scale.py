@@ -74,6 +74,20 @@ def test_rejects_read_landed_pages(spark, sf_dir, monkeypatch):
     assert seen == [False] * 3
 
 
+def test_each_sending_is_a_run_of_the_stream(spark, sf_dir, monkeypatch):
+    """One file for each batch would have to be written by one task."""
+    runs, insert = [], jobs.stream_insert_new
+
+    def counting(bars, path, checkpoint, key):
+        runs.append(checkpoint)
+        return insert(bars, path, checkpoint, key)
+
+    monkeypatch.setattr(jobs, "stream_insert_new", counting)
+    found = queries.QUERIES["stream_dedup_state"](spark, sf_dir)
+    assert len(runs) == 4 and len(set(runs)) == 1
+    assert found.count() == found.select(*STOCK_KEY).distinct().count() == MarketTables(spark, sf_dir).raw_stock.count()
+
+
 def test_stored_tables_come_without_facts(spark, sf_dir):
     m = MarketTables(spark, f"{sf_dir}/.")  # a folder that no other test has asked for
     assert m.stored["STOCK"].count() > 0
