@@ -394,7 +394,7 @@ def load_by_type(m: MarketTables) -> DataFrame:
             bars = transform.transform_crypto(good)
         else:
             bars = transforms.TRANSFORM[code](ingest.arrival(good, RAW_KEY[code]))
-        warehouse.load_full(w, {code: bars}, [code])
+        warehouse.load_full(w, {code: _stored_once(m, bars)}, [code])
     return w.fact.select(*FACT_COLUMNS)
 
 

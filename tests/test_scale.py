@@ -74,6 +74,16 @@ def test_rejects_read_landed_pages(spark, sf_dir, monkeypatch):
     assert seen == [False] * 3
 
 
+def test_load_by_type_parses_once(spark, sf_dir, monkeypatch):
+    def look(_, transformed, codes):
+        assert not builds_pages(transformed[codes[0]])
+        raise Stop
+
+    monkeypatch.setattr(warehouse, "load_full", look)
+    with pytest.raises(Stop):
+        queries.QUERIES["load_by_type"](spark, sf_dir)
+
+
 def test_each_sending_is_a_run_of_the_stream(spark, sf_dir, monkeypatch):
     """One file for each batch would have to be written by one task."""
     runs, insert = [], jobs.stream_insert_new
