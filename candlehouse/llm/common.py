@@ -39,6 +39,21 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Bytes of an Arrow batch between Spark and its Python workers.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on this session hands rows to Python workers in batches of about BATCH_BYTES, whatever the length of a text.
+
+    Spark's own bounds are 10,000 rows and 64 MB, which with whole documents takes tens of MB several times over in every task, in
+    the executor and in its Python worker. A bound that the session has set already stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """True for rows whose crc32 of the id as text leaves ``fold`` by ``folds``; a null id is never held out."""
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % folds == fold, F.lit(False))

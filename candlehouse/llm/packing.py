@@ -31,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlehouse.llm.common import checkpoint
+from candlehouse.llm.common import checkpoint, small_batches
+from candlehouse.llm.words import grouped
 
 CAPACITY = 2048
 #: Pieces of one length that are numbered together.
@@ -141,9 +142,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, separator
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(vocabulary)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = [t or "" for t in part.column("text").to_pylist()]
+            for part, texts in grouped(batch):
                 rows = defaultdict(list)
                 for doc_id, ids in zip(part.column("doc_id").to_pylist(), code.encode(texts), strict=True):
                     ids += end
@@ -159,6 +158,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, separator
                 types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), types, strict=False)], names=list(rows))
 
+    small_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(cut, schema)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlehouse.llm import decontamination, language, neardup, packing, toxicity
-from candlehouse.llm.common import checkpoint, held_out, read
+from candlehouse.llm.common import checkpoint, held_out, read, small_batches
 from candlehouse.session import scratch_path
 
 #: Documents scoring this or more are toxic.
@@ -21,7 +21,8 @@ TOXIC = 0.5
 
 
 def _carried(docs: DataFrame) -> DataFrame:
-    """Each document as one ``row`` beside its text, so that no column of it clashes with an operator's."""
+    """Each document as one ``row`` beside its text, so that no column of it clashes with an operator's; such rows hold texts twice."""
+    small_batches(docs.sparkSession)
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
 
 

@@ -123,3 +123,17 @@ def test_a_length_that_most_pieces_have(spark):
     check_layout(rows, 16)
     assert len({(r.sequence_id, r.offset) for r in rows}) == 9000
     assert len(sequences(rows)) <= -(-sum(r.length for r in rows) // 16) * 1.02 + 1
+
+
+def test_long_texts_reach_the_workers_in_small_batches(spark):
+    """A batch was 10,000 rows, whatever they weighed."""
+    def sizes(batches):
+        for batch in batches:
+            yield batch.select(["n"]).from_pydict({"n": [batch.nbytes]})
+
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.range(0, 24, 1, 1).selectExpr("id as doc_id", "repeat('word ', 200000) as text")
+    told = {(r.doc_id, r.start) for r in P.pieces(docs, PATH).collect()}
+    assert told == {(d, at) for d in range(24) for at in range(0, 200_001, P.CAPACITY)}
+    found = [r.n for r in docs.selectExpr("doc_id as n", "text").mapInArrow(sizes, "n bigint").collect()]
+    assert max(found) < 8 << 20  # before: 24,000,000
