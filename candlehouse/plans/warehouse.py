@@ -116,6 +116,10 @@ def load_incremental(
     return LoadReport("incremental", selected, counts, views, hours_back=hours, data_from=cutoff)
 
 
+#: Tasks over the new symbols of a load. Each reads its share of the shuffle behind ``distinct``, whose partitions grow with the bars.
+SYMBOL_TASKS = 16
+
+
 def load_symbols(warehouse: Warehouse, transformed: dict[str, DataFrame]) -> int:
     """Insert the symbols the dimension lacks, found by their natural key.
 
@@ -123,7 +127,9 @@ def load_symbols(warehouse: Warehouse, transformed: dict[str, DataFrame]) -> int
     """
     found = conform(dims.all_symbols(transformed), DIM_SYMBOL_SCHEMA)
     stored = warehouse.symbols
-    new = not_in(found, stored, ["symbol_code", "asset_type_id", "currency"]).cache()  # new symbols alone: few
+    new = not_in(found, stored, ["symbol_code", "asset_type_id", "currency"])
+    # new symbols alone: few. Adaptive execution leaves a cached plan as it is, so every job here would have a task per shuffle partition and type
+    new = new.coalesce(SYMBOL_TASKS).cache()
     try:
         n = new.count()
         if n:

@@ -119,3 +119,17 @@ def test_no_pass_for_periods_before_the_first_write(spark, tmp_path, monkeypatch
     path = f"{tmp_path}/t"
     assert [transform.store_bars(bars, path, "STOCK"), len(asked)] == [1, 0]
     assert [transform.store_bars(bars, path, "STOCK"), len(asked)] == [0, 1]
+
+
+def test_new_symbols_are_loaded_by_a_bounded_number_of_tasks(spark, tmp_path):
+    bars = {"STOCK": spark.range(300).selectExpr("concat('S', id) as symbol"), "FOREX": spark.range(300).selectExpr("concat('F', id) as currency_pair")}
+    house, partitions = warehouse.Warehouse(spark, str(tmp_path)), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        assert warehouse.load_symbols(house, bars) == 600
+        assert warehouse.load_symbols(house, bars) == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert {r.symbol_code for r in house.symbols.collect()} == {f"{t}{i}" for t in "SF" for i in range(300)}
+    written = house.symbols.select("symbol_id").inputFiles()
+    assert len(written) <= warehouse.SYMBOL_TASKS  # before: 80
